@@ -128,8 +128,9 @@ def _enter(begin: list[tuple[int, int]], pieces: Pieces, text: str, left: int, r
 
     A split needs every boundary state to lie on its own side.
     """
-    first = word_start(text, max((b for _, b in begin), default=left), right - pieces.longest)
-    return (first, last_word_start(text, first, right - pieces.longest)) if first >= 0 else (-1, -1)
+    to = max(0, right - pieces.longest)
+    first = word_start(text, max((b for _, b in begin), default=left), to)
+    return (first, last_word_start(text, first, to)) if first >= 0 else (-1, -1)
 
 
 def transfer(pieces: Pieces, text: str, left: int, right: int, begin: list, end: list) -> np.ndarray:
