@@ -1,0 +1 @@
+"""Meter analytics and forecasting on Spark DataFrames."""
