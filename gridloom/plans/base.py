@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,25 @@ CFG = Config(min_span_days=14.0)
 SITES = (("alpha", 46.07, 11.12), ("beta", 38.11, 13.36))
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001  the session has ended; the folder is the cluster's to clear
+        pass
+
+
+def fresh_path(spark: SparkSession) -> str:
+    """A new path in the folder that the cluster shares (spark.checkpoint.dir; one of our own where none is named)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="gridloom-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared.rstrip('/')}/gridloom-{uuid.uuid4().hex}"
+    atexit.register(_drop, spark, path)
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

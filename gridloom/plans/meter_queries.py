@@ -20,6 +20,8 @@ from ..operators import runlog as L
 from ..operators import summaries as A
 from ..operators import validation as V
 from ..sources import readers as S
+from ..sources import sinks as K
+from ..streaming import streams as T
 from . import base as B
 from .base import CFG, r
 
@@ -721,8 +723,124 @@ def l3_prune_runs(spark, sf):
     return L.prune_runs(_runs(spark, sf)[0], 365, "1998-01-01")
 
 
-@query("SELECT n_name AS \"table\", coalesce(CASE WHEN n_regionkey > 1 THEN 'CC-BY' END, 'unknown') AS license, 'green' AS classification, 'region-' || n_regionkey AS owner, coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 'meters' END, 'unknown') AS source_system FROM nation WHERE n_name IN ('FRANCE', 'GERMANY', 'BRAZIL')")
+@query("SELECT n_name AS \"table\", coalesce(CASE WHEN n_regionkey > 1 THEN 'CC-BY' END, 'unknown') AS license, 'green' AS classification, 'region-' || n_regionkey AS owner, coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 'meters' END, 'unknown') AS source_system FROM nation WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_7')")
 def l4_lineage(spark, sf):
     n = B.table(spark, sf, "nation")
     registry = n.select(F.col("n_name").alias("table"), F.when(F.col("n_regionkey") > 1, "CC-BY").alias("license"), F.lit(None).cast("string").alias("classification"), F.concat(F.lit("region-"), F.col("n_regionkey").cast("string")).alias("owner"), F.when(F.col("n_nationkey") % 2 == 0, "meters").alias("source_system"))
-    return L.lineage_tags(spark, ["FRANCE", "GERMANY", "BRAZIL", "nowhere"], registry)
+    return L.lineage_tags(spark, ["NATION_1", "NATION_2", "NATION_7", "nowhere"], registry)
+
+
+@query("SELECT run_id, device_id, start_time FROM (" + _RUNS + " SELECT * FROM runs WHERE device_id = 'dev-7') t")
+def l3_list_runs(spark, sf):
+    return L.list_runs(_runs(spark, sf)[0], "dev-7")
+
+
+@query(f"{_RUNS} SELECT run_id, 'cv_mae_import' AS key, {r('price AS value')} FROM runs WHERE run_id % 3 > 0")
+def l1_log_runs(spark, sf):
+    """Metrics written to the log and read again; nulls and NaNs stay out."""
+    m = _runs(spark, sf)[1]
+    gaps = F.when(F.col("run_id") % 3 == 0, F.when(F.col("run_id") % 2 == 0, F.lit(float("nan")))).otherwise(F.col("value"))
+    path = B.fresh_path(spark)
+    L.log_runs(L.clean_metrics(m.withColumn("value", gaps)).withColumn("session", F.col("run_id") % 4), path)
+    return spark.read.parquet(path).select("run_id", "key", "value")
+
+
+# ------------------------------------------------------------------ domains other than meters
+
+@query("""WITH d AS (SELECT l_returnflag AS device_id, date_trunc('month', CAST(l_shipdate AS TIMESTAMP)) AS ts_hour, sum(CAST(l_quantity AS DOUBLE)) AS grid_import FROM lineitem GROUP BY ALL),
+n AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts_hour) AS k, count(*) OVER (PARTITION BY device_id) AS c FROM d)
+SELECT device_id, CASE WHEN k <= (c * 70) // 100 THEN 'train' WHEN k <= (c * 85) // 100 THEN 'valid' ELSE 'test' END AS split, round(sum(grid_import), 2) + 0.0 AS quantity, count(*) AS n FROM n GROUP BY ALL""")
+def d1_lineitem_domain(spark, sf):
+    d = B.table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("device_id"), F.date_trunc("month", F.col("l_shipdate").cast("timestamp")).alias("ts_hour")).agg(F.sum(F.col("l_quantity").cast("double")).alias("q"))
+    return X.split_70_15_15(d).groupBy("device_id", "split").agg(F.round(F.sum("q"), 2).alias("quantity"), F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ streams and user functions
+
+def _readings_stream(spark, sf):
+    kind = B.table(spark, sf, "events").schema
+    e = spark.readStream.schema(kind).parquet(f"{sf}/events.parque[t]")  # a pattern: the table may be one file
+    takes, gives = F.col("event_type").isin("click", "view", "signup"), F.col("event_type").isin("purchase", "error")
+    return e.select(
+        F.concat(F.lit("dev-"), (F.col("user_id") % B.DEVICES).cast("string")).alias("device_id"), F.col("ts").cast("timestamp").alias("ts"),
+        F.when(takes, F.col("value")).otherwise(0.0).alias("consumption_kwh"), F.when(gives, F.col("value")).otherwise(0.0).alias("production_kwh"),
+    )
+
+
+@query(f"""WITH e AS (SELECT DISTINCT ON (user_id % {B.DEVICES}, ts) 'dev-' || CAST(user_id % {B.DEVICES} AS VARCHAR) AS device_id, ts, event_type, value FROM events),
+h AS (SELECT device_id, date_trunc('hour', ts) AS ts_hour, count(*) AS n_quarters, sum(CASE WHEN event_type IN ('click', 'view', 'signup') THEN value ELSE 0 END) AS c FROM e GROUP BY ALL)
+SELECT device_id, ts_hour, n_quarters, {r('c * CASE WHEN n_quarters < 4 THEN CAST(4 AS DOUBLE) / n_quarters ELSE 1.0 END AS M1_cons')} FROM h WHERE ts_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
+def t1_stream_hourly(spark, sf):
+    path, mark = B.fresh_path(spark), B.fresh_path(spark)
+    stream = T.stream_hourly(_readings_stream(spark, sf), CFG)
+    run = stream.writeStream.outputMode("append").option("checkpointLocation", mark).trigger(availableNow=True).format("parquet").start(path)
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path).select("device_id", "ts_hour", "n_quarters", "M1_cons")
+
+
+@query(f"WITH {B.STEPS} SELECT device_id, target, origin, horizon, {r('actual', 'prediction', 'prediction - actual AS error')} FROM joined WHERE n >= 0")
+def t2_stream_score(spark, sf):
+    df = B.hourly(spark, sf)
+    actual_path, path, mark = B.fresh_path(spark), B.fresh_path(spark), B.fresh_path(spark)
+    actuals = J.long_targets(df, CFG.targets)
+    actuals.write.parquet(actual_path)
+    o = E.backtest_origins(df, CFG)
+    fc = M.naive_forecast(df, o, "grid_export", CFG).unionByName(M.naive_forecast(df, o, "grid_import", CFG)).where("prediction is not null")
+    T.stream_score_actuals(spark.readStream.schema(actuals.schema).parquet(actual_path), fc, path, mark).awaitTermination()
+    return spark.read.parquet(path).select("device_id", "target", "origin", "horizon", "actual", "prediction", "error")
+
+
+@query()
+def t3_stream_model_update(spark, sf):
+    """Statistics gathered by a stream equal those of one batch: the rows give both."""
+    matrix = _matrix(spark, sf, (6,)).select("device_id", "ts_hour", "band", "grid_import", *_SMALL)
+    rows_path, path, mark = B.fresh_path(spark), B.fresh_path(spark), B.fresh_path(spark)
+    matrix.repartition(4).write.parquet(rows_path)
+    linear = M.GroupedLinear("grid_import", _SMALL, ["device_id"])
+    stream = spark.readStream.schema(matrix.schema).option("maxFilesPerTrigger", 2).parquet(rows_path)
+    T.stream_model_update(stream, linear, path, mark).awaitTermination()
+    streamed = T.current_statistics(spark, linear, path).select("device_id", F.col("n").alias("n_stream"), F.col("yy").alias("yy_stream"))
+    return streamed.join(linear.statistics(spark.read.schema(matrix.schema).parquet(rows_path)).select("device_id", "n", "yy"), "device_id")
+
+
+@query()
+def u2_window_predictor(spark, sf):
+    """A user's function on windows: the value a day before, from the context."""
+    df = B.hourly(spark, sf)
+    w = X.context_and_future(X.gap_fill(df, "grid_import"), E.backtest_origins(df, CFG), "grid_import", 168, CFG, covariates=["hour_sin"])
+    return T.window_predictor(w, lambda ctx, cov, future: [ctx[-24 + h % 24] for h in range(len(future))])
+
+
+@query()
+def r3_saved_model(spark, sf):
+    """A model written as tables and read again predicts."""
+    matrix = _matrix(spark, sf, (6,))
+    linear = M.GroupedLinear("grid_import", _SMALL, ["device_id"])
+    path = B.fresh_path(spark)
+    K.save_model({"coefficients": linear.fit(matrix)}, path, {"features": _SMALL})
+    tables, settings = K.load_model(spark, path)
+    again = M.GroupedLinear("grid_import", settings["features"], ["device_id"])
+    return A.metrics(again.predict(tables["coefficients"], matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
+
+
+@query()
+def a11_run_summary(spark, sf):
+    verdicts = V.assess_sufficiency(B.hourly(spark, sf), CFG)
+    cv = E.cross_validate(B.hourly(spark, sf), CFG, E.naive_backend(CFG))
+    return A.run_summary(verdicts, R.flat_forecasts(_forecasts(spark, sf)), cv)["totals"]
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 3) + 0.0 AS total FROM events GROUP BY 1")
+def k2_write_reports(spark, sf):
+    """A report written as CSV and read again."""
+    path = B.fresh_path(spark)
+    K.write_reports({"by_device": B.table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 3).alias("total"))}, path)
+    return spark.read.option("header", True).schema("event_type string, n long, total double").csv(f"{path}/by_device")
+
+
+@query()
+def k1_write_forecasts(spark, sf):
+    path = B.fresh_path(spark)
+    K.write_forecasts(_forecasts(spark, sf), path)
+    kind = "device_id string, forecast_origin timestamp, forecasts array<struct<horizon:int,timestamp:timestamp,grid_export_kwh:double,grid_import_kwh:double,net_exchange_kwh:double>>"
+    return R.forecasts_to_frame(spark.read.schema(kind).json(path))
