@@ -16,6 +16,8 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
             hit = links[front] & columns_left
             reached = np.flatnonzero(hit.any(axis=0))
             out += zip(front[hit[:, reached].argmax(axis=0)].tolist(), reached.tolist(), strict=True)
+            if not len(reached):
+                break
             columns_left[reached] = False
             back = links[:, reached] & rows_left[:, None]
             front = np.flatnonzero(back.any(axis=1))
