@@ -94,43 +94,53 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     known = known.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     order = F.xxhash64("doc_id")
     picked = known.where("quality = 0").orderBy(order, "doc_id").limit(2 * per_class).union(known.where("quality = 1").orderBy(order, "doc_id").limit(2 * per_class))
-    # at most 4 * per_class rows of two numbers: a proven bound
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    # at most 4 * per_class rows of a few numbers: a proven bound
+    picked = picked.withColumn("first", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)) == 0)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     # no more of a text than its pieces' share leaves the executors, from spread places
-    bound = PIECES * PIECE
-    gap = F.greatest(F.lit(0), F.char_length("text") - bound) / F.lit(max(PIECES - 1, 1))
+    gap = F.greatest(F.lit(0), F.char_length("text") - PIECES * PIECE) / F.lit(max(PIECES - 1, 1))
     parts = [F.substring(F.col("text"), (gap * i).cast("int") + i * PIECE + 1, F.lit(PIECE)) for i in range(PIECES)]
-    sample = rows.select("doc_id", "quality", order.alias("h"), F.array(*parts).alias("parts"), F.octet_length("text").alias("size")).collect()
-    sample.sort(key=lambda r: (r.h, r.doc_id, r.quality))
-    first: dict[int, list] = {0: [], 1: []}
-    second: dict[int, list] = {0: [], 1: []}
-    for i, row in enumerate(sample):
-        (first if i % 2 == 0 else second)[row.quality].append(row)
-    if not all(first.values()) or not all(second.values()):
-        return None
+    rows = texts.join(F.broadcast(picked.where("first")), "doc_id").select("doc_id", "quality", F.array(*parts).alias("parts")).collect()
     dictionaries = {}
     for q in (0, 1):
-        pieces = [p.encode() for r in first[q] for p in r.parts or () if p]
+        pieces = [p.encode() for r in sorted(rows, key=lambda r: (r.doc_id, r.parts)) if r.quality == q for p in r.parts if p]
+        if not pieces:
+            return None
         try:
             dictionaries[q] = zstandard.train_dictionary(DICT_BYTES, [p for p in pieces if len(p) >= 8]).as_bytes()
-        except zstandard.ZstdError:  # too little text for a trained one: its end serves as it is
+        except (zstandard.ZstdError, ValueError):  # too little text for a trained one: its end serves as it is
             dictionaries[q] = b"".join(pieces)[-DICT_BYTES:]
-    good, bad = _compressor(dictionaries[1]), _compressor(dictionaries[0])
-    x, y = [], []
-    for q in (0, 1):
-        for r in second[q]:
-            text = "".join(r.parts or ()).encode()
-            x.append((len(text), *compressed_sizes(memoryview(text), good, bad)))
-            y.append(q)
-    features = _features(*np.array(x, dtype=np.float64).T)
+    # the curve is fitted on whole texts, as they are scored; three numbers a row come back
+    shared = docs.sparkSession.sparkContext.broadcast((dictionaries[1], dictionaries[0]))
+    whole = texts.join(F.broadcast(picked.where("not first")), "doc_id").select("quality", "text")
+    found = whole.mapInArrow(_sizes(shared), "quality int, size long, good long, bad long").collect()
+    found.sort()
+    if len({r.quality for r in found}) < 2:
+        return None
+    table = np.array(found, dtype=np.float64)
+    features = _features(*table[:, 1:].T)
     means, scales = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-9)
-    weights = _logistic((features - means) / scales, np.array(y, dtype=np.float64))
+    weights = _logistic((features - means) / scales, table[:, 0])
     # classes were drawn alike; the odds they really have among the labelled rows come back in the intercept
-    counts = dict(known.groupBy("quality").count().collect())
-    weights[0] += np.log(counts[1] / counts[0]) - np.log(len(second[1]) / len(second[0]))
+    counts, drawn = dict(known.groupBy("quality").count().collect()), table[:, 0].mean()
+    weights[0] += np.log(counts[1] / counts[0]) - np.log(drawn / (1 - drawn))
     return Model(dictionaries[1], dictionaries[0], tuple(weights), tuple(means), tuple(scales))
 
 
+def _sizes(shared):
+    """Whole texts -> their length, and their compressed sizes under a (good, bad) pair of dictionaries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, bad = map(_compressor, shared.value)
+        for batch in batches:
+            raw, at = H.text_buffers(batch.column("text"))
+            view = memoryview(raw)
+            sizes = np.array([compressed_sizes(view[a:b], good, bad) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(np.diff(at)), pa.array(sizes[:, 0]), pa.array(sizes[:, 1])], names=["quality", "size", "good", "bad"])
+
+    return run
+
+
 def _score(shared, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -163,5 +173,6 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_cla
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(fit(docs, labels, per_class))
-    scored = docs.mapInArrow(_score(shared, docs.columns), docs.withColumn("_score", F.lit(0.0)).schema)
-    return scored.where(F.col("_score") >= threshold).drop("_score")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    scored = rows.mapInArrow(_score(shared, ["row"]), rows.select("row").withColumn("_score", F.lit(0.0)).schema)
+    return scored.where(F.col("_score") >= threshold).select("row.*")

@@ -10,7 +10,8 @@ position in a single pass.
 
 A null text is one empty line. A row without a doc_id counts for no line and
 keeps all of its own. Rows that share a doc_id are one document for counting,
-each losing its own lines. Other columns are ignored.
+each losing its own lines. Other columns, whatever their names, pass through
+``without_common_lines`` and are ignored by ``dedup_lines``.
 """
 
 from __future__ import annotations
@@ -48,36 +49,36 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     return gone.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 
 
-def _joined(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, Column]:
-    """docs with _gone, and the expression of the text that is left."""
+def _joined(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """row (the input's columns, whatever their names), doc_id, text, gone, and kept where lines are gone."""
+    gone = dropped_lines(_identified(docs), min_chars, min_docs).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), "gone")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    gone = dropped_lines(_identified(docs), min_chars, min_docs).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("gone").alias("_gone"))
-    joined = docs.join(gone, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_version")), "left").drop("_doc", "_version")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    # merge: one plan at every size, rather than a broadcast that stops being possible
+    joined = rows.join(gone.hint("merge"), (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_version")), "left").drop("_doc", "_version")
     # positions -> one flag a line, so that a line looks itself up in constant time
-    gap = lambda p, i: p - F.coalesce(F.get("_gone", i - 1), F.lit(-1)) - 1
-    flags = F.flatten(F.transform("_gone", lambda p, i: F.concat(F.array_repeat(F.lit(False), gap(p, i)), F.array(F.lit(True)))))
-    joined = joined.withColumn("_flags", F.when(F.col("_gone").isNotNull(), flags))
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.coalesce(F.get("_flags", i), F.lit(False))), "\n")
-    return joined, kept
+    gap = lambda p, i: p - F.coalesce(F.get("gone", i - 1), F.lit(-1)) - 1
+    flags = F.flatten(F.transform("gone", lambda p, i: F.concat(F.array_repeat(F.lit(False), gap(p, i)), F.array(F.lit(True)))))
+    joined = joined.withColumn("flags", F.when(F.col("gone").isNotNull(), flags))
+    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.coalesce(F.get("flags", i), F.lit(False))), "\n")
+    return joined.withColumn("kept", F.when(F.col("gone").isNotNull(), kept))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_dropped and kept, the text without its dropped lines."""
-    docs = _identified(docs)
-    joined, kept = _joined(docs, min_chars, min_docs)
     newlines = F.char_length("text") - F.char_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
-    return joined.select(
+    return _joined(docs.select("doc_id", "text"), min_chars, min_docs).select(
         "doc_id",
         (newlines + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept).alias("kept"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce("kept", "text").alias("kept"),
     )
 
 
 def without_common_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """The input's rows and columns; where lines were dropped, text is what is left and n_chars its length."""
-    joined, kept = _joined(docs, min_chars, min_docs)
-    changed = F.col("_gone").isNotNull()
-    joined = joined.withColumn("_kept", F.when(changed, kept).otherwise(F.col("text").cast("string")))
-    new = {"text": F.col("_kept"), "n_chars": F.when(changed, F.char_length("_kept").cast("long")).otherwise(F.col("n_chars"))}
-    return joined.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+    new = {"text": F.coalesce(F.col("kept"), F.col("row.text").cast("string"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.char_length("kept").cast("long"), F.col("row.n_chars").cast("long"))
+    joined = _joined(docs, min_chars, min_docs)
+    return joined.select(*((new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

@@ -11,8 +11,8 @@ number, is under the fraction.
 
 A null or blank text has size 0 and is never taken more than any other. A
 source of no words has target 0 and rate 0. A null doc_id hashes as an empty
-string. Rows that share a doc_id share their draw. Other columns pass through
-``mix`` and are ignored by ``plan``.
+string. Rows that share a doc_id share their draw. Other columns, whatever their
+names, pass through ``mix`` and are ignored by ``plan``.
 """
 
 from __future__ import annotations
@@ -57,20 +57,26 @@ def targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3)
     return by.select("source", "source_size", F.least(limit, F.coalesce(F.col("level") * F.col("weight"), limit)).alias("target"))
 
 
-def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
-    """The input's rows with size, source_size, target and copies, how often the mix takes the document.
+def _planned(docs: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    """row (the input's columns, whatever their names), doc_id, size, source_size, target, copies.
 
     The table of sources is broadcast only as far as Spark measures it to be
     small; a join that a big source would skew is split at run time.
     """
-    sized = docs.withColumn("size", n_words(F.col("text").cast("string")))
+    sized = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", n_words(F.col("text").cast("string")).alias("size"))
     per_source = targets(sized.select("source", "size"), weights, most).withColumnRenamed("source", "_source")
-    joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + (uniform(F.col("doc_id")) < rate - F.floor(rate)).cast("long")
-    return joined.withColumn("copies", copies.cast("long"))
+    return joined.select("row", "doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"))
+
+
+def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
+    """One row per input row: doc_id, size, source_size, target and copies, how often the mix takes the document."""
+    return _planned(docs.select("doc_id", "text", "source"), weights, most).drop("row")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with the input's columns."""
-    return plan(docs, weights, most).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+    planned = _planned(docs, weights, most).where("copies > 0")
+    return planned.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).select("row.*")
