@@ -7,7 +7,8 @@ the smallest hash inside it: equal windows have equal anchors, so a window can
 only repeat if its anchor occurs twice. Consecutive windows with one anchor
 form a *segment*; segments are counted by (anchor, content hash), and only the
 distinct segments of anchors that occur twice go on to the exact step, one copy
-each with its multiplicity.
+each with its multiplicity. An anchor with very many distinct segments isn't one
+group for one task: its windows are counted by their own hashes.
 
 A row is told apart by its doc_id and a hash of its text, so repeated rows are
 counted as the separate texts they are, and null ids are served too.
@@ -30,6 +31,8 @@ from .tables import materialize, ship
 _POS = np.uint64((1 << 24) - 1)
 #: Units of one text that are handled at a time; longer texts are cut, overlapping by a window.
 SLICE = 1 << 20
+#: An anchor with more distinct segments than this is dealt window by window instead of as one group.
+HOT = 50_000
 
 class Units(NamedTuple):
     """What a window is made of: ``window`` units long, anchored at grams of ``gram`` units."""
@@ -106,8 +109,8 @@ def recurring(found: DataFrame) -> DataFrame:
         F.min_by("first", one).alias("first"),
         F.min("windows").alias("windows"),
     )
-    twice = distinct.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor")
-    return distinct.join(twice, "anchor")
+    by = distinct.groupBy("anchor").agg(F.sum("copies").alias("n"), (F.count(F.lit(1)) > HOT).alias("hot"))
+    return distinct.join(by.where("n > 1").select("anchor", "hot"), "anchor")
 
 
 def spread(docs: DataFrame, picked: DataFrame, cut) -> DataFrame:
@@ -123,6 +126,36 @@ def spread(docs: DataFrame, picked: DataFrame, cut) -> DataFrame:
     )
 
 
+def _window_rows(units: Units):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = H.text_buffers(batch.column("text"))
+            cuts = batch.column("_cuts")
+            edges, flat = cuts.offsets.to_numpy(), cuts.values
+            columns = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in ("anchor", "content", "copies", "first", "windows")}
+            for i in range(batch.num_rows):
+                total = H.running(units.values(raw[at[i] : at[i + 1]]))
+                for j in range(edges[i], edges[i + 1]):
+                    off = np.arange(columns["windows"][j], dtype=np.int64)
+                    first = off + columns["first"][j]
+                    same = {k: np.full(len(off), columns[k][j]) for k in ("anchor", "content", "copies")}
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(v) for v in same.values()), pa.array(off), pa.array(H.range_hashes(total, first, first + units.window).view(np.int64))], names=[*same, "off", "hash"]
+                    )
+
+    return run
+
+
+def hot_spans(docs: DataFrame, picked: DataFrame, units: Units) -> DataFrame:
+    """SPANS of the segments of hot anchors: their windows are counted by hash, which combines before its shuffle."""
+    lists = picked.groupBy("_doc", "_th").agg(F.collect_list(F.struct("anchor", "content", "copies", "first", "windows")).alias("_cuts"))
+    cut = docs.select("_doc", "_th", "text").dropDuplicates(["_doc", "_th"]).join(lists, ["_doc", "_th"]).select("text", "_cuts")
+    windows = materialize(cut.mapInArrow(_window_rows(units), "anchor long, content long, copies long, off long, hash long"))
+    twice = windows.groupBy("anchor", "hash").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor", "hash")
+    span = F.struct(F.col("off").alias("a"), (F.col("off") + units.window).alias("b"))
+    return windows.join(twice, ["anchor", "hash"]).groupBy("anchor", "content").agg(F.collect_list(span).alias("spans"))
+
+
 def cutter(piece: Callable[[np.ndarray, np.ndarray, np.ndarray], list[bytes]]):
     """For ``spread``: piece(bytes of a text, first units, numbers of windows) -> the segments' bytes."""
 
@@ -151,7 +184,7 @@ def by_anchor(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[tu
     """
     held: list[tuple] = []
     size, last = 0, None
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if row[:2] == last:
                 continue
@@ -199,7 +232,10 @@ def located(docs: DataFrame, units: Units, cut, confirm) -> tuple[DataFrame, Dat
     docs = keyed(docs)
     found = materialize(occurrences(docs, units))
     picked = materialize(recurring(found))
-    spans = materialize(spread(docs, picked, cut).mapInArrow(confirm, SPANS))
+    spans = spread(docs, picked.where("not hot"), cut).mapInArrow(confirm, SPANS)
+    if not (hot := picked.where("hot")).isEmpty():
+        spans = spans.union(hot_spans(docs, hot, units))
+    spans = materialize(spans)
     places = found.join(spans, ["anchor", "content"]).select("_doc", "_th", "first", F.explode("spans").alias("s"))
     places = places.select("_doc", "_th", F.struct((F.col("first") + F.col("s.a")).alias("a"), (F.col("first") + F.col("s.b")).alias("b")).alias("s"))
     return docs, places.groupBy("_doc", "_th").agg(F.collect_list("s").alias("_spans"))

@@ -27,6 +27,8 @@ from . import repeats as R
 
 #: Bytes of segments in one block of suffixes.
 BLOCK = 1 << 19
+#: Suffixes that are sorted at a time.
+SUFFIXES = 40_000
 
 
 def byte_units(min_bytes: int) -> R.Units:
@@ -108,6 +110,16 @@ def common_prefix(total: np.ndarray, a: np.ndarray, b: np.ndarray, room: np.ndar
     return out
 
 
+def _parts(hashes: np.ndarray) -> Iterator[slice]:
+    """Slices of about SUFFIXES sorted hashes that don't part equal ones."""
+    at = 0
+    while at < len(hashes):
+        to = min(at + SUFFIXES, len(hashes))
+        to = int(np.searchsorted(hashes, hashes[to - 1], side="right"))
+        yield slice(at, to)
+        at = to
+
+
 def _confirm(min_bytes: int):
     def block(rows: list[tuple]) -> list[tuple]:
         text = b"".join(r[4] for r in rows)
@@ -123,9 +135,12 @@ def _confirm(min_bytes: int):
         twice = np.zeros(len(start), dtype=bool)
         twice[order[1:][same]] = twice[order[:-1][same]] = True
         step = np.zeros(len(text) + 1, dtype=np.int64)
-        for length, where in maximal_repeats(text, total, start[twice], base[owner[twice]], base[1:][owner[twice]], min_bytes):
-            np.add.at(step, where, 1)
-            np.add.at(step, where + length, -1)
+        chosen = order[twice[order]]
+        for some in _parts(hashes[chosen]):  # suffixes with the same first bytes stay together
+            at = chosen[some]
+            for length, where in maximal_repeats(text, total, start[at], base[owner[at]], base[1:][owner[at]], min_bytes):
+                np.add.at(step, where, 1)
+                np.add.at(step, where + length, -1)
         # a segment that was found several times is one leaf with all its copies: a repeat as long as itself
         several = np.flatnonzero(copies > 1)
         np.add.at(step, base[several], 1)

@@ -59,6 +59,12 @@ def test_phrase_dedup(docs, rows, size):
     same(P.phrase_dedup(docs, size), brute_words(rows, size), ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def test_hot_anchors_give_the_same(docs, rows, monkeypatch):
+    monkeypatch.setattr(R.R, "HOT", 1)
+    same(R.suffix_dedup(docs, 60), brute_bytes(rows, 60), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    same(P.phrase_dedup(docs, 12), brute_words(rows, 12), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+
 def test_kept_text(docs):
     assert P.phrase_dedup(docs, keep_text=True).where("kept is null").count() == 0
     assert R.suffix_dedup(docs, keep_text=True).where("kept is null").count() == 0
