@@ -7,11 +7,14 @@ one part more than two sets of the band can have differing elements, so two
 similar sets agree on one part at least and share that part's signature. A set
 signs for its own band and, if a similar set could be that large, for the next.
 
-Sets that share a signature are chained into clusters (a signature needs one
-link to its first set, not all pairs), clusters are cut into blocks of bounded
-size, and blocks meet in pairs in a task that counts intersections exactly and
-returns a spanning forest of the links found. Copies are one set throughout:
-they are collapsed by set before any pair is looked at. No candidate is capped.
+Sets that share a signature are compared by parity sketches, a few bits for each
+element: sketches differ in at most as many bits as the sets in elements, so
+whatever differs in more bits than two similar sets may is no link, and nothing
+else is dropped. What is left chains sets into clusters; clusters are cut into
+blocks of bounded size, and blocks meet in pairs in a task that counts
+intersections exactly. Both steps return spanning forests instead of pairs.
+Copies are one set throughout: they are collapsed by set before any pair is
+looked at. No candidate is capped.
 
 Null or blank texts have an empty set and link with nothing; rows without a
 doc_id neither. Rows that share a doc_id are compared by their own texts. Very
@@ -33,6 +36,8 @@ from .tables import components, materialize, ship
 
 #: Shingles in a block of a cluster, and the most texts that it holds.
 BLOCK_SHINGLES, BLOCK_TEXTS = 200_000, 500
+#: Sketches of a signature's group that meet in one task.
+GROUP = 1024
 #: Sets remembered by a task so that copies sign once; forgetting one only costs a few rows.
 REMEMBERED = 100_000
 _SEEDS = np.array([0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03], dtype=np.uint64)
@@ -75,6 +80,52 @@ def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def parity_sketch(elements: np.ndarray) -> bytes:
+    """One bit for each of a power of two of ranges of the hash domain, two for each element at least: is their number odd?"""
+    bits = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketch: bytes, words: int) -> np.ndarray:
+    """A sketch cut down to ``words`` 64-bit words: neighbouring ranges become one, so parities add up."""
+    bits = np.unpackbits(np.frombuffer(sketch, dtype=np.uint8), bitorder="little")
+    while len(bits) > 64 * words:
+        bits = bits[::2] ^ bits[1::2]
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def _alike(num: int, den: int):
+    """Groups of sets that share a signature -> a forest of the pairs whose sketches allow a link."""
+
+    def group(rows: list[tuple]) -> list[tuple[int, int]]:
+        low, high = rows[0][1], rows[0][2]
+        words = min(len(r[6]) for r in rows) // 8
+        x = np.stack([folded(r[6], words) for r in rows])
+        size, bucket = np.array([r[5] for r in rows]), np.array([r[3] for r in rows])
+        one, two = np.flatnonzero(bucket == low), np.flatnonzero(bucket == high)
+        hit = np.zeros((len(one), len(two)), dtype=bool)
+        for k, i in enumerate(one.tolist()):
+            apart = np.bitwise_count(x[two] ^ x[i]).sum(axis=1, dtype=np.int64)
+            hit[k] = (apart <= (size[two] + size[i]) * (den - num) // (den + num)) & (two != i)
+        return [(rows[one[i]][4], rows[two[j]][4]) for i, j in forest(hit)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple[int, int]] = []
+        for batch in (b.slice(at, 2000) for b in batches for at in range(0, b.num_rows, 2000)):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and row[:3] != held[-1][:3]:
+                    out += group(held)
+                    held = []
+                held.append(row)
+        if held:
+            out += group(held)
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def shingle_sets(batch: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
     """The sorted shingle hashes of each row's text, A-Z lower-cased."""
     raw, at = H.text_buffers(batch.column("text"))
@@ -89,7 +140,7 @@ def _describe(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            size, one, two, signs = [], [], [], []
+            size, one, two, signs, sketches = [], [], [], [], []
             for elements in shingle_sets(batch, k):
                 ids = tuple(int(H.mix(np.add.reduce(H.mix(elements ^ s), keepdims=True) + np.uint64(len(elements)))[0].view(np.int64)) if len(elements) else 0 for s in _SEEDS[:2])
                 size.append(len(elements))
@@ -97,14 +148,16 @@ def _describe(k: int, num: int, den: int):
                 two.append(ids[1])
                 if not len(elements) or ids in seen:
                     signs.append(None)
+                    sketches.append(None)
                     continue
                 if len(seen) >= REMEMBERED:
                     seen.clear()
                 seen.add(ids)
                 signs.append(signatures(elements, num, den).view(np.int64))
+                sketches.append(parity_sketch(elements))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "s1", "s2", "signs"],
+                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n_shingles", "s1", "s2", "signs", "sketch"],
             )
 
     return run
@@ -150,7 +203,7 @@ def _verify(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         out: list[tuple[int, int]] = []
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and row[:3] != held[-1][:3]:
                     out += group(held)
@@ -177,6 +230,23 @@ def _block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     return members.join(pairs, ["cluster", "block"]).select("cluster", "low", "high", "block", "rep")
 
 
+def _candidates(described: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of s1 that chain every two sets that share a signature and whose sketches allow a link."""
+    same = Window.partitionBy("sign")
+    signed = described.select(F.explode("signs").alias("sign"), "s1")
+    shared = signed.select("sign", "s1", F.min("s1").over(same).alias("least"), F.max("s1").over(same).alias("most")).where("least <> most")
+    shared = materialize(shared.select("sign", "s1").distinct())
+    # similar sets share most of their signatures: of groups with the same members one is enough
+    members = (F.bit_xor(F.xxhash64(F.lit(k), "s1")).alias(f"m{k}") for k in (1, 2))
+    groups = shared.groupBy("sign").agg(F.count(F.lit(1)).alias("n"), *members)
+    groups = groups.groupBy("n", "m1", "m2").agg(F.min("sign").alias("sign")).select("sign", F.ceil(F.col("n") / GROUP).cast("int").alias("buckets"))
+    sketches = described.select("s1", "n_shingles", "sketch").dropDuplicates(["s1"])
+    dealt = shared.join(groups, "sign").join(sketches, "s1").withColumn("bucket", F.pmod(F.xxhash64("s1"), F.col("buckets")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("other")
+    dealt = dealt.select("sign", "bucket", "s1", "n_shingles", "sketch", other).select("sign", F.least("bucket", "other").alias("low"), F.greatest("bucket", "other").alias("high"), "bucket", "s1", "n_shingles", "sketch")
+    return dealt.repartition("sign", "low", "high").sortWithinPartitions("sign", "low", "high").mapInArrow(_alike(num, den), "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per input row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
 
@@ -184,19 +254,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = materialize(docs.mapInArrow(_describe(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, signs array<long>"))
+    described = materialize(docs.mapInArrow(_describe(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, signs array<long>, sketch binary"))
     sets = described.select("doc_id", "n_shingles", "s1", "s2")
     linked = sets.where("n_shingles > 0 and doc_id is not null")
     reps = linked.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"))
 
-    signed = described.where("doc_id is not null").select(F.explode("signs").alias("sign"), "s1")
-    first = F.first("s1").over(Window.partitionBy("sign").orderBy("s1"))
-    chained = signed.select("s1", first.alias("first")).where("s1 <> first").select(F.col("s1").alias("a"), F.col("first").alias("b"))
+    chained = _candidates(described.where("doc_id is not null and signs is not null"), num, den)
     clusters = components(chained).select(F.col("id").alias("s1"), F.col("component").alias("cluster"))
 
     members = materialize(reps.join(clusters, "s1").select("cluster", "rep", "n_shingles", "s1", "s2"))
     pairs = _block_pairs(members.select("cluster", "rep", "n_shingles"), num, den)
-    rep_text = docs.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("rep"), "text")
+    # merge: one plan at every size, rather than a broadcast that stops being possible
+    rep_text = docs.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id").select(F.col("doc_id").alias("rep"), "text")
     dealt = pairs.join(rep_text, "rep").select("cluster", "low", "high", "block", "rep", "text")
     dealt = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "block", "rep")
     found = components(dealt.mapInArrow(_verify(k, num, den), "a long, b long"))
@@ -213,4 +282,5 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     """The input's rows whose doc_id is the smallest of its group, one row of each; rows without a doc_id stay."""
     groups = jaccard_components(docs.select("doc_id", "text"), k, num, den)
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    return rows.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti").select("row.*")
