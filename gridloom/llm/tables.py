@@ -16,10 +16,18 @@ _FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _SHIPPED: set[str] = set()
+#: Arrow batches of texts: Spark's defaults would let each Python worker hold several times 64 MB.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864", "8388608")}
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python, once a session, as addPyFile does for any library."""
+    """Hand this package to the executors' Python, once a session, as addPyFile does for any library.
+
+    Arrow batches are made smaller where the session still has Spark's defaults for them.
+    """
+    for key, (default, smaller) in BATCHES.items():
+        if spark.conf.get(key, default).rstrip("b") == default:
+            spark.conf.set(key, smaller)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
