@@ -39,6 +39,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK = 32_768, 16_384
 SPACE = "▁"
 NEVER = -np.inf
+#: Texts or chunks that are Python objects at a time.
+AT_ONCE = 128
 
 
 class Pieces:
@@ -59,10 +61,10 @@ class Pieces:
         self.words = frozenset(p.piece for p in spec.pieces if p.type == p.NORMAL)
         if any(SPACE in p.lstrip(SPACE) for p in self.words):
             raise ValueError("a piece reaches over the start of a word")
-        self.encode = lru_cache(1 << 16)(lambda text: tuple(self.part.encode(text)))
-        self.follows = lru_cache(1 << 18)(lambda a, b: self.encode(a + b) == self.encode(a) + self.encode(b))
+        self.encode = lru_cache(1 << 14)(lambda text: tuple(self.part.encode(text)))
+        self.follows = lru_cache(1 << 15)(lambda a, b: self.encode(a + b) == self.encode(a) + self.encode(b))
 
-    @lru_cache(1 << 16)  # noqa: B019  one instance a task
+    @lru_cache(1 << 15)  # noqa: B019  one instance a task
     def is_piece(self, text: str) -> bool:
         return len(text) == 1 or (text in self.words and len(self.encode(text)) == 1)
 
@@ -219,10 +221,17 @@ def _ends(pieces: Pieces, chunk: int, chunks: int, left: int, right: int, text:
     return begin, end
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small parts of batches: as Python objects, texts and ids take several times their room."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
+
+
 def _matrices(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for _, _, chunk, chunks, left, right, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 begin, end = _ends(pieces, chunk, chunks, left, right, text)
@@ -247,7 +256,7 @@ def _combine(key: tuple, table: pa.Table) -> pa.Table:
 def _trace(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for _, _, chunk, chunks, left, right, text, enters, leaves in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 begin, end = _ends(pieces, chunk, chunks, left, right, text)
@@ -261,20 +270,18 @@ def _trace(shared):
     return run
 
 
-def _encode(shared, names: list[str]):
+def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                given = part.column("_ids")
-                ids: list = [None if g.is_valid else "" for g in given]
-                todo = [i for i, x in enumerate(ids) if x is not None]
-                texts = part.column("text")
-                for i, x in zip(todo, pieces.whole.encode([texts[i].as_py() or "" for i in todo]), strict=True):
-                    ids[i] = x
-                own = pa.array([None if x is None else np.array(x, dtype=np.int32) for x in ids], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.compute.coalesce(given, own), part.column("_chunks")], names=[*names, "ids", "n_chunks"])
+        for part in slices(batches):
+            given = part.column("found")
+            todo = np.flatnonzero(~given.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            texts = part.column("text")
+            own: list = [None] * part.num_rows
+            for i, ids in zip(todo, pieces.whole.encode([texts[i].as_py() or "" for i in todo]), strict=True):
+                own[i] = np.array(ids, dtype=np.int32)
+            ids = pa.compute.coalesce(given, pa.array(own, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([part.column("row"), ids, part.column("parts")], names=["row", "ids", "n_chunks"])
 
     return run
 
@@ -285,29 +292,30 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT) -> DataFrame
     ship(spark)
     with open(model, "rb") as f:  # the driver's copy goes to all tasks: half a megabyte, whatever the input
         shared = spark.sparkContext.broadcast(f.read())
-    keyed = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_th": F.hash("text")})
-    is_giant = F.char_length("text") > giant
-    giants = keyed.where(is_giant).select("_doc", "_th", "text")
-    chunks = giants.mapInArrow(_chunks(shared), "_doc long, _th int, chunk int, chunks int, left int, right int, part string")
+    keep = [c for c in docs.columns if c not in ("ids", "n_chunks")]
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct(*keep).alias("row"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.hash(text).alias("_th"))
+    is_giant = F.coalesce(F.char_length("text") > giant, F.lit(False))
+    chunks = rows.where(is_giant).select("_doc", "_th", "text").mapInArrow(_chunks(shared), "_doc long, _th int, chunk int, chunks int, left int, right int, part string")
     chunks = materialize(chunks.dropDuplicates(["_doc", "_th", "chunk"]))
     matrices = chunks.mapInArrow(_matrices(shared), "_doc long, _th int, chunk int, chunks int, rows int, matrix binary")
     states = matrices.groupBy("_doc", "_th").applyInArrow(_combine, "_doc long, _th int, chunk int, enters int, leaves int")
     traced = chunks.join(states, ["_doc", "_th", "chunk"]).select("_doc", "_th", "chunk", "chunks", "left", "right", "part", "enters", "leaves")
     traced = traced.mapInArrow(_trace(shared), "_doc long, _th int, chunk int, ids array<int>")
-    whole = traced.groupBy("_doc", "_th").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    whole = materialize(whole.select("_doc", "_th", F.flatten(F.col("parts.ids")).alias("_ids"), F.size("parts").alias("_chunks")))
-    big = keyed.where(is_giant).join(whole, ["_doc", "_th"]).drop("_doc", "_th")
-    small = docs.where(~F.coalesce(is_giant, F.lit(False))).withColumns({"_ids": F.lit(None).cast("array<int>"), "_chunks": F.lit(1)})
-    schema = docs.withColumns({"ids": F.array().cast("array<int>"), "n_chunks": F.lit(1)}).schema
-    return small.union(big.select(*small.columns)).mapInArrow(_encode(shared, docs.columns), schema)
+    whole = traced.groupBy("_doc", "_th").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("p"))
+    whole = materialize(whole.select("_doc", "_th", F.flatten(F.col("p.ids")).alias("found"), F.size("p").alias("parts")))
+    big = rows.where(is_giant).join(whole, ["_doc", "_th"]).select("row", "text", "found", "parts")
+    small = rows.where(~is_giant).select("row", "text", F.lit(None).cast("array<int>").alias("found"), F.lit(1).alias("parts"))
+    schema = rows.select("row").withColumns({"ids": F.array().cast("array<int>"), "n_chunks": F.lit(1)}).schema
+    return small.union(big).mapInArrow(_encode(shared), schema).select("row.*", "ids", "n_chunks")
 
 
-def _decode(shared, names: list[str]):
+def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
-        for batch in batches:
-            texts = [pieces.whole.decode(x) if x else "" for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
+        for part in slices(batches):
+            texts = [pieces.whole.decode(x) if x else "" for x in part.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "decoded"])
 
     return run
 
@@ -318,6 +326,5 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     ship(spark)
     with open(model, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
-    return encoded.mapInArrow(_decode(shared, encoded.columns), encoded.withColumn("decoded", F.lit("")).schema)
-
-
+    rows = encoded.select(F.struct(*[c for c in encoded.columns if c != "decoded"]).alias("row"), "ids")
+    return rows.mapInArrow(_decode(shared), rows.select("row").withColumn("decoded", F.lit("")).schema).select("row.*", "decoded")
