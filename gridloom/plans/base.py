@@ -31,13 +31,13 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
-def fresh_path(spark: SparkSession) -> str:
+def fresh_path(spark: SparkSession, suffix: str = "") -> str:
     """A new path in the folder that the cluster shares (spark.checkpoint.dir; one of our own where none is named)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    path = f"{shared.rstrip('/')}/gridloom-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/gridloom-{uuid.uuid4().hex}{suffix}"
     atexit.register(_drop, spark, path)
     return path
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clock
-from ..functions.solar import solar_position
+from ..functions.solar import clearsky_ghi, solar_position
 from ..operators import cleaning as C
 from ..operators import evaluation as E
 from ..operators import features as X
@@ -844,3 +844,75 @@ def k1_write_forecasts(spark, sf):
     K.write_forecasts(_forecasts(spark, sf), path)
     kind = "device_id string, forecast_origin timestamp, forecasts array<struct<horizon:int,timestamp:timestamp,grid_export_kwh:double,grid_import_kwh:double,net_exchange_kwh:double>>"
     return R.forecasts_to_frame(spark.read.schema(kind).json(path))
+
+
+# ------------------------------------------------------------------ the rest of the inventory
+
+@query(f"WITH {B.METERS} SELECT device_id, ts, {r('consumption_kwh', 'production_kwh')} FROM meters")
+def s2_load_meters(spark, sf):
+    """Readings written as Parquet under other names, then loaded, normalised and validated."""
+    path = B.fresh_path(spark, ".parquet")
+    B.meters(spark, sf).withColumnsRenamed({"device_id": "Meter_ID", "ts": "Reading_Time", "consumption_kwh": "consumo", "production_kwh": "produzione"}).write.parquet(path)
+    return S.load_meters(spark, path).select("device_id", "ts", "consumption_kwh", "production_kwh")
+
+
+@query(f"WITH {B.WEATHER} SELECT datetime, {r('temperature_2m', 'shortwave_radiation')} FROM raw_weather")
+def s3_load_weather(spark, sf):
+    path = B.fresh_path(spark, ".parquet")
+    B.raw_weather(spark, sf).write.parquet(path)
+    return S.load_weather(spark, path).select("datetime", "temperature_2m", "shortwave_radiation")
+
+
+@query(f"{_SITED} SELECT site_id, datetime, {r('clear')} FROM clear")
+def x2_clearsky(spark, sf):
+    sites = spark.createDataFrame(list(B.SITES), "site_id string, latitude double, longitude double")
+    placed = solar_position(B.raw_weather(spark, sf).crossJoin(F.broadcast(sites)), "datetime", "latitude", "longitude")
+    return placed.select("site_id", "datetime", clearsky_ghi(F.col("cos_zenith")).alias("clear"))
+
+
+@query(f"WITH {B.STEPS} SELECT device_id, target, origin, count(*) AS n FROM joined WHERE n >= 40 GROUP BY ALL")
+def j4_join_actuals(spark, sf):
+    df = B.hourly(spark, sf)
+    o = E.backtest_origins(df, CFG)
+    fc = M.naive_forecast(df, o, "grid_export", CFG).unionByName(M.naive_forecast(df, o, "grid_import", CFG)).where("prediction is not null")
+    return J.join_actuals(fc, J.long_targets(df, CFG.targets), 40).groupBy("device_id", "target", "origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_custkey AS device_id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def j7_only_devices(spark, sf):
+    urgent = B.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("device_id"))
+    return V.only_devices(B.table(spark, sf, "customer").select(F.col("c_custkey").alias("device_id")), urgent)
+
+
+@query(f"WITH {B.STEPS} SELECT device_id, origin, horizon, ts_hour FROM steps")
+def j9_forecast_hours(spark, sf):
+    return J.forecast_hours(E.backtest_origins(B.hourly(spark, sf), CFG))
+
+
+@query(f"""{_RUNS} SELECT a.run_id, a.device_id, {r('b.total AS total')} FROM runs a LEFT JOIN (SELECT device_id, sum(price) AS total FROM runs WHERE price > 200000 GROUP BY 1) b USING (device_id)""")
+def j10_left_metrics(spark, sf):
+    runs, values = _runs(spark, sf)
+    totals = values.join(runs, "run_id").where("value > 200000").groupBy("device_id").agg(F.sum("value").alias("total"))
+    return runs.join(totals, "device_id", "left").select("run_id", "device_id", "total")
+
+
+@query()
+def k3_write_benchmark(spark, sf):
+    rows = _candidates(spark, sf)
+    per = E.per_origin_mae(rows)
+    path = B.fresh_path(spark)
+    K.write_benchmark({"comparison": E.comparison(rows, E.common_cells(per)), "per_origin": per}, path)
+    return spark.read.option("header", True).schema("candidate string, device_id string, target string, origin timestamp, mae double").csv(f"{path}/per_origin")
+
+
+@query(f"WITH {B.METERS} SELECT device_id, count(*) AS n FROM meters GROUP BY 1")
+def v1_validate(spark, sf):
+    return V.validate(B.meters(spark, sf)).groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {B.HOURLY} SELECT device_id, {r('avg(hour_sin) AS hour_sin', 'avg(CAST(day_of_week AS DOUBLE)) AS day_of_week')} FROM hourly GROUP BY 1""")
+def f6_resolve_features(spark, sf):
+    """The covariates that a table without weather leaves: the calendar's columns, averaged by device."""
+    df = B.hourly(spark, sf)
+    names = V.resolve_covariates("grid_import", CFG, columns=df.columns)
+    return df.groupBy("device_id").agg(*(F.avg(c).alias(c) for c in names)).select("device_id", "hour_sin", "day_of_week")
