@@ -587,7 +587,13 @@ def r1_forecast_records(spark, sf):
     return records.select("device_id", "forecast_origin", F.size("forecasts").alias("n"), F.to_json("forecasts").alias("forecasts"))
 
 
-@query()
+_FLAT = f"""WITH {B.HOURLY}, o AS (SELECT device_id, (SELECT max(ts_hour) FROM hourly) AS origin FROM hourly GROUP BY 1), flat AS (
+  SELECT o.device_id, origin, CAST(h AS INTEGER) AS horizon, origin + to_hours(CAST(h AS BIGINT)) AS "timestamp", round(coalesce(x.grid_export, 0.0), 3) AS grid_export_kwh, round(coalesce(x.grid_import, 0.0), 3) AS grid_import_kwh,
+    round(round(coalesce(x.grid_export, 0.0), 3) - round(coalesce(x.grid_import, 0.0), 3), 3) AS net_exchange_kwh
+  FROM o CROSS JOIN range(1, 49) r(h) LEFT JOIN hourly x ON x.device_id = o.device_id AND x.ts_hour = origin + to_hours(CAST(h AS BIGINT)) - INTERVAL 168 HOUR)"""
+
+
+@query(f"{_FLAT} SELECT device_id, origin, horizon, \"timestamp\", {r('grid_export_kwh', 'grid_import_kwh', 'net_exchange_kwh')} FROM flat")
 def r2_batch_score(spark, sf):
     return R.batch_score(B.meters(spark, sf), CFG, E.naive_backend(CFG))
 
@@ -631,7 +637,10 @@ def e5_naive_cv(spark, sf):
     return E.cross_validate(B.hourly(spark, sf), CFG, E.naive_backend(CFG)).drop("skill")
 
 
-@query()
+@query(f"""WITH {B.LONG}, f AS (SELECT e.device_id, e.b - INTERVAL 48 HOUR + to_hours(CAST(h AS BIGINT)) AS ts_hour FROM ends e, range(1, 49) r(h)),
+j AS (SELECT f.device_id, a.target, abs(greatest(coalesce(l.actual, 0.0), 0.0) - a.actual) AS e FROM f JOIN actuals a ON a.device_id = f.device_id AND a.ts_hour = f.ts_hour
+  JOIN actuals l ON l.device_id = f.device_id AND l.target = a.target AND l.ts_hour = f.ts_hour - INTERVAL 168 HOUR WHERE a.actual IS NOT NULL)
+SELECT device_id, target, {r('avg(e) AS mae')} FROM j GROUP BY 1, 2 HAVING count(*) >= 12""")
 def e6_quick_train_mae(spark, sf):
     return E.quick_train_mae(B.hourly(spark, sf), CFG, E.naive_backend(CFG))
 
@@ -803,7 +812,9 @@ def t3_stream_model_update(spark, sf):
     return streamed.join(linear.statistics(spark.read.schema(matrix.schema).parquet(rows_path)).select("device_id", "n", "yy"), "device_id")
 
 
-@query()
+@query(f"""WITH {B.STEPS}, g AS (SELECT device_id, ts_hour, coalesce(last_value(grid_import IGNORE NULLS) OVER (PARTITION BY device_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(grid_import IGNORE NULLS) OVER (PARTITION BY device_id ORDER BY ts_hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0.0) AS y FROM hourly)
+SELECT s.device_id, s.origin, s.horizon, {r('g.y AS prediction')} FROM steps s JOIN g ON g.device_id = s.device_id AND g.ts_hour = s.origin - to_hours(CAST(23 - (s.horizon - 1) % 24 AS BIGINT))""")
 def u2_window_predictor(spark, sf):
     """A user's function on windows: the value a day before, from the context."""
     df = B.hourly(spark, sf)
@@ -823,7 +834,7 @@ def r3_saved_model(spark, sf):
     return A.metrics(again.predict(tables["coefficients"], matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
 
 
-@query()
+@query(f"{_FLAT} SELECT device_id, {r('sum(grid_export_kwh) AS export_kwh', 'sum(grid_import_kwh) AS import_kwh', 'sum(net_exchange_kwh) AS net_kwh')} FROM flat GROUP BY 1")
 def a11_run_summary(spark, sf):
     verdicts = V.assess_sufficiency(B.hourly(spark, sf), CFG)
     cv = E.cross_validate(B.hourly(spark, sf), CFG, E.naive_backend(CFG))
@@ -838,7 +849,7 @@ def k2_write_reports(spark, sf):
     return spark.read.option("header", True).schema("event_type string, n long, total double").csv(f"{path}/by_device")
 
 
-@query()
+@query(f"{_FLAT} SELECT device_id, origin AS forecast_origin, horizon, \"timestamp\", {r('grid_export_kwh', 'grid_import_kwh', 'net_exchange_kwh')} FROM flat")
 def k1_write_forecasts(spark, sf):
     path = B.fresh_path(spark)
     K.write_forecasts(_forecasts(spark, sf), path)
