@@ -3,9 +3,12 @@
 A text's set holds the hashes of its distinct k-word shingles. Sets of sizes s
 and t with similarity of at least g differ in at most (s + t)(1 - g)/(1 + g)
 elements. Sizes are cut into bands; for each band the hash domain is cut into
-one part more than two sets of the band can have differing elements, so two
-similar sets agree on one part at least and share that part's signature. A set
-signs for its own band and, if a similar set could be that large, for the next.
+more parts than two sets of the band can have differing elements, k, so two
+similar sets agree on one part at least and share that part's signature. Of
+k + 1 + z parts they agree on z + 1, so each set can leave out its z emptiest
+parts, ties by place: of the parts that the two agree on, the fullest is left
+out by neither. A set signs for its own band and, if a similar set could be that
+large, for the next.
 
 Sets that share a signature are compared by parity sketches, a few bits for each
 element: sketches differ in at most as many bits as the sets in elements, so
@@ -40,6 +43,8 @@ BLOCK_SHINGLES, BLOCK_TEXTS = 200_000, 500
 GROUP = 1024
 #: Sets remembered by a task so that copies sign once; forgetting one only costs a few rows.
 REMEMBERED = 100_000
+#: Share of parts beyond those needed, of which each set leaves out its emptiest.
+SPARE = 0.3
 _SEEDS = np.array([0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03], dtype=np.uint64)
 
 
@@ -72,11 +77,14 @@ def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
     for band in (own, own + 1):
         if band > own and n * den // num < starts[band]:
             break
-        parts = 2 * (starts[band + 1] - 1) * (den - num) // (den + num) + 1
+        differ = 2 * (starts[band + 1] - 1) * (den - num) // (den + num)
+        spare = int(SPARE * (differ + 1))
+        parts = differ + 1 + spare
         cuts = np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts if parts > 1 else 0)
         edges = np.concatenate(([0], np.searchsorted(elements, cuts), [n]))
         name = H.mix(np.arange(1, parts + 1, dtype=np.uint64) * _SEEDS[3] + np.uint64(band))
-        out.append(H.mix((total[edges[1:]] - total[edges[:-1]]) ^ name))
+        signs = H.mix((total[edges[1:]] - total[edges[:-1]]) ^ name)
+        out.append(signs[np.argsort(np.diff(edges), kind="stable")[spare:]])
     return np.concatenate(out)
 
 
