@@ -22,6 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import materialize
+
+#: Rows of (source, size, target), about a hundred bytes each.
+BROADCAST = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -60,11 +64,13 @@ def targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3)
 def _planned(docs: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
     """row (the input's columns, whatever their names), doc_id, size, source_size, target, copies.
 
-    The table of sources is broadcast only as far as Spark measures it to be
-    small; a join that a big source would skew is split at run time.
+    Up to BROADCAST sources, by count, their table is broadcast, so texts stay
+    where they are and a big source skews nothing; beyond, it is a shuffle join.
     """
     sized = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", n_words(F.col("text").cast("string")).alias("size"))
-    per_source = targets(sized.select("source", "size"), weights, most).withColumnRenamed("source", "_source")
+    per_source = materialize(targets(sized.select("source", "size"), weights, most).withColumnRenamed("source", "_source"))
+    if per_source.count() <= BROADCAST:
+        per_source = F.broadcast(per_source)
     joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + (uniform(F.col("doc_id")) < rate - F.floor(rate)).cast("long")

@@ -171,9 +171,16 @@ def test_mix(docs, rows):
     assert X.mix(docs).exceptAll(X.mix(docs.repartition(3))).count() == 0
 
 
+def test_mix_with_very_many_sources(docs, monkeypatch):
+    few = X.plan(docs)
+    monkeypatch.setattr(X, "BROADCAST", 0)
+    many = X.plan(docs)
+    assert few.exceptAll(many).count() == 0 and few.count() == many.count()
+
+
 def test_mix_takes_a_source_near_its_target(spark):
     df = spark.range(6000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + cast(id % 50 as int))").alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
-    out = X.plan(df).groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("n")) if "source" in X.plan(df).columns else X.plan(df).join(df.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("n"))
+    out = X.plan(df).join(df.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("n"))
     assert all(abs(r.n - r.t) < 0.06 * r.t for r in out.collect())
 
 
@@ -263,6 +270,7 @@ def test_encode_decode(wide, rows):
     assert len(got) == len(rows) and any(r.n_chunks > 1 for r in got)
     for r in got:
         assert list(r.ids) == library.encode(r.text or "") and r.decoded == (r.text or "") and r.size == "size"
+    assert SP.encode(wide, giant=20_000, check=True).where("not round_trip").count() == 0
 
 
 def test_pass_through_columns(wide, labels):
