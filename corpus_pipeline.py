@@ -38,8 +38,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, checked by decoding them again."""
-    encoded = sentence_pieces.decode(sentence_pieces.encode(docs.select("doc_id", "source", "text")))
-    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    encoded = sentence_pieces.encode(docs.select("doc_id", "source", "text"), check=True)
+    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

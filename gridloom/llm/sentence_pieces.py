@@ -270,29 +270,37 @@ def _trace(shared):
     return run
 
 
-def _encode(shared):
+def _encode(shared, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
         for part in slices(batches):
-            given = part.column("found")
-            todo = np.flatnonzero(~given.is_valid().to_numpy(zero_copy_only=False)).tolist()
-            texts = part.column("text")
-            own: list = [None] * part.num_rows
-            for i, ids in zip(todo, pieces.whole.encode([texts[i].as_py() or "" for i in todo]), strict=True):
-                own[i] = np.array(ids, dtype=np.int32)
-            ids = pa.compute.coalesce(given, pa.array(own, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([part.column("row"), ids, part.column("parts")], names=["row", "ids", "n_chunks"])
+            texts = [t or "" for t in part.column("row").field("text").cast(pa.string()).to_pylist()]
+            found = part.column("found")
+            edges, flat = found.offsets.to_numpy(), found.values.to_numpy(zero_copy_only=False)
+            given = found.is_valid().to_numpy(zero_copy_only=False).tolist()
+            ids, same = [], []
+            for i, text in enumerate(texts):  # one text's ids are Python objects at a time
+                own = flat[edges[i] : edges[i + 1]].tolist() if given[i] else pieces.whole.encode(text)
+                ids.append(np.array(own, dtype=np.int32))
+                same.append(not check or (pieces.whole.decode(own) if own else "") == text)
+            columns = [part.column("row"), pa.array(ids, pa.list_(pa.int32())), part.column("parts"), *([pa.array(same)] if check else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "n_chunks", *(["round_trip"] if check else [])])
 
     return run
 
 
-def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT) -> DataFrame:
-    """The input's rows with ids (array<int>) and n_chunks, how many parts the text was encoded in."""
+def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, check: bool = False) -> DataFrame:
+    """The input's rows with ids (array<int>) and n_chunks, how many parts the text was encoded in.
+
+    With ``check`` also round_trip: do the ids decode to the text again (to an empty one, for null)?
+    It saves a second pass through Python, which ``decode`` would be.
+    """
     spark = docs.sparkSession
     ship(spark)
     with open(model, "rb") as f:  # the driver's copy goes to all tasks: half a megabyte, whatever the input
         shared = spark.sparkContext.broadcast(f.read())
-    keep = [c for c in docs.columns if c not in ("ids", "n_chunks")]
+    new = ["ids", "n_chunks", *(["round_trip"] if check else [])]
+    keep = [c for c in docs.columns if c not in new]
     text = F.col("text").cast("string")
     rows = docs.select(F.struct(*keep).alias("row"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.hash(text).alias("_th"))
     is_giant = F.coalesce(F.char_length("text") > giant, F.lit(False))
@@ -304,17 +312,17 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT) -> DataFrame
     traced = traced.mapInArrow(_trace(shared), "_doc long, _th int, chunk int, ids array<int>")
     whole = traced.groupBy("_doc", "_th").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("p"))
     whole = materialize(whole.select("_doc", "_th", F.flatten(F.col("p.ids")).alias("found"), F.size("p").alias("parts")))
-    big = rows.where(is_giant).join(whole, ["_doc", "_th"]).select("row", "text", "found", "parts")
-    small = rows.where(~is_giant).select("row", "text", F.lit(None).cast("array<int>").alias("found"), F.lit(1).alias("parts"))
-    schema = rows.select("row").withColumns({"ids": F.array().cast("array<int>"), "n_chunks": F.lit(1)}).schema
-    return small.union(big).mapInArrow(_encode(shared), schema).select("row.*", "ids", "n_chunks")
+    big = rows.where(is_giant).join(whole, ["_doc", "_th"]).select("row", "found", "parts")
+    small = rows.where(~is_giant).select("row", F.lit(None).cast("array<int>").alias("found"), F.lit(1).alias("parts"))
+    schema = rows.select("row").withColumns({"ids": F.array().cast("array<int>"), "n_chunks": F.lit(1)} | ({"round_trip": F.lit(True)} if check else {})).schema
+    return small.union(big).mapInArrow(_encode(shared, check), schema).select("row.*", *new)
 
 
 def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
         for part in slices(batches):
-            texts = [pieces.whole.decode(x) if x else "" for x in part.column("ids").to_pylist()]
+            texts = [pieces.whole.decode(x.as_py()) if x.is_valid and len(x) else "" for x in part.column("ids")]
             yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "decoded"])
 
     return run
