@@ -7,9 +7,10 @@ words cover, whether it stands in a path or URL, and by its neighbouring words.
 A random forest trained on labelled findings gives the probability that the
 candidate is a secret.
 
-Letter pairs and common words come from a bounded sample of documents, and the
-forest from at most ``per_class`` labelled findings of each class, those with
-the smallest hashes. Candidates are sought in every whole text.
+Letter pairs and words are counted over all whole texts; the broadcast dictionary
+holds the 5000 commonest words (``WORDS``). The forest is fitted on at most
+``per_class`` labelled findings of each class, those with the smallest hashes.
+Candidates are sought in every whole text.
 
 Null and empty texts have no candidates. The same secret found twice is two
 findings. Without findings of both classes nothing is removed (probability 1).
@@ -34,7 +35,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/=_\-]{16,}")
 #: Words that name a secret, and characters beside an assigned one.
 NAMES = ("token", "secret", "password", "passwd", "apikey", "api_key", "key", "auth", "credential", "private")
 FEATURES = ("length", "kinds", "switches", "digits", "upper", "entropy", "surprise", "coverage", "path", "assigned", "quoted", "named", "words_near")
-SAMPLE_DOCS = 2000
+#: Size of the broadcast dictionary of common words.
 WORDS = 5000
 PER_CLASS = 5000
 _KIND = np.zeros(128, dtype=np.int64)
@@ -43,15 +44,15 @@ for _a, _b, _k in ((48, 58, 1), (65, 91, 2), (97, 123, 3)):
 
 
 def corpus_model(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
-    """-log2 of each letter pair's frequency, and the commonest words, of a bounded sample of texts."""
-    texts = docs.where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").select(F.substring("text", 1, 20_000).alias("text")).limit(SAMPLE_DOCS)
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,15})"))).alias("w")).groupBy("w").count()
-    rows = words.orderBy(F.desc("count"), "w").limit(WORDS).collect()
+    """-log2 of each letter pair's frequency in all words of all whole texts, and the WORDS commonest words."""
+    found = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,15})"))).alias("w"))
+    words = materialize(found.groupBy("w").count())
+    top = words.orderBy(F.desc("count"), "w").limit(WORDS).collect()
+    pair = F.explode(F.expr("transform(sequence(1, length(w) - 1), i -> substring(w, i, 2))")).alias("pair")
     pairs = np.ones((128, 128))
-    for r in rows:
-        for a, b in zip(r.w, r.w[1:], strict=False):
-            pairs[ord(a), ord(b)] += r["count"]
-    return -np.log2(pairs / pairs.sum(axis=1, keepdims=True)), frozenset(r.w for r in rows)
+    for r in words.select(pair, "count").groupBy("pair").agg(F.sum("count").alias("n")).collect():  # 26 * 26 rows at most
+        pairs[ord(r.pair[0]), ord(r.pair[1])] += r.n
+    return -np.log2(pairs / pairs.sum(axis=1, keepdims=True)), frozenset(r.w for r in top)
 
 
 def coverage(text: str, words: frozenset[str]) -> float:

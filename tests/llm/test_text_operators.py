@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -222,6 +224,26 @@ def test_secrets(spark):
     assert S.scan(df.limit(0)).count() == 0
 
 
+def test_corpus_model_counts_all_whole_texts(spark):
+    late = spark.createDataFrame([(-1, "x " * 15_000 + "zyzzyva " * 50, "en", "s", 1), (-2, None, "en", "s", 1)], DOCS)
+    pad = spark.range(2500).select(F.col("id").alias("doc_id"), F.concat(F.lit("Quick "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.lit("qv")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).alias("n_chars"))
+    docs = late.select("doc_id", "text").union(pad.select("doc_id", "text"))
+    found = Counter(w for r in docs.collect() for w in re.findall("[a-z]{3,15}", (r.text or "").lower()))
+    surprise, words = S.corpus_model(docs)
+    assert words == set(found) and "zyzzyva" in words
+    pairs = np.ones((128, 128))
+    for w, n in found.items():
+        for a, b in zip(w, w[1:], strict=False):
+            pairs[ord(a), ord(b)] += n
+    assert np.allclose(surprise, -np.log2(pairs / pairs.sum(axis=1, keepdims=True)))
+
+
+def test_letter_pairs_come_from_words_outside_the_dictionary_too(spark, monkeypatch):
+    monkeypatch.setattr(S, "WORDS", 1)
+    surprise, words = S.corpus_model(spark.createDataFrame([(1, "the the zyx")], "doc_id long, text string"))
+    assert words == {"the"} and surprise[ord("z"), ord("y")] == surprise[ord("y"), ord("x")] < surprise[ord("z"), ord("a")]
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return SP.Pieces(open(SP.MODEL, "rb").read())  # noqa: SIM115
