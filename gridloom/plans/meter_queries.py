@@ -453,11 +453,13 @@ def m1_naive(spark, sf):
     return M.naive_forecast(df, E.backtest_origins(df, CFG), "grid_import", CFG)
 
 
-def _matrix(spark, sf, horizons=(6, 36)):
-    return M.with_band(X.training_matrix(B.hourly(spark, sf), "grid_import", list(horizons), CFG), CFG)
+def _matrix(spark, sf, horizons=None):
+    """The training rows of all horizons, as the backtests take them; m2a's SQL has one horizon."""
+    return M.with_band(X.training_matrix(B.hourly(spark, sf), "grid_import", list(horizons or range(1, CFG.horizon + 1)), CFG), CFG)
 
 
-_SMALL = ["grid_import_same_hour_1d", "grid_import_same_hour_7d", "hour_sin", "hour_cos", "horizon"]
+def _inputs(matrix):
+    return [c for c in matrix.columns if c not in ("device_id", "ts_hour", "grid_import", "band", "is_validation")]
 
 
 @query(f"""WITH {B.HOURLY} SELECT a.device_id, {r('regr_slope(a.grid_import, b.grid_import) AS slope', 'regr_intercept(a.grid_import, b.grid_import) AS intercept')}, CAST(regr_count(a.grid_import, b.grid_import) AS BIGINT) AS n
@@ -469,7 +471,7 @@ def m2a_seasonal_linear(spark, sf):
 @query()
 def m2_grouped_linear(spark, sf):
     matrix = _matrix(spark, sf)
-    linear = M.GroupedLinear("grid_import", _SMALL, ["device_id", "band"])
+    linear = M.GroupedLinear("grid_import", _inputs(matrix), ["device_id", "band"])
     scored = linear.predict(linear.fit(matrix), matrix)
     return A.metrics(scored.withColumn("actual", F.col("grid_import")), ["device_id", "band"])
 
@@ -477,22 +479,23 @@ def m2_grouped_linear(spark, sf):
 @query()
 def m3_gbt_pooled(spark, sf):
     matrix = X.time_split(_matrix(spark, sf), CFG.validation_split)
-    gbt = M.GbtPooled("grid_import", _SMALL, rounds=5, depth=3, validation="is_validation")
+    gbt = M.GbtPooled("grid_import", _inputs(matrix), validation="is_validation")
     return A.metrics(gbt.predict(gbt.fit(matrix), matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
 
 
 @query()
 def m4_tweedie(spark, sf):
-    matrix = _matrix(spark, sf, (6,))
-    glm = M.TweedieImport("grid_import", _SMALL)
+    matrix = _matrix(spark, sf)
+    glm = M.TweedieImport("grid_import", _inputs(matrix))
     return A.metrics(glm.predict(glm.fit(matrix), matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
 
 
 @query()
 def m5_quantile_leaf(spark, sf):
-    matrix = _matrix(spark, sf, (6,))
-    gbt = M.GbtPooled("grid_import", _SMALL, rounds=1, depth=3)
-    q = M.quantile_leaf(gbt.fit(matrix), matrix, matrix, "grid_import", _SMALL)
+    matrix = _matrix(spark, sf)
+    names = _inputs(matrix)
+    gbt = M.GbtPooled("grid_import", names, rounds=1)  # leaves are those of the first tree, which later rounds don't change
+    q = M.quantile_leaf(gbt.fit(matrix), matrix, matrix, "grid_import", names)
     inside = F.col("grid_import").between(F.col("q_low"), F.col("q_high")).cast("double")
     return q.groupBy("device_id").agg(F.avg(inside).alias("inside"), F.count(F.lit(1)).alias("n"))
 
@@ -513,7 +516,7 @@ def m7_time_split(spark, sf):
 def m9_warm_start(spark, sf):
     """The model after an update with the last week equals a refit: the rows give both errors."""
     matrix = _matrix(spark, sf)
-    linear = M.GroupedLinear("grid_import", _SMALL, ["device_id", "band"])
+    linear = M.GroupedLinear("grid_import", _inputs(matrix), ["device_id", "band"])
     old, new = matrix.where("ts_hour < TIMESTAMP '2024-01-23'"), matrix.where("ts_hour >= TIMESTAMP '2024-01-23'")
     updated = linear.predict(linear.solve(linear.update(linear.statistics(old), new)), matrix).withColumn("how", F.lit("updated"))
     refit = linear.predict(linear.fit(matrix), matrix).withColumn("how", F.lit("refit"))
@@ -603,25 +606,22 @@ def e1_origins(spark, sf):
     return E.backtest_origins(B.hourly(spark, sf), CFG)
 
 
-_LIGHT = (4, 12, 36)
-
-
 @query()
 def e2_linear_backtest(spark, sf):
-    bt = E.run_backtest(B.hourly(spark, sf), CFG, E.linear_backend(CFG, _LIGHT))
+    bt = E.run_backtest(B.hourly(spark, sf), CFG, E.linear_backend(CFG))
     return A.metrics(bt.drop("lower", "upper"), ["device_id", "target"])
 
 
 @query()
 def e3_pooled_backtest(spark, sf):
     df = B.hourly(spark, sf)
-    bt = E.run_backtest(df, CFG, E.linear_backend(CFG, _LIGHT, pooled=df.select("device_id").distinct()))
+    bt = E.run_backtest(df, CFG, E.linear_backend(CFG, pooled=df.select("device_id").distinct()))
     return A.metrics(bt.drop("lower", "upper"), ["device_id", "target"])
 
 
 @query()
 def e4_cross_validate(spark, sf):
-    return E.cross_validate(B.hourly(spark, sf), CFG, E.linear_backend(CFG, _LIGHT))
+    return E.cross_validate(B.hourly(spark, sf), CFG, E.linear_backend(CFG))
 
 
 _CV = f"""WITH {B.LONG}, folds AS (SELECT device_id, a, b - to_hours(CAST(168 * f AS BIGINT)) AS s, b - to_hours(CAST(168 * f AS BIGINT)) + to_hours(CAST(24 * k AS BIGINT)) AS origin FROM ends, range(1, 5) x(f), range(0, 6) y(k)),
@@ -693,7 +693,7 @@ def e11_winner(spark, sf):
 
 @query()
 def e12_benchmark(spark, sf):
-    return E.benchmark(B.hourly(spark, sf), CFG, {"linear": E.linear_backend(CFG, _LIGHT)}, n_origins=5)["comparison"]
+    return E.benchmark(B.hourly(spark, sf), CFG, {"linear": E.linear_backend(CFG)})["comparison"]
 
 
 @query(f"WITH {B.STEPS} SELECT device_id, target, {r('avg(abs(prediction - actual)) AS mae', 'sqrt(avg((prediction - actual) ** 2)) AS rmse', 'avg(CAST(actual BETWEEN prediction * 0.5 AND prediction * 1.5 AS DOUBLE)) AS coverage')}, count(*) AS n_hours FROM joined WHERE n >= 0 GROUP BY 1, 2")
@@ -802,10 +802,10 @@ def t2_stream_score(spark, sf):
 @query()
 def t3_stream_model_update(spark, sf):
     """Statistics gathered by a stream equal those of one batch: the rows give both."""
-    matrix = _matrix(spark, sf, (6,)).select("device_id", "ts_hour", "band", "grid_import", *_SMALL)
+    matrix = _matrix(spark, sf)
     rows_path, path, mark = B.fresh_path(spark), B.fresh_path(spark), B.fresh_path(spark)
     matrix.repartition(4).write.parquet(rows_path)
-    linear = M.GroupedLinear("grid_import", _SMALL, ["device_id"])
+    linear = M.GroupedLinear("grid_import", _inputs(matrix), ["device_id"])
     stream = spark.readStream.schema(matrix.schema).option("maxFilesPerTrigger", 2).parquet(rows_path)
     T.stream_model_update(stream, linear, path, mark).awaitTermination()
     streamed = T.current_statistics(spark, linear, path).select("device_id", F.col("n").alias("n_stream"), F.col("yy").alias("yy_stream"))
@@ -825,10 +825,11 @@ def u2_window_predictor(spark, sf):
 @query()
 def r3_saved_model(spark, sf):
     """A model written as tables and read again predicts."""
-    matrix = _matrix(spark, sf, (6,))
-    linear = M.GroupedLinear("grid_import", _SMALL, ["device_id"])
+    matrix = _matrix(spark, sf)
+    names = _inputs(matrix)
+    linear = M.GroupedLinear("grid_import", names, ["device_id"])
     path = B.fresh_path(spark)
-    K.save_model({"coefficients": linear.fit(matrix)}, path, {"features": _SMALL})
+    K.save_model({"coefficients": linear.fit(matrix)}, path, {"features": names})
     tables, settings = K.load_model(spark, path)
     again = M.GroupedLinear("grid_import", settings["features"], ["device_id"])
     return A.metrics(again.predict(tables["coefficients"], matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
