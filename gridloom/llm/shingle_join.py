@@ -20,8 +20,8 @@ Copies are one set throughout: they are collapsed by set before any pair is
 looked at. No candidate is capped.
 
 Null or blank texts have an empty set and link with nothing; rows without a
-doc_id neither. Rows that share a doc_id are compared by their own texts. Very
-long texts stand alone in a block. Other columns of the input are ignored.
+doc_id neither. Rows that share a doc_id are compared and grouped by their own
+texts, told apart by a 64-bit hash of the text. Very long texts stand alone in a block. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -149,12 +149,12 @@ def _describe(k: int, num: int, den: int):
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             size, one, two, signs, sketches = [], [], [], [], []
-            for elements in shingle_sets(batch, k):
+            for doc, elements in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch, k), strict=True):
                 ids = tuple(int(H.mix(np.add.reduce(H.mix(elements ^ s), keepdims=True) + np.uint64(len(elements)))[0].view(np.int64)) if len(elements) else 0 for s in _SEEDS[:2])
                 size.append(len(elements))
                 one.append(ids[0])
                 two.append(ids[1])
-                if not len(elements) or ids in seen:
+                if doc is None or not len(elements) or ids in seen:  # rows without an id link with nothing and sign for no one
                     signs.append(None)
                     sketches.append(None)
                     continue
@@ -164,8 +164,8 @@ def _describe(k: int, num: int, den: int):
                 signs.append(signatures(elements, num, den).view(np.int64))
                 sketches.append(parity_sketch(elements))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "s1", "s2", "signs", "sketch"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "s1", "s2", "signs", "sketch"],
             )
 
     return run
@@ -203,7 +203,7 @@ def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int
 def _verify(k: int, num: int, den: int):
     def group(rows: list[tuple]) -> list[tuple[int, int]]:
         low, high = rows[0][1], rows[0][2]
-        batch = pa.RecordBatch.from_arrays([pa.array([r[5] for r in rows], pa.large_string())], names=["text"])
+        batch = pa.RecordBatch.from_arrays([pa.array([r[6] for r in rows], pa.large_string())], names=["text"])
         sets = list(shingle_sets(batch, k))
         block = np.array([r[3] for r in rows])
         return [(rows[a][4], rows[b][4]) for a, b in _links(sets, np.flatnonzero(block == low), np.flatnonzero(block == high), num, den)]
@@ -216,7 +216,7 @@ def _verify(k: int, num: int, den: int):
                 if held and row[:3] != held[-1][:3]:
                     out += group(held)
                     held = []
-                if not held or row[:5] != held[-1][:5]:  # a row of the input that was repeated
+                if not held or row[:6] != held[-1][:6]:  # a row of the input that was repeated
                     held.append(row)
         if held:
             out += group(held)
@@ -226,8 +226,8 @@ def _verify(k: int, num: int, den: int):
 
 
 def _block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
-    """members with the pairs of blocks that each is in: (cluster, low, high, block, rep)."""
-    order = Window.partitionBy("cluster").orderBy("n_shingles", "rep")
+    """members with the pairs of blocks that each is in: (cluster, low, high, block, s1, s2)."""
+    order = Window.partitionBy("cluster").orderBy("n_shingles", "s1", "s2")
     cost = F.greatest(F.col("n_shingles"), F.lit(BLOCK_SHINGLES // BLOCK_TEXTS))
     members = members.withColumn("block", F.floor((F.sum(cost).over(order) - cost) / F.lit(BLOCK_SHINGLES)).cast("int"))
     sizes = members.groupBy("cluster", "block").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
@@ -235,7 +235,7 @@ def _block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     high = sizes.select("cluster", F.col("block").alias("high"), F.col("least").alias("high_least"))
     pairs = low.join(high, "cluster").where((F.col("low") <= F.col("high")) & (F.col("high_least") * num <= F.col("low_most") * den))
     pairs = pairs.select("cluster", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
-    return members.join(pairs, ["cluster", "block"]).select("cluster", "low", "high", "block", "rep")
+    return members.join(pairs, ["cluster", "block"]).select("cluster", "low", "high", "block", "s1", "s2")
 
 
 def _candidates(described: DataFrame, num: int, den: int) -> DataFrame:
@@ -255,40 +255,50 @@ def _candidates(described: DataFrame, num: int, den: int) -> DataFrame:
     return dealt.repartition("sign", "low", "high").sortWithinPartitions("sign", "low", "high").mapInArrow(_alike(num, den), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per input row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
-
-    Two texts link when ``den`` * shared shingles >= ``num`` * all shingles of both.
-    """
+def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """One row per input row (doc_id, text): doc_id, text_hash, n_shingles and component_id."""
     ship(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = materialize(docs.mapInArrow(_describe(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, signs array<long>, sketch binary"))
-    sets = described.select("doc_id", "n_shingles", "s1", "s2")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    described = materialize(docs.mapInArrow(_describe(k, num, den), "doc_id long, text_hash long, n_shingles long, s1 long, s2 long, signs array<long>, sketch binary"))
+    sets = described.select("doc_id", "text_hash", "n_shingles", "s1", "s2")
     linked = sets.where("n_shingles > 0 and doc_id is not null")
-    reps = linked.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"))
+    reps = linked.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("n_shingles").alias("n_shingles"))
+    reps = reps.select("s1", "s2", F.col("row.doc_id").alias("rep"), F.col("row.text_hash").alias("text_hash"), "n_shingles")
 
     chained = _candidates(described.where("doc_id is not null and signs is not null"), num, den)
     clusters = components(chained).select(F.col("id").alias("s1"), F.col("component").alias("cluster"))
 
-    members = materialize(reps.join(clusters, "s1").select("cluster", "rep", "n_shingles", "s1", "s2"))
-    pairs = _block_pairs(members.select("cluster", "rep", "n_shingles"), num, den)
+    members = materialize(reps.join(clusters, "s1").select("cluster", "rep", "text_hash", "n_shingles", "s1", "s2"))
+    pairs = _block_pairs(members.select("cluster", "n_shingles", "s1", "s2"), num, den)
     # merge: one plan at every size, rather than a broadcast that stops being possible
-    rep_text = docs.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id").select(F.col("doc_id").alias("rep"), "text")
-    dealt = pairs.join(rep_text, "rep").select("cluster", "low", "high", "block", "rep", "text")
-    dealt = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "block", "rep")
-    found = components(dealt.mapInArrow(_verify(k, num, den), "a long, b long"))
-
-    group = reps.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    own = members.select(F.col("rep").alias("doc_id"), "text_hash", "s1", "s2")
+    own_text = docs.join(own.hint("merge"), ["doc_id", "text_hash"]).select("s1", "s2", "text")
+    dealt = pairs.join(own_text, ["s1", "s2"]).select("cluster", "low", "high", "block", "s1", "s2", "text")
+    dealt = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "block", "s1", "s2")
+    found = materialize(components(dealt.mapInArrow(_verify(k, num, den), "a long, b long")).select(F.col("id").alias("s1"), F.col("component").alias("node")))
+
+    placed = members.join(found, "s1").select("s1", "s2", "node", "rep")
+    least = placed.groupBy("node").agg(F.min("rep").alias("component"))
+    group = reps.join(placed.join(least, "node").select("s1", "s2", "component"), ["s1", "s2"], "left")
     group = group.select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     empty = F.col("n_shingles") == 0
     sets = sets.withColumn("s1", F.when(~empty, F.col("s1"))).withColumn("s2", F.when(~empty, F.col("s2")))
     out = sets.join(group, ["s1", "s2"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row per input row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
+
+    Two texts link when ``den`` * shared shingles >= ``num`` * all shingles of both.
+    """
+    return _grouped(docs, k, num, den).drop("text_hash")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The input's rows whose doc_id is the smallest of its group, one row of each; rows without a doc_id stay."""
-    groups = jaccard_components(docs.select("doc_id", "text"), k, num, den)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    return rows.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti").select("row.*")
+    groups = _grouped(docs.select("doc_id", "text"), k, num, den)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    same = (F.col("doc_id") == F.col("_gone")) & (F.col("text_hash") == F.col("_gone_text"))
+    return rows.join(gone.hint("merge"), same, "left_anti").select("row.*")

@@ -210,6 +210,29 @@ def test_labels_of_held_out_rows_are_never_read(docs, labels):
     assert a.exceptAll(b).count() == 0
 
 
+def near_texts():
+    """Two unlike texts and a near copy of each."""
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    return one, two, one + " more", two + " more"
+
+
+def test_a_copy_without_an_id_does_not_sign_for_the_others(spark):
+    one, _, near, _ = near_texts()
+    rows = [(None, one), (6, one), (5, near)]
+    got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 3, 90, 100)
+    same(got, brute_jaccard(rows, 3, 90, 100), ["doc_id", "n_shingles", "component_id"])
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {(None, None), (6, 5), (5, 5)}
+
+
+def test_rows_that_share_an_id_link_by_their_own_texts(spark):
+    one, two, near_one, near_two = near_texts()
+    rows = [(5, one), (5, two), (3, near_one), (7, near_two)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        same(J.jaccard_components(df, 3, 90, 100), brute_jaccard(order, 3, 90, 100), ["doc_id", "n_shingles", "component_id"])
+        assert sorted(tuple(r) for r in J.one_of_each(df, 3, 90, 100).collect()) == sorted([(5, two), (3, near_one)])
+
+
 def test_secrets(spark):
     rnd = random.Random(1)
     hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
