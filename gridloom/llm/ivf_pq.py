@@ -3,7 +3,8 @@
 Unit vectors are assigned to the nearest of a set of coarse centroids; what is
 left of each is cut into short parts, each coded by a codebook of 256 words. A
 query visits the lists nearest to it; the number of lists is measured on a
-bounded sample so that they hold ``recall`` of the true neighbours. In a list,
+bounded sample so that they hold ``recall`` of the true neighbours, and a query
+goes on until its lists hold k other vectors or all are visited. In a list,
 a table of the query's squared distances to all codewords gives every vector's
 asymmetric distance as a sum of look-ups. A vector's coding error is stored
 with it, so distance minus error bounds its true distance from below: whatever
@@ -90,15 +91,18 @@ def _encode(shared):
     return run
 
 
-def _probe(shared):
+def _probe(shared, k: int, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = V.unit(V.matrix(batch.column("v"), index.dim))
-            order = np.argsort(V.distances(x, index.centers), axis=1, kind="stable")[:, : index.probes]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(order.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["vec_id", "v", "lists"])
+            order = np.argsort(V.distances(x, index.centers), axis=1, kind="stable")
+            needed = k + batch.column("own").to_numpy()  # a query's own rows are none of its neighbours
+            visits = np.maximum(index.probes, 1 + (np.cumsum(counts[order], axis=1) < needed[:, None]).sum(axis=1))
+            lists = [o[:n].tolist() for o, n in zip(order.astype(np.int32), visits, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(lists, pa.list_(pa.int32()))], names=["vec_id", "v", "lists"])
 
     return run
 
@@ -171,10 +175,16 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, recall: float =
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("v") == most["dim"])
     lists = max(1, min(4096, round(most["count"] ** 0.5 / 2)))
-    shared = spark.sparkContext.broadcast(build(V.bounded_sample(rows, "vec_id", SAMPLE), lists, k, recall))
+    index = build(V.bounded_sample(rows, "vec_id", SAMPLE), lists, k, recall)
+    shared = spark.sparkContext.broadcast(index)
     coded = materialize(rows.mapInArrow(_encode(shared), "vec_id long, v array<double>, list int, code binary, error double"))
     sizes = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    probes = rows.where(is_query).mapInArrow(_probe(shared), "vec_id long, v array<double>, lists array<int>").select("vec_id", "v", F.explode("lists").alias("list"))
+    counts = np.zeros(len(index.centers), dtype=np.int64)
+    for r in coded.groupBy("list").count().collect():  # a row a list, 4096 at most
+        counts[r["list"]] = r["count"]
+    own = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
+    asked = rows.where(is_query).join(own, "vec_id").select("vec_id", "v", "own")
+    probes = asked.mapInArrow(_probe(shared, k, counts), "vec_id long, v array<double>, lists array<int>").select("vec_id", "v", F.explode("lists").alias("list"))
     probes = probes.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("n"), F.lit(True).alias("asks"), "vec_id", "v")
     homes = coded.join(sizes, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("n"), F.lit(False).alias("asks"), "vec_id", "v", "code", "error")
     dealt = homes.unionByName(probes, allowMissingColumns=True).repartition("list", "block").sortWithinPartitions("list", "block", "asks", "vec_id")

@@ -104,6 +104,19 @@ def test_nearest(spark):
     assert hits >= 0.95 * total
 
 
+def test_a_query_alone_in_its_list_goes_on_to_others(spark, monkeypatch):
+    """One list visited, and the query's list holds only its own two rows: five come back nevertheless."""
+    rnd = np.random.default_rng(3)
+    rows = [(i, [1.0, *rnd.normal(scale=0.01, size=3).tolist()], 1) for i in range(1, 60)] + [(0, [0.0, 0.0, 0.0, 1.0], 1)] * 2
+    build = A.build
+    monkeypatch.setattr(A, "build", lambda *a: build(*a)._replace(centers=np.array([[1.0, 0, 0, 0], [0, 0, 0, 1.0]]), probes=1))
+    got = A.nearest(spark.createDataFrame(rows, KIND).limit(60), F.col("vec_id") == 0).collect()
+    twice = A.nearest(spark.createDataFrame(rows, KIND), (F.col("vec_id") == 0) & (F.col("label") == 1)).collect()
+    want = sorted(range(1, 60), key=lambda i: (-cosine(rows[i - 1][1], [0, 0, 0, 1.0]), i))[:5]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == want
+    assert len(twice) == 5 and {r.vec_id for r in twice} <= set(range(1, 60))
+
+
 def test_fewer_candidates_than_asked_for(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0, 1.0], 1), (2, [1.0, 1.0], 1)], KIND)
     assert [(r.rank, r.vec_id) for r in A.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 1), (2, 2)]
