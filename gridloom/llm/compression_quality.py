@@ -1,19 +1,24 @@
 """Quality classifier from compressed sizes.
 
 Two zstandard dictionaries are trained, one from good and one from bad labelled
-text. A text is compressed piece by piece under both; the normalised difference
-of the sums, (bad - good) / (bad + good), says which text it resembles, and a
-logistic curve fitted on other labelled rows turns it, with the text's own
-compression ratio and length, into a probability.
-
-Fitting uses a bounded sample: at most ``per_class`` labelled rows of each
-class and of each step, the ones with the smallest hashes of their ids, and at
-most ``pieces`` pieces of each. Scoring reads every byte of every text.
-
-A null or empty text compresses to nothing: difference 0, and the curve's value
-there. Labels other than 0 and 1, and rows without a label, aren't learnt from;
-a doc_id labelled twice counts by both rows. With no good or no bad rows to
-learn from, every score is 0.5. Other columns of the input are ignored.
+text. A text is compressed piece by piece under both; the difference of the sums
+normalised by the text's own size, (bad - good) / bytes, says which text it
+resembles (a text that just repeats itself resembles neither: both sums are
+small), and a logistic curve of the difference, fitted on other labelled rows,
+turns it into a probability. A text's length chooses its curve, as differences of short texts
+scatter more; nothing but the difference enters it.
+
+Fitting uses a bounded sample: ``per_class`` labelled rows of each class for the
+dictionaries and as many for the curves, the ones with the smallest hashes, and
+``PIECES`` pieces of each class's whole texts, picked by their hashes. Scoring
+reads every byte of every text.
+
+A null or empty text compresses to nothing: difference 0, and the value there of
+the curve for short texts. Labels other than 0 and 1, and rows without a label,
+aren't learnt from; a doc_id labelled twice counts once, or with both labels if
+they differ. Rows that share a doc_id are scored by their own texts. Ties of
+hashes fall by doc_id. With no good or no bad rows to learn from, every score is
+0.5. An empty table gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -23,26 +28,30 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .tables import ship
+from .tables import hash_sample, materialize, ship
 
-PIECE = 1024
+PIECE = 512
 LEVEL = 3
 DICT_BYTES = 112_640
 PER_CLASS = 1500
-PIECES = 4
+#: Pieces of each class that its dictionary is trained on: ten megabytes, some ninety times its size.
+PIECES = 20_000
+#: Lengths in bytes at which another curve begins.
+LENGTHS = (64, 128, 256, 1024, 4096)
 
 
 class Model(NamedTuple):
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]
-    means: tuple[float, ...]
-    scales: tuple[float, ...]
+    #: one curve for each range of lengths: the probability at difference 0, as a logit, and the slope
+    intercepts: tuple[float, ...]
+    slopes: tuple[float, ...]
 
 
 def _compressor(data: bytes) -> zstandard.ZstdCompressor:
@@ -59,72 +68,89 @@ def compressed_sizes(text: memoryview, good: zstandard.ZstdCompressor, bad: zsta
     return g, b
 
 
-def _features(size: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-    total = np.maximum(good + bad, 1)
-    gap = (bad - good) / total
-    ratio = total / (2.0 * np.maximum(size, 1))
-    ratio = np.minimum(ratio, 2.0)
-    length = np.log1p(size)
-    return np.stack([gap, ratio, length, gap * length, gap * ratio, ratio * ratio, gap * np.abs(gap)], axis=1)
+def difference(size: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    return (bad - good) / np.maximum(size, 1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Newton's method on the penalised likelihood; the first weight is the intercept."""
-    x = np.hstack([np.ones((len(x), 1)), x])
-    w = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(len(w))
-    penalty[0, 0] = 1e-9
-    for _ in range(40):
+def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, precision: np.ndarray) -> np.ndarray:
+    """Newton's method on the penalised likelihood of one variable: intercept and slope, drawn towards ``prior``."""
+    x = np.stack([np.ones(len(x)), x], axis=1)
+    w, penalty = prior.copy(), np.diag(precision)
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
-        w += step
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ (w - prior))
+        w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
     return w
 
 
+def curves(quality: np.ndarray, size: np.ndarray, gap: np.ndarray) -> tuple[list[float], list[float]]:
+    """Intercept and slope for each range of lengths, drawn towards those of all rows where a range has few."""
+    scale = max(float(np.abs(gap).max()), 1e-9)
+    common = _logistic(gap / scale, quality, np.zeros(2), np.array([1e-6, 1e-3]))
+    which = np.searchsorted(LENGTHS, size, side="right")
+    found = [_logistic(gap[which == k] / scale, quality[which == k], common, np.array([0.1, 0.1])) for k in range(len(LENGTHS) + 1)]
+    return [float(a) for a, _ in found], [float(b) / scale for _, b in found]
+
+
+def probability(model: Model, size: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    which = np.searchsorted(LENGTHS, size, side="right")
+    logit = np.array(model.intercepts)[which] + np.array(model.slopes)[which] * difference(size, good, bad)
+    return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learnt from: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole texts -> their pieces, each with a hash of its content and place."""
+    for batch in batches:
+        raw, at = H.text_buffers(batch.column("text"))
+        quality = batch.column("quality").to_pylist()
+        for i in range(batch.num_rows):
+            view = memoryview(raw)[at[i] : at[i + 1]]
+            pieces = [bytes(view[k : k + PIECE]) for k in range(0, len(view), PIECE)]
+            keys = [xxhash.xxh3_64_intdigest(p, seed=k) >> 1 for k, p in enumerate(pieces)]
+            yield pa.RecordBatch.from_arrays([pa.array([quality[i]] * len(pieces), pa.int32()), pa.array(keys, pa.int64()), pa.array(pieces, pa.binary())], names=["quality", "key", "piece"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
     """Train on at most 2 * per_class rows of each class; None if a class has no rows."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    known = known.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     order = F.xxhash64("doc_id")
-    picked = known.where("quality = 0").orderBy(order, "doc_id").limit(2 * per_class).union(known.where("quality = 1").orderBy(order, "doc_id").limit(2 * per_class))
+    picked = hash_sample(known.where("quality = 0"), order, 2 * per_class).union(hash_sample(known.where("quality = 1"), order, 2 * per_class))
     # at most 4 * per_class rows of a few numbers: a proven bound
     picked = picked.withColumn("first", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)) == 0)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    # no more of a text than its pieces' share leaves the executors, from spread places
-    gap = F.greatest(F.lit(0), F.char_length("text") - PIECES * PIECE) / F.lit(max(PIECES - 1, 1))
-    parts = [F.substring(F.col("text"), (gap * i).cast("int") + i * PIECE + 1, F.lit(PIECE)) for i in range(PIECES)]
-    rows = texts.join(F.broadcast(picked.where("first")), "doc_id").select("doc_id", "quality", F.array(*parts).alias("parts")).collect()
+    rows = texts.join(F.broadcast(picked.where("first")), "doc_id").select("quality", "text")
+    pieces = materialize(rows.mapInArrow(_pieces, "quality int, key long, piece binary"))
     dictionaries = {}
     for q in (0, 1):
-        pieces = [p.encode() for r in sorted(rows, key=lambda r: (r.doc_id, r.parts)) if r.quality == q for p in r.parts if p]
-        if not pieces:
+        sample = sorted(bytes(r.piece) for r in hash_sample(pieces.where(F.col("quality") == q), F.col("key"), PIECES).select("piece").collect())
+        if not sample:
             return None
         try:
-            dictionaries[q] = zstandard.train_dictionary(DICT_BYTES, [p for p in pieces if len(p) >= 8]).as_bytes()
+            dictionaries[q] = zstandard.train_dictionary(DICT_BYTES, [p for p in sample if len(p) >= 8]).as_bytes()
         except (zstandard.ZstdError, ValueError):  # too little text for a trained one: its end serves as it is
-            dictionaries[q] = b"".join(pieces)[-DICT_BYTES:]
-    # the curve is fitted on whole texts, as they are scored; three numbers a row come back
+            dictionaries[q] = b"".join(sample)[-DICT_BYTES:]
+    # the curves are fitted on whole texts, as they are scored; a few numbers a row come back, of rows that repeat ids a bounded number
     shared = docs.sparkSession.sparkContext.broadcast((dictionaries[1], dictionaries[0]))
-    whole = texts.join(F.broadcast(picked.where("not first")), "doc_id").select("quality", "text")
-    found = whole.mapInArrow(_sizes(shared), "quality int, size long, good long, bad long").collect()
-    found.sort()
-    if len({r.quality for r in found}) < 2:
+    whole = texts.join(F.broadcast(picked.where("not first")), "doc_id").select("quality", "text", F.xxhash64("doc_id", "text").alias("key"))
+    sizes = materialize(whole.mapInArrow(_sizes(shared), "quality int, size long, good long, bad long, key long"))
+    found = sorted(tuple(r) for q in (0, 1) for r in hash_sample(sizes.where(F.col("quality") == q), F.col("key"), 2 * per_class).drop("key").collect())
+    table = np.array(found, dtype=np.float64).reshape(-1, 4)
+    quality = table[:, 0]
+    if len(set(quality.tolist())) < 2:
         return None
-    table = np.array(found, dtype=np.float64)
-    features = _features(*table[:, 1:].T)
-    means, scales = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-9)
-    weights = _logistic((features - means) / scales, table[:, 0])
+    intercepts, slopes = curves(quality, table[:, 1], difference(*table[:, 1:].T))
     # classes were drawn alike; the odds they really have among the labelled rows come back in the intercept
-    counts, drawn = dict(known.groupBy("quality").count().collect()), table[:, 0].mean()
-    weights[0] += np.log(counts[1] / counts[0]) - np.log(drawn / (1 - drawn))
-    return Model(dictionaries[1], dictionaries[0], tuple(weights), tuple(means), tuple(scales))
+    counts, drawn = dict(known.groupBy("quality").count().collect()), quality.mean()
+    odds = np.log(counts[1] / counts[0]) - np.log(drawn / (1 - drawn))
+    return Model(dictionaries[1], dictionaries[0], tuple(a + float(odds) for a in intercepts), tuple(slopes))
 
 
 def _sizes(shared):
@@ -136,7 +162,7 @@ def _sizes(shared):
             raw, at = H.text_buffers(batch.column("text"))
             view = memoryview(raw)
             sizes = np.array([compressed_sizes(view[a:b], good, bad) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(np.diff(at)), pa.array(sizes[:, 0]), pa.array(sizes[:, 1])], names=["quality", "size", "good", "bad"])
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(np.diff(at)), pa.array(sizes[:, 0]), pa.array(sizes[:, 1]), batch.column("key")], names=["quality", "size", "good", "bad", "key"])
 
     return run
 
@@ -150,8 +176,7 @@ def _score(shared, columns: list[str]):
             if model:
                 view = memoryview(raw)
                 sizes = np.array([compressed_sizes(view[a:b], good, bad) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], dtype=np.float64).reshape(-1, 2)
-                x = (_features(np.diff(at).astype(np.float64), sizes[:, 0], sizes[:, 1]) - np.array(model.means)) / np.array(model.scales)
-                score = 1 / (1 + np.exp(-np.clip(model.weights[0] + x @ np.array(model.weights[1:]), -35, 35)))
+                score = probability(model, np.diff(at), sizes[:, 0], sizes[:, 1])
             else:
                 score = np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(score)], names=[*columns, "_score"])

@@ -34,39 +34,60 @@ def _table(lower: bool) -> np.ndarray:
 
 
 BYTE_HASH = _table(False)
-_WORD_BYTES = {flag: np.where(IS_SPACE, np.uint64(0), _table(flag)) for flag in (False, True)}
+_WORD_BYTES = {flag: _table(flag) for flag in (False, True)}
+
+#: Modulus of the rolling hashes: a prime, so no family of texts collides whatever the base.
+PRIME = np.uint64((1 << 61) - 1)
+_M31, _M30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_S61, _S31, _S30, _ONE = (np.uint64(k) for k in (61, 31, 30, 1))
+#: Bases of two independent rolling hashes.
+BASES = (0x0D6E8FEB86659FD9, 0x15C2A7F1B3E96D47)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x < 2**63."""
+    x = (x & PRIME) + (x >> _S61)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, for a and b up to PRIME."""
+    a1, a0, b1, b0 = a >> _S31, a & _M31, b >> _S31, b & _M31
+    middle = a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << _ONE) + (middle >> _S30) + ((middle & _M30) << _S31) + a0 * b0)
 
 
 def powers(n: int, base: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64."""
-    out = np.full(max(n, 1), np.uint64(base), dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """1, base, base**2, ... modulo PRIME; n at least, by doubling."""
+    out = np.ones(1, dtype=np.uint64)
+    while len(out) < n:
+        out = np.concatenate((out, multiply(out, np.full(len(out), pow(base, len(out), int(PRIME)), dtype=np.uint64))))
+    return out
 
 
-_BASE = 0xD6E8FEB86659FD93
-_UP, _DOWN = powers(1 << 14, _BASE), powers(1 << 14, pow(_BASE, -1, 1 << 64))
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int, base: int = BASES[0]) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers and their inverses, n of each at least."""
-    global _UP, _DOWN
-    if n > len(_UP):
-        n = max(n, 2 * len(_UP))
-        _UP, _DOWN = powers(n, _BASE), powers(n, pow(_BASE, -1, 1 << 64))
-    return _UP, _DOWN
+    if base not in _POWERS or n > len(_POWERS[base][0]):
+        n = max(n, 1 << 14)
+        _POWERS[base] = powers(n, base), powers(n, pow(base, -1, int(PRIME)))
+    return _POWERS[base]
 
 
-def running(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of a polynomial in the base, modulo 2**64; one longer than ``values``."""
+def running(values: np.ndarray, base: int = BASES[0]) -> np.ndarray:
+    """Prefix sums of a polynomial in the base, modulo PRIME; one longer than ``values``."""
     total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * power_tables(len(values) + 1)[0][: len(values)], out=total[1:])
+    terms = multiply(values & PRIME, power_tables(len(values) + 1, base)[0][: len(values)])
+    high = np.cumsum(terms >> _S31, dtype=np.uint64)
+    total[1:] = _reduced((high >> _S30) + ((high & _M30) << _S31) + np.cumsum(terms & _M31, dtype=np.uint64))
     return total
 
 
-def range_hashes(total: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def range_hashes(total: np.ndarray, first: np.ndarray, last: np.ndarray, base: int = BASES[0]) -> np.ndarray:
     """Hash of values[first:last] from ``running(values)``: equal contents, equal hashes."""
-    return mix((total[last] - total[first]) * power_tables(len(total))[1][first])
+    return mix(multiply(_reduced(total[last] + PRIME - total[first]), power_tables(len(total), base)[1][first]))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,29 +112,19 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK):
 
 
 def _hash_words(raw: np.ndarray, edges: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A word's hash is the sum of one random number for each (byte, place in the word)."""
     space = IS_SPACE[raw]
     before = np.empty_like(space)
     before[0] = True
     before[1:] = space[:-1]
     before[edges[edges < len(raw)]] = True
-    starts = np.flatnonzero(~space & before)
-    if not len(starts):
-        return starts, np.zeros(0, np.uint64)
-    head = int(starts[0])
-    values = _WORD_BYTES[lower][raw[head:]]
-    sizes = np.diff(starts, append=len(raw))
-    place = np.arange(len(values)) - np.repeat(starts - head, sizes)
-    np.minimum(place, _longest(space, starts), out=place)
-    values *= power_tables(int(place.max()) + 1)[0][place]
-    return starts, mix(np.add.reduceat(values, starts - head))
-
-
-def _longest(space: np.ndarray, starts: np.ndarray) -> int:
-    """Bytes of the longest word; what follows a word is white space and hashes to 0."""
-    ends = np.flatnonzero(space)
-    nxt = np.searchsorted(ends, starts)
-    stop = np.where(nxt < len(ends), ends[np.minimum(nxt, len(ends) - 1)] if len(ends) else len(space), len(space))
-    return int((stop - starts).max())
+    inside = np.flatnonzero(~space)
+    first = np.flatnonzero(before[inside])
+    if not len(first):
+        return first, np.zeros(0, np.uint64)
+    place = (np.arange(len(inside)) - np.repeat(first, np.diff(first, append=len(inside)))).astype(np.uint64)
+    values = mix(_WORD_BYTES[lower][raw[inside]] + place * _ODD)
+    return inside[first], mix(np.add.reduceat(values, first))
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -143,14 +154,16 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tu
     return np.concatenate(starts), np.concatenate(hashes)
 
 
-def shingle_hashes(values: np.ndarray, k: int, total: np.ndarray | None = None) -> np.ndarray:
+def shingle_hashes(values: np.ndarray, k: int) -> np.ndarray:
     """A hash of every k consecutive values; of all values, if there are fewer."""
     if not len(values):
         return values
-    total = running(values) if total is None else total
     k = min(k, len(values))
     n = len(values) - k + 1
-    return mix((total[k:] - total[:n]) * power_tables(n)[1][:n] + np.uint64(k))
+    out = np.full(n, np.uint64(k) * _ODD)
+    for i in range(k):
+        out = mix(out * np.uint64(3) + values[i : i + n])
+    return out
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

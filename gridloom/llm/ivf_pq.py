@@ -14,8 +14,10 @@ size, and the queries stream past each block.
 
 Vectors that are null, empty, zero, hold null or non-finite components, or
 differ in length from the most common one, take no part; neither do rows
-without an id. Rows that share an id are separate candidates, but never their
-own query's. Other columns are ignored.
+without an id. Rows that share an id are separate candidates, but never their own
+query's; a query's id asks once, with the smallest of its vectors in array order,
+and all its rows are its own. Ties go to the smaller vec_id. An empty table gives
+no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ BLOCK = 2048
 #: Queries that are worked on at a time.
 QUERIES = 64
 PART, CODES = 4, 256
+#: Lists that can be fitted on the sample, five vectors each. Lists grow with the table, and are cut into blocks.
+LISTS = SAMPLE // 5
 
 
 class Index(NamedTuple):
@@ -53,7 +57,7 @@ def parts(dim: int) -> list[slice]:
 def build(sample: np.ndarray, lists: int, k: int, recall: float) -> Index:
     """Fit on a bounded sample of unit vectors, and measure how many lists hold the neighbours."""
     centers = V.k_means(sample, lists)
-    near = V.distances(sample, centers).argmin(axis=1)
+    near = V.nearest_center(sample, centers)
     residual = sample - centers[near]
     books = [V.k_means(residual[:, p], CODES, 8) for p in parts(sample.shape[1])]
     asked = np.arange(0, len(sample), max(1, len(sample) // 500))
@@ -69,9 +73,9 @@ def build(sample: np.ndarray, lists: int, k: int, recall: float) -> Index:
 
 def encode(index: Index, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """List, codes and coding error of unit vectors."""
-    near = V.distances(x, index.centers).argmin(axis=1)
+    near = V.nearest_center(x, index.centers)
     residual = x - index.centers[near]
-    codes = np.stack([V.distances(residual[:, p], book).argmin(axis=1) for p, book in zip(parts(index.dim), index.books, strict=True)], axis=1)
+    codes = np.stack([V.nearest_center(residual[:, p], book) for p, book in zip(parts(index.dim), index.books, strict=True)], axis=1)
     back = np.concatenate([book[codes[:, i]] for i, book in enumerate(index.books)], axis=1)
     return near, codes.astype(np.uint8), np.linalg.norm(residual - back, axis=1)
 
@@ -174,16 +178,15 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, recall: float =
     if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("v") == most["dim"])
-    lists = max(1, min(4096, round(most["count"] ** 0.5 / 2)))
+    lists = max(1, min(LISTS, round(most["count"] ** 0.5 / 2)))
     index = build(V.bounded_sample(rows, "vec_id", SAMPLE), lists, k, recall)
     shared = spark.sparkContext.broadcast(index)
     coded = materialize(rows.mapInArrow(_encode(shared), "vec_id long, v array<double>, list int, code binary, error double"))
     sizes = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     counts = np.zeros(len(index.centers), dtype=np.int64)
-    for r in coded.groupBy("list").count().collect():  # a row a list, 4096 at most
+    for r in coded.groupBy("list").count().collect():  # a row a list, LISTS at most
         counts[r["list"]] = r["count"]
-    own = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
-    asked = rows.where(is_query).join(own, "vec_id").select("vec_id", "v", "own")
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("own"))
     probes = asked.mapInArrow(_probe(shared, k, counts), "vec_id long, v array<double>, lists array<int>").select("vec_id", "v", F.explode("lists").alias("list"))
     probes = probes.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("n"), F.lit(True).alias("asks"), "vec_id", "v")
     homes = coded.join(sizes, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("n"), F.lit(False).alias("asks"), "vec_id", "v", "code", "error")

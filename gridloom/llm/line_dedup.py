@@ -3,15 +3,18 @@
 A line's key is the line without ASCII white space at its ends, A-Z
 lower-cased. Keys of at least ``min_chars`` code points that ``min_docs``
 documents hold are dropped everywhere but in the largest doc_id that holds
-them. Only 128-bit hashes of keys are shuffled; counting combines on the map
-side, so a line in every document costs one row a task; the dropped lines'
-positions return to the document as one array, and the text is reassembled by
-position in a single pass.
+them. Only 128-bit hashes of keys are shuffled. Counting distinct documents
+deals one row for each (key, document) by both, so a line in every document is
+counted by all tasks; the commonest keys are broadcast back to the lines
+(``skew_join``), the others join by key. The dropped lines' positions return to
+the document as one array, and the text is reassembled by position in a single pass.
 
 A null text is one empty line. A row without a doc_id counts for no line and
 keeps all of its own. Rows that share a doc_id are one document for counting,
-each losing its own lines. Other columns, whatever their names, pass through
-``without_common_lines`` and are ignored by ``dedup_lines``.
+each losing its own lines. Lines of any length are keyed whole. Ties don't arise:
+the largest doc_id keeps all its lines of a key. An empty table gives no rows.
+Other columns, whatever their names, pass through ``without_common_lines`` and are
+ignored by ``dedup_lines``.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import materialize, skew_join
+
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -44,8 +49,8 @@ def _long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(doc_id, version, gone): sorted positions of the lines that each text loses."""
     lines = _long_lines(docs, min_chars)
-    common = lines.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
-    gone = lines.join(common.select("h1", "h2", "keeper"), ["h1", "h2"]).where("doc_id <> keeper")
+    common = materialize(lines.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs))
+    gone = skew_join(lines, common, ["h1", "h2"], "n", ["doc_id", "pos"]).where("doc_id <> keeper")
     return gone.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 
 

@@ -11,7 +11,8 @@ number, is under the fraction.
 
 A null or blank text has size 0 and is never taken more than any other. A
 source of no words has target 0 and rate 0. A null doc_id hashes as an empty
-string. Rows that share a doc_id share their draw. Other columns, whatever their
+string. Rows that share a doc_id share their draw. Sources of equal size by weight
+are taken in code point order. An empty table gives no rows. Other columns, whatever their
 names, pass through ``mix`` and are ignored by ``plan``.
 """
 

@@ -3,8 +3,8 @@
 Each half of the unit vectors has a codebook of its own, and a pair of nearest
 codewords is a cell of the product grid. A vector visits the cells in the
 multi-sequence order of its distances, as many as the target recall needs:
-the depth is measured on partners drawn at exactly the linking angle from a
-bounded sample, the hardest links there are. A pair is tried once, in the cell
+the depth is measured on a bounded sample, on its own linked pairs and on partners
+drawn at exactly the linking angle, and is the larger of the two. A pair is tried once, in the cell
 of higher number: there its vector lives, and the other one visits. Cells are
 cut into blocks of bounded size, and a task verifies one pair of blocks with a
 matrix product, returning link counts and a spanning forest instead of pairs.
@@ -12,8 +12,9 @@ matrix product, returning link counts and a spanning forest instead of pairs.
 Vectors are compared only with the same label and length. Identical vectors of
 a label are collapsed first and count with their copies. Vectors that are null,
 empty, zero or hold null or non-finite components, and those without a label,
-link with nothing. Rows that share a vec_id are separate vectors. Other columns
-are ignored.
+link with nothing. Rows that share a vec_id are separate vectors, and repeated
+rows link with each other. Ties don't arise. An empty table gives no rows. Other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ from .tables import components, materialize, ship
 
 SAMPLE = 20_000
 #: Vectors that a cell should hold, and that a block holds at most on average.
-CELL, BLOCK = 256, 1024
+CELL, BLOCK = 64, 1024
+#: Codewords of each half: the fewest, and as many as can be fitted on the sample. Cells grow beyond, and are cut into blocks.
+WORDS = (4, SAMPLE // 40)
 TRIALS = 1000
 
 
@@ -59,6 +62,16 @@ def multi_sequence(a: np.ndarray, b: np.ndarray, depth: int) -> list[tuple[int,
     return out
 
 
+def visited_before(x: np.ndarray, y: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many cells each x visits until it is in the cell of its y."""
+    half = left.shape[1]
+    a, b = V.distances(x[:, :half], left), V.distances(x[:, half:], right)
+    every = np.arange(len(x))
+    to = a[every, V.nearest_center(y[:, :half], left)] + b[every, V.nearest_center(y[:, half:], right)]
+    b.sort(axis=1)
+    return np.array([np.searchsorted(b[k], to[k] - a[k] - 1e-12).sum() + 1 for k in range(len(x))], dtype=np.int64)
+
+
 def build(sample: np.ndarray, words: int, cosine: float, recall: float) -> Index:
     dim = sample.shape[1]
     half = dim // 2
@@ -70,12 +83,13 @@ def build(sample: np.ndarray, words: int, cosine: float, recall: float) -> Index
     z -= (z * x).sum(axis=1, keepdims=True) * x
     norm = np.linalg.norm(z, axis=1, keepdims=True)
     y = cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * z / np.where(norm > 0, norm, 1)
-    a, b = V.distances(x[:, :half], left), V.distances(x[:, half:], right)
-    i, j = V.distances(y[:, :half], left).argmin(axis=1), V.distances(y[:, half:], right).argmin(axis=1)
-    every = np.arange(len(x))
-    to = a[every, i] + b[every, j]
-    rank = (a[:, :, None] + b[:, None, :] < to[:, None, None]).sum(axis=(1, 2)) + 1
-    return Index(dim, left, right, int(np.quantile(rank, recall, method="higher")))
+    depth = int(np.quantile(visited_before(x, y, left, right), recall, method="higher"))
+    one, two = np.nonzero(sample[:TRIALS] @ sample.T >= cosine)
+    linked = np.flatnonzero(one != two)
+    linked = random.permutation(linked)[:TRIALS]
+    if len(linked):
+        depth = max(depth, int(np.quantile(visited_before(sample[one[linked]], sample[two[linked]], left, right), recall, method="higher")))
+    return Index(dim, left, right, depth)
 
 
 def _visits(shared):
@@ -141,7 +155,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, recall: float =
     most = by_label.groupBy("dim").agg(F.max("n").alias("n"), F.sum("n").alias("all")).orderBy(F.desc("all"), "dim").first()
     if most is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    words = min(256, max(1, round((most.n / CELL) ** 0.5)))
+    words = min(WORDS[1], max(WORDS[0], round((most.n / CELL) ** 0.5)))
     sample = V.bounded_sample(sets.where(F.col("dim") == most.dim), "rep", SAMPLE)
     shared = spark.sparkContext.broadcast(build(sample, words, cosine, recall))
     visits = sets.select("label", "dim", "rep", "copies", "v").mapInArrow(_visits(shared), sets.select("label", "dim", "rep", "copies", "v").withColumns({"own": F.lit(0).cast("long"), "goes": F.array(F.lit(0).cast("long"))}).schema)

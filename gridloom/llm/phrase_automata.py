@@ -1,20 +1,23 @@
 """Substring dedup: recurring passages, located by sharded Aho-Corasick automata.
 
 Segments of text (see ``repeats``) are dealt by anchor; a block of whole anchor
-groups is a shard. In a shard the windows of ``window`` words are compared word
-for word; those that start in two places are confirmed, and runs of confirmed
-windows are recurring passages. The passages are compiled into one automaton
-over word numbers, and all segments of all documents that can hold them are
-streamed through it to locate every occurrence.
+groups is a shard, and every segment of every document that could hold one of
+the shard's passages is in it. Windows of ``window`` words that may recur are
+told by counting their hashes, and of each only one witness is kept: runs of
+witnesses are the shard's passages. Their windows are compiled into one automaton
+over word numbers, and all segments are streamed through it. A window is
+confirmed, word for word, by the automaton's matches in two places at least;
+what is removed comes from these matches alone.
 
 Nulls and texts of white space hold no words. A row that occurs twice repeats
-itself. Windows never cross documents. Other columns of the input are ignored.
+itself, and rows without a doc_id are separate texts. Windows never cross
+documents. Ties don't arise. An empty table gives no rows. Other columns of the
+input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,12 +28,12 @@ from pyspark.sql import DataFrame
 from . import hashing as H
 from . import repeats as R
 
-#: Bytes of segments in one shard, so about as many nodes of an automaton as a fifth of that.
-SHARD = 1 << 20
+#: Bytes of segments in one shard: some 20,000 windows at most, so under a million nodes of an automaton.
+SHARD = 1 << 17
 
 
 def word_units(window: int) -> R.Units:
-    return R.Units(window, max(1, min(12, window // 2)), lambda raw: H.word_hashes(raw, np.array([0, len(raw)]))[1])
+    return R.Units(window, R.gram_lengths(window, max(1, min(12, window // 2))), lambda raw: H.word_hashes(raw, np.array([0, len(raw)]))[1])
 
 
 def _piece(window: int):
@@ -44,45 +47,72 @@ def _piece(window: int):
 
 
 def passages(texts: list[tuple[int, ...]], copies: list[int], window: int) -> list[tuple[int, ...]]:
-    """The distinct recurring passages: longest runs of windows that start in two places at least."""
-    seen: Counter = Counter()
-    for text, n in zip(texts, copies, strict=True):
-        for i in range(len(text) - window + 1):
-            seen[text[i : i + window]] += n
-    found = set()
-    for text in texts:
-        flags = np.array([seen[text[i : i + window]] > 1 for i in range(len(text) - window + 1)], dtype=bool)
-        for a, b in R.flagged_runs(flags).tolist():
-            found.add(text[a : b + window - 1])
-    return sorted(found)
-
-
-def automaton(patterns: list[tuple[int, ...]]) -> ahocorasick.Automaton:
-    out = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    """Runs of one witness each of the windows that may start in two places: the recurring passages, each part of them once."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    base = np.concatenate(([0], np.cumsum(size)))
+    flat = np.fromiter((w for t in texts for w in t), dtype=np.int64, count=int(base[-1]))
+    windows = np.maximum(size - window + 1, 0)
+    owner = np.repeat(np.arange(len(texts)), windows)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + base[owner]
+    total = H.running(H.mix(flat.astype(np.uint64) + np.uint64(1)))
+    _, first, which = np.unique(H.range_hashes(total, start, start + window), return_index=True, return_inverse=True)
+    several = np.bincount(which, weights=np.array(copies, dtype=np.float64)[owner]) > 1
+    witness = np.zeros(len(flat) + 1, dtype=bool)
+    witness[start[first[several]]] = True
+    # a run must not reach from one text into the next
+    last = base[1:] - window
+    out = []
+    for a, b in R.flagged_runs(witness[:-1]).tolist():
+        while a < b:
+            stop = min(b, int(last[np.searchsorted(base, a, side="right") - 1]) + 1)
+            out.append(tuple(flat[a : stop + window - 1].tolist()))
+            a = stop
+    return out
+
+
+def automaton(patterns: list[tuple[int, ...]], window: int) -> ahocorasick.Automaton:
+    """All windows of the passages, each with a number of its own."""
+    out = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    n = 0
     for pattern in patterns:
-        out.add_word(pattern, len(pattern))
+        for i in range(len(pattern) - window + 1):
+            out.add_word(pattern[i : i + window], n)
+            n += 1
     out.make_automaton()
     return out
 
 
+def matches(texts: list[tuple[int, ...]], copies: list[int], window: int) -> list[list[tuple[int, int]]]:
+    """(from, to) of the words of each text that lie in a window which the automaton finds in two places at least."""
+    if not (patterns := passages(texts, copies, window)):
+        return [[] for _ in texts]
+    machine = automaton(patterns, window)
+    places = np.zeros(sum(len(p) - window + 1 for p in patterns), dtype=np.int64)
+    found = []
+    for text, n in zip(texts, copies, strict=True):
+        own = list(machine.iter(text))
+        found.append(own)
+        np.add.at(places, np.array([k for _, k in own], dtype=np.int64), n)
+    out = []
+    for own in found:
+        spans: list[tuple[int, int]] = []
+        for last, k in own:  # matches come by their end
+            if places[k] > 1:
+                a = last - window + 1
+                if spans and spans[-1][1] >= a:
+                    spans[-1] = (spans[-1][0], last + 1)
+                else:
+                    spans.append((a, last + 1))
+        out.append(spans)
+    return out
+
+
 def _confirm(window: int):
-    def shard(rows: list[tuple]) -> list[tuple]:
+    def shard(rows: list[R.Segment]) -> list[tuple]:
         numbers: dict[bytes, int] = {}
-        texts = [tuple(numbers.setdefault(w, len(numbers)) for w in row[4].split()) for row in rows]
-        if not (patterns := passages(texts, [row[2] for row in rows], window)):
-            return []
-        machine = automaton(patterns)
-        out = []
-        for row, text in zip(rows, texts, strict=True):
-            spans: list[list[int]] = []
-            for last, length in machine.iter(text):
-                a, b = last - length + 1, last + 1
-                while spans and spans[-1][1] >= a:  # matches come by their end
-                    a = min(a, spans.pop()[0])
-                spans.append([a, b])
-            if spans:
-                out.append((row[0], row[1], spans))
-        return out
+        texts = [tuple([numbers.setdefault(w, len(numbers)) for w in r.body.split()]) for r in rows]
+        spans = matches(texts, [r.copies for r in rows], window)
+        return [(r.c1, r.c2, [(a, b, 0) for a, b in own]) for r, own in zip(rows, spans, strict=True) if own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in R.by_anchor(batches, SHARD):
@@ -126,6 +156,5 @@ def phrase_dedup(docs: DataFrame, window: int = 35, keep_text: bool = False) ->
     One row per input row: doc_id, n_words, n_removed, kept_sha256 (of the kept
     words joined by one space) and, with keep_text, kept.
     """
-    docs, spans = R.located(docs, word_units(window), R.cutter(_piece(window)), _confirm(window))
-    joined = docs.join(spans, ["_doc", "_th"], "left").select("doc_id", "text", "_spans")
+    joined = R.with_spans(docs, word_units(window), R.cutter(_piece(window)), _confirm(window))
     return joined.mapInArrow(_digest(keep_text), _OUT + (", kept string" if keep_text else ""))

@@ -50,7 +50,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.plan(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +110,7 @@ WITH sized AS (
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0 AS u
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, round(target, 6) AS target,
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM rated
 """

@@ -5,13 +5,18 @@ than one place. Sending every window through a shuffle would move the corpus
 many times over. Instead each window is charged to its *anchor*, the gram with
 the smallest hash inside it: equal windows have equal anchors, so a window can
 only repeat if its anchor occurs twice. Consecutive windows with one anchor
-form a *segment*; segments are counted by (anchor, content hash), and only the
-distinct segments of anchors that occur twice go on to the exact step, one copy
-each with its multiplicity. An anchor with very many distinct segments isn't one
-group for one task: its windows are counted by their own hashes.
-
-A row is told apart by its doc_id and a hash of its text, so repeated rows are
-counted as the separate texts they are, and null ids are served too.
+form a *segment*; segments are counted by content, and only the distinct
+segments of anchors that occur twice go on to the exact step, one copy each
+with its multiplicity.
+
+All distinct segments of an anchor meet in one block. An anchor with more than
+``HOT`` of them is dealt again: its segments become the texts of a next round
+whose anchors are longer grams, up to the window itself, where an anchor has one
+distinct segment. Every round ends in the same exact step.
+
+A row is told apart by a 128-bit hash of its doc_id (or that it has none) and
+its text; a segment by two rolling hashes of 61 bits each. Repeated rows are
+counted as the separate texts they are.
 """
 
 from __future__ import annotations
@@ -26,86 +31,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .tables import materialize, ship
+from .tables import materialize, row_identity, ship, skew_join
 
 _POS = np.uint64((1 << 24) - 1)
 #: Units of one text that are handled at a time; longer texts are cut, overlapping by a window.
 SLICE = 1 << 20
-#: An anchor with more distinct segments than this is dealt window by window instead of as one group.
-HOT = 50_000
+#: Distinct segments that meet in one block; an anchor with more is dealt by longer grams.
+HOT = 500
+
 
 class Units(NamedTuple):
-    """What a window is made of: ``window`` units long, anchored at grams of ``gram`` units."""
+    """What a window is made of: ``window`` units long, anchored at grams of ``grams`` units, one length a round."""
 
     window: int
-    gram: int
+    grams: tuple[int, ...]
     #: bytes of a text -> 64-bit value of each unit
     values: Callable[[np.ndarray], np.ndarray]
 
 
-def segments(values: np.ndarray, units: Units) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor, content hash, first unit, number of windows) of each segment of one text."""
-    total = len(values) - units.window + 1
+def gram_lengths(window: int, first: int) -> tuple[int, ...]:
+    """Doubling from ``first``; the window itself is the last."""
+    out = [max(1, min(first, window))]
+    while out[-1] < window:
+        out.append(min(2 * out[-1], window))
+    return tuple(out)
+
+
+def segments(values: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(anchor, two content hashes, first unit, number of windows) of each segment of one text."""
+    total = len(values) - window + 1
     for at in range(0, total, SLICE):
-        part = values[at : at + SLICE + units.window - 1]
-        n = len(part) - units.window + 1
-        total_hash = H.running(part)
-        grams = H.shingle_hashes(part, units.gram, total_hash)
-        packed = (grams & ~_POS) | np.arange(len(grams), dtype=np.uint64)
-        place = (H.sliding_min(packed, units.window - units.gram + 1) & _POS).astype(np.int64)
+        part = values[at : at + SLICE + window - 1]
+        n = len(part) - window + 1
+        one, two = (H.running(part, base) for base in H.BASES)
+        begin = np.arange(len(part) - gram + 1)
+        grams = H.range_hashes(one, begin, begin + gram)
+        packed = (grams & ~_POS) | begin.astype(np.uint64)
+        place = (H.sliding_min(packed, window - gram + 1) & _POS).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1))
         windows = np.diff(first, append=n)
-        content = H.range_hashes(total_hash, first, first + windows + units.window - 1)
-        yield grams[place[first]], content, first + at, windows
+        last = first + windows + window - 1
+        yield grams[place[first]], H.range_hashes(one, first, last, H.BASES[0]), H.range_hashes(two, first, last, H.BASES[1]), first + at, windows
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id and text with the two columns that tell a row's text apart."""
+    """doc_id and text with the two columns that tell a row apart."""
     ship(docs.sparkSession)
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"),
-        F.hash(F.col("text").cast("string")).alias("_th"),
-    )
+    doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return docs.select(doc.alias("doc_id"), text.alias("text"), *(c.alias(f"r{k}") for k, c in enumerate(row_identity(doc, text), 1)))
+
 
+_FOUND = ("anchor", "c1", "c2", "r1", "r2", "first", "windows", "copies")
 
-def _occurrences(units: Units):
+
+def _occurrences(units: Units, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = H.text_buffers(batch.column("text"))
-            doc, th = batch.column("_doc").to_numpy(), batch.column("_th").to_numpy()
-            found: list[list[np.ndarray]] = [[] for _ in range(6)]
+            given = [batch.column(c).to_numpy() for c in ("r1", "r2", "copies")]
+            found: list[list[np.ndarray]] = [[] for _ in _FOUND]
             held = 0
-            for i in range(len(doc)):
-                values = units.values(raw[at[i] : at[i + 1]])
-                for part in segments(values, units):
-                    for column, x in zip(found, (*part, np.full(len(part[0]), doc[i]), np.full(len(part[0]), th[i])), strict=True):
+            for i in range(batch.num_rows):
+                for anchor, c1, c2, first, windows in segments(units.values(raw[at[i] : at[i + 1]]), units.window, gram):
+                    r1, r2, copies = (np.full(len(anchor), x[i]) for x in given)
+                    for column, x in zip(found, (anchor, c1, c2, r1, r2, first, windows, copies), strict=True):
                         column.append(x)
-                    held += len(part[0])
-                if held > 200_000 or (held and i == len(doc) - 1):
-                    anchor, content, first, windows, d, t = (np.concatenate(x) for x in found)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (anchor.view(np.int64), content.view(np.int64), d.astype(np.int64), t.astype(np.int32), first.astype(np.int64), windows.astype(np.int32))],
-                        names=["anchor", "content", "_doc", "_th", "first", "windows"],
-                    )
-                    found, held = [[] for _ in range(6)], 0
+                    held += len(anchor)
+                if held > 200_000 or (held and i == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in found], names=list(_FOUND))
+                    found, held = [[] for _ in _FOUND], 0
 
     return run
 
 
-def occurrences(docs: DataFrame, units: Units) -> DataFrame:
-    """One row for each segment of each text."""
-    return docs.select("_doc", "_th", "text").mapInArrow(_occurrences(units), "anchor long, content long, _doc long, _th int, first long, windows int")
+def occurrences(texts: DataFrame, units: Units, gram: int) -> DataFrame:
+    """One row for each segment of each text (r1, r2, copies, text)."""
+    return texts.select("r1", "r2", "copies", "text").mapInArrow(_occurrences(units, gram), ", ".join(f"{c} long" for c in _FOUND))
 
 
 def recurring(found: DataFrame) -> DataFrame:
     """Distinct segments whose anchor occurs at least twice, with their multiplicity and one place that holds them."""
-    one = F.xxhash64("_doc", "_th", "first")
-    distinct = found.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min_by("_doc", one).alias("_doc"),
-        F.min_by("_th", one).alias("_th"),
+    one = F.xxhash64("r1", "r2", "first")
+    distinct = found.groupBy("anchor", "c1", "c2").agg(
+        F.sum("copies").alias("copies"),
+        F.min_by("r1", one).alias("r1"),
+        F.min_by("r2", one).alias("r2"),
         F.min_by("first", one).alias("first"),
         F.min("windows").alias("windows"),
     )
@@ -113,51 +123,17 @@ def recurring(found: DataFrame) -> DataFrame:
     return distinct.join(by.where("n > 1").select("anchor", "hot"), "anchor")
 
 
-def spread(docs: DataFrame, picked: DataFrame, cut) -> DataFrame:
-    """The distinct segments' own units, cut from one text that holds each, dealt by anchor and sorted."""
-    lists = picked.groupBy("_doc", "_th").agg(F.collect_list(F.struct("anchor", "content", "copies", "first", "windows")).alias("_cuts"))
-    return (
-        docs.select("_doc", "_th", "text")
-        .join(lists, ["_doc", "_th"])
-        .select("text", "_cuts")
-        .mapInArrow(cut, "anchor long, content long, copies long, windows int, body binary")
-        .repartition(F.col("anchor"))
-        .sortWithinPartitions("anchor", "content")
-    )
+_BODY = "anchor long, c1 long, c2 long, copies long, windows int, body binary"
 
 
-def _window_rows(units: Units):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, at = H.text_buffers(batch.column("text"))
-            cuts = batch.column("_cuts")
-            edges, flat = cuts.offsets.to_numpy(), cuts.values
-            columns = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in ("anchor", "content", "copies", "first", "windows")}
-            for i in range(batch.num_rows):
-                total = H.running(units.values(raw[at[i] : at[i + 1]]))
-                for j in range(edges[i], edges[i + 1]):
-                    off = np.arange(columns["windows"][j], dtype=np.int64)
-                    first = off + columns["first"][j]
-                    same = {k: np.full(len(off), columns[k][j]) for k in ("anchor", "content", "copies")}
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(v) for v in same.values()), pa.array(off), pa.array(H.range_hashes(total, first, first + units.window).view(np.int64))], names=[*same, "off", "hash"]
-                    )
-
-    return run
-
-
-def hot_spans(docs: DataFrame, picked: DataFrame, units: Units) -> DataFrame:
-    """SPANS of the segments of hot anchors: their windows are counted by hash, which combines before its shuffle."""
-    lists = picked.groupBy("_doc", "_th").agg(F.collect_list(F.struct("anchor", "content", "copies", "first", "windows")).alias("_cuts"))
-    cut = docs.select("_doc", "_th", "text").dropDuplicates(["_doc", "_th"]).join(lists, ["_doc", "_th"]).select("text", "_cuts")
-    windows = materialize(cut.mapInArrow(_window_rows(units), "anchor long, content long, copies long, off long, hash long"))
-    twice = windows.groupBy("anchor", "hash").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor", "hash")
-    span = F.struct(F.col("off").alias("a"), (F.col("off") + units.window).alias("b"))
-    return windows.join(twice, ["anchor", "hash"]).groupBy("anchor", "content").agg(F.collect_list(span).alias("spans"))
+def bodies(texts: DataFrame, picked: DataFrame, cut) -> DataFrame:
+    """The distinct segments' own units, cut from one text that holds each."""
+    lists = picked.groupBy("r1", "r2").agg(F.collect_list(F.struct("anchor", "c1", "c2", "copies", "first", "windows")).alias("_cuts"))
+    return texts.select("r1", "r2", "text").join(lists, ["r1", "r2"]).select("text", "_cuts").mapInArrow(cut, _BODY)
 
 
 def cutter(piece: Callable[[np.ndarray, np.ndarray, np.ndarray], list[bytes]]):
-    """For ``spread``: piece(bytes of a text, first units, numbers of windows) -> the segments' bytes."""
+    """For ``bodies``: piece(bytes of a text, first units, numbers of windows) -> the segments' bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,48 +141,57 @@ def cutter(piece: Callable[[np.ndarray, np.ndarray, np.ndarray], list[bytes]]):
             cuts = batch.column("_cuts")
             edges = cuts.offsets.to_numpy()
             flat = cuts.values
-            columns = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in ("anchor", "content", "copies", "first", "windows")}
+            columns = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in ("anchor", "c1", "c2", "copies", "first", "windows")}
             for i in range(batch.num_rows):
                 own = slice(edges[i], edges[i + 1])
-                bodies = piece(raw[at[i] : at[i + 1]], columns["first"][own], columns["windows"][own])
+                pieces = piece(raw[at[i] : at[i + 1]], columns["first"][own], columns["windows"][own])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[k][own]) for k in ("anchor", "content", "copies", "windows")] + [pa.array(bodies, pa.binary())],
-                    names=["anchor", "content", "copies", "windows", "body"],
+                    [*(pa.array(columns[k][own]) for k in ("anchor", "c1", "c2", "copies")), pa.array(columns["windows"][own].astype(np.int32)), pa.array(pieces, pa.binary())],
+                    names=["anchor", "c1", "c2", "copies", "windows", "body"],
                 )
 
     return run
 
 
-def by_anchor(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[tuple]]:
+class Segment(NamedTuple):
+    anchor: int
+    c1: int
+    c2: int
+    copies: int
+    windows: int
+    body: bytes
+
+
+def by_anchor(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[Segment]]:
     """Whole anchor groups of sorted rows, several together up to about ``limit`` bytes of segments.
 
     A segment met again (a repeated row of the input) is skipped; its copies are counted already.
     """
-    held: list[tuple] = []
-    size, last = 0, None
+    held: list[Segment] = []
+    size = 0
     for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[:2] == last:
+        for row in map(Segment._make, zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+            if held and row[:3] == held[-1][:3]:
                 continue
-            if size >= limit and row[0] != last[0]:
+            if size >= limit and row.anchor != held[-1].anchor:
                 yield held
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
-            last = row[:2]
+            size += len(row.body)
     if held:
         yield held
 
 
-SPANS = "anchor long, content long, spans array<struct<a:long,b:long>>"
+#: Unit ranges of a segment that recur, and the group of equal ranges that each belongs to (0 where groups are merged).
+SPANS = "c1 long, c2 long, spans array<struct<a:long,b:long,g:long>>"
 
 
 def span_rows(rows: list[tuple]) -> pa.RecordBatch:
-    """rows: (anchor, content, [(from, to), ...])"""
-    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    """rows: (c1, c2, [(from, to, group), ...])"""
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("g", pa.int64())]))
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([[{"a": a, "b": b} for a, b in r[2]] for r in rows], kind)],
-        names=["anchor", "content", "spans"],
+        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([[{"a": a, "b": b, "g": g} for a, b, g in r[2]] for r in rows], kind)],
+        names=["c1", "c2", "spans"],
     )
 
 
@@ -224,21 +209,32 @@ def covered(length: int, spans: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def located(docs: DataFrame, units: Units, cut, confirm) -> tuple[DataFrame, DataFrame]:
-    """The keyed documents, and (_doc, _th, _spans): the unit ranges of each text that recur.
+def located(texts: DataFrame, units: Units, cut, confirm, level: int = 0) -> DataFrame:
+    """(r1, r2, s): each unit range s (a, b, g) of each text that recurs.
 
-    confirm: rows of ``spread``, by partition, -> SPANS, the exact step.
+    texts: r1, r2, copies, text; confirm: sorted rows of ``bodies``, by partition, -> SPANS, the exact step.
     """
-    docs = keyed(docs)
-    found = materialize(occurrences(docs, units))
+    found = materialize(occurrences(texts, units, units.grams[level]))
     picked = materialize(recurring(found))
-    spans = spread(docs, picked.where("not hot"), cut).mapInArrow(confirm, SPANS)
-    if not (hot := picked.where("hot")).isEmpty():
-        spans = spans.union(hot_spans(docs, hot, units))
-    spans = materialize(spans)
-    places = found.join(spans, ["anchor", "content"]).select("_doc", "_th", "first", F.explode("spans").alias("s"))
-    places = places.select("_doc", "_th", F.struct((F.col("first") + F.col("s.a")).alias("a"), (F.col("first") + F.col("s.b")).alias("b")).alias("s"))
-    return docs, places.groupBy("_doc", "_th").agg(F.collect_list("s").alias("_spans"))
+    cold = picked if level == len(units.grams) - 1 else picked.where("not hot")
+    dealt = bodies(texts, cold, cut).repartition(F.col("anchor")).sortWithinPartitions("anchor", "c1", "c2")
+    spans = dealt.mapInArrow(confirm, SPANS)
+    if level < len(units.grams) - 1 and not (hot := picked.where("hot")).isEmpty():
+        again = bodies(texts, hot, cut).select(F.col("c1").alias("r1"), F.col("c2").alias("r2"), "copies", F.col("body").alias("text"))
+        inner = located(materialize(again.dropDuplicates(["r1", "r2"])), units, cut, confirm, level + 1)
+        spans = spans.union(inner.groupBy(F.col("r1").alias("c1"), F.col("r2").alias("c2")).agg(F.collect_set("s").alias("spans")))
+    weighed = materialize(spans.join(picked.select("c1", "c2", "copies"), ["c1", "c2"]))
+    # a segment in a third of all rows is one key here
+    places = skew_join(found.select("c1", "c2", "r1", "r2", "first"), weighed, ["c1", "c2"], "copies", ["r1", "r2", "first"])
+    places = places.select("r1", "r2", "first", F.explode("spans").alias("s"))
+    return places.select("r1", "r2", F.struct((F.col("first") + F.col("s.a")).alias("a"), (F.col("first") + F.col("s.b")).alias("b"), F.col("s.g").alias("g")).alias("s"))
+
+
+def with_spans(docs: DataFrame, units: Units, cut, confirm) -> DataFrame:
+    """doc_id, text and _spans, the unit ranges of each row's text that recur."""
+    docs = keyed(docs)
+    spans = located(docs.withColumn("copies", F.lit(1).cast("long")), units, cut, confirm)
+    return docs.join(spans.groupBy("r1", "r2").agg(F.collect_set("s").alias("_spans")), ["r1", "r2"], "left").select("doc_id", "text", "_spans")
 
 
 def spans_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -247,4 +243,3 @@ def spans_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat = column.flatten()
     pairs = np.stack([flat.field("a").to_numpy(zero_copy_only=False), flat.field("b").to_numpy(zero_copy_only=False)], axis=1) if len(flat) else np.zeros((0, 2), np.int64)
     return np.concatenate(([0], np.cumsum(sizes))), pairs.astype(np.int64)
-

@@ -18,7 +18,9 @@ works on what lies beside the cuts; a chunk without a word's start is scanned
 piece by piece.
 
 Null and empty texts have no pieces. Very long texts are what the scan is for.
-Rows that are repeated are encoded alike. Other columns pass through.
+Rows that are repeated are encoded alike; rows without a doc_id are told apart by
+their texts. Where several paths score alike, there is but one: an encoding is
+unique. An empty table gives no rows. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialize, ship
+from .tables import materialize, row_identity, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK = 32_768, 16_384
@@ -194,7 +196,7 @@ def _chunks(shared):
         pieces = Pieces(shared.value)
         margin = 2 * pieces.longest
         for batch in batches:
-            for doc, th, text in zip(batch.column("_doc").to_pylist(), batch.column("_th").to_pylist(), batch.column("text"), strict=True):
+            for r1, r2, text in zip(batch.column("_r1").to_pylist(), batch.column("_r2").to_pylist(), batch.column("text"), strict=True):
                 text = pieces.normal(text.as_py())
                 count = -(-len(text) // CHUNK)
                 for at in range(0, count, 64):
@@ -203,12 +205,12 @@ def _chunks(shared):
                     high = [min(len(text), (i + 1) * CHUNK + margin) for i in some]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([doc] * len(low), pa.int64()), pa.array([th] * len(low), pa.int32()), pa.array(list(some), pa.int32()), pa.array([count] * len(low), pa.int32()),
+                            pa.array([r1] * len(low), pa.int64()), pa.array([r2] * len(low), pa.int64()), pa.array(list(some), pa.int32()), pa.array([count] * len(low), pa.int32()),
                             pa.array([i * CHUNK - a for i, a in zip(some, low, strict=True)], pa.int32()),
                             pa.array([min(len(text), (i + 1) * CHUNK) - a for i, a in zip(some, low, strict=True)], pa.int32()),
                             pa.array([text[a:b] for a, b in zip(low, high, strict=True)], pa.string()),
                         ],
-                        names=["_doc", "_th", "chunk", "chunks", "left", "right", "part"],
+                        names=["_r1", "_r2", "chunk", "chunks", "left", "right", "part"],
                     )
 
     return run
@@ -250,7 +252,7 @@ def _combine(key: tuple, table: pa.Table) -> pa.Table:
     matrices = [np.frombuffer(m, dtype=np.float32).reshape(n, -1) for _, n, m in rows]
     inner = best_states(matrices) if len(matrices) > 1 else []
     n = len(matrices)
-    return pa.table({"_doc": pa.array([key[0].as_py()] * n, pa.int64()), "_th": pa.array([key[1].as_py()] * n, pa.int32()), "chunk": pa.array(range(n), pa.int32()), "enters": pa.array([0, *inner], pa.int32()), "leaves": pa.array([*inner, -1], pa.int32())})
+    return pa.table({"_r1": pa.array([key[0].as_py()] * n, pa.int64()), "_r2": pa.array([key[1].as_py()] * n, pa.int64()), "chunk": pa.array(range(n), pa.int32()), "enters": pa.array([0, *inner], pa.int32()), "leaves": pa.array([*inner, -1], pa.int32())})
 
 
 def _trace(shared):
@@ -265,7 +267,7 @@ def _trace(shared):
                     m = transfer(pieces, text, left, right, [start], end)
                     leaves = int(np.argmax(m[0]))
                 out.append(trace(pieces, text, left, right, start, end[leaves]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int32()))], names=["_doc", "_th", "chunk", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int32()))], names=["_r1", "_r2", "chunk", "ids"])
 
     return run
 
@@ -302,17 +304,17 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, check: bool
     new = ["ids", "n_chunks", *(["round_trip"] if check else [])]
     keep = [c for c in docs.columns if c not in new]
     text = F.col("text").cast("string")
-    rows = docs.select(F.struct(*keep).alias("row"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.hash(text).alias("_th"))
+    rows = docs.select(F.struct(*keep).alias("row"), text.alias("text"), *(c.alias(k) for k, c in zip(("_r1", "_r2"), row_identity(F.col("doc_id").cast("long"), text), strict=True)))
     is_giant = F.coalesce(F.char_length("text") > giant, F.lit(False))
-    chunks = rows.where(is_giant).select("_doc", "_th", "text").mapInArrow(_chunks(shared), "_doc long, _th int, chunk int, chunks int, left int, right int, part string")
-    chunks = materialize(chunks.dropDuplicates(["_doc", "_th", "chunk"]))
-    matrices = chunks.mapInArrow(_matrices(shared), "_doc long, _th int, chunk int, chunks int, rows int, matrix binary")
-    states = matrices.groupBy("_doc", "_th").applyInArrow(_combine, "_doc long, _th int, chunk int, enters int, leaves int")
-    traced = chunks.join(states, ["_doc", "_th", "chunk"]).select("_doc", "_th", "chunk", "chunks", "left", "right", "part", "enters", "leaves")
-    traced = traced.mapInArrow(_trace(shared), "_doc long, _th int, chunk int, ids array<int>")
-    whole = traced.groupBy("_doc", "_th").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("p"))
-    whole = materialize(whole.select("_doc", "_th", F.flatten(F.col("p.ids")).alias("found"), F.size("p").alias("parts")))
-    big = rows.where(is_giant).join(whole, ["_doc", "_th"]).select("row", "found", "parts")
+    chunks = rows.where(is_giant).select("_r1", "_r2", "text").mapInArrow(_chunks(shared), "_r1 long, _r2 long, chunk int, chunks int, left int, right int, part string")
+    chunks = materialize(chunks.dropDuplicates(["_r1", "_r2", "chunk"]))
+    matrices = chunks.mapInArrow(_matrices(shared), "_r1 long, _r2 long, chunk int, chunks int, rows int, matrix binary")
+    states = matrices.groupBy("_r1", "_r2").applyInArrow(_combine, "_r1 long, _r2 long, chunk int, enters int, leaves int")
+    traced = chunks.join(states, ["_r1", "_r2", "chunk"]).select("_r1", "_r2", "chunk", "chunks", "left", "right", "part", "enters", "leaves")
+    traced = traced.mapInArrow(_trace(shared), "_r1 long, _r2 long, chunk int, ids array<int>")
+    whole = traced.groupBy("_r1", "_r2").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("p"))
+    whole = materialize(whole.select("_r1", "_r2", F.flatten(F.col("p.ids")).alias("found"), F.size("p").alias("parts")))
+    big = rows.where(is_giant).join(whole, ["_r1", "_r2"]).select("row", "found", "parts")
     small = rows.where(~is_giant).select("row", F.lit(None).cast("array<int>").alias("found"), F.lit(1).alias("parts"))
     schema = rows.select("row").withColumns({"ids": F.array().cast("array<int>"), "n_chunks": F.lit(1)} | ({"round_trip": F.lit(True)} if check else {})).schema
     return small.union(big).mapInArrow(_encode(shared, check), schema).select("row.*", *new)

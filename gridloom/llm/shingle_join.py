@@ -2,13 +2,17 @@
 
 A text's set holds the hashes of its distinct k-word shingles. Sets of sizes s
 and t with similarity of at least g differ in at most (s + t)(1 - g)/(1 + g)
-elements. Sizes are cut into bands; for each band the hash domain is cut into
-more parts than two sets of the band can have differing elements, k, so two
-similar sets agree on one part at least and share that part's signature. Of
-k + 1 + z parts they agree on z + 1, so each set can leave out its z emptiest
-parts, ties by place: of the parts that the two agree on, the fullest is left
-out by neither. A set signs for its own band and, if a similar set could be that
-large, for the next.
+elements. Sizes are cut into bands; in a band two similar sets differ in k
+elements at most. The hash domain is cut into n1 first-level parts of n2 = 3
+second-level parts each, and a set signs with every subset of n2 - k2 = 2 of a
+first-level part's three: parts in which two sets differ in one element at most
+agree on a subset. n1 is larger than pigeonholes ask for, so similar sets agree
+on G signatures at least: each difference spoils two of a part's three subsets
+if it is the part's first and the last one if it is the second, so G is
+2 n1 - k, or 3 n1 - 2 k for k < n1. Each set leaves out its G - 1 emptiest
+subsets, ties by place: agreed subsets are equally full in both sets, so the
+fullest that the two agree on is left out by neither. A set signs for its own
+band and, if a similar set could be that large, for the next.
 
 Sets that share a signature are compared by parity sketches, a few bits for each
 element: sketches differ in at most as many bits as the sets in elements, so
@@ -21,12 +25,15 @@ looked at. No candidate is capped.
 
 Null or blank texts have an empty set and link with nothing; rows without a
 doc_id neither. Rows that share a doc_id are compared and grouped by their own
-texts, told apart by a 64-bit hash of the text. Very long texts stand alone in a block. Other columns of the input are ignored.
+texts, told apart by a 64-bit hash of the text. Repeated rows get the same group;
+ties in a group go to the smallest doc_id. Very long texts stand alone in a block.
+An empty table gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 
 from . import hashing as H
 from .linking import forest
-from .tables import components, materialize, ship
+from .tables import components, materialize, ship, skew_join
 
 #: Shingles in a block of a cluster, and the most texts that it holds.
 BLOCK_SHINGLES, BLOCK_TEXTS = 200_000, 500
@@ -43,7 +50,10 @@ BLOCK_SHINGLES, BLOCK_TEXTS = 200_000, 500
 GROUP = 1024
 #: Sets remembered by a task so that copies sign once; forgetting one only costs a few rows.
 REMEMBERED = 100_000
-#: Share of parts beyond those needed, of which each set leaves out its emptiest.
+#: Second-level parts, and the differences that a first-level part forgives.
+N2, K2 = 3, 1
+SUBSETS = tuple(combinations(range(N2), N2 - K2))
+#: Share of first-level parts beyond those needed, so that sets can leave out their emptiest subsets.
 SPARE = 0.3
 _SEEDS = np.array([0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03], dtype=np.uint64)
 
@@ -66,6 +76,15 @@ def _bands(limit: int, num: int, den: int) -> list[int]:
     return known
 
 
+def part_plan(differ: int) -> tuple[int, int, int]:
+    """For sets that differ in ``differ`` elements at most: (n1, n2, how many subsets of parts a set may leave out)."""
+    if not differ:
+        return 1, 1, 0
+    n1 = int(np.ceil((1 + SPARE) * (differ + 1) / (K2 + 1)))
+    agreed = 2 * n1 - differ if differ >= n1 else 3 * n1 - 2 * differ
+    return n1, N2, agreed - 1
+
+
 def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
     """PartEnum signatures of a set (sorted hashes) for similarity of num/den and more."""
     n = len(elements)
@@ -77,14 +96,16 @@ def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
     for band in (own, own + 1):
         if band > own and n * den // num < starts[band]:
             break
-        differ = 2 * (starts[band + 1] - 1) * (den - num) // (den + num)
-        spare = int(SPARE * (differ + 1))
-        parts = differ + 1 + spare
+        n1, n2, spare = part_plan(2 * (starts[band + 1] - 1) * (den - num) // (den + num))
+        parts = n1 * n2
         cuts = np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts if parts > 1 else 0)
         edges = np.concatenate(([0], np.searchsorted(elements, cuts), [n]))
-        name = H.mix(np.arange(1, parts + 1, dtype=np.uint64) * _SEEDS[3] + np.uint64(band))
-        signs = H.mix((total[edges[1:]] - total[edges[:-1]]) ^ name)
-        out.append(signs[np.argsort(np.diff(edges), kind="stable")[spare:]])
+        sums, sizes = (total[edges[1:]] - total[edges[:-1]]).reshape(n1, n2), np.diff(edges).reshape(n1, n2)
+        subsets = SUBSETS if n2 > 1 else ((0,),)
+        content = np.stack([sums[:, list(c)].sum(axis=1) for c in subsets], axis=1).ravel()
+        filled = np.stack([sizes[:, list(c)].sum(axis=1) for c in subsets], axis=1).ravel()
+        name = H.mix(np.arange(1, len(content) + 1, dtype=np.uint64) * _SEEDS[3] + np.uint64(band))
+        out.append(H.mix(content ^ name)[np.argsort(filled, kind="stable")[spare:]])
     return np.concatenate(out)
 
 
@@ -262,8 +283,8 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     described = materialize(docs.mapInArrow(_describe(k, num, den), "doc_id long, text_hash long, n_shingles long, s1 long, s2 long, signs array<long>, sketch binary"))
     sets = described.select("doc_id", "text_hash", "n_shingles", "s1", "s2")
     linked = sets.where("n_shingles > 0 and doc_id is not null")
-    reps = linked.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("n_shingles").alias("n_shingles"))
-    reps = reps.select("s1", "s2", F.col("row.doc_id").alias("rep"), F.col("row.text_hash").alias("text_hash"), "n_shingles")
+    reps = linked.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("copies"))
+    reps = reps.select("s1", "s2", F.col("row.doc_id").alias("rep"), F.col("row.text_hash").alias("text_hash"), "n_shingles", "copies")
 
     chained = _candidates(described.where("doc_id is not null and signs is not null"), num, den)
     clusters = components(chained).select(F.col("id").alias("s1"), F.col("component").alias("cluster"))
@@ -280,10 +301,12 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     placed = members.join(found, "s1").select("s1", "s2", "node", "rep")
     least = placed.groupBy("node").agg(F.min("rep").alias("component"))
     group = reps.join(placed.join(least, "node").select("s1", "s2", "component"), ["s1", "s2"], "left")
-    group = group.select("s1", "s2", F.coalesce("component", "rep").alias("component"))
+    group = materialize(group.select("s1", "s2", F.coalesce("component", "rep").alias("component"), "copies"))
     empty = F.col("n_shingles") == 0
-    sets = sets.withColumn("s1", F.when(~empty, F.col("s1"))).withColumn("s2", F.when(~empty, F.col("s2")))
-    out = sets.join(group, ["s1", "s2"], "left")
+    alone = lambda i: F.xxhash64(F.lit(i), "doc_id", "text_hash")  # noqa: E731  empty sets have no group
+    sets = sets.withColumns({s: F.when(~empty, F.col(s)).otherwise(alone(s)) for s in ("s1", "s2")})
+    # a text in a third of all rows is one key here
+    out = skew_join(sets, group, ["s1", "s2"], "copies", ["doc_id", "text_hash"], "left")
     return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 

@@ -9,7 +9,7 @@ import zipfile
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -40,6 +40,11 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(archive))
 
 
+def row_identity(doc_id: Column, text: Column) -> list[Column]:
+    """Two 64-bit hashes that tell a row's (doc_id, text) apart from all others; a missing id is an id of its own."""
+    return [F.xxhash64(F.lit(k), doc_id.isNull(), doc_id, text) for k in (1, 2)]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -88,6 +95,41 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys of the largest weights that ``skew_join`` broadcasts: no other key has more than a thousandth of the weight.
+HEAVY = 1000
+
+
+def skew_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str, spread: list[str], how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small`` (a written table, one row a key) where a few keys may hold most rows of ``big``.
+
+    The HEAVY rows of ``small`` with the largest ``weight`` are broadcast, and
+    the rows of ``big`` that meet them are dealt by ``spread`` instead of by the
+    key; all other rows meet in an ordinary join. The weight isn't returned.
+    """
+    values = [c for c in small.columns if c not in keys and c != weight]
+    row = F.struct(*values)
+    heavy = small.orderBy(F.desc(weight), *keys).limit(HEAVY).select(*keys, row.alias("_heavy"))
+    big = big.join(F.broadcast(heavy), keys, "left")
+    away = lambda i: F.xxhash64(F.lit(i), *spread)
+    big = big.withColumns({f"_k{i}": F.when(F.col("_heavy").isNull(), F.col(k)).otherwise(away(i)) for i, k in enumerate(keys)})
+    light = small.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), row.alias("_light"))
+    joined = big.join(light.hint("merge"), [f"_k{i}" for i in range(len(keys))], "left").withColumn("_row", F.coalesce("_heavy", "_light"))
+    if how == "inner":
+        joined = joined.where("_row is not null")
+    return joined.select(*(c for c in big.columns if c != "_heavy" and not c.startswith("_k")), *(F.col(f"_row.{v}").alias(v) for v in values))
+
+
+def hash_sample(df: DataFrame, key: Column, limit: int) -> DataFrame:
+    """About ``limit`` rows, those with the smallest hashes ``key`` (a long); at most ``limit``.
+
+    Rows are filtered by the hash first, so that few reach the task that orders them.
+    """
+    n = df.count()
+    if n > 8 * limit:
+        df = df.where(F.pmod(key, F.lit(1 << 30)) < F.lit(int((1 << 30) * 4 * limit / n) + 1))
+    return df.orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(limit)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an edge table (a long, b long).
 

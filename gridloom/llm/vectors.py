@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import hash_sample
+
 
 def usable(vector: Column) -> Column:
     """Not null or empty, all components finite, and not all zero."""
@@ -29,7 +31,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def bounded_sample(vectors: DataFrame, id_column: str, limit: int) -> np.ndarray:
     """Unit vectors of the ``limit`` rows with the smallest hashes of their ids (column v, one length)."""
-    rows = vectors.orderBy(F.xxhash64(id_column), id_column).select("v").limit(limit).collect()
+    rows = hash_sample(vectors.select(id_column, "v"), F.xxhash64(id_column), limit).select("v").collect()
     return unit(np.array([r.v for r in rows], dtype=np.float64)) if rows else np.zeros((0, 0))
 
 
@@ -38,12 +40,22 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * x @ y.T, 0)
 
 
+#: Rows whose distances to all centres are held at a time.
+ROWS = 1000
+
+
+def nearest_center(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    if not len(x):
+        return np.zeros(0, dtype=np.int64)
+    return np.concatenate([distances(x[at : at + ROWS], centers).argmin(axis=1) for at in range(0, len(x), ROWS)])
+
+
 def k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Lloyd's algorithm on a bounded sample, from evenly spaced rows; an empty cell keeps its centroid."""
     k = max(1, min(k, len(x)))
     centers = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        near = distances(x, centers).argmin(axis=1)
+        near = nearest_center(x, centers)
         count = np.bincount(near, minlength=k)
         for d in range(x.shape[1]):
             sums = np.bincount(near, weights=x[:, d], minlength=k)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -7,11 +8,14 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
+import zstandard
 from pyspark.sql import functions as F
 
 from gridloom.llm import compression_quality as Q
+from gridloom.llm import hashing as H
 from gridloom.llm import line_dedup as L
 from gridloom.llm import mixing as X
 from gridloom.llm import phrase_automata as P
@@ -67,6 +71,98 @@ def test_hot_anchors_give_the_same(docs, rows, monkeypatch):
     same(P.phrase_dedup(docs, 12), brute_words(rows, 12), ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def test_an_anchor_in_very_many_segments_is_dealt_again(spark):
+    """More distinct segments than HOT share one gram; only some windows repeat."""
+    rnd = random.Random(8)
+    gram, words = " ".join(f"g{i}" for i in range(12)), lambda k: " ".join(rnd.choice("abcdefghij") + str(rnd.randrange(90)) for _ in range(k))
+    tail = words(25)
+    rows = [(i, f"{words(30)} {gram} {tail if i % 9 == 0 else words(25)}", "en", "s", 1) for i in range(R.R.HOT + 200)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    units = P.word_units(35)
+    found = R.R.occurrences(R.R.keyed(df).withColumn("copies", F.lit(1).cast("long")), units, units.grams[0])
+    assert R.R.recurring(found).where("hot").count() > R.R.HOT
+    same(P.phrase_dedup(df, 35), brute_words(rows, 35), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    same(R.suffix_dedup(df, 160), brute_bytes(rows, 160), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def test_grams_grow_to_the_window():
+    assert R.R.gram_lengths(400, 64) == (64, 128, 256, 400) and R.R.gram_lengths(35, 12) == (12, 24, 35) and R.R.gram_lengths(3, 9) == (3,)
+
+
+def test_rows_without_an_id_whose_texts_hash_alike(spark):
+    """Pairs of null-id texts, one short and one long, that Spark's 32-bit hash takes for equal."""
+    rnd = random.Random(3)
+    words = lambda k: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(k))
+    shared, head = words(50), words(60)
+    ids = spark.range(150_000).select(F.concat(F.lit("s"), "id").alias("a"), F.concat(F.lit(head + " " + shared + " e"), "id").alias("b"))
+    short, long = ids.select("a", F.hash("a").alias("h")), ids.select("b", F.hash("b").alias("h"))
+    pairs = short.join(long, "h").limit(3).collect()
+    assert pairs
+    rows = [(None, p[c], "en", "s", 1) for p in pairs for c in ("a", "b")] + [(7, shared, "en", "s", 1), (-(1 << 63), shared + " z", "en", "s", 1), (None, shared + " z", "en", "s", 1)]
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    same(P.phrase_dedup(df, 35), brute_words(rows, 35), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    same(R.suffix_dedup(df, 100), brute_bytes(rows, 100), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    library = sentencepiece.SentencePieceProcessor(model_file=SP.MODEL)
+    got = SP.encode(df.select("doc_id", "text"), giant=4).collect()
+    assert len(got) == len(rows) and all(list(r.ids) == library.encode(r.text) for r in got)
+
+
+def thue_morse(n, first="a", second="b"):
+    return "".join(second if i.bit_count() % 2 else first for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_thue_morse_words_are_told_apart(spark, n):
+    """A word of this kind and its complement collide under polynomials modulo powers of two, whatever the base."""
+    one, two = thue_morse(n), thue_morse(n, "b", "a")
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"x y {one} z w", "en", "s", 1), (2, f"x y {two} z w", "en", "s", 1), (3, f"{one} {rest}", "en", "s", 1), (4, f"{two} {rest}", "en", "s", 1)]
+    rows += [(5, " ".join(c + "x" for c in one), "en", "s", 1), (6, " ".join(c + "x" for c in two), "en", "s", 1)]
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    same(J.jaccard_components(df, 3, 90, 100), brute_jaccard(rows, 3, 90, 100), ["doc_id", "n_shingles", "component_id"])
+    same(P.phrase_dedup(df, 35), brute_words(rows, 35), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    same(R.suffix_dedup(df, 400), brute_bytes(rows, 400), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def test_arithmetic_modulo_the_prime():
+    rnd, p = random.Random(1), int(H.PRIME)
+    a, b = ([rnd.randrange(p) for _ in range(500)] + [0, 1, p - 1, p] for _ in range(2))
+    assert H.multiply(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)).tolist() == [x * y % p for x, y in zip(a, b, strict=True)]
+    total, v = 0, [rnd.randrange(1 << 64) for _ in range(300)]
+    sums = H.running(np.array(v, dtype=np.uint64)).tolist()
+    for i, x in enumerate(v):
+        total = (total + (x & p) * pow(H.BASES[0], i, p)) % p
+        assert sums[i + 1] == total
+
+
+def test_the_automaton_decides(monkeypatch):
+    """Spans are its matches: without it there are none, and counting alone would keep a window that occurs once."""
+    texts = [tuple(range(10)), (99, *range(2, 8)), tuple(range(50, 60))]
+    assert P.matches(texts, [1, 1, 1], 4) == [[(2, 8)], [(1, 7)], []] and P.matches(texts[2:], [2], 4) == [[(0, 10)]]
+    with monkeypatch.context() as m:
+        m.setattr(P.H, "range_hashes", lambda total, first, last: np.zeros(len(first), np.uint64))  # all windows look alike
+        assert P.matches([tuple(range(4)), tuple(range(4, 8))], [1, 1], 4) == [[], []]
+    m = P.automaton([], 4)
+    monkeypatch.setattr(P, "automaton", lambda *_: type("None_", (), {"iter": lambda self, t: iter(())})())
+    assert P.matches(texts, [1, 1, 1], 4) == [[], [], []]
+
+
+def test_repeat_groups_hold_all_occurrences(spark):
+    rnd = random.Random(5)
+    base = "".join(rnd.choice("abcdef") for _ in range(90))
+    rows = [(1, "x" + base + "y", "en", "s", 1), (2, base, "en", "s", 1), (3, "zz" + base + "q", "en", "s", 1), (4, "nothing here", "en", "s", 1), (None, base[:60], "en", "s", 1)]
+    got = R.repeat_groups(spark.createDataFrame(rows, DOCS), 50).collect()
+    text = {r[0]: r[1] for r in rows}
+    groups: dict = {}
+    for r in got:
+        groups.setdefault((r.group, r.length), set()).add((r.doc_id, r.start, text[r.doc_id][r.start : r.start + r.length]))
+    assert groups and all(len({t for _, _, t in g}) == 1 for g in groups.values())
+    for (_, length), g in groups.items():
+        inside = next(iter(g))[2]
+        assert {(i, k) for i, t in text.items() for k in range(len(t) - length + 1) if t[k : k + length] == inside} == {(i, k) for i, k, _ in g}
+    assert {k for k, g in groups.items() if len(g) == 3} and {k for k, g in groups.items() if len(g) == 4}
+
+
 def test_kept_text(docs):
     assert P.phrase_dedup(docs, keep_text=True).where("kept is null").count() == 0
     assert R.suffix_dedup(docs, keep_text=True).where("kept is null").count() == 0
@@ -125,6 +221,32 @@ def test_similar_sets_share_a_signature():
             assert set(J.signatures(a, 90, 100).tolist()) & set(J.signatures(b, 90, 100).tolist())
 
 
+def test_signatures_are_subsets_of_parts():
+    """Two sets that differ in one element of a first-level part still share a subset of its parts; single whole parts wouldn't."""
+    n1, n2, spare = J.part_plan(1)
+    assert (n1, n2, spare) == (2, 3, 3) and J.part_plan(0) == (1, 1, 0)
+    for k in range(1, 60):
+        n1, n2, spare = J.part_plan(k)
+        worst = min(sum((3, 1, 0)[min(d, 2)] for d in split) for split in _spreads(k, n1)) if k < 9 else None
+        assert n1 * 2 > k and 0 <= spare < n1 * 3 and worst in (None, spare + 1)
+    elements = np.arange(1, 41, dtype=np.uint64) * np.uint64((1 << 64) // 41)
+    starts = J._bands(40, 90, 100)
+    band = int(np.searchsorted(starts, 40, side="right")) - 1
+    expected = 0
+    for b in (band, band + 1):
+        if b == band or 40 * 100 // 90 >= starts[b]:
+            n1, n2, spare = J.part_plan(2 * (starts[b + 1] - 1) * 10 // 190)
+            expected += n1 * (3 if n2 > 1 else 1) - spare
+    assert len(J.signatures(elements, 90, 100)) == expected
+
+
+def _spreads(k, n):
+    """Ways to deal k differences to n parts, two at most of use in each."""
+    for twos in range(min(n, k // 2) + 1):
+        for ones in range(min(n - twos, k - 2 * twos) + 1):
+            yield [2] * twos + [1] * ones + [0] * (n - twos - ones)
+
+
 def test_sketches_never_differ_more_than_sets():
     rnd = np.random.default_rng(0)
     for _ in range(300):
@@ -204,6 +326,28 @@ def test_quality_tells_held_out_rows_apart(spark, sf_dir):
     assert auc > 0.95 and ((scored.score >= 0.5) == good).mean() > 0.95
 
 
+def test_scores_equal_sizes_recomputed_with_zstandard(docs, labels, rows):
+    model = Q.fit(docs, labels)
+    machines = [zstandard.ZstdCompressor(level=Q.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False) for d in (model.good, model.bad)]
+    want = []
+    for i, text, *_ in rows:
+        data = (text or "").encode()
+        good, bad = (sum(len(m.compress(data[k : k + Q.PIECE])) for k in range(0, len(data), Q.PIECE)) for m in machines)
+        curve = sum(len(data) >= edge for edge in Q.LENGTHS)
+        logit = model.intercepts[curve] + model.slopes[curve] * (bad - good) / max(len(data), 1)
+        want.append((i, 1 / (1 + math.exp(-max(-35, min(35, logit))))))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r.doc_id, r.score) for r in Q.score(docs, labels).collect()), key=key)
+    for a, b in zip(got, sorted(want, key=key), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-9)
+
+
+def test_training_pieces_are_whole_texts(rows):
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(rows), pa.int32()), pa.array([r[1] for r in rows])], names=["quality", "text"])
+    for out, (_, text, *_) in zip(Q._pieces(iter([batch])), rows, strict=True):
+        assert b"".join(out.column("piece").to_pylist()) == (text or "").encode()
+
+
 def test_labels_of_held_out_rows_are_never_read(docs, labels):
     flipped = labels.withColumn("quality", F.when(Q.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = Q.score(docs, labels), Q.score(docs, flipped)
@@ -233,18 +377,60 @@ def test_rows_that_share_an_id_link_by_their_own_texts(spark):
         assert sorted(tuple(r) for r in J.one_of_each(df, 3, 90, 100).collect()) == sorted([(5, two), (3, near_one)])
 
 
-def test_secrets(spark):
+def secret_rows(n=60):
     rnd = random.Random(1)
-    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
-    rows = [(i, f'the quick brown fox token = "{hexes(40)}" jumps over antidisestablishmentarianism and 4111111111111111 there', "en", "s", 1) for i in range(60)]
-    rows += [(100, None, "en", "s", 1), (101, "", "en", "s", 1), (0, rows[0][1], "en", "s", 1), (102, "é" * 50 + "x" * 20_000, "en", "s", 1)]
+    hexes = lambda k: "".join(rnd.choice("0123456789abcdef") for _ in range(k))
+    rows = [(i, f'the quick brown fox token = "{hexes(40)}" jumps over antidisestablishmentarianism and 4111111111111111 there', "en", "s", 1) for i in range(n)]
+    return [*rows, (100, None, "en", "s", 1), (101, "", "en", "s", 1), (0, rows[0][1], "en", "s", 1), (102, "é" * 50 + "x" * 20_000, "en", "s", 1), (None, f"bare {hexes(40)} here", "en", "s", 1)]
+
+
+def test_secrets(spark):
+    rows = secret_rows()
     df = spark.createDataFrame(rows, DOCS)
     out = S.scan(df)
     secret = out.where("is_secret").collect()
-    assert len(secret) == 61 and all(r.end - r.start == 40 for r in secret) and out.count() == 3 * 61 + 1
+    assert len(secret) == 61 and all(r.end - r.start == 40 for r in secret) and out.count() == 3 * 61 + 2
     found = S.candidates(df).limit(0)
     assert S.classify(S.candidates(df), found.withColumn("label", F.lit(1))).where("probability < 1").count() == 0
     assert S.scan(df.limit(0)).count() == 0
+    wide = df.withColumns({c: F.lit(c) for c in ("near", "features", "label", "digest", "start", "w")})
+    assert S.scan(wide).exceptAll(out).count() == 0
+
+
+def test_secret_candidates_equal_brute_force(spark):
+    rows = secret_rows(20)
+    docs = spark.createDataFrame(rows, DOCS)
+    surprise, words = S.corpus_model(docs)
+
+    def longest_first(text):
+        at = inside = 0
+        while at < len(text):
+            n = next((n for n in range(min(15, len(text) - at), 2, -1) if text[at : at + n] in words), 0)
+            inside, at = inside + n, at + (n or 1)
+        return inside / len(text)
+
+    want = []
+    for doc, text, *_ in rows:
+        for m in S.CANDIDATE.finditer(text or ""):
+            c = m.group()
+            kinds = [1 if x.isdigit() else 2 if x.isupper() else 3 if x.islower() else 0 for x in c]
+            pairs = [surprise[ord(a), ord(b)] for a, b in zip(c.lower(), c.lower()[1:], strict=False)]
+            want.append((doc, m.start(), m.end(), len(c), len(set(kinds)), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / (len(c) - 1), sum(pairs) / len(pairs), longest_first(c.lower())))
+    pick = [S.FEATURES.index(f) for f in ("length", "kinds", "switches", "surprise", "coverage")]
+    got = [(r.doc_id, r.start, r.end, *(r.features[i] for i in pick)) for r in S.candidates(docs).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:3])
+    assert len(got) == len(want)
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], abs=1e-9)
+
+
+def test_findings_decide_what_is_a_secret(spark):
+    """The forest learns from the findings it is given: labelled the other way round, it answers the other way round."""
+    df = spark.createDataFrame(secret_rows(), DOCS)
+    found = S.candidates(df).cache()
+    flipped = S.assigned_findings(found).withColumn("label", 1 - F.col("label"))
+    secret = S.scan(df, flipped).where("is_secret").collect()
+    assert secret and all(r.end - r.start != 40 for r in secret if r.doc_id not in (None, 102))
 
 
 def test_corpus_model_counts_all_whole_texts(spark):
@@ -327,7 +513,7 @@ def test_pass_through_columns(wide, labels):
 def test_empty_tables(spark, docs, labels):
     none = docs.limit(0)
     for out in (
-        R.suffix_dedup(none), P.phrase_dedup(none), J.jaccard_components(none), L.dedup_lines(none), X.plan(none), X.mix(none), Q.score(none, labels),
+        R.suffix_dedup(none), R.repeat_groups(none), P.phrase_dedup(none), J.jaccard_components(none), L.dedup_lines(none), X.plan(none), X.mix(none), Q.score(none, labels),
         Q.accepted(none, labels), SP.decode(SP.encode(none)), J.one_of_each(none), L.without_common_lines(none),
     ):
         assert out.count() == 0
