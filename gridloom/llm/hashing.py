@@ -40,8 +40,7 @@ _WORD_BYTES = {flag: _table(flag) for flag in (False, True)}
 PRIME = np.uint64((1 << 61) - 1)
 _M31, _M30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 _S61, _S31, _S30, _ONE = (np.uint64(k) for k in (61, 31, 30, 1))
-#: Bases of two independent rolling hashes.
-BASES = (0x0D6E8FEB86659FD9, 0x15C2A7F1B3E96D47)
+BASE = 0x0D6E8FEB86659FD9
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -65,29 +64,29 @@ def powers(n: int, base: int) -> np.ndarray:
     return out
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = []
 
 
-def power_tables(n: int, base: int = BASES[0]) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> list[np.ndarray]:
     """The base's powers and their inverses, n of each at least."""
-    if base not in _POWERS or n > len(_POWERS[base][0]):
+    if not _POWERS or n > len(_POWERS[0]):
         n = max(n, 1 << 14)
-        _POWERS[base] = powers(n, base), powers(n, pow(base, -1, int(PRIME)))
-    return _POWERS[base]
+        _POWERS[:] = powers(n, BASE), powers(n, pow(BASE, -1, int(PRIME)))
+    return _POWERS
 
 
-def running(values: np.ndarray, base: int = BASES[0]) -> np.ndarray:
+def running(values: np.ndarray) -> np.ndarray:
     """Prefix sums of a polynomial in the base, modulo PRIME; one longer than ``values``."""
     total = np.zeros(len(values) + 1, dtype=np.uint64)
-    terms = multiply(values & PRIME, power_tables(len(values) + 1, base)[0][: len(values)])
+    terms = multiply(values & PRIME, power_tables(len(values) + 1)[0][: len(values)])
     high = np.cumsum(terms >> _S31, dtype=np.uint64)
     total[1:] = _reduced((high >> _S30) + ((high & _M30) << _S31) + np.cumsum(terms & _M31, dtype=np.uint64))
     return total
 
 
-def range_hashes(total: np.ndarray, first: np.ndarray, last: np.ndarray, base: int = BASES[0]) -> np.ndarray:
+def range_hashes(total: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of values[first:last] from ``running(values)``: equal contents, equal hashes."""
-    return mix(multiply(_reduced(total[last] + PRIME - total[first]), power_tables(len(total), base)[1][first]))
+    return mix(multiply(_reduced(total[last] + PRIME - total[first]), power_tables(len(total))[1][first]))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

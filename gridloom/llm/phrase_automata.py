@@ -46,8 +46,12 @@ def _piece(window: int):
     return cut
 
 
-def passages(texts: list[tuple[int, ...]], copies: list[int], window: int) -> list[tuple[int, ...]]:
-    """Runs of one witness each of the windows that may start in two places: the recurring passages, each part of them once."""
+def passages(texts: list[tuple[int, ...]], copies: list[int], window: int) -> list[tuple[tuple[int, ...], int]]:
+    """The patterns of a shard: runs of one witness each of the windows that may start in two places, and their pattern length.
+
+    A run that no other text holds any window of (its text was found several
+    times) is one pattern; of other runs each window is one.
+    """
     size = np.array([len(t) for t in texts], dtype=np.int64)
     base = np.concatenate(([0], np.cumsum(size)))
     flat = np.fromiter((w for t in texts for w in t), dtype=np.int64, count=int(base[-1]))
@@ -55,55 +59,49 @@ def passages(texts: list[tuple[int, ...]], copies: list[int], window: int) -> li
     owner = np.repeat(np.arange(len(texts)), windows)
     start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + base[owner]
     total = H.running(H.mix(flat.astype(np.uint64) + np.uint64(1)))
-    _, first, which = np.unique(H.range_hashes(total, start, start + window), return_index=True, return_inverse=True)
+    _, first, which, held = np.unique(H.range_hashes(total, start, start + window), return_index=True, return_inverse=True, return_counts=True)
     several = np.bincount(which, weights=np.array(copies, dtype=np.float64)[owner]) > 1
-    witness = np.zeros(len(flat) + 1, dtype=bool)
-    witness[start[first[several]]] = True
-    # a run must not reach from one text into the next
-    last = base[1:] - window
+    # a run ends where its text does and where windows begin or cease to be held elsewhere too
+    witness = np.full(len(flat) + 1, -1, dtype=np.int64)
+    witness[start[first[several]]] = 2 * owner[first[several]] + (held[several] > 1)
+    edges = np.flatnonzero(np.diff(witness, prepend=-1))
     out = []
-    for a, b in R.flagged_runs(witness[:-1]).tolist():
-        while a < b:
-            stop = min(b, int(last[np.searchsorted(base, a, side="right") - 1]) + 1)
-            out.append(tuple(flat[a : stop + window - 1].tolist()))
-            a = stop
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(witness)], strict=True):
+        if (kind := int(witness[a])) >= 0:
+            run = tuple(flat[a : b + window - 1].tolist())
+            out.append((run, window if kind % 2 else len(run)))
     return out
 
 
-def automaton(patterns: list[tuple[int, ...]], window: int) -> ahocorasick.Automaton:
-    """All windows of the passages, each with a number of its own."""
+def automaton(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[ahocorasick.Automaton, np.ndarray]:
+    """All patterns of the runs, each with a number of its own, and their lengths."""
     out = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    n = 0
-    for pattern in patterns:
-        for i in range(len(pattern) - window + 1):
-            out.add_word(pattern[i : i + window], n)
-            n += 1
+    lengths: list[int] = []
+    for run, length in patterns:
+        for i in range(len(run) - length + 1):
+            out.add_word(run[i : i + length], len(lengths))
+            lengths.append(length)
     out.make_automaton()
-    return out
+    return out, np.array(lengths, dtype=np.int64)
 
 
 def matches(texts: list[tuple[int, ...]], copies: list[int], window: int) -> list[list[tuple[int, int]]]:
-    """(from, to) of the words of each text that lie in a window which the automaton finds in two places at least."""
+    """(from, to) of the words of each text that lie in a pattern which the automaton finds in two places at least."""
     if not (patterns := passages(texts, copies, window)):
         return [[] for _ in texts]
-    machine = automaton(patterns, window)
-    places = np.zeros(sum(len(p) - window + 1 for p in patterns), dtype=np.int64)
+    machine, lengths = automaton(patterns)
+    places = np.zeros(len(lengths), dtype=np.int64)
     found = []
     for text, n in zip(texts, copies, strict=True):
-        own = list(machine.iter(text))
+        own = np.array(list(machine.iter(text)), dtype=np.int64).reshape(-1, 2)
         found.append(own)
-        np.add.at(places, np.array([k for _, k in own], dtype=np.int64), n)
+        np.add.at(places, own[:, 1], n)
     out = []
-    for own in found:
-        spans: list[tuple[int, int]] = []
-        for last, k in own:  # matches come by their end
-            if places[k] > 1:
-                a = last - window + 1
-                if spans and spans[-1][1] >= a:
-                    spans[-1] = (spans[-1][0], last + 1)
-                else:
-                    spans.append((a, last + 1))
-        out.append(spans)
+    for text, own in zip(texts, found, strict=True):
+        own = own[places[own[:, 1]] > 1]
+        ends = own[:, 0] + 1
+        spans = np.stack([ends - lengths[own[:, 1]], ends], axis=1)
+        out.append([(a, b) for a, b in R.flagged_runs(R.covered(len(text), spans)).tolist()])
     return out
 
 

@@ -15,8 +15,8 @@ whose anchors are longer grams, up to the window itself, where an anchor has one
 distinct segment. Every round ends in the same exact step.
 
 A row is told apart by a 128-bit hash of its doc_id (or that it has none) and
-its text; a segment by two rolling hashes of 61 bits each. Repeated rows are
-counted as the separate texts they are.
+its text; a segment by a 128-bit hash of its units. Repeated rows are counted as the
+separate texts they are.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ from .tables import materialize, row_identity, ship, skew_join
 _POS = np.uint64((1 << 24) - 1)
 #: Units of one text that are handled at a time; longer texts are cut, overlapping by a window.
 SLICE = 1 << 20
-#: Distinct segments that meet in one block; an anchor with more is dealt by longer grams.
-HOT = 500
+#: Distinct segments that meet in one block (two megabytes of bytes); an anchor with more is dealt by longer grams.
+HOT = 3000
 
 
 class Units(NamedTuple):
@@ -58,20 +59,22 @@ def gram_lengths(window: int, first: int) -> tuple[int, ...]:
 
 
 def segments(values: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor, two content hashes, first unit, number of windows) of each segment of one text."""
+    """(anchor, the halves of a 128-bit hash of the content, first unit, number of windows) of each segment of one text."""
     total = len(values) - window + 1
     for at in range(0, total, SLICE):
         part = values[at : at + SLICE + window - 1]
         n = len(part) - window + 1
-        one, two = (H.running(part, base) for base in H.BASES)
+        total_hash = H.running(part)
         begin = np.arange(len(part) - gram + 1)
-        grams = H.range_hashes(one, begin, begin + gram)
+        grams = H.range_hashes(total_hash, begin, begin + gram)
         packed = (grams & ~_POS) | begin.astype(np.uint64)
         place = (H.sliding_min(packed, window - gram + 1) & _POS).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1))
         windows = np.diff(first, append=n)
-        last = first + windows + window - 1
-        yield grams[place[first]], H.range_hashes(one, first, last, H.BASES[0]), H.range_hashes(two, first, last, H.BASES[1]), first + at, windows
+        bounds = zip((first * 8).tolist(), ((first + windows + window - 1) * 8).tolist(), strict=True)
+        memory = memoryview(np.ascontiguousarray(part)).cast("B")
+        content = np.frombuffer(b"".join([xxhash.xxh3_128_digest(memory[a:b]) for a, b in bounds]), dtype=np.int64).reshape(-1, 2)
+        yield grams[place[first]], content[:, 0], content[:, 1], first + at, windows
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -111,12 +114,12 @@ def occurrences(texts: DataFrame, units: Units, gram: int) -> DataFrame:
 
 def recurring(found: DataFrame) -> DataFrame:
     """Distinct segments whose anchor occurs at least twice, with their multiplicity and one place that holds them."""
-    one = F.xxhash64("r1", "r2", "first")
+    # the row with the smallest hash holds it, so that segments shared by the same rows are cut from one
     distinct = found.groupBy("anchor", "c1", "c2").agg(
         F.sum("copies").alias("copies"),
-        F.min_by("r1", one).alias("r1"),
-        F.min_by("r2", one).alias("r2"),
-        F.min_by("first", one).alias("first"),
+        F.min("r1").alias("r1"),
+        F.min_by("r2", "r1").alias("r2"),
+        F.min_by("first", "r1").alias("first"),
         F.min("windows").alias("windows"),
     )
     by = distinct.groupBy("anchor").agg(F.sum("copies").alias("n"), (F.count(F.lit(1)) > HOT).alias("hot"))
