@@ -22,6 +22,11 @@ def floor_minutes(ts: Column, minutes: int) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / size) * size)
 
 
+def has_zone(text: Column) -> Column:
+    """Does a time written as text end in a zone?"""
+    return text.rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$")
+
+
 def localize_utc(local: Column, tz: str) -> Column:
     """The UTC instant of a local wall time: null where it is ambiguous, the hour's start where the clock skips it."""
     at = F.to_utc_timestamp(local, tz)

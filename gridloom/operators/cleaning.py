@@ -11,11 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Config
 from ..functions import clock
 from ..functions.solar import clearsky_ghi, solar_position
-from ..schema import SchemaError
+from ..schema import SchemaError, utc
 from .validation import filter_start_date
 
 GAP_COLUMNS = ("M1_cons", "M1_prod", "grid_import", "grid_export", "net_exchange")
@@ -62,15 +63,15 @@ def interpolate_gaps(df: DataFrame, columns: Sequence[str] = GAP_COLUMNS, limit:
 
     Sums fall below zero only by rounding, so all but net_exchange are held at 0.
     """
-    order = Window.partitionBy("device_id").orderBy("ts_hour")
-    past = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    future = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    df = df.withColumn("_i", F.row_number().over(order))
+    own = Window.partitionBy("device_id")
+    # what comes next is the last of the reversed order: frames that only grow cost one step a row
+    past, ahead = (own.orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in ("ts_hour", F.desc("ts_hour")))
+    df = df.withColumn("_i", F.row_number().over(own.orderBy("ts_hour")))
     out = {}
     for c in columns:
         at = F.when(F.col(c).isNotNull(), F.col("_i"))
-        before, after = F.last(c, True).over(past), F.first(c, True).over(future)
-        i, j = F.last(at, True).over(past), F.first(at, True).over(future)
+        before, after = F.last(c, True).over(past), F.last(c, True).over(ahead)
+        i, j = F.last(at, True).over(past), F.last(at, True).over(ahead)
         line = F.when(after.isNull(), before).otherwise(before + (after - before) * (F.col("_i") - i) / (j - i))
         fill = F.when(F.col(c).isNotNull(), F.col(c)).when(F.col("_i") - i <= limit, line)
         out[c] = fill if c in SIGNED else clock.at_least(fill, 0.0)
@@ -82,9 +83,21 @@ def gap_flag(df: DataFrame) -> DataFrame:
 
 
 def prepare_weather(df: DataFrame, cfg: Config, tz: str | None = None, site: str | None = None) -> DataFrame:
-    """One row an hour (and site) in UTC with ghi_ramp, the change of irradiance since the hour before."""
-    at = F.col("datetime").cast("timestamp")
-    df = df.withColumn("datetime", clock.localize_utc(at, tz) if tz else at).where("datetime is not null")
+    """One row an hour (and site) in UTC with ghi_ramp, the change of irradiance since the hour before.
+
+    Times without a zone are wall times in ``tz``, the fleet's own by default: an
+    hour that occurs twice is left out, one that the clock skips moves to the change.
+    """
+    utc(df.sparkSession)
+    kind, local = df.schema["datetime"].dataType, tz or cfg.local_tz
+    if isinstance(kind, T.StringType):
+        wall = F.try_to_timestamp("datetime")
+        at = F.when(clock.has_zone(F.col("datetime")), wall).otherwise(clock.localize_utc(wall, local))
+    elif isinstance(kind, T.TimestampType) and tz is None:
+        at = F.col("datetime")  # an instant already
+    else:
+        at = clock.localize_utc(F.col("datetime").cast("timestamp"), local)
+    df = df.withColumn("datetime", at).where("datetime is not null")
     keys = ([site] if site else []) + ["datetime"]
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
     first = Window.partitionBy(*keys).orderBy(*(rest or [F.lit(0)]))

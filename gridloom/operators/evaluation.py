@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.clock import hours
+from ..functions.clock import at_least, hours
 from ..schema import SchemaError
 from . import features as X
 from . import models as M
-from .joins import join_actuals, long_targets
+from .joins import forecast_hours, join_actuals, lag_lookup, long_targets, next_time
 from .summaries import metrics
 
 #: (history, origins, target) -> device_id, target, origin, ts_hour, horizon, prediction[, lower, upper]
@@ -49,8 +49,7 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
         linear = M.GroupedLinear(target, names, by, cfg.ridge)
         # sums between one origin and the next, then running sums: each origin's model from its past only
         cut = origins.select("origin").distinct()
-        after = matrix.withColumn("_day", F.date_trunc("day", "ts_hour"))
-        daily = linear.statistics(after.withColumn("_until", _next_cut(after, cut)).where("_until is not null"), [*by, "_until"])
+        daily = linear.statistics(next_time(matrix, cut, "ts_hour", "origin", "_until"), [*by, "_until"])
         model = linear.solve(linear.running(daily, "_until").withColumnRenamed("_until", "origin"), [*by, "origin"])
         rows = M.with_band(X.forecast_matrix(history, origins, target, cfg, history_weather(history), has_pv), cfg)
         out = linear.predict(model, rows, [*by, "origin"])
@@ -59,13 +58,26 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
     return run
 
 
-def _next_cut(rows: DataFrame, cut: DataFrame) -> F.Column:
-    """The first origin at or after a row's hour: origins are few (one a backtest day) and held as one array."""
-    days = sorted(r.origin for r in cut.collect())
-    if not days:
-        return F.lit(None).cast("timestamp")
-    listed = F.array(*[F.lit(d) for d in days])
-    return F.array_min(F.filter(listed, lambda d: d >= F.col("ts_hour")))
+def pooled_seasonal_backend(train: DataFrame, cfg: Config) -> Backend:
+    """One line a target on the same hour a week before, fitted once on all devices; calls only predict.
+
+    Hours whose week-old value lies after the origin have no prediction.
+    """
+    week = lambda df, target: lag_lookup(df.select("device_id", "ts_hour", target), "device_id", "ts_hour", target, [168], "_w")
+    fitted = {}
+    for target in cfg.targets:
+        y, x = F.col(target), F.col("_w_168h")
+        fitted[target] = week(train, target).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")).first()  # two numbers
+
+    def run(history: DataFrame, origins: DataFrame, target: str) -> DataFrame:
+        line = fitted[target]
+        steps = forecast_hours(origins.select("device_id", "origin"), cfg.horizon).withColumn("_at", F.col("ts_hour") - hours(168))
+        past = history.select("device_id", F.col("ts_hour").alias("_at"), F.col(target).alias("_x"))
+        known = F.when(F.col("_at") <= F.col("origin"), F.col("_x"))
+        out = steps.join(past, ["device_id", "_at"], "left").withColumn("prediction", at_least(F.lit(line.intercept) + F.lit(line.slope) * known, 0.0))
+        return out.select("device_id", F.lit(target).alias("target"), "origin", "ts_hour", "horizon", "prediction")
+
+    return run
 
 
 def history_weather(history: DataFrame) -> DataFrame | None:
@@ -125,6 +137,23 @@ def cross_validate(df: DataFrame, cfg: Config, backend: Backend) -> DataFrame:
     return out.withColumn("skill", F.when(F.col("naive_mae") > 0, 1 - F.col("cv_mae") / F.col("naive_mae")))
 
 
+def pooled_cv(df: DataFrame, cfg: Config, predict: Backend) -> DataFrame:
+    """device_id, target, cv_mae, n_origins of one shared model that is fitted already: it predicts at each fold's origins and is never refitted.
+
+    An origin needs 24 hours of its horizon in the table, and twelve of them with an actual.
+    """
+    origins = cv_origins(df, cfg).select("device_id", "origin").distinct()
+    hours_there = forecast_hours(origins, cfg.horizon).join(df.select("device_id", "ts_hour"), ["device_id", "ts_hour"])
+    origins = hours_there.groupBy("device_id", "origin").agg(F.count(F.lit(1)).alias("n")).where("n >= 24").select("device_id", "origin")
+    out = None
+    for target in cfg.targets:
+        part = predict(df, origins, target).where("prediction is not null").select("device_id", "target", "origin", "ts_hour", "prediction")
+        out = part if out is None else out.unionByName(part)
+    scored = join_actuals(out, long_targets(df, cfg.targets), cfg.min_matched_hours)
+    each = scored.groupBy("device_id", "target", "origin").agg(F.avg(F.abs(F.col("prediction") - F.col("actual"))).alias("mae"))
+    return each.groupBy("device_id", "target").agg(F.avg("mae").alias("cv_mae"), F.count(F.lit(1)).alias("n_origins"))
+
+
 def quick_train_mae(df: DataFrame, cfg: Config, backend: Backend) -> DataFrame:
     """device_id, target, mae on the last horizon's hours, which the model may have seen."""
     origins = df.groupBy("device_id").agg((F.max("ts_hour") - hours(cfg.horizon)).alias("origin"))
@@ -151,6 +180,8 @@ def comparison(rows: DataFrame, cells: DataFrame, naive: str = "naive") -> DataF
     """candidate, mae, rmse, mbe, n_rows, skill_vs_naive on the same cells for all."""
     same = rows.join(cells, ["device_id", "target", "origin"], "left_semi")
     by = metrics(same, ["candidate"]).select("candidate", "mae", "rmse", "mbe", F.col("n_samples").alias("n_rows"))
+    # a candidate without a common cell stays, with no rows
+    by = rows.select("candidate").distinct().join(by, "candidate", "left").na.fill(0, ["n_rows"])
     base = F.max(F.when(F.col("candidate") == naive, F.col("mae"))).over(Window.partitionBy())
     return by.withColumn("skill_vs_naive", F.when(base > 0, 1 - F.col("mae") / base))
 
@@ -162,14 +193,21 @@ def pick_winner(compared: DataFrame, naive: str = "naive") -> DataFrame:
     return best.join(F.broadcast(base)).select(F.when(F.col("base").isNull() | (F.col("mae") < F.col("base")), F.col("best")).otherwise(F.lit(naive)).alias("winner"))
 
 
-def benchmark(df: DataFrame, cfg: Config, candidates: Mapping[str, Backend], n_origins: int = 21, devices: DataFrame | None = None) -> dict[str, DataFrame]:
-    """comparison, per_origin and winner of named backends; the naive one always takes part."""
+def benchmark(
+    df: DataFrame, cfg: Config, candidates: Mapping[str, Backend], n_origins: int = 21, devices: DataFrame | None = None, store: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> dict[str, DataFrame]:
+    """comparison, per_origin and winner of named backends; the naive one always takes part.
+
+    ``store`` may write the scored rows and read them again: the three results
+    use them several times.
+    """
     if "naive" in candidates:
         raise SchemaError("naive: the name is taken")
     rows = None
     for name, backend in {**candidates, "naive": naive_backend(cfg)}.items():
         part = run_backtest(df, cfg, backend, devices, n_origins).withColumn("candidate", F.lit(name)).select("candidate", "device_id", "target", "origin", "horizon", "ts_hour", "actual", "prediction")
         rows = part if rows is None else rows.unionByName(part)
+    rows = store(rows)
     per_origin = per_origin_mae(rows)
     compared = comparison(rows, common_cells(per_origin))
     return {"comparison": compared, "per_origin": per_origin, "winner": pick_winner(compared)}

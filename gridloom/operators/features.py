@@ -37,7 +37,7 @@ def _lag_columns(target: str, horizon: Column, parity: bool) -> dict[str, Column
     return {
         f"{target}_same_hour_1d": first, f"{target}_same_hour_2d": d[2], f"{target}_same_hour_3d": d[3], f"{target}_same_hour_7d": d[7],
         f"{target}_same_hour_14d": d[14], f"{target}_mean_same_hour_7d": F.when(n > 0, total / n),
-        f"{target}_diff_1d": first - d[2], f"{target}_diff_7d": first - d[7],
+        f"{target}_diff_1d": first - d[2], f"{target}_diff_7d": d[7] - d[14],
     }
 
 
@@ -107,8 +107,8 @@ def split_70_15_15(df: DataFrame, by: str = "device_id", order: str = "ts_hour")
 def time_split(df: DataFrame, fraction: float, by: Sequence[str] = ("device_id",), order: str = "ts_hour") -> DataFrame:
     """Adds is_validation: the latest rows beyond ``fraction`` of each group, cut by time so that one hour stays on one side."""
     own = Window.partitionBy(*by)
-    distinct = F.size(F.collect_set(order).over(own))
-    return df.withColumn("is_validation", F.dense_rank().over(own.orderBy(order)) > F.floor(distinct * fraction))
+    df = df.withColumn("_rank", F.dense_rank().over(own.orderBy(order)))
+    return df.withColumn("is_validation", F.col("_rank") > F.floor(F.max("_rank").over(own) * fraction)).drop("_rank")
 
 
 def fit_log_scaler(df: DataFrame, value: str, by: str = "device_id") -> DataFrame:
@@ -146,34 +146,42 @@ def pool_state(df: DataFrame, target: str, context: int, horizon: int, train_end
 
 def gap_fill(df: DataFrame, value: str, by: str = "device_id", order: str = "ts_hour") -> DataFrame:
     """Last value, else next value, else 0."""
-    own = Window.partitionBy(by).orderBy(order)
-    past, future = own.rowsBetween(Window.unboundedPreceding, 0), own.rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumn(value, F.coalesce(F.last(value, True).over(past), F.first(value, True).over(future), F.lit(0.0)))
+    # the next value is the last one of the reversed order: frames that only grow cost one step a row
+    past, ahead = (Window.partitionBy(by).orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (order, F.desc(order)))
+    return df.withColumn(value, F.coalesce(F.last(value, True).over(past), F.last(value, True).over(ahead), F.lit(0.0)))
+
+
+def _series(df: DataFrame, target: str, covariates: Sequence[str], by: str, order: str, *more: str) -> DataFrame:
+    """Each device's rows as one array in time order, _a (t, y, x and more), and their number _n."""
+    # a struct keeps a null value in its place in the list
+    row = F.struct(F.col(order).alias("t"), F.col(target).cast("double").alias("y"), F.array(*[F.col(c).cast("double") for c in covariates]).alias("x"), *more)
+    return df.groupBy(by).agg(F.array_sort(F.collect_list(row)).alias("_a")).withColumn("_n", F.size("_a"))
+
+
+def _windows(series: DataFrame, anchors: Column, context: int, horizon: int, covariates: Sequence[str], by: str) -> DataFrame:
+    """One row an anchor (the number of the last context row, from 1): only the windows asked for are built."""
+    past, future = (lambda i: F.slice("_a", i - context + 1, context)), (lambda i: F.slice("_a", i + 1, horizon))
+    cut = F.transform(anchors, lambda i: F.struct(F.element_at("_a", i)["t"].alias("o"), past(i).alias("c"), future(i).alias("f")))
+    df = series.select(by, F.explode(cut).alias("_w"))
+    out = [by, F.col("_w.o").alias("origin"), F.col("_w.c.y").alias("ctx_target"), F.col("_w.f.y").alias("target")]
+    return df.select(*out, *([F.col("_w.c.x").alias("ctx_cov"), F.col("_w.f.x").alias("future_cov")] if covariates else []))
 
 
 def sequence_windows(df: DataFrame, target: str, context: int, horizon: int, stride: int, covariates: Sequence[str] = (), by: str = "device_id", order: str = "ts_hour") -> DataFrame:
     """Rolling windows as arrays: origin (time of the last context row), ctx_target, target, and ctx_cov and future_cov."""
-    own = Window.partitionBy(by).orderBy(order)
-    back, ahead = own.rowsBetween(-(context - 1), 0), own.rowsBetween(1, horizon)
-    # a struct keeps a null value in its place in the list
-    row = F.struct(F.col(target).alias("y"), F.array(*[F.col(c).cast("double") for c in covariates]).alias("x"))
-    df = df.select(by, order, F.row_number().over(own).alias("_i"), F.collect_list(row).over(back).alias("_c"), F.collect_list(row).over(ahead).alias("_f"))
-    df = df.where((F.col("_i") >= context) & ((F.col("_i") - context) % stride == 0) & (F.size("_f") == horizon))
-    out = [by, F.col(order).alias("origin"), F.col("_c.y").alias("ctx_target"), F.col("_f.y").alias("target")]
-    return df.select(*out, *([F.col("_c.x").alias("ctx_cov"), F.col("_f.x").alias("future_cov")] if covariates else []))
+    series = _series(df, target, covariates, by, order).where(F.col("_n") >= context + horizon)
+    return _windows(series, F.sequence(F.lit(context), F.col("_n") - horizon, F.lit(stride)), context, horizon, covariates, by)
 
 
 def supervised_windows(df: DataFrame, target: str, scalers: DataFrame, context: int, horizon: int, stride: int, split: str = "train") -> DataFrame:
-    """Windows whose targets all lie in one split and are all there; contexts are scaled and gap-filled."""
+    """Windows whose targets all lie in one split and are all there; contexts are scaled and gap-filled. Strides count from the first such window."""
     df = split_70_15_15(log_standardize(df, scalers, target).withColumn("_y", F.col(target)))
     own = Window.partitionBy("device_id").orderBy("ts_hour").rowsBetween(1, horizon)
-    df = df.withColumn("_ok", (F.count(F.when(F.col("split") == split, F.col("_y"))).over(own) == horizon))
-    filled = gap_fill(df, target)
-    windows = sequence_windows(filled, target, context, horizon, 1)
-    places = filled.withColumn("_i", F.row_number().over(Window.partitionBy("device_id").orderBy("ts_hour"))).where("_ok").select("device_id", F.col("ts_hour").alias("origin"), "_i")
-    windows = windows.join(places, ["device_id", "origin"])
-    start = F.min("_i").over(Window.partitionBy("device_id"))
-    return windows.withColumn("_s", start).where((F.col("_i") - F.col("_s")) % stride == 0).drop("_i", "_s")
+    df = df.withColumn("ok", F.count(F.when(F.col("split") == split, F.col("_y"))).over(own) == horizon)
+    series = _series(gap_fill(df, target), target, (), "device_id", "ts_hour", "ok").where(F.col("_n") >= context + horizon)
+    series = series.withColumn("_ok", F.filter(F.sequence(F.lit(context), F.col("_n") - horizon), lambda i: F.element_at("_a", i)["ok"])).where(F.size("_ok") > 0)
+    anchors = F.filter("_ok", lambda i: (i - F.element_at("_ok", 1)) % stride == 0)
+    return _windows(series, anchors, context, horizon, (), "device_id")
 
 
 def window_counts(lengths: DataFrame, context: int, horizon: int, stride: int, patch: int = 32, offset: int | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -156,12 +156,11 @@ class TweedieImport(GbtPooled):
         self.estimator = GeneralizedLinearRegression(featuresCol="_x", labelCol="_label", family="tweedie", variancePower=variance_power, linkPower=0.0, regParam=regularisation)
 
 
-def quantile_leaf(model: PipelineModel, train: DataFrame, rows: DataFrame, target: str, features: Sequence[str], low: float = 0.25, high: float = 0.75) -> DataFrame:
-    """Adds q_low and q_high: the target's quantiles among the training rows of the same leaf of the model's first tree."""
-    stage = model.stages[-1]
-    first = stage.trees[0] if hasattr(stage, "trees") else stage
-    first.setLeafCol("_leaf")
-    assembler = model.stages[0]
-    leafed = lambda df: first.transform(assembler.transform(_assembled(df, features)[0]))
-    by = leafed(train.where(F.col(target).isNotNull())).groupBy("_leaf").agg(F.percentile(target, low).alias("q_low"), F.percentile(target, high).alias("q_high"))
-    return leafed(rows).select(*rows.columns, "_leaf").join(by, "_leaf", "left").drop("_leaf")
+def quantile_leaf(train: DataFrame, rows: DataFrame, target: str, features: Sequence[str], low: float = 0.25, high: float = 0.75, depth: int = 6, min_rows: int = 30) -> DataFrame:
+    """Adds q_low and q_high: the target's quantiles among the training rows of the same leaf of a tree fitted for it."""
+    known, inputs = _assembled(train.where(F.col(target).isNotNull()).withColumn("_label", F.col(target).cast("double")), features)
+    assembler = VectorAssembler(inputCols=inputs, outputCol="_x")
+    tree = DecisionTreeRegressor(featuresCol="_x", labelCol="_label", maxDepth=depth, minInstancesPerNode=min_rows, leafCol="_leaf", predictionCol="_mean").fit(assembler.transform(known))
+    leafed = lambda df: tree.transform(assembler.transform(df))
+    by = leafed(known).groupBy("_leaf").agg(F.percentile(target, low).alias("q_low"), F.percentile(target, high).alias("q_high"))
+    return leafed(_assembled(rows, features)[0]).select(*rows.columns, "_leaf").join(by, "_leaf", "left").drop("_leaf")

@@ -34,7 +34,7 @@ def missing_weather(df: DataFrame) -> list[str]:
 
 
 def assess_sufficiency(df: DataFrame, cfg: Config) -> DataFrame:
-    """device_id, energy_rows, span_days, coverage, eligible, reason; eligible ones first."""
+    """device_id, energy_rows, span_days, coverage, eligible, reason."""
     has = F.coalesce(*[F.when(F.col(t).isNotNull(), F.lit(True)) for t in cfg.targets], F.lit(False))
     seconds = F.unix_timestamp(F.when(has, F.col("ts_hour")))
     by = df.groupBy("device_id").agg(F.count_if(has).alias("energy_rows"), F.min(seconds).alias("first"), F.max(seconds).alias("last"))
@@ -48,7 +48,7 @@ def assess_sufficiency(df: DataFrame, cfg: Config) -> DataFrame:
         F.when(thin, F.format_string("coverage %.2f < %.2f", F.col("coverage"), F.lit(float(cfg.min_coverage)))),
     )
     out = by.select("device_id", "energy_rows", F.bround("span_days", 4).alias("span_days"), F.bround("coverage", 4).alias("coverage"), (~short & ~thin).alias("eligible"), reason.alias("reason"))
-    return out.withColumn("reason", F.when(F.col("eligible"), F.lit("ok")).otherwise(F.col("reason"))).orderBy(F.desc("eligible"), "device_id")
+    return out.withColumn("reason", F.when(F.col("eligible"), F.lit("ok")).otherwise(F.col("reason")))
 
 
 def require_eligible(verdicts: DataFrame) -> DataFrame:

@@ -35,6 +35,8 @@ def fresh_path(spark: SparkSession, suffix: str = "") -> str:
     """A new path in the folder that the cluster shares (spark.checkpoint.dir; one of our own where none is named)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
     path = f"{shared.rstrip('/')}/gridloom-{uuid.uuid4().hex}{suffix}"
@@ -42,6 +44,13 @@ def fresh_path(spark: SparkSession, suffix: str = "") -> str:
     return path
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A table that several steps use, written in the shared folder and read again."""
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

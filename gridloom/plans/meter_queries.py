@@ -299,7 +299,8 @@ _ERR = "sqrt(avg((prediction - actual) ** 2)) AS rmse", "avg(abs(prediction - ac
 
 
 def _backtest(spark, sf):
-    return E.run_backtest(B.hourly(spark, sf), CFG, E.naive_backend(CFG))
+    """The hourly table is written once: origins, forecasts and actuals of both targets read it."""
+    return E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, E.naive_backend(CFG))
 
 
 @query(f"""WITH {B.STEPS} SELECT device_id, target, {r(*_ERR, '100 * avg(CASE WHEN abs(actual) >= 0.1 THEN abs((prediction - actual) / actual) END) AS mape')}, count(*) AS n_samples FROM backtest GROUP BY 1, 2""")
@@ -351,7 +352,7 @@ _W3 = f"""WITH {B.HOURLY}, days AS (SELECT h.device_id, h.ts_hour, h.grid_import
 rolls AS (SELECT device_id, ts_hour AS moment, CASE WHEN count(grid_import) OVER w >= 12 THEN avg(grid_import) OVER w END AS m FROM hourly WINDOW w AS (PARTITION BY device_id ORDER BY ts_hour RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW)),
 x AS (SELECT d.*, CAST(h AS INTEGER) AS horizon, CASE WHEN h > 24 THEN d2 ELSE d1 END AS f FROM days d, (VALUES (6), (36)) v(h))
 SELECT x.device_id, ts_hour, horizon, {r('y AS grid_import', 'f AS grid_import_same_hour_1d', 'd14 AS grid_import_same_hour_14d',
-  '(SELECT avg(v) FROM (SELECT unnest([CASE WHEN horizon <= 24 THEN d1 END, d2, d3, d4, d5, d6, d7]) AS v)) AS grid_import_mean_same_hour_7d', 'f - d7 AS grid_import_diff_7d', 'm AS grid_import_roll_24h_mean')}
+  '(SELECT avg(v) FROM (SELECT unnest([CASE WHEN horizon <= 24 THEN d1 END, d2, d3, d4, d5, d6, d7]) AS v)) AS grid_import_mean_same_hour_7d', 'd7 - d14 AS grid_import_diff_7d', 'm AS grid_import_roll_24h_mean')}
 FROM x LEFT JOIN rolls ON rolls.device_id = x.device_id AND moment = ts_hour - to_hours(CAST(horizon AS BIGINT))"""
 
 
@@ -375,6 +376,30 @@ def w5_forecast_matrix(spark, sf):
     return X.forecast_matrix(df, E.backtest_origins(df, CFG), "grid_import", CFG).select("device_id", "origin", "ts_hour", "horizon", "grid_import_same_hour_1d", "grid_import_same_hour_7d")
 
 
+@query(f"""WITH {B.STEPS}, {B.FEATURES.lstrip()}, nearest AS (
+  SELECT t.ts_hour, min_by(w.datetime, {{'d': abs(epoch(w.datetime) - epoch(t.ts_hour)), 'e': -epoch(w.datetime)}}) AS datetime
+  FROM (SELECT DISTINCT ts_hour FROM steps) t, weather w WHERE hour(w.datetime) % 2 = 0 GROUP BY 1)
+SELECT s.device_id, s.origin, s.ts_hour, s.horizon, {r('c.grid_import - d.grid_import AS grid_import_diff_7d', 'w.temperature_2m AS temperature_2m', 'w.heating_degree AS heating_degree')} FROM steps s
+  LEFT JOIN hourly c ON c.device_id = s.device_id AND c.ts_hour = s.ts_hour - INTERVAL 168 HOUR LEFT JOIN hourly d ON d.device_id = s.device_id AND d.ts_hour = s.ts_hour - INTERVAL 336 HOUR
+  JOIN nearest n ON n.ts_hour = s.ts_hour JOIN weather w ON w.datetime = n.datetime""")
+def w5_forecast_weather(spark, sf):
+    """Weather of every second hour: the nearest one is taken, the later of two."""
+    df, w = B.stored(B.hourly(spark, sf)), B.weather(spark, sf)
+    rows = X.forecast_matrix(df, E.backtest_origins(df, CFG), "grid_import", CFG, w.where(F.hour("datetime") % 2 == 0))
+    return rows.select("device_id", "origin", "ts_hour", "horizon", "grid_import_diff_7d", "temperature_2m", "heating_degree")
+
+
+@query(f"""WITH {B.STEPS}, {B.FEATURES.lstrip()}, k AS (SELECT o.device_id, o.origin, h.grid_import AS y, row_number() OVER (PARTITION BY o.device_id, o.origin ORDER BY h.ts_hour DESC) AS i FROM origins o JOIN hourly h ON h.device_id = o.device_id AND h.ts_hour <= o.origin),
+past AS (SELECT device_id, origin, coalesce(sum(y), 0.0) AS ctx_sum FROM k WHERE i <= 48 GROUP BY ALL HAVING count(*) = 48),
+ahead AS (SELECT s.device_id, s.origin, sum(w.temperature_2m) AS temperature FROM steps s JOIN weather w ON w.datetime = s.ts_hour GROUP BY ALL)
+SELECT device_id, origin, {r('ctx_sum', 'temperature')} FROM past JOIN ahead USING (device_id, origin)""")
+def w15_future_weather(spark, sf):
+    df, w = B.stored(B.hourly(spark, sf, True)), B.weather(spark, sf)
+    out = X.context_and_future(df.drop("temperature_2m").withColumn("temperature_2m", F.lit(0.0)), E.backtest_origins(df, CFG), "grid_import", 48, CFG, w, ["temperature_2m"])
+    add = lambda c, f: F.aggregate(c, F.lit(0.0), lambda a, x: a + F.coalesce(f(x), F.lit(0.0)))
+    return out.select("device_id", "origin", add("ctx_target", lambda x: x).alias("ctx_sum"), add("future_cov", lambda x: F.element_at(x, 1)).alias("temperature"))
+
+
 @query(f"""WITH {B.ROLLED}, n AS (SELECT device_id, ts_hour, row_number() OVER (PARTITION BY device_id ORDER BY ts_hour) AS k, count(*) OVER (PARTITION BY device_id) AS c FROM targets)
 SELECT device_id, ts_hour, CASE WHEN k <= (c * 70) // 100 THEN 'train' WHEN k <= (c * 85) // 100 THEN 'valid' ELSE 'test' END AS split FROM n""")
 def w7_split(spark, sf):
@@ -407,11 +432,15 @@ def w10_sequence_windows(spark, sf):
     return w.select("device_id", "origin", add("ctx_target").alias("ctx_sum"), add("target").alias("target_sum"))
 
 
-@query()
+@query(f"""{_POOL}, z AS (SELECT n.device_id, ts_hour, k, c, (ln(1 + grid_import) - log_mean) / log_std AS y FROM n JOIN s USING (device_id)),
+a AS (SELECT *, sum(y) OVER p AS ctx_sum, sum(y) OVER f AS target_sum FROM z
+  WINDOW p AS (PARTITION BY device_id ORDER BY k ROWS BETWEEN 23 PRECEDING AND CURRENT ROW), f AS (PARTITION BY device_id ORDER BY k ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING))
+SELECT device_id, ts_hour AS origin, {r('ctx_sum', 'target_sum')} FROM a WHERE k >= 24 AND k + 12 <= (c * 70) // 100 AND (k - 24) % 6 = 0""")
 def w11_supervised_windows(spark, sf):
     df = B.rolled(spark, sf)
     w = X.supervised_windows(df, "grid_import", X.pool_state(df, "grid_import", 24, 24)[0], 24, 12, 6)
-    return w.select("device_id", "origin", F.size("ctx_target").alias("n_context"), F.size("target").alias("n_target"))
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    return w.select("device_id", "origin", add("ctx_target").alias("ctx_sum"), add("target").alias("target_sum"))
 
 
 @query(f"""WITH {B.ROLLED}, l AS (SELECT device_id, (count(*) * 70) // 100 AS a, (count(*) * 85) // 100 AS b FROM targets GROUP BY 1)
@@ -492,10 +521,8 @@ def m4_tweedie(spark, sf):
 
 @query()
 def m5_quantile_leaf(spark, sf):
-    matrix = _matrix(spark, sf)
-    names = _inputs(matrix)
-    gbt = M.GbtPooled("grid_import", names, rounds=1)  # leaves are those of the first tree, which later rounds don't change
-    q = M.quantile_leaf(gbt.fit(matrix), matrix, matrix, "grid_import", names)
+    matrix = B.stored(_matrix(spark, sf))
+    q = M.quantile_leaf(matrix, matrix, "grid_import", _inputs(matrix))
     inside = F.col("grid_import").between(F.col("q_low"), F.col("q_high")).cast("double")
     return q.groupBy("device_id").agg(F.avg(inside).alias("inside"), F.count(F.lit(1)).alias("n"))
 
@@ -512,16 +539,16 @@ def m7_time_split(spark, sf):
     return X.time_split(B.rolled(spark, sf), CFG.validation_split).select("device_id", "ts_hour", "is_validation")
 
 
-@query()
+@query(f"""WITH {B.HOURLY} SELECT device_id, band, 0.0 AS largest_gap, count(*) * h AS n FROM hourly, (VALUES ('short', 8), ('medium', 16), ('long', 24)) v(band, h) WHERE grid_import IS NOT NULL GROUP BY device_id, band, h""")
 def m9_warm_start(spark, sf):
-    """The model after an update with the last week equals a refit: the rows give both errors."""
-    matrix = _matrix(spark, sf)
+    """The model after an update with the last week equals a refit: the largest difference of their predictions is 0."""
+    matrix = B.stored(_matrix(spark, sf))
     linear = M.GroupedLinear("grid_import", _inputs(matrix), ["device_id", "band"])
     old, new = matrix.where("ts_hour < TIMESTAMP '2024-01-23'"), matrix.where("ts_hour >= TIMESTAMP '2024-01-23'")
-    updated = linear.predict(linear.solve(linear.update(linear.statistics(old), new)), matrix).withColumn("how", F.lit("updated"))
-    refit = linear.predict(linear.fit(matrix), matrix).withColumn("how", F.lit("refit"))
-    both = updated.unionByName(refit).withColumn("actual", F.col("grid_import"))
-    return A.metrics(both, ["device_id", "band", "how"]).select("device_id", "band", "how", "mae", "n_samples")
+    updated = linear.predict(linear.solve(linear.update(linear.statistics(old), new)), matrix).select("device_id", "ts_hour", "horizon", "band", F.col("prediction").alias("updated"))
+    refit = linear.predict(linear.fit(matrix), matrix).select("device_id", "ts_hour", "horizon", F.col("prediction").alias("refit"))
+    both = updated.join(refit, ["device_id", "ts_hour", "horizon"])
+    return both.groupBy("device_id", "band").agg(F.round(F.max(F.abs(F.col("updated") - F.col("refit"))), 3).alias("largest_gap"), F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH {B.STEPS}, s AS (SELECT device_id, target, abs(actual - prediction) AS v FROM backtest), c AS (SELECT *, count(*) OVER (PARTITION BY device_id, target) AS n, row_number() OVER (PARTITION BY device_id, target ORDER BY v) - 1 AS k FROM s),
@@ -536,33 +563,54 @@ def _with_quantiles(spark, sf):
     return _backtest(spark, sf).withColumns({"q_low": F.col("prediction") * 0.75, "q_high": F.col("prediction") * 1.25})
 
 
-@query()
+_CQR = f"""WITH {B.STEPS}, s AS (SELECT *, greatest(prediction * 0.75 - actual, actual - prediction * 1.25) AS v FROM backtest),
+t AS (SELECT device_id, target, quantile_cont(prediction, 0.5) AS threshold FROM s GROUP BY 1, 2),
+c AS (SELECT s.*, threshold, prediction > threshold AS active FROM s JOIN t USING (device_id, target)),
+k AS (SELECT *, count(*) OVER (PARTITION BY device_id, target, active) AS m, row_number() OVER (PARTITION BY device_id, target, active ORDER BY v) - 1 AS i FROM c),
+p AS (SELECT *, least(ceil((m + 1) * CAST(0.5 AS DOUBLE) - 1e-12) / m, 1.0) * (m - 1) AS pos FROM k),
+q AS (SELECT device_id, target, active, CASE WHEN max(m) <= 30 THEN 0.0 ELSE sum(CASE WHEN i = floor(pos) THEN (1 - (pos - floor(pos))) * v WHEN i = floor(pos) + 1 THEN (pos - floor(pos)) * v END) END AS q FROM p GROUP BY ALL),
+cqr AS (SELECT device_id, target, threshold, coalesce(max(q) FILTER (WHERE active), 0.0) AS q_active, coalesce(max(q) FILTER (WHERE NOT active), 0.0) AS q_idle FROM t JOIN q USING (device_id, target) GROUP BY ALL)"""
+
+
+@query(f"{_CQR} SELECT device_id, target, {r('threshold', 'q_active', 'q_idle')} FROM cqr")
 def i2_cqr_two_regime(spark, sf):
-    return I.cqr_two_regime(_with_quantiles(spark, sf), ["device_id", "target"], CFG)
+    return I.cqr_two_regime(B.stored(_with_quantiles(spark, sf)), ["device_id", "target"], CFG)
 
 
-@query()
+@query(f"""{_CQR}, w AS (SELECT b.*, CASE WHEN prediction > threshold THEN q_active ELSE q_idle END AS add FROM backtest b JOIN cqr USING (device_id, target))
+SELECT device_id, target, origin, horizon, {r('prediction', 'least(prediction, greatest(0.0, prediction * 0.75 - add)) AS prediction_lower', 'greatest(prediction, greatest(0.0, prediction * 1.25 + add)) AS prediction_upper')} FROM w""")
 def i3_apply_cqr(spark, sf):
-    bt = _with_quantiles(spark, sf)
+    bt = B.stored(_with_quantiles(spark, sf))
     q = I.cqr_two_regime(bt, ["device_id", "target"], CFG)
-    scored = I.apply_cqr(bt, q, ["device_id", "target"]).drop("lower", "upper").withColumnsRenamed({"prediction_lower": "lower", "prediction_upper": "upper"})
-    return A.metrics(scored, ["device_id", "target"])
+    return I.apply_cqr(bt, q, ["device_id", "target"]).select("device_id", "target", "origin", "horizon", "prediction", "prediction_lower", "prediction_upper")
 
 
 def _offsets(spark, sf):
-    df = B.hourly(spark, sf)
+    df = B.stored(B.hourly(spark, sf))
     _, bounds, _ = X.pool_state(df, "grid_import", 48, 48)
     starts = bounds.select("device_id", F.explode(F.sequence(F.col("valid_start") - F.expr("INTERVAL 1 HOUR"), F.col("valid_end"), F.expr("INTERVAL 48 HOURS"))).alias("origin"))
     fc = M.naive_forecast(df, starts, "grid_import", CFG).where("prediction is not null")
     return df, fc, I.pooled_offsets(fc, df.select("device_id", "ts_hour", F.col("grid_import").alias("actual")), bounds, CFG)
 
 
-@query()
+_OFFSETS = f"""WITH {B.HOURLY}, o AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts_hour) AS k, count(*) OVER (PARTITION BY device_id) AS c FROM hourly),
+bounds2 AS (SELECT device_id, min(ts_hour) AS s, max(ts_hour) AS e FROM o WHERE k > (c * 70) // 100 AND k <= (c * 85) // 100 GROUP BY 1),
+starts AS (SELECT device_id, s, e, unnest(generate_series(s - INTERVAL 1 HOUR, e, INTERVAL 48 HOUR)) AS origin FROM bounds2),
+fc AS (SELECT t.device_id, s, e, origin, CAST(h AS INTEGER) AS horizon, origin + to_hours(CAST(h AS BIGINT)) AS ts_hour, greatest(coalesce(l.grid_import, 0.0), 0.0) AS prediction
+  FROM starts t CROSS JOIN range(1, 49) r(h) JOIN hourly l ON l.device_id = t.device_id AND l.ts_hour = origin + to_hours(CAST(h AS BIGINT)) - INTERVAL 168 HOUR),
+res AS (SELECT fc.device_id, abs(a.grid_import - prediction) AS v FROM fc JOIN hourly a ON a.device_id = fc.device_id AND a.ts_hour = fc.ts_hour WHERE fc.ts_hour BETWEEN s AND e AND a.grid_import IS NOT NULL),
+k AS (SELECT *, count(*) OVER (PARTITION BY device_id) AS n, row_number() OVER (PARTITION BY device_id ORDER BY v) - 1 AS i FROM res),
+p AS (SELECT *, least(ceil((n + 1) * CAST(0.5 AS DOUBLE) - 1e-12) / n, 1.0) * (n - 1) AS pos FROM k WHERE n >= 30),
+offsets AS (SELECT device_id, sum(CASE WHEN i = floor(pos) THEN (1 - (pos - floor(pos))) * v WHEN i = floor(pos) + 1 THEN (pos - floor(pos)) * v END) AS "offset", max(n) AS n FROM p GROUP BY 1)"""
+
+
+@query(f'{_OFFSETS} SELECT device_id, round("offset", 6) + 0.0 AS "offset", n FROM offsets')
 def i4_pooled_offsets(spark, sf):
     return _offsets(spark, sf)[2]
 
 
-@query()
+@query(f"""{_OFFSETS} SELECT device_id, origin, horizon, {r('prediction', 'CASE WHEN o."offset" > 0 THEN greatest(0.0, prediction - o."offset") END AS prediction_lower', 'CASE WHEN o."offset" > 0 THEN prediction + o."offset" END AS prediction_upper')}
+FROM fc LEFT JOIN offsets o USING (device_id)""")
 def i5_apply_offset(spark, sf):
     _, fc, offsets = _offsets(spark, sf)
     return I.apply_offset(fc, offsets).select("device_id", "origin", "horizon", "prediction", "prediction_lower", "prediction_upper")
@@ -584,18 +632,22 @@ def k4_forecasts_to_frame(spark, sf):
     return flat.select("device_id", "forecast_origin", "horizon", "timestamp", F.round("grid_export_kwh", 2).alias("grid_export_kwh"))
 
 
-@query()
-def r1_forecast_records(spark, sf):
-    records = R.forecast_records(_forecasts(spark, sf))
-    return records.select("device_id", "forecast_origin", F.size("forecasts").alias("n"), F.to_json("forecasts").alias("forecasts"))
-
-
 _FLAT = f"""WITH {B.HOURLY}, o AS (SELECT device_id, (SELECT max(ts_hour) FROM hourly) AS origin FROM hourly GROUP BY 1), flat AS (
   SELECT o.device_id, origin, CAST(h AS INTEGER) AS horizon, origin + to_hours(CAST(h AS BIGINT)) AS "timestamp", round(coalesce(x.grid_export, 0.0), 3) AS grid_export_kwh, round(coalesce(x.grid_import, 0.0), 3) AS grid_import_kwh,
     round(round(coalesce(x.grid_export, 0.0), 3) - round(coalesce(x.grid_import, 0.0), 3), 3) AS net_exchange_kwh
   FROM o CROSS JOIN range(1, 49) r(h) LEFT JOIN hourly x ON x.device_id = o.device_id AND x.ts_hour = origin + to_hours(CAST(h AS BIGINT)) - INTERVAL 168 HOUR)"""
 
 
+@query(f"""{_FLAT} SELECT device_id, origin AS forecast_origin, CAST(count(*) AS INTEGER) AS n, min("timestamp") AS first_hour, max("timestamp") AS last_hour, string_agg(CAST(horizon AS VARCHAR), ' ' ORDER BY horizon) AS horizons,
+  {r('sum(grid_export_kwh) AS export_kwh', 'sum(grid_import_kwh) AS import_kwh')} FROM flat GROUP BY 1, 2""")
+def r1_forecast_records(spark, sf):
+    """One nested record a device: its hours in order, and what its array holds in all."""
+    records = R.forecast_records(_forecasts(spark, sf))
+    add = lambda c: F.aggregate(f"forecasts.{c}", F.lit(0.0), lambda a, x: a + x)
+    ends = [F.element_at("forecasts", i)["timestamp"].alias(n) for i, n in ((1, "first_hour"), (-1, "last_hour"))]
+    return records.select("device_id", "forecast_origin", F.size("forecasts").alias("n"), *ends, F.array_join("forecasts.horizon", " ").alias("horizons"), add("grid_export_kwh").alias("export_kwh"), add("grid_import_kwh").alias("import_kwh"))
+
+
 @query(f"{_FLAT} SELECT device_id, origin, horizon, \"timestamp\", {r('grid_export_kwh', 'grid_import_kwh', 'net_exchange_kwh')} FROM flat")
 def r2_batch_score(spark, sf):
     return R.batch_score(B.meters(spark, sf), CFG, E.naive_backend(CFG))
@@ -637,6 +689,19 @@ def e5_naive_cv(spark, sf):
     return E.cross_validate(B.hourly(spark, sf), CFG, E.naive_backend(CFG)).drop("skill")
 
 
+@query(f"""WITH {B.STEPS}, m AS (SELECT t.target, regr_slope(t.actual, l.actual) AS slope, regr_intercept(t.actual, l.actual) AS intercept
+  FROM actuals t JOIN actuals l ON l.device_id = t.device_id AND l.target = t.target AND l.ts_hour = t.ts_hour - INTERVAL 168 HOUR GROUP BY 1),
+folds AS (SELECT DISTINCT device_id, b - to_hours(CAST(168 * f AS BIGINT)) + to_hours(CAST(24 * k AS BIGINT)) AS origin, a FROM ends, range(1, 5) x(f), range(0, 6) y(k)),
+p AS (SELECT f.device_id, m.target, f.origin, c.actual, greatest(intercept + slope * l.actual, 0.0) AS prediction FROM folds f CROSS JOIN range(1, 49) r(h) JOIN actuals c ON c.device_id = f.device_id AND c.ts_hour = f.origin + to_hours(CAST(h AS BIGINT))
+  JOIN actuals l ON l.device_id = c.device_id AND l.target = c.target AND l.ts_hour = c.ts_hour - INTERVAL 168 HOUR JOIN m ON m.target = c.target WHERE f.origin > f.a AND c.actual IS NOT NULL AND l.actual IS NOT NULL),
+e AS (SELECT device_id, target, origin, avg(abs(prediction - actual)) AS v FROM p GROUP BY ALL HAVING count(*) >= 12)
+SELECT device_id, target, {r('avg(v) AS cv_mae')}, count(*) AS n_origins FROM e GROUP BY 1, 2""")
+def e5_pooled_cv(spark, sf):
+    """One seasonal line for the whole pool, fitted once."""
+    df = B.stored(B.hourly(spark, sf))
+    return E.pooled_cv(df, CFG, E.pooled_seasonal_backend(df, CFG))
+
+
 @query(f"""WITH {B.LONG}, f AS (SELECT e.device_id, e.b - INTERVAL 48 HOUR + to_hours(CAST(h AS BIGINT)) AS ts_hour FROM ends e, range(1, 49) r(h)),
 j AS (SELECT f.device_id, a.target, abs(greatest(coalesce(l.actual, 0.0), 0.0) - a.actual) AS e FROM f JOIN actuals a ON a.device_id = f.device_id AND a.ts_hour = f.ts_hour
   JOIN actuals l ON l.device_id = f.device_id AND l.target = a.target AND l.ts_hour = f.ts_hour - INTERVAL 168 HOUR WHERE a.actual IS NOT NULL)
@@ -652,12 +717,12 @@ def e7_naive_backtest(spark, sf):
 
 def _candidates(spark, sf):
     """Two naive backends: a week back, and two days back (for all hours that this leaves before the origin)."""
-    df = B.hourly(spark, sf)
+    df = B.stored(B.hourly(spark, sf))
     rows = None
     for name, lag in (("naive", 168), ("two_days", 48)):
         part = E.run_backtest(df, CFG, E.naive_backend(CFG, lag)).withColumn("candidate", F.lit(name))
         rows = part if rows is None else rows.unionByName(part)
-    return rows
+    return B.stored(rows.select("candidate", "device_id", "target", "origin", "horizon", "ts_hour", "actual", "prediction"))
 
 
 _CAND = f"""WITH {B.STEPS}, both_naive AS (SELECT *, 'naive' AS candidate FROM backtest UNION ALL SELECT *, 'two_days' FROM (
@@ -799,9 +864,9 @@ def t2_stream_score(spark, sf):
     return spark.read.parquet(path).select("device_id", "target", "origin", "horizon", "actual", "prediction", "error")
 
 
-@query()
+@query(f"""WITH {B.HOURLY} SELECT device_id, count(*) * 48 AS n_stream, 48 * round(sum(grid_import * grid_import), 3) + 0.0 AS yy_stream, 0.0 AS gap FROM hourly WHERE grid_import IS NOT NULL GROUP BY 1""")
 def t3_stream_model_update(spark, sf):
-    """Statistics gathered by a stream equal those of one batch: the rows give both."""
+    """Statistics gathered by a stream, and how far they are from those of one batch."""
     matrix = _matrix(spark, sf)
     rows_path, path, mark = B.fresh_path(spark), B.fresh_path(spark), B.fresh_path(spark)
     matrix.repartition(4).write.parquet(rows_path)
@@ -809,7 +874,9 @@ def t3_stream_model_update(spark, sf):
     stream = spark.readStream.schema(matrix.schema).option("maxFilesPerTrigger", 2).parquet(rows_path)
     T.stream_model_update(stream, linear, path, mark).awaitTermination()
     streamed = T.current_statistics(spark, linear, path).select("device_id", F.col("n").alias("n_stream"), F.col("yy").alias("yy_stream"))
-    return streamed.join(linear.statistics(spark.read.schema(matrix.schema).parquet(rows_path)).select("device_id", "n", "yy"), "device_id")
+    both = streamed.join(linear.statistics(spark.read.schema(matrix.schema).parquet(rows_path)).select("device_id", "n", "yy"), "device_id")
+    gap = F.greatest(F.abs(F.col("n") - F.col("n_stream")).cast("double"), F.round(F.abs(F.col("yy") - F.col("yy_stream")), 3))
+    return both.select("device_id", "n_stream", (F.round(F.col("yy_stream") / CFG.horizon, 3) * CFG.horizon).alias("yy_stream"), gap.alias("gap"))
 
 
 @query(f"""WITH {B.STEPS}, g AS (SELECT device_id, ts_hour, coalesce(last_value(grid_import IGNORE NULLS) OVER (PARTITION BY device_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -822,17 +889,19 @@ def u2_window_predictor(spark, sf):
     return T.window_predictor(w, lambda ctx, cov, future: [ctx[-24 + h % 24] for h in range(len(future))])
 
 
-@query()
+@query(f"""WITH {B.HOURLY} SELECT device_id, count(*) * 48 AS n, 0.0 AS largest_gap FROM hourly WHERE grid_import IS NOT NULL GROUP BY 1""")
 def r3_saved_model(spark, sf):
-    """A model written as tables and read again predicts."""
-    matrix = _matrix(spark, sf)
+    """A model written as tables and read again predicts what it did before."""
+    matrix = B.stored(_matrix(spark, sf))
     names = _inputs(matrix)
     linear = M.GroupedLinear("grid_import", names, ["device_id"])
-    path = B.fresh_path(spark)
-    K.save_model({"coefficients": linear.fit(matrix)}, path, {"features": names})
+    path, fitted = B.fresh_path(spark), B.stored(linear.fit(matrix))
+    K.save_model({"coefficients": fitted}, path, {"features": names})
     tables, settings = K.load_model(spark, path)
     again = M.GroupedLinear("grid_import", settings["features"], ["device_id"])
-    return A.metrics(again.predict(tables["coefficients"], matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
+    pick = lambda df, name: df.select("device_id", "ts_hour", "horizon", F.col("prediction").alias(name))
+    both = pick(again.predict(tables["coefficients"], matrix), "after").join(pick(linear.predict(fitted, matrix), "before"), ["device_id", "ts_hour", "horizon"])
+    return both.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("after") - F.col("before"))).alias("largest_gap"))
 
 
 @query(f"{_FLAT} SELECT device_id, {r('sum(grid_export_kwh) AS export_kwh', 'sum(grid_import_kwh) AS import_kwh', 'sum(net_exchange_kwh) AS net_kwh')} FROM flat GROUP BY 1")
@@ -908,7 +977,7 @@ def j10_left_metrics(spark, sf):
     return runs.join(totals, "device_id", "left").select("run_id", "device_id", "total")
 
 
-@query()
+@query(f"{_CAND} SELECT candidate, device_id, target, origin, {r('mae')} FROM per")
 def k3_write_benchmark(spark, sf):
     rows = _candidates(spark, sf)
     per = E.per_origin_mae(rows)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.clock import localize_utc, not_nan
+from ..functions.clock import has_zone, localize_utc, not_nan
 from ..operators.validation import validate
 from ..schema import SchemaError, utc
 
@@ -60,7 +60,7 @@ def normalize_meters(df: DataFrame, assume_tz: str | None = None, column_map: Ma
     if "ts" in df.columns:
         kind = df.schema["ts"].dataType
         if isinstance(kind, T.StringType):
-            zoned = F.col("ts").rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$")
+            zoned = has_zone(F.col("ts"))
             at = F.try_to_timestamp("ts")
             df = df.withColumn("ts", F.when(zoned, at).otherwise(localize_utc(at, assume_tz) if assume_tz else at))
         elif isinstance(kind, T.TimestampType):
