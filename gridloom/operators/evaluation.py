@@ -47,10 +47,8 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
         if pooled is not None:
             matrix = matrix.join(pooled.select("device_id"), "device_id", "left_semi")
         linear = M.GroupedLinear(target, names, by, cfg.ridge)
-        # sums between one origin and the next, then running sums: each origin's model from its past only
-        cut = origins.select("origin").distinct()
-        daily = linear.statistics(next_time(matrix, cut, "ts_hour", "origin", "_until"), [*by, "_until"])
-        model = linear.solve(linear.running(daily, "_until").withColumnRenamed("_until", "origin"), [*by, "origin"])
+        moments = origins.select(*by[:-1], F.col("origin").alias("at"))
+        model = models_as_of(linear, matrix, moments, cfg).withColumnRenamed("at", "origin")
         rows = M.with_band(X.forecast_matrix(history, origins, target, cfg, history_weather(history), has_pv), cfg)
         out = linear.predict(model, rows, [*by, "origin"])
         return out.select("device_id", F.lit(target).alias("target"), "origin", "ts_hour", "horizon", "prediction")
@@ -58,6 +56,17 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
     return run
 
 
+def models_as_of(linear: M.GroupedLinear, matrix: DataFrame, moments: DataFrame, cfg: Config, min_rows: int = 1) -> DataFrame:
+    """Coefficients of each group of ``linear`` and moment (its column ``at``) from the rows up to then, if there are ``min_rows`` of them.
+
+    Sums between one moment and the next, then running sums: one pass over the
+    matrix for all moments.
+    """
+    parts = linear.statistics(next_time(matrix, moments.select("at"), "ts_hour", "at", "_until"), [*linear.by, "_until"]).withColumnRenamed("_until", "at")
+    asked = moments.distinct().withColumn("band", F.explode(F.array(*[F.lit(b[0]) for b in cfg.bands])))
+    return linear.solve(linear.running(parts, "at", asked).where(F.col("n") >= min_rows), [*linear.by, "at"])
+
+
 def pooled_seasonal_backend(train: DataFrame, cfg: Config) -> Backend:
     """One line a target on the same hour a week before, fitted once on all devices; calls only predict.
 

@@ -78,16 +78,19 @@ class GroupedLinear:
     def update(self, stats: DataFrame, new: DataFrame) -> DataFrame:
         """Statistics of old and new rows together."""
         both = stats.unionByName(self.statistics(new))
-        width = {"xx": self.size * (self.size + 1) // 2, "xy": self.size}
-        sums = [F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(w)]).alias(c) for c, w in width.items()]
+        sums = [F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(w)]).alias(c) for c, w in self._width().items()]
         return both.groupBy(*self.by).agg(F.sum("n").alias("n"), F.sum("yy").alias("yy"), *sums)
 
-    def running(self, daily: DataFrame, day: str) -> DataFrame:
-        """Daily statistics -> statistics of all days up to each."""
-        own = Window.partitionBy(*self.by).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-        width = {"xx": self.size * (self.size + 1) // 2, "xy": self.size}
-        sums = [F.array(*[F.sum(F.get(c, F.lit(i))).over(own) for i in range(w)]).alias(c) for c, w in width.items()]
-        return daily.select(*self.by, day, F.sum("n").over(own).alias("n"), F.sum("yy").over(own).alias("yy"), *sums)
+    def _width(self) -> dict[str, int]:
+        return {"xx": self.size * (self.size + 1) // 2, "xy": self.size}
+
+    def running(self, parts: DataFrame, time: str, at: DataFrame) -> DataFrame:
+        """Statistics of parts of time -> those of all rows up to each moment of ``at`` (by and time), also where no part ends."""
+        own = Window.partitionBy(*self.by).orderBy(time).rangeBetween(Window.unboundedPreceding, 0)
+        both = parts.withColumn("_asked", F.lit(False)).unionByName(at.select(*self.by, time, F.lit(True).alias("_asked")).distinct(), allowMissingColumns=True)
+        sums = [F.array(*[F.sum(F.get(c, F.lit(i))).over(own) for i in range(w)]).alias(c) for c, w in self._width().items()]
+        both = both.select(*self.by, time, "_asked", F.sum("n").over(own).alias("n"), F.sum("yy").over(own).alias("yy"), *sums)
+        return both.where("_asked and n > 0").drop("_asked")
 
     def solve(self, stats: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
         """Coefficients of each row of statistics; a small symmetric system a row, in Arrow batches."""
@@ -115,9 +118,12 @@ class GroupedLinear:
 
     def predict(self, model: DataFrame, matrix: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
         """Adds prediction, never below 0; null for groups without a model."""
-        joined = matrix.join(model, list(keys or self.by), "left").withColumn("_x", self._row())
-        dot = F.aggregate(F.zip_with("_x", "coefficients", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        return joined.withColumn("prediction", F.when(F.col("coefficients").isNotNull(), at_least(dot, 0.0))).drop("_x", "coefficients")
+        joined = matrix.join(model, list(keys or self.by), "left")
+        return joined.withColumn("prediction", at_least(self.dot("coefficients"), 0.0)).drop("coefficients")
+
+    def dot(self, coefficients: str) -> Column:
+        """The features of a row times the named column of coefficients; null without them."""
+        return F.aggregate(F.zip_with(self._row(), coefficients, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
 def _assembled(matrix: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:

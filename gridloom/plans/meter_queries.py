@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions.solar import clearsky_ghi, solar_position
+from ..operators import banded as N
 from ..operators import cleaning as C
 from ..operators import evaluation as E
 from ..operators import features as X
@@ -616,6 +617,78 @@ def i5_apply_offset(spark, sf):
     return I.apply_offset(fc, offsets).select("device_id", "origin", "horizon", "prediction", "prediction_lower", "prediction_upper")
 
 
+_BANDED = f"""WITH {B.LONG}, lagged AS (
+  SELECT t.device_id, t.target, t.ts_hour, t.actual AS y, l.actual AS x, CAST(hour((t.ts_hour AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Rome') AS INTEGER) AS hr
+  FROM actuals t LEFT JOIN actuals l ON l.device_id = t.device_id AND l.target = t.target AND l.ts_hour = t.ts_hour - INTERVAL 168 HOUR WHERE t.actual IS NOT NULL
+), part AS (
+  SELECT g.*, origin, row_number() OVER own > floor(count(*) OVER every * CAST(0.8 AS DOUBLE)) AS late, count(*) OVER every AS c
+  FROM lagged g JOIN origins o ON o.device_id = g.device_id AND g.ts_hour <= o.origin
+  WINDOW own AS (PARTITION BY g.device_id, target, origin ORDER BY g.ts_hour), every AS (PARTITION BY g.device_id, target, origin)
+), fit AS (
+  SELECT device_id, target, origin, regr_slope(y, x) AS s, regr_intercept(y, x) AS i, avg(y) FILTER (x IS NULL) AS m,
+    regr_slope(y, x) FILTER (NOT late) AS hs, regr_intercept(y, x) FILTER (NOT late) AS hi, avg(y) FILTER (x IS NULL AND NOT late) AS hm
+  FROM part GROUP BY ALL HAVING max(c) * 8 >= 100
+), horizons AS (SELECT CAST(h AS INTEGER) AS horizon, CASE WHEN h <= 8 THEN 'short' WHEN h <= 24 THEN 'medium' ELSE 'long' END AS band FROM range(1, 49) r(h)
+), fitted AS (
+  SELECT device_id, target, origin, band, hr, late, y, greatest(CASE WHEN x IS NULL THEN coalesce(m, i) ELSE i + s * x END, 0.0) AS p, greatest(CASE WHEN x IS NULL THEN coalesce(hm, hi) ELSE hi + hs * x END, 0.0) AS base
+  FROM part JOIN fit USING (device_id, target, origin) CROSS JOIN horizons
+), shifts AS (
+  SELECT device_id, target, origin, band, hr, quantile_cont(y - base, 0.25) AS lo, quantile_cont(y - base, 0.75) AS hi2 FROM fitted WHERE NOT late GROUP BY ALL
+), scored AS (
+  SELECT f.*, greatest(base + lo - y, y - base - hi2) AS v, quantile_cont(p, 0.5) OVER (PARTITION BY device_id, target, origin, band) AS threshold
+  FROM fitted f JOIN shifts USING (device_id, target, origin, band, hr) WHERE late
+), ranked AS (
+  SELECT *, p > threshold AS active, count(*) OVER (PARTITION BY device_id, target, origin, band, p > threshold) AS n, row_number() OVER (PARTITION BY device_id, target, origin, band, p > threshold ORDER BY v) - 1 AS k FROM scored
+), placed AS (SELECT *, least(ceil((n + 1) * CAST(0.5 AS DOUBLE) - 1e-12) / n, 1.0) * (n - 1) AS pos FROM ranked
+), q AS (
+  SELECT device_id, target, origin, band, max(threshold) AS threshold, active, CASE WHEN max(n) <= 30 THEN 0.0 ELSE sum(CASE WHEN k = floor(pos) THEN (1 - (pos - floor(pos))) * v WHEN k = floor(pos) + 1 THEN (pos - floor(pos)) * v END) END AS q
+  FROM placed GROUP BY device_id, target, origin, band, active
+), cqr AS (
+  SELECT device_id, target, origin, band, max(threshold) AS threshold, coalesce(max(q) FILTER (active), 0.0) AS q_active, coalesce(max(q) FILTER (NOT active), 0.0) AS q_idle FROM q GROUP BY ALL
+), ahead AS (
+  SELECT f.device_id, f.target, f.origin, horizon, band, f.origin + to_hours(CAST(horizon AS BIGINT)) AS ts_hour, l.actual AS x, f.* EXCLUDE (device_id, target, origin)
+  FROM fit f CROSS JOIN horizons LEFT JOIN actuals l ON l.device_id = f.device_id AND l.target = f.target AND l.ts_hour = f.origin + to_hours(CAST(horizon AS BIGINT)) - INTERVAL 168 HOUR
+), told AS (
+  SELECT a.*, greatest(CASE WHEN x IS NULL THEN coalesce(m, i) ELSE i + s * x END, 0.0) AS prediction, greatest(CASE WHEN x IS NULL THEN coalesce(hm, hi) ELSE hi + hs * x END, 0.0) AS base,
+    CAST(hour((ts_hour AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Rome') AS INTEGER) AS hr FROM ahead a
+), ranges AS (
+  SELECT t.device_id, t.target, t.origin, t.horizon, t.ts_hour, prediction, base + lo AS lo, base + hi2 AS hi2, coalesce(CASE WHEN prediction > threshold THEN q_active ELSE q_idle END, 0.0) AS add
+  FROM told t LEFT JOIN shifts USING (device_id, target, origin, band, hr) LEFT JOIN cqr USING (device_id, target, origin, band)
+), checked AS (
+  SELECT b.*, a.actual, CASE WHEN lo IS NOT NULL THEN least(prediction, greatest(0.0, lo - add)) END AS lower, CASE WHEN hi2 IS NOT NULL THEN greatest(prediction, greatest(0.0, hi2 + add)) END AS upper,
+    count(*) OVER (PARTITION BY b.device_id, b.target, b.origin) AS n
+  FROM ranges b JOIN actuals a ON a.device_id = b.device_id AND a.target = b.target AND a.ts_hour = b.ts_hour WHERE a.actual IS NOT NULL
+)"""
+
+
+@query(f"{_BANDED} SELECT device_id, target, origin, horizon, round(actual, 5) + 0.0 AS actual, round(prediction, 5) + 0.0 AS prediction, round(lower, 5) + 0.0 AS lower, round(upper, 5) + 0.0 AS upper FROM checked WHERE n >= 12")
+def i6_interval_backtest(spark, sf):
+    """Point, low and high refitted and calibrated at every origin, on the same hour a week before."""
+    df = B.stored(B.hourly(spark, sf))
+
+    def backend(history, origins, target):
+        return N.interval_backend(N.BandedLinear(CFG, features=[f"{target}_same_hour_7d"], ridge=0.0, store=B.stored))(history, origins, target)
+
+    rows = E.run_backtest(df, CFG, backend)
+    return rows.select("device_id", "target", "origin", "horizon", *(F.round(c, 5).alias(c) for c in ("actual", "prediction", "lower", "upper")))
+
+
+@query()
+def i7_interval_coverage(spark, sf):
+    """The same on the matrix's whole list of features: errors, and the share of hours inside the bounds."""
+    df = B.stored(B.hourly(spark, sf))
+    return A.metrics(E.run_backtest(df, CFG, N.interval_backend(N.BandedLinear(CFG, store=B.stored))), ["device_id", "target"])
+
+
+@query()
+def p2_train_forecast(spark, sf):
+    """Readings to records of 48 hours with bounds: gates, fit, cross-validation and forecast in one call."""
+    done = N.train_forecast(B.meters(spark, sf), CFG, store=B.stored)
+    hours = R.forecasts_to_frame(done["records"])
+    errors = done["cv"].groupBy("device_id").agg(*(F.max(F.when(F.col("target") == t, F.col("cv_mae"))).alias(f"{t}_cv_mae") for t in CFG.targets))
+    return hours.join(errors, "device_id", "left")
+
+
 # ------------------------------------------------------------------ records and evaluation
 
 def _forecasts(spark, sf):
