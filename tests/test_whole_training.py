@@ -12,7 +12,7 @@ from gridloom.operators import models as M
 from gridloom.plans.base import CFG
 from gridloom.plans.meter_queries import QUERIES
 
-TRAINED = ("m2_grouped_linear", "m3_gbt_pooled", "m4_tweedie", "m5_quantile_leaf", "m9_warm_start", "r3_saved_model", "t3_stream_model_update", "e2_linear_backtest", "e3_pooled_backtest", "e4_cross_validate", "e12_benchmark", "i6_interval_backtest", "i7_interval_coverage", "p2_train_forecast")
+TRAINED = ("m2_grouped_linear", "m3_gbt_pooled", "m4_tweedie", "m5_quantile_leaf", "m9_warm_start", "r3_saved_model", "t3_stream_model_update", "e2_linear_backtest", "e3_pooled_backtest", "e4_cross_validate", "e12_benchmark", "i6_interval_backtest", "i7_interval_coverage")
 
 
 class Asked(Exception):
