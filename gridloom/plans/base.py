@@ -7,20 +7,21 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Config
 from ..operators import cleaning
 from ..schema import utc
-from ..sources.readers import meters_from_events
+from ..sources.readers import meter_of, meters_from_events
 
-#: Users share this many meters.
-DEVICES = 8
+#: So many consecutive users share a meter.
+USERS = 20
 #: The events span 30 days.
 CFG = Config(min_span_days=14.0)
-SITES = (("alpha", 46.07, 11.12), ("beta", 38.11, 13.36))
+#: Where the weather that all meters share was measured: latitude, longitude.
+PLACE = (46.07, 11.12)
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -56,28 +57,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def meters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return meters_from_events(table(spark, sf_dir, "events"), DEVICES)
+    return meters_from_events(table(spark, sf_dir, "events"), USERS)
 
 
 def rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.derive_targets(cleaning.hourly_rollup(meters(spark, sf_dir), CFG), CFG)
 
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly weather over the events' time, closed forms of the hour."""
-    span = table(spark, sf_dir, "events").select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("h")).agg(F.min("h").alias("a"), F.max("h").alias("b"))
-    df = span.select(F.explode(F.expr("sequence(a, b, interval 1 hour)")).alias("datetime"))
+def _events_by_hour(spark: SparkSession, sf_dir: str, *keys: Column) -> DataFrame:
+    """Views and errors as shares of an hour's events."""
+    kind = F.col("event_type")
+    share = lambda k: F.count_if(kind == k) / F.count(F.lit(1))
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").groupBy(*keys, hour.alias("datetime")).agg(share("view").alias("views"), share("error").alias("errors"))
+
+
+def _span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: the first and the last hour."""
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").agg(F.min(hour).alias("a"), F.max(hour).alias("b"))
+
+
+def _readings() -> list[Column]:
+    """Closed forms of the hour, moved by what happened in it."""
     hour, day = F.hour("datetime"), F.dayofmonth("datetime")
-    return df.select(
-        "datetime",
-        (10 + 8 * F.sin((hour - 9) * (2 * math.pi / 24))).alias("temperature_2m"),
-        (20.0 + 5.0 * (day % 10)).alias("cloud_cover"),
-        (F.lit(700.0) * F.greatest(F.lit(0.0), F.sin((hour - 6) * (math.pi / 12)))).alias("shortwave_radiation"),
-    )
+    views, errors = F.coalesce("views", F.lit(0.0)), F.coalesce("errors", F.lit(0.0))
+    return [
+        (10 + 8 * F.sin((hour - 9) * (2 * math.pi / 24)) + 5 * errors).alias("temperature_2m"),
+        (20.0 + 5.0 * (day % 10) + 30 * views).alias("cloud_cover"),
+        (F.lit(700.0) * F.greatest(F.lit(0.0), F.sin((hour - 6) * (math.pi / 12))) * (1 - 0.3 * views)).alias("shortwave_radiation"),
+    ]
+
+
+def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly weather over the events' time."""
+    hours = _span(spark, sf_dir).select(F.explode(F.expr("sequence(a, b, interval 1 hour)")).alias("datetime"))
+    return hours.join(_events_by_hour(spark, sf_dir), "datetime", "left").select("datetime", *_readings())
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A site for each meter."""
+    user = F.col("user_id")
+    number = F.floor(user / USERS)
+    where = [(36 + number % 11).cast("double").alias("latitude"), (7 + number % 12).cast("double").alias("longitude")]
+    return table(spark, sf_dir, "events").select(meter_of(user, USERS).alias("site_id"), *where).distinct()
+
+
+def sited_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly weather of each site, with its place; the span joined to each is one row."""
+    hours = sites(spark, sf_dir).crossJoin(F.broadcast(_span(spark, sf_dir))).select(
+        "site_id", "latitude", "longitude", F.explode(F.expr("sequence(a, b, interval 1 hour)")).alias("datetime"))
+    seen = _events_by_hour(spark, sf_dir, meter_of(F.col("user_id"), USERS).alias("site_id"))
+    return hours.join(seen, ["site_id", "datetime"], "left").select("site_id", "latitude", "longitude", "datetime", *_readings())
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.weather_features(raw_weather(spark, sf_dir), SITES[0][1], SITES[0][2], CFG)
+    return cleaning.weather_features(raw_weather(spark, sf_dir), *PLACE, CFG)
 
 
 def hourly(spark: SparkSession, sf_dir: str, with_weather: bool = False) -> DataFrame:
@@ -99,7 +134,7 @@ def out(df: DataFrame) -> DataFrame:
 
 METERS = f"""
 meters AS (
-  SELECT 'dev-' || CAST(user_id % {DEVICES} AS VARCHAR) AS device_id, time_bucket(INTERVAL 15 MINUTE, ts) AS ts,
+  SELECT 'dev-' || CAST(user_id // {USERS} AS VARCHAR) AS device_id, time_bucket(INTERVAL 15 MINUTE, ts) AS ts,
     sum(CASE WHEN event_type IN ('click', 'view', 'signup') THEN value ELSE 0 END) AS consumption_kwh,
     sum(CASE WHEN event_type IN ('purchase', 'error') THEN value ELSE 0 END) AS production_kwh
   FROM events GROUP BY ALL
@@ -153,13 +188,23 @@ HOURLY = GRID + f""", numbered AS (SELECT *, row_number() OVER (PARTITION BY dev
   FROM calendar
   WINDOW w AS (PARTITION BY device_id ORDER BY ts_hour ROWS BETWEEN 84 PRECEDING AND 83 FOLLOWING)
 )"""
-WEATHER = """
+_SHARES = "count(*) FILTER (WHERE event_type = 'view') / count(*) AS views, count(*) FILTER (WHERE event_type = 'error') / count(*) AS errors"
+_READINGS = """10 + 8 * sin(2 * pi() * (hour(datetime) - 9) / 24) + 5 * coalesce(errors, 0) AS temperature_2m,
+    CAST(20 + 5 * (day(datetime) % 10) AS DOUBLE) + 30 * coalesce(views, 0) AS cloud_cover,
+    700 * greatest(0.0, sin(pi() * (hour(datetime) - 6) / 12)) * (1 - 0.3 * coalesce(views, 0)) AS shortwave_radiation"""
+WEATHER = f"""
 wspan AS (SELECT date_trunc('hour', min(ts)) AS a, date_trunc('hour', max(ts)) AS b FROM events
 ), whours AS (SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS datetime FROM wspan
-), raw_weather AS (
-  SELECT datetime, 10 + 8 * sin(2 * pi() * (hour(datetime) - 9) / 24) AS temperature_2m, CAST(20 + 5 * (day(datetime) % 10) AS DOUBLE) AS cloud_cover,
-    700 * greatest(0.0, sin(pi() * (hour(datetime) - 6) / 12)) AS shortwave_radiation
-  FROM whours
+), wseen AS (SELECT date_trunc('hour', ts) AS h, {_SHARES} FROM events GROUP BY 1
+), raw_weather AS (SELECT datetime, {_READINGS} FROM whours LEFT JOIN wseen ON h = datetime
+)"""
+#: placed: the weather of each site.
+PLACED = f"""{WEATHER}, sites AS (
+  SELECT DISTINCT 'dev-' || CAST(user_id // {USERS} AS VARCHAR) AS site_id, CAST(36 + user_id // {USERS} % 11 AS DOUBLE) AS latitude,
+    CAST(7 + user_id // {USERS} % 12 AS DOUBLE) AS longitude FROM events
+), sseen AS (SELECT 'dev-' || CAST(user_id // {USERS} AS VARCHAR) AS site, date_trunc('hour', ts) AS h, {_SHARES} FROM events GROUP BY 1, 2
+), placed AS (
+  SELECT site_id, latitude, longitude, datetime, {_READINGS} FROM sites CROSS JOIN whours LEFT JOIN sseen ON site = site_id AND h = datetime
 )"""
 
 
@@ -180,7 +225,7 @@ angles AS (SELECT *, 2 * pi() / 365 * (dayofyear(datetime) - 1 + (hour(datetime)
 )"""
 
 
-FEATURES = WEATHER + ", " + sun("raw_weather", str(SITES[0][1]), str(SITES[0][2])) + """, weather AS (
+FEATURES = WEATHER + ", " + sun("raw_weather", *map(str, PLACE)) + """, weather AS (
   SELECT datetime, shortwave_radiation AS global_tilted_irradiance, shortwave_radiation, cloud_cover, temperature_2m,
     CASE WHEN clear > 1 THEN greatest(0.0, least(1.2, shortwave_radiation / clear)) ELSE 0.0 END AS clearsky_index,
     greatest(cos_z, 0.0) AS effective_solar_pv, greatest(18 - temperature_2m, 0.0) AS heating_degree, greatest(temperature_2m - 24, 0.0) AS cooling_degree,

@@ -59,22 +59,23 @@ def s4_read_table(spark, sf):
 
 
 @query(f"""WITH {B.METERS}, second AS (
-  SELECT 'dev-' || CAST(user_id % {B.DEVICES} AS VARCHAR) AS device_id, time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS ts, max(value) AS consumption_kwh, min(value) AS production_kwh
+  SELECT 'dev-' || CAST(user_id // {B.USERS} AS VARCHAR) AS device_id, time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS ts, max(value) AS consumption_kwh, min(value) AS production_kwh
   FROM events GROUP BY ALL)
 SELECT device_id, ts, {r('consumption_kwh', 'production_kwh')} FROM meters
 UNION ALL SELECT device_id, ts, {r('consumption_kwh', 'production_kwh')} FROM second s WHERE NOT EXISTS (SELECT 1 FROM meters m WHERE m.device_id = s.device_id AND m.ts = s.ts)""")
 def s5_merge_sources(spark, sf):
     e = B.table(spark, sf, "events")
     slot = clock.floor_minutes(F.col("ts").cast("timestamp"), 15) + F.expr("INTERVAL 15 MINUTES")
-    second = e.groupBy(F.concat(F.lit("dev-"), (F.col("user_id") % B.DEVICES).cast("string")).alias("meter"), slot.alias("time")).agg(F.max("value").alias("kwh_in"), F.min("value").alias("kwh_out"))
+    second = e.groupBy(S.meter_of(F.col("user_id"), B.USERS).alias("meter"), slot.alias("time")).agg(F.max("value").alias("kwh_in"), F.min("value").alias("kwh_out"))
     return S.merge_sources([(B.meters(spark, sf), None, None), (second, None, None)]).select("device_id", "ts", "consumption_kwh", "production_kwh")
 
 
-@query(f"""WITH {B.WEATHER} SELECT datetime, {r('temperature_2m')} FROM raw_weather WHERE hour(datetime) % 2 = 0
-UNION ALL SELECT datetime, {r('temperature_2m + 1 AS temperature_2m')} FROM raw_weather WHERE hour(datetime) % 2 = 1""")
+@query(f"""WITH {B.WEATHER} SELECT datetime, {r('temperature_2m')} FROM raw_weather
+UNION ALL SELECT datetime + INTERVAL 12 HOUR, {r('temperature_2m + 1 AS temperature_2m')} FROM raw_weather WHERE datetime + INTERVAL 12 HOUR > (SELECT b FROM wspan)""")
 def s5w_merge_weather(spark, sf):
     w = B.raw_weather(spark, sf).select("datetime", "temperature_2m")
-    return S.merge_weather([(w.where(F.hour("datetime") % 2 == 0), None), (w.select(F.col("datetime").alias("at"), (F.col("temperature_2m") + 1).alias("t")), {"at": "datetime", "t": "temperature_2m"})])
+    later = w.select((F.col("datetime") + F.expr("INTERVAL 12 HOURS")).alias("at"), (F.col("temperature_2m") + 1).alias("t"))
+    return S.merge_weather([(w, None), (later, {"at": "datetime", "t": "temperature_2m"})])
 
 
 @query(f"""SELECT CAST(user_id AS VARCHAR) AS device_id, ts, {r('value AS consumption_kwh', 'CAST(event_id % 7 AS DOUBLE) AS production_kwh')} FROM events""")
@@ -188,8 +189,7 @@ def c4_interpolate_gaps(spark, sf):
     return C.gap_flag(C.interpolate_gaps(C.regular_grid(B.rolled(spark, sf)))).select("device_id", "ts_hour", *H, "gap_flag")
 
 
-_SITED = f"""WITH {B.WEATHER}, placed AS (SELECT w.*, s.site_id, s.latitude, s.longitude FROM raw_weather w,
-  (VALUES {', '.join(f"('{s}', CAST({a} AS DOUBLE), CAST({o} AS DOUBLE))" for s, a, o in B.SITES)}) s(site_id, latitude, longitude)), {B.sun('placed', 'latitude', 'longitude')}"""
+_SITED = f"WITH {B.PLACED}, {B.sun('placed', 'latitude', 'longitude')}"
 
 
 @query(f"WITH {B.FEATURES} SELECT datetime, {r('global_tilted_irradiance', 'coalesce(global_tilted_irradiance - lag(global_tilted_irradiance) OVER (ORDER BY datetime), 0.0) AS ghi_ramp')} FROM weather")
@@ -221,8 +221,7 @@ def p1_processed_hourly(spark, sf):
 
 @query(f"{_SITED} SELECT site_id, datetime, {r('degrees(asin(cos_z)) AS solar_elevation', 'greatest(cos_z, 0.0) AS cos_zenith')} FROM clear")
 def x1_solar_position(spark, sf):
-    sites = spark.createDataFrame(list(B.SITES), "site_id string, latitude double, longitude double")
-    return solar_position(B.raw_weather(spark, sf).crossJoin(F.broadcast(sites)), "datetime", "latitude", "longitude").select("site_id", "datetime", "solar_elevation", "cos_zenith")
+    return solar_position(B.sited_weather(spark, sf), "datetime", "latitude", "longitude").select("site_id", "datetime", "solar_elevation", "cos_zenith")
 
 
 _XF = ("global_tilted_irradiance", "shortwave_radiation", "cloud_cover", "temperature_2m", "clearsky_index", "effective_solar_pv", "heating_degree", "cooling_degree", "solar_elevation", "cloud_cover_diff", "pv_temp_factor")
@@ -236,9 +235,8 @@ def x3_weather_features(spark, sf):
 @query(f"""{_SITED} SELECT site_id, datetime, {r('CASE WHEN clear > 1 THEN greatest(0.0, least(1.2, shortwave_radiation / clear)) ELSE 0.0 END AS clearsky_index',
   'greatest(18 - temperature_2m, 0.0) AS heating_degree', 'coalesce(cloud_cover - lag(cloud_cover) OVER (PARTITION BY site_id ORDER BY datetime), 0.0) AS cloud_cover_diff')} FROM clear""")
 def x4_weather_for_sites(spark, sf):
-    sites = spark.createDataFrame(list(B.SITES), "site_id string, latitude double, longitude double")
-    raw = B.raw_weather(spark, sf).crossJoin(F.broadcast(sites.select("site_id")))
-    return C.weather_for_sites(raw, sites, CFG).select("site_id", "datetime", "clearsky_index", "heating_degree", "cloud_cover_diff")
+    raw = B.sited_weather(spark, sf).drop("latitude", "longitude")
+    return C.weather_for_sites(raw, B.sites(spark, sf), CFG).select("site_id", "datetime", "clearsky_index", "heating_degree", "cloud_cover_diff")
 
 
 # ------------------------------------------------------------------ joins
@@ -254,11 +252,11 @@ def j2_lag_lookup(spark, sf):
     return J.lag_lookup(B.rolled(spark, sf), "device_id", "ts_hour", "grid_import", [24, 168], "lag").select("device_id", "ts_hour", "lag_24h", "lag_168h")
 
 
-@query(f"""WITH {B.ROLLED}, w AS (SELECT DISTINCT date_trunc('hour', ts) AS moment FROM events WHERE hour(ts) % 5 = 0)
+@query(f"""WITH {B.ROLLED}, w AS (SELECT DISTINCT make_timestamp(CAST(floor(epoch(ts) / 18000) AS BIGINT) * 18000000000) AS moment FROM events)
 SELECT device_id, ts_hour, (SELECT min_by(moment, {{'d': abs(epoch(moment) - epoch(ts_hour)), 'e': -epoch(moment)}}) FROM w) AS nearest FROM targets""")
 def j3_nearest(spark, sf):
-    at = F.date_trunc("hour", F.col("ts").cast("timestamp"))
-    w = B.table(spark, sf, "events").where(F.hour("ts") % 5 == 0).select(at.alias("at"), at.alias("nearest")).distinct()
+    at = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 18000) * 18000)
+    w = B.table(spark, sf, "events").select(at.alias("at"), at.alias("nearest")).distinct()
     return J.nearest_join(B.rolled(spark, sf), w, "ts_hour", "at").select("device_id", "ts_hour", "nearest")
 
 
@@ -909,12 +907,12 @@ def _readings_stream(spark, sf):
     e = spark.readStream.schema(kind).parquet(f"{sf}/events.parque[t]")  # a pattern: the table may be one file
     takes, gives = F.col("event_type").isin("click", "view", "signup"), F.col("event_type").isin("purchase", "error")
     return e.select(
-        F.concat(F.lit("dev-"), (F.col("user_id") % B.DEVICES).cast("string")).alias("device_id"), F.col("ts").cast("timestamp").alias("ts"),
+        S.meter_of(F.col("user_id"), B.USERS).alias("device_id"), F.col("ts").cast("timestamp").alias("ts"),
         F.when(takes, F.col("value")).otherwise(0.0).alias("consumption_kwh"), F.when(gives, F.col("value")).otherwise(0.0).alias("production_kwh"),
     )
 
 
-@query(f"""WITH e AS (SELECT DISTINCT ON (user_id % {B.DEVICES}, ts) 'dev-' || CAST(user_id % {B.DEVICES} AS VARCHAR) AS device_id, ts, event_type, value FROM events),
+@query(f"""WITH e AS (SELECT DISTINCT ON (user_id // {B.USERS}, ts) 'dev-' || CAST(user_id // {B.USERS} AS VARCHAR) AS device_id, ts, event_type, value FROM events),
 h AS (SELECT device_id, date_trunc('hour', ts) AS ts_hour, count(*) AS n_quarters, sum(CASE WHEN event_type IN ('click', 'view', 'signup') THEN value ELSE 0 END) AS c FROM e GROUP BY ALL)
 SELECT device_id, ts_hour, n_quarters, {r('c * CASE WHEN n_quarters < 4 THEN CAST(4 AS DOUBLE) / n_quarters ELSE 1.0 END AS M1_cons')} FROM h WHERE ts_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
 def t1_stream_hourly(spark, sf):
@@ -1019,8 +1017,7 @@ def s3_load_weather(spark, sf):
 
 @query(f"{_SITED} SELECT site_id, datetime, {r('clear')} FROM clear")
 def x2_clearsky(spark, sf):
-    sites = spark.createDataFrame(list(B.SITES), "site_id string, latitude double, longitude double")
-    placed = solar_position(B.raw_weather(spark, sf).crossJoin(F.broadcast(sites)), "datetime", "latitude", "longitude")
+    placed = solar_position(B.sited_weather(spark, sf), "datetime", "latitude", "longitude")
     return placed.select("site_id", "datetime", clearsky_ghi(F.col("cos_zenith")).alias("clear"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,13 +144,18 @@ def stitch_archive_forecast(archive: DataFrame, forecast: DataFrame, start: str,
     return first_of([forecast.where(inside), archive.where(inside)], ["datetime"])
 
 
-def meters_from_events(events: DataFrame, devices: int = 8) -> DataFrame:
-    """Readings from an event log: users share ``devices`` meters, values count as energy by event type, in 15-minute slots."""
+def meter_of(user_id: Column, users: int = 20) -> Column:
+    """The meter of a user: each ``users`` consecutive ones share one, so meters grow with the users."""
+    return F.concat(F.lit("dev-"), F.floor(user_id / users).cast("string"))
+
+
+def meters_from_events(events: DataFrame, users: int = 20) -> DataFrame:
+    """Readings from an event log: ``users`` share a meter, values count as energy by event type, in 15-minute slots."""
     utc(events.sparkSession)
     takes = F.col("event_type").isin("click", "view", "signup")
     gives = F.col("event_type").isin("purchase", "error")
     slot = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 900) * 900)
-    return events.groupBy(F.concat(F.lit("dev-"), (F.col("user_id") % devices).cast("string")).alias("device_id"), slot.alias("ts")).agg(
+    return events.groupBy(meter_of(F.col("user_id"), users).alias("device_id"), slot.alias("ts")).agg(
         F.sum(F.when(takes, F.col("value")).otherwise(0.0)).alias("consumption_kwh"),
         F.sum(F.when(gives, F.col("value")).otherwise(0.0)).alias("production_kwh"),
     )
