@@ -159,7 +159,7 @@ def shingle_hashes(values: np.ndarray, k: int) -> np.ndarray:
         return values
     k = min(k, len(values))
     n = len(values) - k + 1
-    out = np.full(n, np.uint64(k) * _ODD)
+    out = np.full(n, k, dtype=np.uint64) * _ODD
     for i in range(k):
         out = mix(out * np.uint64(3) + values[i : i + n])
     return out

@@ -115,4 +115,85 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM rated
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": _LINES, "op9_mix_sources": _MIX}
+_WORDS = r"""
+documents_words AS (
+  SELECT doc_id, unnest(regexp_extract_all({text}, '[^\x20\x09-\x0D]+')) AS word,
+         generate_subscripts(regexp_extract_all({text}, '[^\x20\x09-\x0D]+'), 1) AS pos
+  FROM documents
+)"""
+
+#: reach: who can be reached from whom over the rows (a, b) of links, given in both directions.
+_REACH = """
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)"""
+
+_JACCARD = "WITH RECURSIVE" + _WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """, grams AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id) AS n_words, count(*) OVER w AS n, string_agg(word, ' ') OVER w AS gram
+  FROM documents_words WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)
+), shingles AS (
+  SELECT DISTINCT doc_id, gram FROM grams WHERE n = 3 OR (n_words < 3 AND pos = 1)
+), sized AS (
+  SELECT doc_id, gram, count(*) OVER (PARTITION BY doc_id) AS size FROM shingles
+), met AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared, any_value(x.size) + any_value(y.size) AS sizes
+  FROM sized x JOIN sized y ON x.gram = y.gram AND x.doc_id <> y.doc_id AND 100 * least(x.size, y.size) >= 90 * greatest(x.size, y.size)
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM met WHERE 100 * shared >= 90 * (sizes - shared)
+),""" + _REACH + """
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(reach.b)) AS component_id
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1) s ON s.doc_id = d.doc_id LEFT JOIN reach ON reach.a = d.doc_id
+GROUP BY d.doc_id
+"""
+
+_PHRASES = "WITH" + _WORDS.format(text="text") + """, windows AS (
+  SELECT *, CASE WHEN count(*) OVER w = 35 THEN string_agg(word, ' ') OVER w END AS seq
+  FROM documents_words WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+), counted AS (
+  SELECT doc_id, pos, word, seq IS NOT NULL AND count(*) OVER (PARTITION BY seq) > 1 AS again FROM windows
+), covered AS (
+  SELECT doc_id, pos, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted
+)
+SELECT d.doc_id, count(word) AS n_words, count(word) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN covered c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+#: A string of 400 bytes by the hashes of its parts: lengths double up to 256, and two of 256 bytes, 144 apart, make 400.
+_ROWS = "(PARTITION BY doc_id ORDER BY pos)"
+_BYTES = """WITH h1 AS (
+  SELECT doc_id, unnest(regexp_extract_all(hex(encode(text)), '..')) AS byte, generate_subscripts(regexp_extract_all(hex(encode(text)), '..'), 1) AS pos
+  FROM documents
+), p1 AS (SELECT doc_id, pos, byte, hash(byte) AS h FROM h1)""" + "".join(
+    f", p{2 * n} AS (SELECT doc_id, pos, byte, hash(h, lead(h, {n}) OVER {_ROWS}) AS h FROM p{n})" for n in (1, 2, 4, 8, 16, 32, 64, 128)
+) + f""", windows AS (
+  SELECT doc_id, pos, byte, CASE WHEN lead(pos, 399) OVER {_ROWS} IS NOT NULL THEN hash(h, lead(h, 144) OVER {_ROWS}) END AS seq FROM p256
+), counted AS (
+  SELECT doc_id, pos, byte, seq IS NOT NULL AND count(*) OVER (PARTITION BY seq) > 1 AS again FROM windows
+), covered AS (
+  SELECT doc_id, pos, byte, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) AS gone FROM counted
+), runs AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER {_ROWS}, false) AS starts FROM covered
+)
+SELECT d.doc_id, count(byte) AS n_bytes, count(byte) FILTER (WHERE gone) AS n_removed, count(byte) FILTER (WHERE starts) AS n_spans,
+       sha256(from_hex(coalesce(string_agg(byte, '' ORDER BY pos) FILTER (WHERE NOT gone), ''))) AS kept_sha256
+FROM documents d LEFT JOIN runs c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+_NEAR = """WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id <> y.vec_id AND list_cosine_similarity(x.v, y.v) >= 0.93
+),""" + _REACH + """
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, c) AS component_id, vec_id = least(vec_id, c) AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY 1) l ON l.a = vec_id LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) r ON r.a = vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard": _JACCARD,
+    "op3_suffix_dedup": _BYTES,
+    "op4_line_dedup": _LINES,
+    "op5_substring_dedup": _PHRASES,
+    "op9_mix_sources": _MIX,
+    "op10_embedding_near_dedup": _NEAR,
+}
