@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, ivf_pq, line_dedup, mixing, multi_index, phrase_automata, secret_scan, sentence_pieces, shingle_join, suffix_repeats
+from . import compression_quality, ivf_pq, line_dedup, mixing, multi_index, phrase_automata, secret_scan, sentence_pieces, shingle_join, suffix_repeats, token_alignment
 from .tables import read
 
 
@@ -57,11 +57,16 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read(spark, sf_dir, "documents"), groups="sha256").withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_compression_quality, op2_ngram_jaccard, op3_suffix_dedup, op4_line_dedup, op5_substring_dedup,
         op6_secret_scan, op7_nearest_neighbours, op8_sentencepiece, op9_mix_sources, op10_embedding_near_dedup,
+        op13_token_alignment,
     )
 }
 
