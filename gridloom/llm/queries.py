@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, ivf_pq, line_dedup, mixing, multi_index, phrase_automata, secret_scan, sentence_pieces, shingle_join, suffix_repeats, token_alignment
+from . import compression_quality, ivf_pq, line_dedup, merkle_manifest, mixing, multi_index, phrase_automata, secret_scan, sentence_pieces, shingle_join, suffix_repeats, token_alignment
 from .tables import read
 
 
@@ -57,6 +57,11 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle_manifest.audit(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(read(spark, sf_dir, "documents"), groups="sha256").withColumnRenamed("groups", "groups_sha256")
 
@@ -66,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_compression_quality, op2_ngram_jaccard, op3_suffix_dedup, op4_line_dedup, op5_substring_dedup,
         op6_secret_scan, op7_nearest_neighbours, op8_sentencepiece, op9_mix_sources, op10_embedding_near_dedup,
-        op13_token_alignment,
+        op12_merkle_manifest, op13_token_alignment,
     )
 }
 
@@ -194,6 +199,56 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, c) AS component_id, vec_
 FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY 1) l ON l.a = vec_id LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) r ON r.a = vec_id
 """
 
+#: crc32 of a number's decimal digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]))),
+  lambda x, y: xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Nodes {name}0 (g, pos, n, h) raised level by level: {name}K, and {name}sK with the digests beside each node."""
+    out = ""
+    for k in range(levels):
+        out += f""", {name}s{k} AS (
+  SELECT *, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} WINDOW r AS (PARTITION BY g, pos // 8 ORDER BY pos)
+), {name}{k + 1} AS (
+  SELECT g, pos // 8 AS pos, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h FROM {name}{k} GROUP BY g, pos // 8, n
+)"""
+    return out
+
+
+def _fold(name: str, levels: int, start: str, g: str, pos: str) -> str:
+    """Rows of ``start`` with f, what the node has become, and p, the digests met on the way."""
+    out = ""
+    for k in range(levels):
+        out += f""", {name}f{k} AS (
+  SELECT x.* EXCLUDE (f, p), CASE WHEN y.n > 1 THEN sha256(y.l || f || y.r) ELSE f END AS f, p || y.l || y.r AS p
+  FROM {start} x JOIN {name}s{k} y ON x.{g} = y.g AND x.{pos} // {8**k} = y.pos
+)"""
+        start = f"{name}f{k}"
+    return out
+
+
+#: Levels for 8^7 documents of a language, and for 8^3 languages.
+_HIGH, _WIDE = 7, 3
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_MERKLE = f"""WITH leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN text IS NOT NULL AND {_CRC} % 3 = 0 THEN {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n, 0 AS one FROM leaves
+), a0 AS (SELECT g, pos, n, leaf AS h FROM placed)""" + _tree("a", _HIGH) + f""", b0 AS (
+  SELECT 0 AS g, g AS pos, count(*) OVER () AS n, h FROM a{_HIGH}
+)""" + _tree("b", _WIDE) + ", begin AS (SELECT *, coalesce(other, leaf) AS f, '' AS p FROM placed)" + _fold("a", _HIGH, "begin", "g", "pos") + _fold("b", _WIDE, f"af{_HIGH - 1}", "one", "g") + f"""
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = t.h AS verified
+FROM bf{_WIDE - 1} x JOIN a{_HIGH} s ON s.g = x.g CROSS JOIN b{_WIDE} t
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard": _JACCARD,
     "op3_suffix_dedup": _BYTES,
@@ -201,4 +256,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": _PHRASES,
     "op9_mix_sources": _MIX,
     "op10_embedding_near_dedup": _NEAR,
+    "op12_merkle_manifest": _MERKLE,
 }
