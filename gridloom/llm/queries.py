@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, ivf_pq, line_dedup, merkle_manifest, mixing, multi_index, phrase_automata, secret_scan, sentence_pieces, shingle_join, suffix_repeats, token_alignment
+from . import compression_quality, ivf_pq, line_dedup, merkle_manifest, mixing, multi_index, page_text, phrase_automata, secret_scan, sentence_pieces, shingle_join, suffix_repeats, token_alignment
 from .tables import read
 
 
@@ -57,6 +57,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = merkle_manifest.audit(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
@@ -71,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_compression_quality, op2_ngram_jaccard, op3_suffix_dedup, op4_line_dedup, op5_substring_dedup,
         op6_secret_scan, op7_nearest_neighbours, op8_sentencepiece, op9_mix_sources, op10_embedding_near_dedup,
-        op12_merkle_manifest, op13_token_alignment,
+        op11_page_text, op12_merkle_manifest, op13_token_alignment,
     )
 }
 
