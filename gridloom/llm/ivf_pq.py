@@ -119,6 +119,7 @@ def search_block(index: Index, center: np.ndarray, block: tuple, queries: tuple,
     ids, original, codes, error = block
     asked, wanted = queries
     residual = V.unit(wanted) - center
+    original, wanted = V.scaled(original), V.scaled(wanted)
     norm = np.sqrt((original * original).sum(axis=1))
     far = np.zeros((len(asked), len(ids)))
     for i, (p, book) in enumerate(zip(parts(index.dim), index.books, strict=True)):

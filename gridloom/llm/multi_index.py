@@ -12,8 +12,9 @@ matrix product, returning link counts and a spanning forest instead of pairs.
 Vectors are compared only with the same label and length. Identical vectors of
 a label are collapsed first and count with their copies. Vectors that are null,
 empty, zero or hold null or non-finite components, and those without a label,
-link with nothing. Rows that share a vec_id are separate vectors, and repeated
-rows link with each other. Ties don't arise. An empty table gives no rows. Other
+link with nothing. Rows that share a vec_id are separate vectors with links of their
+own, and repeated rows link with each other. A vector that many rows share, and rows
+that take no part, are dealt by row when the groups go back to them. Ties don't arise. An empty table gives no rows. Other
 columns, whatever their names, are ignored.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import vectors as V
 from .linking import forest
-from .tables import components, materialize, ship
+from .tables import components, materialize, ship, skew_join
 
 SAMPLE = 20_000
 #: Vectors that a cell should hold, and that a block holds at most on average.
@@ -148,9 +149,12 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, recall: float =
     ship(spark)
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), F.col("embedding").cast("array<double>").alias("v"))
     good = V.usable(F.col("v")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    rows = rows.select("vec_id", *(F.when(good, x).alias(k) for k, x in (("label", F.col("label")), ("v", F.col("v")), ("h1", F.xxhash64("v")), ("h2", F.xxhash64(F.lit(1), "v")))))
-    sets = rows.where("h1 is not null").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
-    sets = materialize(sets.withColumn("dim", F.size("v")))
+    # rows that take no part get keys of their own: as nulls they would all meet in one task
+    rows = rows.withColumn("good", good).withColumn("at", F.monotonically_increasing_id())
+    key = lambda i: F.when(F.col("good"), F.xxhash64(F.lit(i), "label", "v")).otherwise(F.xxhash64(F.lit(-i), "vec_id", "at"))
+    rows = rows.withColumns({"h1": key(1), "h2": key(2)})
+    sets = rows.where("good").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
+    sets = materialize(sets.withColumn("dim", F.size("v")).withColumn("rep", F.monotonically_increasing_id()))
     by_label = sets.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
     most = by_label.groupBy("dim").agg(F.max("n").alias("n"), F.sum("n").alias("all")).orderBy(F.desc("all"), "dim").first()
     if most is None:
@@ -180,8 +184,11 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, recall: float =
 
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     linked = components(found.where("b is not null").select("a", "b")).withColumnRenamed("id", "rep")
-    group = sets.select("label", "h1", "h2", "rep", "copies").join(counts, "rep", "left").join(linked, "rep", "left")
-    group = group.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    out = rows.select("vec_id", "label", "h1", "h2").join(group, ["label", "h1", "h2"], "left")
+    group = sets.select("h1", "h2", "rep", "least", "copies").join(counts, "rep", "left").join(linked, "rep", "left")
+    group = materialize(group.select("h1", "h2", "least", "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "rep").alias("in")))
+    lowest = group.groupBy("in").agg(F.min("least").alias("component"), F.count("*").alias("sets"))
+    group = skew_join(group, materialize(lowest), ["in"], "sets", ["h1", "h2"])
+    group = materialize(group.select("h1", "h2", "copies", (F.col("copies") - 1 + F.col("n")).alias("n_links"), "component"))
+    out = skew_join(rows.select("vec_id", "h1", "h2", "at"), group, ["h1", "h2"], "copies", ["vec_id", "at"], "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

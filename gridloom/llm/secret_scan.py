@@ -13,7 +13,8 @@ from the punctuation around a candidate, which the forest isn't given: what is
 assigned and quoted is a secret, what stands bare in running text is none.
 
 Letter pairs and words are counted over all whole texts; the broadcast dictionary
-holds the 5000 commonest words (``WORDS``). The forest is fitted on at most
+holds the 5000 commonest words (``WORDS``). Candidates are left out of both, as they
+are of the neighbours, so that no letters of a secret come into a table. The forest is fitted on at most
 ``per_class`` labelled findings of each class, those with the smallest hashes.
 Candidates are sought in every whole text, however long they are themselves. No
 candidate is written anywhere: tables hold places, digests and features.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 from .tables import hash_sample, materialize, ship
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_\-]{16,}")
+WORD = re.compile(r"[^\W\d_]+")
 FEATURES = ("length", "kinds", "switches", "digits", "upper", "entropy", "surprise", "coverage", "path", "words_near")
 #: Size of the broadcast dictionary of common words.
 WORDS = 5000
@@ -54,8 +57,12 @@ for _a, _b, _k in ((48, 58, 1), (65, 91, 2), (97, 123, 3)):
 
 
 def corpus_model(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
-    """-log2 of each letter pair's frequency in all words of all whole texts, and the WORDS commonest words."""
-    found = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,15})"))).alias("w"))
+    """-log2 of each letter pair's frequency in all words of all whole texts, and the WORDS commonest words.
+
+    Words are whole runs of letters, and stand outside all candidates: no part of a secret is counted.
+    """
+    bare = F.lower(F.regexp_replace("text", F.lit(CANDIDATE.pattern), F.lit(" ")))
+    found = docs.select(F.explode(F.regexp_extract_all(bare, F.lit(r"(?<!\p{L})([a-z]{3,})(?!\p{L})"))).alias("w"))
     words = materialize(found.groupBy("w").count())
     top = words.orderBy(F.desc("count"), "w").limit(WORDS).collect()
     pair = F.explode(F.expr("transform(sequence(1, length(w) - 1), i -> substring(w, i, 2))")).alias("pair")
@@ -80,10 +87,17 @@ def coverage(text: str, machine: ahocorasick.Automaton | None) -> float:
     return sum(n for _, n in machine.iter_long(text.lower())) / max(len(text), 1) if machine else 0.0
 
 
-def neighbours(text: str, start: int, end: int, words: frozenset[str]) -> list[str]:
-    """The common ones among the words beside a candidate; others aren't kept, as they may be secrets too."""
-    before, after = text[max(0, start - 60) : start].lower(), text[end : end + 60].lower()
-    return [w for w in re.findall(r"[a-z]+", before)[-NEAR:] + re.findall(r"[a-z]+", after)[:NEAR] if w in words]
+class Neighbours:
+    """The words of a text that stand outside all candidates."""
+
+    def __init__(self, text: str) -> None:
+        found = list(WORD.finditer(CANDIDATE.sub(lambda m: " " * len(m.group()), text)))
+        self.at, self.words = [m.start() for m in found], [m.group().lower() for m in found]
+
+    def beside(self, start: int, words: frozenset[str]) -> list[str]:
+        """The common ones among the NEAR words on each side of a candidate, however far; others aren't kept, as they may be secrets too."""
+        i = bisect_left(self.at, start)
+        return [w for w in self.words[max(0, i - NEAR) : i + NEAR] if w in words]
 
 
 def describe(text: str, start: int, end: int, surprise: np.ndarray, machine: ahocorasick.Automaton | None, near: list[str]) -> list[float]:
@@ -127,9 +141,11 @@ def _scan(shared):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 if (text := text.as_py()) is None:
                     continue
+                beside = None
                 for m in CANDIDATE.finditer(text):
                     a, b = m.span()
-                    near = neighbours(text, a, b, words)
+                    beside = beside or Neighbours(text)
+                    near = beside.beside(a, words)
                     digest = hashlib.sha256(m.group().encode()).hexdigest()[:16]
                     out.append((doc, a, b, digest, is_assigned(text, a, b), near, describe(text, a, b, surprise, machine, near)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(_COLUMNS.values())], names=list(_COLUMNS))

@@ -120,14 +120,17 @@ def skew_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str, sp
 
 
 def hash_sample(df: DataFrame, key: Column, limit: int) -> DataFrame:
-    """About ``limit`` rows, those with the smallest hashes ``key`` (a long); at most ``limit``.
+    """The ``limit`` rows with the smallest hashes ``key`` (a long), or all, if there are fewer.
 
-    Rows are filtered by the hash first, so that few reach the task that orders them.
+    Rows are filtered by the hash first, so that few reach the task that orders them: one
+    pass counts the rows under each power of two, and the smallest that has enough is taken.
     """
-    n = df.count()
-    if n > 8 * limit:
-        df = df.where(F.pmod(key, F.lit(1 << 30)) < F.lit(int((1 << 30) * 4 * limit / n) + 1))
-    return df.orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(limit)
+    low = F.pmod(key, F.lit(1 << 30))
+    under = df.agg(*(F.count_if(low < F.lit(1 << k)).alias(f"u{k}") for k in range(30))).first()
+    enough = [k for k in range(30) if under[k] >= limit]
+    if enough:
+        df = df.where(low < F.lit(1 << enough[0]))
+    return df.orderBy(low, key).limit(limit)
 
 
 def components(edges: DataFrame) -> DataFrame:

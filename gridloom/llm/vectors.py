@@ -30,9 +30,15 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def bounded_sample(vectors: DataFrame, id_column: str, limit: int) -> np.ndarray:
-    """Unit vectors of the ``limit`` rows with the smallest hashes of their ids (column v, one length)."""
-    rows = hash_sample(vectors.select(id_column, "v"), F.xxhash64(id_column), limit).select("v").collect()
-    return unit(np.array([r.v for r in rows], dtype=np.float64)) if rows else np.zeros((0, 0))
+    """Unit vectors of the ``limit`` rows with the smallest hashes of their ids and components (column v, one length)."""
+    found = hash_sample(vectors.select(id_column, "v"), F.xxhash64(id_column, "v"), limit).select("v").toArrow().column("v").combine_chunks()
+    return unit(matrix(found, len(found[0]))) if len(found) else np.zeros((0, 0))
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two near their peaks: no component's bits change, and no square overflows."""
+    _, exponent = np.frexp(np.abs(x).max(axis=-1, keepdims=True))
+    return np.ldexp(x, -exponent)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -439,7 +439,8 @@ def test_corpus_model_counts_all_whole_texts(spark):
     late = spark.createDataFrame([(-1, "x " * 15_000 + "zyzzyva " * 50, "en", "s", 1), (-2, None, "en", "s", 1)], DOCS)
     pad = spark.range(2500).select(F.col("id").alias("doc_id"), F.concat(F.lit("Quick "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.lit("qv")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).alias("n_chars"))
     docs = late.select("doc_id", "text").union(pad.select("doc_id", "text"))
-    found = Counter(w for r in docs.collect() for w in re.findall("[a-z]{3,15}", (r.text or "").lower()))
+    bare = [S.CANDIDATE.sub(" ", r.text or "").lower() for r in docs.collect()]
+    found = Counter(w for t in bare for w in re.findall(r"[^\W\d_]+", t) if re.fullmatch("[a-z]{3,}", w))
     surprise, words = S.corpus_model(docs)
     assert words == set(found) and "zyzzyva" in words
     pairs = np.ones((128, 128))
@@ -449,6 +450,33 @@ def test_corpus_model_counts_all_whole_texts(spark):
     assert np.allclose(surprise, -np.log2(pairs / pairs.sum(axis=1, keepdims=True)))
 
 
+def test_no_letters_of_a_secret_are_counted_or_kept(spark):
+    token = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0NTY3ODkw.abcdefghSECRETuvwxyz"
+    rows = [(i, f"naïveword key {token} internationalizations end", "en", "s", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    _, words = S.corpus_model(docs)
+    assert words == {"key", "end"}  # neither parts of candidates, nor of words with other letters
+    assert {w for r in S.candidates(docs).collect() for w in r.near} <= words
+
+
+def test_neighbours_are_whole_words_at_any_distance():
+    text = "alpha beta" + " " * 90 + "'" + "k9" * 10 + "'" + "." * 200 + "gamma Delta4 word " + "x" * 20 + " far"
+    beside = S.Neighbours(text)
+    every = frozenset(beside.words)
+    assert beside.beside(text.index("k9"), every) == ["alpha", "beta", "gamma", "delta", "word"] and beside.beside(text.index("xxx"), every) == ["gamma", "delta", "word", "far"]
+
+
+def test_hash_samples_are_never_empty(spark):
+    """Rows whose hashes are all alike, or lie anywhere, at every size."""
+    from gridloom.llm.tables import hash_sample
+
+    df = spark.range(3000)
+    for key in (F.lit((1 << 30) - 1).cast("long"), F.lit(0).cast("long"), F.xxhash64("id"), F.when(F.col("id") < 5, 1).otherwise(-1).cast("long")):
+        assert hash_sample(df, key, 50).count() == 50 and hash_sample(df, key, 5000).count() == 3000
+    want = sorted((h % (1 << 30), h) for h in (r[0] for r in df.select(F.xxhash64("id")).collect()))[:50]
+    assert sorted((r[1] % (1 << 30), r[1]) for r in hash_sample(df.select("id", F.xxhash64("id").alias("h")), F.col("h"), 50).collect()) == want
+
+
 def test_letter_pairs_come_from_words_outside_the_dictionary_too(spark, monkeypatch):
     monkeypatch.setattr(S, "WORDS", 1)
     surprise, words = S.corpus_model(spark.createDataFrame([(1, "the the zyx")], "doc_id long, text string"))

@@ -181,9 +181,51 @@ def test_recall_on_the_table(spark, sf_dir):
     found: dict = {}
     for r in A.nearest(df, F.col("vec_id") % 50 == 0).collect():
         found.setdefault(r.query_id, set()).add(r.vec_id)
-    hits = 0
-    for q, mine in found.items():
+    hits, asked = 0, [q for q in pdf.vec_id if q % 50 == 0]
+    for q in asked:
         s = x @ x[at[q]]
         s[at[q]] = -9
-        hits += len(mine & set(pdf.vec_id[np.argsort(-s)[:5]]))
-    assert hits >= 0.9 * 5 * len(found)
+        hits += len(found.get(q, set()) & set(pdf.vec_id[np.argsort(-s)[:5]]))
+    assert hits >= 0.9 * 5 * len(asked)
+
+
+def test_very_large_and_small_components(spark):
+    """Finite, so they take part, though their squares are neither."""
+    rnd = np.random.default_rng(4)
+    x = rnd.standard_normal((60, 6))
+    rows = [(i, (v * scale).tolist(), 1) for i, (v, scale) in enumerate(zip(x, np.tile([1e200, 1.0, 1e-200], 20), strict=True))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for r in A.nearest(df, F.col("vec_id") % 10 == 0).collect():
+        assert r.score == pytest.approx(cosine(x[r.query_id], x[r.vec_id]), abs=1e-12)
+    got = {(r.query_id, r["rank"]): r.vec_id for r in A.nearest(df, F.col("vec_id") == 0).collect()}
+    assert [got[0, k] for k in range(1, 6)] == sorted(range(1, 60), key=lambda i: -cosine(x[0], x[i]))[:5]
+
+
+def test_a_third_of_the_rows_under_one_id(spark, monkeypatch):
+    """The sample isn't empty, whatever the id's hash, and no row is lost."""
+    monkeypatch.setattr(A, "SAMPLE", 40)
+    rows = [(7, [1.0, i / 900], 1) for i in range(400)] + [(0, [1.0, 0.5], 1)]
+    assert [r.vec_id for r in A.nearest(spark.createDataFrame(rows, KIND), F.col("vec_id") == 0).collect()] == [7] * 5
+    same = spark.createDataFrame([(7, [1.0, 0.0], 1)] * 500 + [(None, [1.0, 0.0], 1)] * 300 + [(i, [0.0, 1.0], None) for i in range(8, 300)], KIND)
+    monkeypatch.setattr(M, "SAMPLE", 40)
+    got = M.near_duplicates(same).groupBy("vec_id", "n_links", "component_id", "kept").count().collect()
+    assert {tuple(r) for r in got} == {(7, 499, 7, True, 500), (None, 0, None, False, 300)} | {(i, 0, i, True, 1) for i in range(8, 300)}
+
+
+def test_vectors_that_share_an_id_have_their_own_links(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 1), (1, [0.0, 1.0, 0.0], 1), (2, [1.0, 0.01, 0.0], 1), (3, [0.0, 0.0, 1.0], 1)]
+    got = sorted(tuple(r) for r in M.near_duplicates(spark.createDataFrame(rows, KIND)).collect())
+    assert got == [(1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_near_duplicates_equal_the_sql_where_there_are_links(spark, sf_dir):
+    """The tables have no link at 0.93, so the query's SQL is compared at 0.4."""
+    import duckdb
+
+    from gridloom.llm import queries
+
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    want = duck.sql(queries.ORACLE_SQL["op10_embedding_near_dedup"].replace("0.93", "0.4")).fetchall()
+    got = [tuple(r) for r in M.near_duplicates(read(spark, sf_dir, "embeddings"), 0.4, recall=1.0).collect()]
+    assert sum(r[1] for r in want) >= 10 and sorted(got) == sorted(want)
