@@ -32,9 +32,11 @@ def naive_backend(cfg: Config, lag_hours: int | None = None) -> Backend:
     return lambda history, origins, target: M.naive_forecast(history, origins, target, cfg, lag_hours)
 
 
-def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: bool = True, pooled: DataFrame | None = None) -> Backend:
+def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: bool = True, pooled: DataFrame | None = None, features: Sequence[str] | None = None, ridge: float | None = None) -> Backend:
     """Least squares per device, target and band, refitted at every origin from running daily sums.
 
+    ``features`` restricts the inputs, by default all of the matrix.
+
     With ``pooled`` (the devices whose rows may be learnt from) there is one model
     of all of them for each origin; a device that is scored needs not be among them.
     """
@@ -42,11 +44,11 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
 
     def run(history: DataFrame, origins: DataFrame, target: str) -> DataFrame:
         matrix = M.with_band(X.training_matrix(history, target, horizons, cfg, has_pv=has_pv), cfg)
-        names = [c for c in matrix.columns if c not in ("device_id", "ts_hour", target, "band")]
+        names = list(features or (c for c in matrix.columns if c not in ("device_id", "ts_hour", target, "band")))
         by = ["band"] if pooled is not None else ["device_id", "band"]
         if pooled is not None:
             matrix = matrix.join(pooled.select("device_id"), "device_id", "left_semi")
-        linear = M.GroupedLinear(target, names, by, cfg.ridge)
+        linear = M.GroupedLinear(target, names, by, cfg.ridge if ridge is None else ridge)
         moments = origins.select(*by[:-1], F.col("origin").alias("at"))
         model = models_as_of(linear, matrix, moments, cfg).withColumnRenamed("at", "origin")
         rows = M.with_band(X.forecast_matrix(history, origins, target, cfg, history_weather(history), has_pv), cfg)

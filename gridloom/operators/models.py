@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.clock import at_least, hours
+from . import gram
 from .joins import forecast_hours
 
 
@@ -52,8 +53,8 @@ def seasonal_linear(matrix: DataFrame, target: str, by: Sequence[str] = ("device
 class GroupedLinear:
     """Ridge regression per group from sums of products.
 
-    The sums are plain aggregates, so fitting is one shuffle whatever the number
-    of groups; sums of disjoint rows add up, so a new day is an exact update and
+    The sums are blocks made where the rows are (``gram``), so fitting is one shuffle of
+    blocks whatever the number of groups; sums of disjoint rows add up, so a new day is an exact update and
     running sums over days give the model as of every past day at once. Missing
     features enter as 0 with an indicator of their own.
     """
@@ -70,27 +71,17 @@ class GroupedLinear:
 
     def statistics(self, matrix: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
         """One row a group: n, yy and the sums of products as arrays (the upper triangle, and with the target)."""
-        rows = matrix.where(F.col(self.target).isNotNull()).withColumn("_x", self._row()).withColumn("_y", F.col(self.target).cast("double"))
-        x = [F.get("_x", F.lit(i)) for i in range(self.size)]
-        cross = [F.sum(x[i] * x[j]) for i in range(self.size) for j in range(i, self.size)]
-        return rows.groupBy(*(by or self.by)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("yy"), F.array(*cross).alias("xx"), F.array(*[F.sum(v * F.col("_y")) for v in x]).alias("xy"))
+        keys = list(by or self.by)
+        rows = matrix.where(F.col(self.target).isNotNull())
+        return gram.merged(gram.blocks(rows, keys, self.target, self.features, self.missing), keys, self.size)
 
     def update(self, stats: DataFrame, new: DataFrame) -> DataFrame:
         """Statistics of old and new rows together."""
-        both = stats.unionByName(self.statistics(new))
-        sums = [F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(w)]).alias(c) for c, w in self._width().items()]
-        return both.groupBy(*self.by).agg(F.sum("n").alias("n"), F.sum("yy").alias("yy"), *sums)
-
-    def _width(self) -> dict[str, int]:
-        return {"xx": self.size * (self.size + 1) // 2, "xy": self.size}
+        return gram.merged(stats.unionByName(self.statistics(new)), self.by, self.size)
 
     def running(self, parts: DataFrame, time: str, at: DataFrame) -> DataFrame:
         """Statistics of parts of time -> those of all rows up to each moment of ``at`` (by and time), also where no part ends."""
-        own = Window.partitionBy(*self.by).orderBy(time).rangeBetween(Window.unboundedPreceding, 0)
-        both = parts.withColumn("_asked", F.lit(False)).unionByName(at.select(*self.by, time, F.lit(True).alias("_asked")).distinct(), allowMissingColumns=True)
-        sums = [F.array(*[F.sum(F.get(c, F.lit(i))).over(own) for i in range(w)]).alias(c) for c, w in self._width().items()]
-        both = both.select(*self.by, time, "_asked", F.sum("n").over(own).alias("n"), F.sum("yy").over(own).alias("yy"), *sums)
-        return both.where("_asked and n > 0").drop("_asked")
+        return gram.running(parts, self.by, time, at)
 
     def solve(self, stats: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
         """Coefficients of each row of statistics; a small symmetric system a row, in Arrow batches."""

@@ -46,8 +46,14 @@ def fresh_path(spark: SparkSession, suffix: str = "") -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """A table that several steps use, written in the shared folder and read again."""
+    """A table that several steps use, written in the shared folder and read again.
+
+    Device tables are dealt by device first: what is small when it is written, and so one
+    file, may be multiplied by horizons and origins when it is read.
+    """
     path = fresh_path(df.sparkSession)
+    if "device_id" in df.columns:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "device_id")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
