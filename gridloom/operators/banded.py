@@ -10,13 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Config
 from ..functions.clock import at_least, calendar
 from . import evaluation as E
 from . import features as X
+from . import gram
 from . import intervals as I
 from . import models as M
 from . import records as R
@@ -30,6 +35,35 @@ def _as_is(df: DataFrame) -> DataFrame:
     return df
 
 
+def conformal(scores: np.ndarray, coverage: float, least: int) -> float:
+    """The finite-sample quantile of scores; 0 unless there are more than ``least``."""
+    n = len(scores)
+    return float(np.quantile(scores, min(np.ceil((n + 1) * coverage - 1e-12) / n, 1.0))) if n > least else 0.0
+
+
+def regimes(x: np.ndarray, y: np.ndarray, hour: np.ndarray, cut: int, half: Sequence[float] | None, point: Sequence[float], levels: tuple[float, float], least: int, coverage: float) -> tuple:
+    """Shifts of each hour of the day from the first ``cut`` rows' errors; threshold, q_active and q_idle from the others."""
+    if half is None or cut == 0:
+        return None, None, None, None
+    base = np.maximum(x @ np.asarray(half), 0.0)
+    error = (y - base)[:cut]
+    order = np.argsort(hour[:cut], kind="stable")
+    names, begin = np.unique(hour[:cut][order], return_index=True)
+    shifts = {int(h): np.quantile(e, levels).tolist() for h, e in zip(names, np.split(error[order], begin[1:]), strict=True)}
+    table = np.full((24, 2), np.nan)
+    for h, q in shifts.items():
+        table[h] = q
+    bounds = base[cut:, None] + table[hour[cut:]]
+    told = ~np.isnan(bounds[:, 0])
+    if not told.any():
+        return shifts, None, None, None
+    seen, predicted = y[cut:][told], np.maximum(x[cut:][told] @ np.asarray(point), 0.0)
+    score = np.maximum(bounds[told, 0] - seen, seen - bounds[told, 1])
+    threshold = float(np.median(predicted))
+    active = predicted > threshold
+    return shifts, threshold, conformal(score[active], coverage, least), conformal(score[~active], coverage, least)
+
+
 class BandedLinear:
     """Point, low and high per device, target and band.
 
@@ -75,14 +109,36 @@ class BandedLinear:
         whole = model.where("point is not null").groupBy("device_id", "origin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(cfg.bands))
         model = self.store(model.join(whole.drop("_n"), ["device_id", "origin"]))
 
-        rows = matrix.join(model, ["device_id", "band"]).where("ts_hour <= origin").withColumns({"hour": self._hour(), "_base": at_least(linear.dot("half"), 0.0), "_point": at_least(linear.dot("point"), 0.0)})
-        rows = rows.select(*by, "hour", F.col(target).cast("double").alias("actual"), "_base", F.col("_point").alias("prediction"), (F.col("ts_hour") > F.col("cut")).alias("_late"))
-        error = F.col("actual") - F.col("_base")
-        hourly = rows.where("not _late and _base is not null").groupBy(*by, "hour").agg(F.percentile(error, [cfg.quantile_low, cfg.quantile_high]).alias("q"))
-        shifts = hourly.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("hour", "q"))).alias("shifts"))  # 24 entries at most
-        late = self._bounds(rows.where("_late").join(shifts, by)).where("q_low is not null")
-        q = I.cqr_two_regime(late, by, cfg)
-        return model.drop("cut").join(shifts, by, "left").join(q, by, "left")
+        return self._calibrated(matrix, model, linear, target)
+
+    def _calibrated(self, matrix: DataFrame, model: DataFrame, linear: M.GroupedLinear, target: str) -> DataFrame:
+        """``model`` with the shifts and corrections of each origin.
+
+        A group of one device and band, whose hours are bounded by time, meets its models:
+        per origin the errors are one matrix product, and no row is multiplied by the origins.
+        """
+        cfg, features = self.cfg, linear.features
+        holes = [features.index(f) for f in linear.missing]
+        low, high, least, coverage = cfg.quantile_low, cfg.quantile_high, cfg.cqr_min_rows, cfg.cqr_coverage
+        rows = matrix.select("device_id", "band", "ts_hour", self._hour().cast("int").alias("hour"), F.col(target).cast("double").alias("_y"), *(F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)))
+        new = T.StructType.fromDDL("shifts map<int,array<double>>, threshold double, q_active double, q_idle double")
+        schema = T.StructType([*model.drop("cut").schema.fields, *new.fields])
+
+        def run(hours: pa.Table, models: pa.Table) -> pa.Table:
+            hours = hours.take(pa.compute.sort_indices(hours, sort_keys=[("ts_hour", "ascending")]))
+            x = gram.inputs(hours.columns[5:], holes) if features else np.ones((hours.num_rows, 1))
+            y, clock = hours.column("_y").to_numpy(), hours.column("hour").to_numpy()
+            at = hours.column("ts_hour").cast(pa.int64()).to_numpy()
+            out = []
+            for m in models.select(["point", "half"]).append_column("o", models.column("origin").cast(pa.int64())).append_column("c", models.column("cut").cast(pa.int64())).to_pylist():
+                upto = np.searchsorted(at, m["o"], "right")
+                out.append(regimes(x[:upto], y[:upto], clock[:upto], np.searchsorted(at[:upto], m["c"], "right"), m["half"], m["point"], (low, high), least, coverage))
+            shifts = pa.array([list(o[0].items()) if o[0] else None for o in out], pa.map_(pa.int32(), pa.list_(pa.float64())))
+            rest = [pa.array([o[i] for o in out], pa.float64()) for i in (1, 2, 3)]
+            kept = models.drop_columns(["cut"])
+            return pa.Table.from_arrays([*kept.columns, shifts, *rest], names=[*kept.column_names, "shifts", "threshold", "q_active", "q_idle"])
+
+        return rows.groupBy("device_id", "band").cogroup(model.groupBy("device_id", "band")).applyInArrow(run, schema)
 
     def _bounds(self, df: DataFrame) -> DataFrame:
         shift = F.element_at("shifts", F.col("hour"))

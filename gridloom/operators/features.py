@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import clock
-from .joins import forecast_hours, nearest_join
+from .joins import forecast_hours, nearest_join, recent_rows
 from .validation import resolve_features
 
 _DAYS = (1, 2, 3, 4, 5, 6, 7, 14)
@@ -80,13 +80,10 @@ def training_matrix(df: DataFrame, target: str, horizons: Sequence[int], cfg: Co
 def forecast_matrix(history: DataFrame, origins: DataFrame, target: str, cfg: Config, weather: DataFrame | None = None, has_pv: bool = True) -> DataFrame:
     """Features of the hours after each (device_id, origin); weather of the nearest hour, 0 without any."""
     steps = forecast_hours(origins.select("device_id", "origin"), cfg.horizon)
-    known = history.join(origins.select("device_id", "origin"), "device_id").where("ts_hour <= origin")
     names = resolve_features(target, cfg, has_pv, [*history.columns, *(weather.columns if weather is not None else ())])
-    # lags are joined per origin, so nothing after an origin is looked at
-    ahead = known.select("device_id", "origin", F.col("ts_hour").alias("_t"), F.col(target).alias("_v"), F.explode(F.array(*[F.lit(k) for k in _DAYS])).alias("_k"))
-    ahead = ahead.withColumn("ts_hour", F.col("_t") + clock.hours(F.col("_k") * 24)).where(F.col("ts_hour") > F.col("origin"))
-    ahead = ahead.groupBy("device_id", "origin", "ts_hour").agg(*(F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"_d{k}") for k in _DAYS))
-    out = steps.join(ahead, ["device_id", "origin", "ts_hour"], "left").withColumns(_lag_columns(target, F.col("horizon"), False))
+    # the hours that lie whole days back are joined by equality; those after the origin are blanked
+    out = _with_days(steps, history, target)
+    out = out.withColumns({f"_d{k}": F.when(F.col("horizon") <= k * 24, F.col(f"_d{k}")) for k in _DAYS}).withColumns(_lag_columns(target, F.col("horizon"), False))
     out = _with_roll(out, history, target, "origin").withColumns(clock.calendar(F.col("ts_hour"), cfg.local_tz))
     needed = [c for c in names if c not in out.columns]
     if needed and weather is not None:
@@ -187,8 +184,9 @@ def supervised_windows(df: DataFrame, target: str, scalers: DataFrame, context:
 def window_counts(lengths: DataFrame, context: int, horizon: int, stride: int, patch: int = 32, offset: int | None = None) -> DataFrame:
     """Numbers of training and validation windows of series of n_train and n_valid rows, and the context that fits all of them."""
     counts = lambda n, lead, step: F.greatest(F.lit(0), F.floor((F.col(n) - lead - horizon) / step) + 1).cast("long")
-    fits = F.least(F.lit(context), F.min("n_train").over(Window.partitionBy()) - horizon)
-    return lengths.select(
+    fits = F.least(F.lit(context), F.col("_shortest") - horizon)
+    shortest = lengths.agg(F.min("n_train").alias("_shortest"))  # one row
+    return lengths.join(F.broadcast(shortest)).select(
         "device_id", counts("n_train", context, stride).alias("train_windows"), counts("n_valid", context if offset is None else offset, horizon).alias("valid_windows"),
         F.greatest(F.lit(0), F.floor(fits / patch) * patch).cast("long").alias("effective_context"),
     )
@@ -206,9 +204,7 @@ def finetune_series(df: DataFrame, target: str, scalers: DataFrame, min_rows: in
 
 def context_and_future(df: DataFrame, origins: DataFrame, target: str, context: int, cfg: Config, weather: DataFrame | None = None, covariates: Sequence[str] = ()) -> DataFrame:
     """Each origin's last ``context`` rows and its future calendar and weather; origins with fewer rows go."""
-    own = Window.partitionBy("device_id", "origin")
-    known = df.join(origins.select("device_id", "origin"), "device_id").where("ts_hour <= origin")
-    known = known.withColumn("_i", F.row_number().over(own.orderBy(F.desc("ts_hour")))).where(F.col("_i") <= context)
+    known = recent_rows(df, origins, context)
     past = known.groupBy("device_id", "origin").agg(F.array_sort(F.collect_list(F.struct("ts_hour", F.col(target).alias("y"), F.array(*[F.col(c).cast("double") for c in covariates]).alias("x")))).alias("_c"))
     past = past.where(F.size("_c") == context)
     future = forecast_hours(origins.select("device_id", "origin"), cfg.horizon).withColumns(clock.calendar(F.col("ts_hour"), cfg.local_tz))

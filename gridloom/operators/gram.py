@@ -24,7 +24,7 @@ BLOCK = "n long, yy double, xx array<double>, xy array<double>"
 
 
 def _schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
-    return T.StructType([df.schema[k] for k in keys] + T._parse_datatype_string(BLOCK).fields)
+    return T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(BLOCK).fields)
 
 
 def inputs(columns: Sequence[pa.Array], missing: Sequence[int]) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import hours
@@ -76,14 +76,49 @@ def band_join(df: DataFrame, bounds: DataFrame, time: str = "ts_hour") -> DataFr
     return df.join(bounds.select("device_id", "valid_start", "valid_end"), "device_id").where(F.col(time).between(F.col("valid_start"), F.col("valid_end")))
 
 
-def origin_join(df: DataFrame, origins: DataFrame, side: str = "horizon", horizon: int = 48) -> DataFrame:
+def in_buckets(df: DataFrame, origins: DataFrame, keys: Sequence[str], at: Column, first: Column, last: Column, width: int) -> DataFrame:
+    """``df`` joined with the origins whose range of buckets from ``first`` to ``last`` holds a row's own.
+
+    ``at`` is a column of df, ``first`` and ``last`` are columns of origins, all longs; a
+    bucket is ``width`` of them. An equi-join: a row meets the origins near it and no others,
+    so what comes out doesn't grow with the years before an origin. Edges are the caller's to cut.
+    """
+    bucket = lambda c: F.floor(c / width).cast("long")
+    there = origins.withColumn("_bucket", F.explode(F.sequence(bucket(first), bucket(last))))
+    return df.withColumn("_bucket", bucket(at)).join(there, [*keys, "_bucket"]).drop("_bucket")
+
+
+def recent_rows(df: DataFrame, origins: DataFrame, n: int, keys: Sequence[str] = ("device_id",)) -> DataFrame:
+    """Each origin's last ``n`` rows at or before it, with _back, how many rows from the last (0).
+
+    Rows are numbered once; an origin takes the number that it stands at, and meets
+    the rows in the one or two buckets of ``n`` numbers that reach back from it.
+    """
+    keys = list(keys)
+    own = Window.partitionBy(*keys).orderBy("ts_hour")
+    numbered = df.withColumn("_i", F.row_number().over(own).cast("long"))
+    moments = origins.select(*keys, "origin").distinct()
+    both = numbered.select(*keys, F.col("ts_hour").alias("origin"), "_i", F.lit(0).alias("_side")).unionByName(moments.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    upto = F.max("_i").over(Window.partitionBy(*keys).orderBy("origin", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    at = both.withColumn("_last", upto).where("_side = 1 and _last is not null").select(*keys, "origin", "_last")
+    joined = in_buckets(numbered, at, keys, F.col("_i"), F.greatest(F.col("_last") - (n - 1), F.lit(0)), F.col("_last"), n)
+    return joined.withColumn("_back", F.col("_last") - F.col("_i")).where(F.col("_back").between(0, n - 1)).drop("_i", "_last")
+
+
+def origin_join(df: DataFrame, origins: DataFrame, side: str = "horizon", horizon: int = 48, back_hours: int | None = None) -> DataFrame:
     """Rows of each origin: its history (up to the origin) or the hours of its horizon, with their number.
 
-    The horizon's hours are listed from the origins and joined by equality.
+    The horizon's hours are listed from the origins and joined by equality. Of the history,
+    the last ``back_hours`` hours are joined by day; without a bound it is all that came
+    before, which grows with the years.
     """
     keys = [c for c in origins.columns if c != "origin"]
     if side == "history":
-        return df.join(origins, keys).where("ts_hour <= origin")
+        if back_hours is None:
+            return df.join(origins, keys).where("ts_hour <= origin")
+        end = F.unix_timestamp("origin")
+        near = in_buckets(df, origins, keys, F.unix_timestamp("ts_hour"), end - back_hours * 3600, end, 86_400)
+        return near.where((F.col("ts_hour") <= F.col("origin")) & (F.col("ts_hour") > F.col("origin") - hours(back_hours)))
     steps = forecast_hours(origins, horizon)
     return steps.join(df, [*keys, "ts_hour"])
 

@@ -275,6 +275,14 @@ def j6_origin_join(spark, sf):
     return J.origin_join(df.select("device_id", "ts_hour", "grid_import"), E.backtest_origins(df, CFG)).select("device_id", "origin", "ts_hour", "horizon", "grid_import")
 
 
+@query(f"""WITH {B.LONG} SELECT o.device_id, o.origin, h.ts_hour, {r('h.grid_import AS grid_import')} FROM origins o
+  JOIN hourly h ON h.device_id = o.device_id AND h.ts_hour <= o.origin AND h.ts_hour > o.origin - INTERVAL 336 HOUR""")
+def j6_origin_history(spark, sf):
+    """Each origin's last 14 days, joined by day."""
+    df = B.stored(B.hourly(spark, sf).select("device_id", "ts_hour", "grid_import"))
+    return J.origin_join(df, E.backtest_origins(df, CFG), "history", back_hours=336).select("device_id", "origin", "ts_hour", "grid_import")
+
+
 # ------------------------------------------------------------------ summaries
 
 @query(f"""WITH {B.HOURLY} SELECT device_id, round(avg(grid_import), 4) + 0.0 AS mean_import, round(avg(net_exchange), 4) + 0.0 AS mean_net,
@@ -504,6 +512,22 @@ def m2_grouped_linear(spark, sf):
     return A.metrics(scored.withColumn("actual", F.col("grid_import")), ["device_id", "band"])
 
 
+#: Intercept and slopes on the sine and cosine of the hour, by the normal equations, from sums over groups.
+_LINE = """var_pop(hour_sin) AS va, var_pop(hour_cos) AS vb, covar_pop(hour_sin, hour_cos) AS ab, covar_pop(hour_sin, y) AS ay, covar_pop(hour_cos, y) AS by_,
+    avg(hour_sin) AS ma, avg(hour_cos) AS mb, avg(y) AS my"""
+_SLOPES = "(ay * vb - by_ * ab) / (va * vb - ab * ab) AS s, (by_ * va - ay * ab) / (va * vb - ab * ab) AS c, my - (ay * vb - by_ * ab) / (va * vb - ab * ab) * ma - (by_ * va - ay * ab) / (va * vb - ab * ab) * mb AS i"
+_CLOCK = ["hour_sin", "hour_cos"]
+
+
+@query(f"""WITH {B.HOURLY}, f AS (SELECT device_id, {_LINE} FROM (SELECT *, grid_import AS y FROM hourly WHERE grid_import IS NOT NULL) GROUP BY 1), l AS (SELECT device_id, {_SLOPES} FROM f)
+SELECT device_id, band, round(i, 5) + 0.0 AS intercept, round(s, 5) + 0.0 AS on_sine, round(c, 5) + 0.0 AS on_cosine FROM l, (VALUES ('short'), ('medium'), ('long')) v(band)""")
+def m2_two_inputs(spark, sf):
+    """The coefficients on two inputs, whose normal equations have a closed form."""
+    linear = M.GroupedLinear("grid_import", _CLOCK, ["device_id", "band"], ridge=0.0)
+    at = lambda i, name: F.round(F.get("coefficients", F.lit(i)), 5).alias(name)
+    return linear.fit(_matrix(spark, sf)).select("device_id", "band", at(0, "intercept"), at(1, "on_sine"), at(2, "on_cosine"))
+
+
 @query()
 def m3_gbt_pooled(spark, sf):
     matrix = X.time_split(_matrix(spark, sf), CFG.validation_split)
@@ -729,22 +753,42 @@ def e1_origins(spark, sf):
     return E.backtest_origins(B.hourly(spark, sf), CFG)
 
 
+#: told: forecasts of the two-input line that is fitted anew at each of the origins ``asked``.
+_TOLD = f"""clocked AS (SELECT a.*, h.hour_sin, h.hour_cos FROM actuals a JOIN hourly h USING (device_id, ts_hour)),
+moments AS (SELECT o.device_id, c.target, o.origin, {_LINE} FROM (SELECT DISTINCT device_id, origin FROM asked) o JOIN (SELECT *, actual AS y FROM clocked WHERE actual IS NOT NULL) c ON c.device_id = o.device_id AND c.ts_hour <= o.origin GROUP BY ALL),
+line AS (SELECT device_id, target, origin, {_SLOPES} FROM moments),
+told AS (SELECT l.device_id, l.target, l.origin, CAST(h AS INTEGER) AS horizon, c.ts_hour, c.actual, greatest(i + s * hour_sin + c * hour_cos, 0.0) AS prediction
+  FROM line l CROSS JOIN range(1, 49) r(h) JOIN clocked c ON c.device_id = l.device_id AND c.target = l.target AND c.ts_hour = l.origin + to_hours(CAST(h AS BIGINT)) WHERE c.actual IS NOT NULL
+  QUALIFY count(*) OVER (PARTITION BY l.device_id, l.target, l.origin) >= 12)"""
+
+
+def _two_inputs():
+    return E.linear_backend(CFG, features=_CLOCK, ridge=0.0)
+
+
+@query(f"WITH {B.LONG}, asked AS (SELECT * FROM origins), {_TOLD} SELECT device_id, target, origin, horizon, {r('actual')}, round(prediction, 5) + 0.0 AS prediction FROM told")
+def e2_two_inputs(spark, sf):
+    """The linear backtest on two inputs, refitted at every origin."""
+    rows = E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, _two_inputs())
+    return rows.select("device_id", "target", "origin", "horizon", "actual", F.round("prediction", 5).alias("prediction"))
+
+
 @query()
 def e2_linear_backtest(spark, sf):
-    bt = E.run_backtest(B.hourly(spark, sf), CFG, E.linear_backend(CFG))
+    bt = E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, E.linear_backend(CFG))
     return A.metrics(bt.drop("lower", "upper"), ["device_id", "target"])
 
 
 @query()
 def e3_pooled_backtest(spark, sf):
-    df = B.hourly(spark, sf)
+    df = B.stored(B.hourly(spark, sf))
     bt = E.run_backtest(df, CFG, E.linear_backend(CFG, pooled=df.select("device_id").distinct()))
     return A.metrics(bt.drop("lower", "upper"), ["device_id", "target"])
 
 
 @query()
 def e4_cross_validate(spark, sf):
-    return E.cross_validate(B.hourly(spark, sf), CFG, E.linear_backend(CFG))
+    return E.cross_validate(B.stored(B.hourly(spark, sf)), CFG, E.linear_backend(CFG))
 
 
 _CV = f"""WITH {B.LONG}, folds AS (SELECT device_id, a, b - to_hours(CAST(168 * f AS BIGINT)) AS s, b - to_hours(CAST(168 * f AS BIGINT)) + to_hours(CAST(24 * k AS BIGINT)) AS origin FROM ends, range(1, 5) x(f), range(0, 6) y(k)),
@@ -755,6 +799,15 @@ e AS (SELECT device_id, target, origin, avg(abs(prediction - actual)) AS m FROM
 SELECT device_id, target, {r('avg(m) AS cv_mae', 'avg(m) AS naive_mae')}, count(*) AS n_origins FROM e GROUP BY 1, 2"""
 
 
+@query(f"""{_CV[: _CV.index("p AS (SELECT")]}asked AS (SELECT DISTINCT device_id, origin FROM folds WHERE origin > a), {_TOLD},
+e AS (SELECT device_id, target, origin, avg(abs(prediction - actual)) AS m FROM told JOIN ok USING (device_id, target, origin) GROUP BY ALL)
+SELECT device_id, target, round(avg(m), 5) + 0.0 AS cv_mae, count(*) AS n_origins FROM e GROUP BY 1, 2""")
+def e4_two_inputs(spark, sf):
+    """Cross-validation of the two-input line."""
+    done = E.cross_validate(B.stored(B.hourly(spark, sf)), CFG, _two_inputs())
+    return done.select("device_id", "target", F.round("cv_mae", 5).alias("cv_mae"), "n_origins")
+
+
 @query(_CV)
 def e5_naive_cv(spark, sf):
     return E.cross_validate(B.hourly(spark, sf), CFG, E.naive_backend(CFG)).drop("skill")
@@ -829,7 +882,17 @@ def e11_winner(spark, sf):
 
 @query()
 def e12_benchmark(spark, sf):
-    return E.benchmark(B.hourly(spark, sf), CFG, {"linear": E.linear_backend(CFG)})["comparison"]
+    return E.benchmark(B.stored(B.hourly(spark, sf)), CFG, {"linear": E.linear_backend(CFG)}, store=B.stored)["comparison"]
+
+
+@query(f"""WITH {B.STEPS}, asked AS (SELECT * FROM origins), {_TOLD}, every AS (SELECT 'naive' AS candidate, device_id, target, origin, actual, prediction FROM backtest UNION ALL SELECT 'linear', device_id, target, origin, actual, prediction FROM told),
+cells AS (SELECT device_id, target, origin FROM every GROUP BY ALL HAVING count(DISTINCT candidate) = 2),
+cmp AS (SELECT candidate, avg(abs(prediction - actual)) AS mae, sqrt(avg((prediction - actual) ** 2)) AS rmse, avg(prediction - actual) AS mbe, count(*) AS n_rows FROM every JOIN cells USING (device_id, target, origin) GROUP BY 1)
+SELECT candidate, round(mae, 5) + 0.0 AS mae, round(rmse, 5) + 0.0 AS rmse, round(mbe, 5) + 0.0 AS mbe, n_rows, round(1 - mae / (SELECT mae FROM cmp WHERE candidate = 'naive'), 5) + 0.0 AS skill_vs_naive FROM cmp""")
+def e12_two_inputs(spark, sf):
+    """The benchmark of the two-input line against the naive forecast."""
+    done = E.benchmark(B.stored(B.hourly(spark, sf)), CFG, {"linear": _two_inputs()}, store=B.stored)["comparison"]
+    return done.select("candidate", "n_rows", *(F.round(c, 5).alias(c) for c in ("mae", "rmse", "mbe", "skill_vs_naive")))
 
 
 @query(f"WITH {B.STEPS} SELECT device_id, target, {r('avg(abs(prediction - actual)) AS mae', 'sqrt(avg((prediction - actual) ** 2)) AS rmse', 'avg(CAST(actual BETWEEN prediction * 0.5 AND prediction * 1.5 AS DOUBLE)) AS coverage')}, count(*) AS n_hours FROM joined WHERE n >= 0 GROUP BY 1, 2")
