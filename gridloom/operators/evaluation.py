@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
+from types import MappingProxyType
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -204,11 +207,30 @@ def pick_winner(compared: DataFrame, naive: str = "naive") -> DataFrame:
     return best.join(F.broadcast(base)).select(F.when(F.col("base").isNull() | (F.col("mae") < F.col("base")), F.col("best")).otherwise(F.lit(naive)).alias("winner"))
 
 
+#: Settings that all candidates of a benchmark share.
+SHARED = frozenset({"targets", "horizon", "backtest_origins", "warmup_days", "min_matched_hours"})
+
+
+class Candidate(NamedTuple):
+    """A backend that a benchmark makes itself.
+
+    make: (settings, rows to learn from or None) -> backend; ``overrides`` are settings
+    of this candidate only; ``train_devices`` (device_id) are learnt from besides the scored ones.
+    """
+
+    make: Callable[[Config, DataFrame | None], Backend]
+    overrides: Mapping[str, object] = MappingProxyType({})
+    train_devices: DataFrame | None = None
+
+
 def benchmark(
-    df: DataFrame, cfg: Config, candidates: Mapping[str, Backend], n_origins: int = 21, devices: DataFrame | None = None, store: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    df: DataFrame, cfg: Config, candidates: Mapping[str, Backend | Candidate], n_origins: int = 21, devices: DataFrame | None = None, store: Callable[[DataFrame], DataFrame] = lambda rows: rows
 ) -> dict[str, DataFrame]:
     """comparison, per_origin and winner of named backends; the naive one always takes part.
 
+    Origins, horizon and targets are the benchmark's for all candidates, so that their cells can be
+    compared; an override of them raises SchemaError, as does one of an unknown setting.
+
     ``store`` may write the scored rows and read them again: the three results
     use them several times.
     """
@@ -216,6 +238,16 @@ def benchmark(
         raise SchemaError("naive: the name is taken")
     rows = None
     for name, backend in {**candidates, "naive": naive_backend(cfg)}.items():
+        if isinstance(backend, Candidate):
+            wrong = [k for k in backend.overrides if k not in Config.__dataclass_fields__ or k in SHARED]
+            if wrong:
+                raise SchemaError(f"{name}: {', '.join(sorted(wrong))} can't be overridden")
+            train = None
+            if backend.train_devices is not None:
+                learnt = backend.train_devices.select("device_id")
+                learnt = (learnt if devices is None else learnt.unionByName(devices.select("device_id"))).distinct()
+                train = df.join(learnt, "device_id", "left_semi") if devices is not None else df
+            backend = backend.make(replace(cfg, **backend.overrides), train)
         part = run_backtest(df, cfg, backend, devices, n_origins).withColumn("candidate", F.lit(name)).select("candidate", "device_id", "target", "origin", "horizon", "ts_hour", "actual", "prediction")
         rows = part if rows is None else rows.unionByName(part)
     rows = store(rows)

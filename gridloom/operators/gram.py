@@ -81,6 +81,42 @@ def blocks(rows: DataFrame, keys: Sequence[str], target: str, features: Sequence
     return flat.mapInArrow(run, schema)
 
 
+def reweighted(rows: DataFrame, keys: Sequence[str], target: str, features: Sequence[str], missing: Sequence[str], coefficients: str, power: float) -> DataFrame:
+    """Blocks of the working least squares of a log-link model with variance mean^power, at each row's ``coefficients``.
+
+    n is the sum of weights, to the nearest whole number from 1 on; only ratios of the sums matter.
+    """
+    keys, holes = list(keys), [list(features).index(f) for f in missing]
+    upper = np.triu_indices(1 + len(features) + len(holes))
+    schema = _schema(rows, keys)
+    names = schema.names
+    flat = rows.select(*keys, F.col(target).cast("double").alias("_y"), F.col(coefficients).alias("_b"), *(F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = len(keys)
+            groups: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(c.to_pylist() for c in batch.columns[:at]), strict=True) if keys else [()] * batch.num_rows):
+                groups.setdefault(key, []).append(i)
+            if not groups:
+                continue
+            y = batch.column(at).to_numpy(zero_copy_only=False)
+            x = inputs(batch.columns[at + 2 :], holes) if features else np.ones((batch.num_rows, 1))
+            made = []
+            for own in groups.values():
+                b = np.asarray(batch.column(at + 1)[own[0]].as_py())
+                part = x[own]
+                eta = np.clip(part @ b, -30.0, 30.0)
+                mean = np.exp(eta)
+                weight, z = mean ** (2 - power), eta + (y[own] - mean) / mean
+                made.append((max(1, round(float(weight.sum()))), float(weight @ (z * z)), ((part.T * weight) @ part)[upper], part.T @ (weight * z)))
+            first = pa.array([own[0] for own in groups.values()])
+            arrays = [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.float64()), *(pa.array([m[i] for m in made], pa.list_(pa.float64())) for i in (2, 3))]
+            yield pa.RecordBatch.from_arrays([*(c.take(first) for c in batch.columns[:at]), *arrays], names=names)
+
+    return flat.mapInArrow(run, schema)
+
+
 def merged(parts: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
     """One block a group: the sum of its parts, array by array. A task makes few parts of a group, so few meet."""
     add = lambda c, w: F.aggregate(F.collect_list(c), F.array_repeat(F.lit(0.0), w), lambda s, v: F.zip_with(s, v, lambda a, b: a + b)).alias(c)

@@ -6,7 +6,7 @@ fitted state is always a table, so saving it is writing it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -117,7 +117,7 @@ class GroupedLinear:
         return F.aggregate(F.zip_with(self._row(), coefficients, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
-def _assembled(matrix: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def assembled(matrix: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Trees and GLMs take no nulls: each feature gets a value of 0 and an indicator."""
     filled = {f"_f_{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features} | {f"_m_{f}": F.col(f).isNull().cast("double") for f in features}
     return matrix.withColumns(filled), list(filled)
@@ -132,7 +132,7 @@ class GbtPooled:
         self.estimator = GBTRegressor(featuresCol="_x", labelCol="_label", maxIter=rounds, maxDepth=depth, seed=seed, **extra)
 
     def _prepare(self, matrix: DataFrame) -> tuple[DataFrame, VectorAssembler]:
-        rows, inputs = _assembled(matrix, self.features)
+        rows, inputs = assembled(matrix, self.features)
         return rows, VectorAssembler(inputCols=inputs, outputCol="_x")
 
     def fit(self, matrix: DataFrame) -> PipelineModel:
@@ -140,7 +140,7 @@ class GbtPooled:
         return PipelineModel([assembler, self.estimator.fit(assembler.transform(rows))])
 
     def predict(self, model: PipelineModel, matrix: DataFrame) -> DataFrame:
-        rows, inputs = _assembled(matrix, self.features)
+        rows, inputs = assembled(matrix, self.features)
         out = model.transform(rows)
         return out.withColumn("prediction", at_least(F.col("prediction"), 0.0)).drop("_x", *inputs)
 
@@ -153,11 +153,47 @@ class TweedieImport(GbtPooled):
         self.estimator = GeneralizedLinearRegression(featuresCol="_x", labelCol="_label", family="tweedie", variancePower=variance_power, linkPower=0.0, regParam=regularisation)
 
 
+class GroupedTweedie:
+    """Zero-inflated targets per group: compound Poisson-gamma errors, log link, by iteratively reweighted least squares.
+
+    A round is one pass: each row meets its group's coefficients, and weighted blocks of
+    sums of products are merged as those of least squares are. The coefficients are a
+    table, one row a group, written by ``store`` after each round. A group whose target
+    is 0 everywhere has no maximum and no model.
+    """
+
+    def __init__(self, target: str, features: Sequence[str], by: Sequence[str], power: float = 1.5, rounds: int = 25, tolerance: float = 1e-8, ridge: float = 0.0, store: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+        self.linear = GroupedLinear(target, features, by, ridge)
+        self.target, self.features, self.by = target, list(features), list(by)
+        self.power, self.rounds, self.tolerance, self.store = power, rounds, tolerance, store
+
+    def fit(self, matrix: DataFrame) -> DataFrame:
+        """by and coefficients."""
+        size = self.linear.size
+        rows = self.store(matrix.where(F.col(self.target).isNotNull()).select(*self.by, self.target, *self.features))
+        begin = rows.groupBy(*self.by).agg(F.avg(self.target).alias("_m")).where("_m > 0")
+        model = self.store(begin.select(*self.by, F.concat(F.array(F.log("_m")), F.array_repeat(F.lit(0.0), size - 1)).alias("coefficients")))
+        for _ in range(self.rounds):
+            parts = gram.reweighted(rows.join(model, self.by), self.by, self.target, self.features, self.linear.missing, "coefficients", self.power)
+            new = self.linear.solve(gram.merged(parts, self.by, size))
+            both = self.store(new.join(model.withColumnRenamed("coefficients", "_old"), self.by))
+            step = both.agg(F.max(F.array_max(F.zip_with("coefficients", "_old", lambda a, b: F.abs(a - b) / (1 + F.abs(b)))))).first()[0]
+            model = both.drop("_old")
+            if step is None or step < self.tolerance:
+                break
+        return model
+
+    def predict(self, model: DataFrame, matrix: DataFrame) -> DataFrame:
+        """Adds prediction; null for groups without a model."""
+        joined = matrix.join(model, self.by, "left")
+        return joined.withColumn("prediction", F.exp(self.linear.dot("coefficients"))).drop("coefficients")
+
+
 def quantile_leaf(train: DataFrame, rows: DataFrame, target: str, features: Sequence[str], low: float = 0.25, high: float = 0.75, depth: int = 6, min_rows: int = 30) -> DataFrame:
     """Adds q_low and q_high: the target's quantiles among the training rows of the same leaf of a tree fitted for it."""
-    known, inputs = _assembled(train.where(F.col(target).isNotNull()).withColumn("_label", F.col(target).cast("double")), features)
+    known, inputs = assembled(train.where(F.col(target).isNotNull()).withColumn("_label", F.col(target).cast("double")), features)
     assembler = VectorAssembler(inputCols=inputs, outputCol="_x")
     tree = DecisionTreeRegressor(featuresCol="_x", labelCol="_label", maxDepth=depth, minInstancesPerNode=min_rows, leafCol="_leaf", predictionCol="_mean").fit(assembler.transform(known))
     leafed = lambda df: tree.transform(assembler.transform(df))
     by = leafed(known).groupBy("_leaf").agg(F.percentile(target, low).alias("q_low"), F.percentile(target, high).alias("q_high"))
-    return leafed(_assembled(rows, features)[0]).select(*rows.columns, "_leaf").join(by, "_leaf", "left").drop("_leaf")
+    return leafed(assembled(rows, features)[0]).select(*rows.columns, "_leaf").join(by, "_leaf", "left").drop("_leaf")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions.solar import clearsky_ghi, solar_position
+from ..operators import backends as BK
 from ..operators import banded as N
 from ..operators import cleaning as C
 from ..operators import evaluation as E
@@ -20,6 +21,7 @@ from ..operators import records as R
 from ..operators import runlog as L
 from ..operators import summaries as A
 from ..operators import validation as V
+from ..operators.forests import QuantileForest
 from ..sources import readers as S
 from ..sources import sinks as K
 from ..streaming import streams as T
@@ -542,6 +544,24 @@ def m4_tweedie(spark, sf):
     return A.metrics(glm.predict(glm.fit(matrix), matrix).withColumn("actual", F.col("grid_import")), ["device_id"])
 
 
+@query()
+def m4_grouped_tweedie(spark, sf):
+    """A model of zero-inflated imports for each device and band, by reweighted least squares."""
+    matrix = B.stored(_matrix(spark, sf))
+    tweedie = M.GroupedTweedie("grid_import", _inputs(matrix), ["device_id", "band"], ridge=CFG.ridge, tolerance=1e-6, store=B.stored)
+    return A.metrics(tweedie.predict(tweedie.fit(matrix), matrix).withColumn("actual", F.col("grid_import")), ["device_id", "band"])
+
+
+@query()
+def m5_quantile_forest(spark, sf):
+    """Twenty trees: the share of each device's hours inside the quarter quantiles, of rows the forest wasn't fitted on."""
+    matrix = X.time_split(B.stored(_matrix(spark, sf)), CFG.validation_split)
+    forest = QuantileForest("grid_import", _inputs(matrix))
+    told = forest.predict(forest.fit(matrix.where("not is_validation")), matrix.where("is_validation"))
+    inside = F.col("grid_import").between(F.col("q_low"), F.col("q_high")).cast("double")
+    return told.groupBy("device_id").agg(F.avg(inside).alias("inside"), F.count(F.lit(1)).alias("n"))
+
+
 @query()
 def m5_quantile_leaf(spark, sf):
     matrix = B.stored(_matrix(spark, sf))
@@ -786,6 +806,13 @@ def e3_pooled_backtest(spark, sf):
     return A.metrics(bt.drop("lower", "upper"), ["device_id", "target"])
 
 
+@query()
+def e3_forest_backtest(spark, sf):
+    """One forest of all devices for each band, fitted every ten days on what was known then: errors and coverage of its bounds."""
+    forest = lambda target, features: QuantileForest(target, features, trees=20, depth=6)
+    return A.metrics(E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, BK.refitting(CFG, forest, 240, store=B.stored)), ["device_id", "target"])
+
+
 @query()
 def e4_cross_validate(spark, sf):
     return E.cross_validate(B.stored(B.hourly(spark, sf)), CFG, E.linear_backend(CFG))
