@@ -263,9 +263,15 @@ def evaluate_forecasts(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
     return out.select("device_id", "target", "mae", "rmse", (F.col("coverage") / 100).alias("coverage") if "coverage" in out.columns else F.lit(None).cast("double").alias("coverage"), F.col("n_samples").alias("n_hours"))
 
 
-def drift(runs: DataFrame, run_metrics: DataFrame, threshold: float = 0.15) -> DataFrame:
-    """device_id, key, previous, current, change, degraded: each run's errors against the device's run before."""
-    rows = run_metrics.where(F.col("key").startswith("cv_mae")).join(runs.select("run_id", "device_id", "start_time"), "run_id")
+def drift(runs: DataFrame, run_metrics: DataFrame, threshold: float = 0.15, keys: Sequence[str] = ("cv_mae",)) -> DataFrame:
+    """device_id, key, previous, current, change, degraded: each run's errors against the device's run before.
+
+    ``keys``: beginnings of the names of the metrics that are compared.
+    """
+    named = F.lit(False)
+    for key in keys:
+        named = named | F.col("key").startswith(key)
+    rows = run_metrics.where(named).join(runs.select("run_id", "device_id", "start_time"), "run_id")
     before = F.lag("value").over(Window.partitionBy("device_id", "key").orderBy("start_time", "run_id"))
     rows = rows.withColumn("previous", before).where("previous > 0")
     change = (F.col("value") - F.col("previous")) / F.col("previous")

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import versions
+
 
 def clean_metrics(metrics: DataFrame) -> DataFrame:
     """Null and NaN metrics aren't logged."""
     return metrics.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
 
 
-def log_runs(df: DataFrame, path: str, session: str = "session") -> None:
-    """Append, one folder a session."""
+def log_runs(df: DataFrame, path: str, session: str = "session", again: bool = False) -> None:
+    """Append, one folder a session. With ``again`` a session that is there already is written anew."""
+    if again:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(session).parquet(path)
+        return
     df.write.mode("append").partitionBy(*([session] if session in df.columns else [])).parquet(path)
 
 
@@ -34,9 +39,39 @@ def prune_runs(runs: DataFrame, days: int, now: str, dry_run: bool = False) -> D
     return runs.where(old if dry_run else F.coalesce(~old, F.lit(True)))
 
 
+def prune_log(spark: SparkSession, path: str, days: int, now: str, dry_run: bool = False, session: str = "session", store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Delete the runs of a written log that started more than ``days`` days before ``now``; returns them.
+
+    Sessions that lose all their runs lose their folder; those that lose some are written
+    anew, from a copy that ``store`` makes; the files of all others stay untouched. With
+    dry_run nothing is written.
+    """
+    log = spark.read.parquet(path)
+    if session not in log.columns:
+        raise ValueError(f"the log isn't partitioned by {session}")
+    old = prune_runs(log, days, now, dry_run=True)
+    if dry_run:
+        return old
+    if store is None:
+        raise ValueError("a copy has to be stored while folders are written anew")
+    gone = store(old)
+    left = prune_runs(log, days, now).groupBy(session).agg(F.count("*").alias("_left"))
+    hit = gone.select(session).distinct().join(left, session, "left").select(F.col(session).cast("string").alias("s"), F.coalesce("_left", F.lit(0)).alias("n")).collect()  # a row a session that changes
+    part = [r.s for r in hit if r.n]
+    if part:
+        kept = store(prune_runs(log.where(F.col(session).cast("string").isin(part)), days, now))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(session).parquet(path)
+    for r in hit:
+        if not r.n:
+            versions.delete(spark, f"{path}/{session}={r.s}")
+    return gone
+
+
 def lineage_tags(spark: SparkSession, tables: Sequence[str], registry: DataFrame) -> DataFrame:
-    """table, license, classification, owner, source_system of the tables that a run read; defaults where the registry is silent."""
+    """table, license, classification, owner, source_system of the tables that a run read; defaults where the registry is silent.
+
+    A table that the registry doesn't hold has no tags.
+    """
     read = spark.createDataFrame([(t,) for t in tables], "table string")
-    known = registry.select("table", "license", "classification", "owner", "source_system", F.lit(True).alias("_known"))
-    joined = read.join(known, "table").drop("_known")
+    joined = read.join(registry.select("table", "license", "classification", "owner", "source_system"), "table")
     return joined.na.fill({"license": "unknown", "classification": "green", "owner": "unknown", "source_system": "unknown"})

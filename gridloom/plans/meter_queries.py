@@ -14,6 +14,7 @@ from ..operators import banded as N
 from ..operators import cleaning as C
 from ..operators import evaluation as E
 from ..operators import features as X
+from ..operators import flow as W
 from ..operators import intervals as I
 from ..operators import joins as J
 from ..operators import models as M
@@ -722,6 +723,21 @@ def i7_interval_coverage(spark, sf):
     return A.metrics(E.run_backtest(df, CFG, N.interval_backend(N.BandedLinear(CFG, store=B.stored))), ["device_id", "target"])
 
 
+@query(f"""WITH {B.HOURLY}, v(band, h) AS (VALUES ('short', 8), ('medium', 16), ('long', 24)) SELECT device_id, band, count(*) * h AS n, 0.0 AS largest_gap FROM hourly CROSS JOIN v WHERE grid_import IS NOT NULL GROUP BY device_id, band, h""")
+def p3_warm_statistics(spark, sf):
+    """Statistics of the first three weeks, refreshed twice with what came later: their rows, and the largest gap to a refit's coefficients."""
+    df = B.stored(B.hourly(spark, sf).select("device_id", "ts_hour", "grid_import", *CFG.calendar))
+    linear = M.GroupedLinear("grid_import", V.resolve_features("grid_import", CFG, True, df.columns), ["device_id", "band"], CFG.ridge)
+    held = None
+    for end in ("2024-01-22", "2024-01-26 07:00:00", None):
+        upto = df if end is None else df.where(F.col("ts_hour") < F.lit(end).cast("timestamp"))
+        held = B.stored(W.refreshed(upto, linear, "grid_import", CFG, held, store=B.stored))
+    refit = linear.solve(linear.statistics(_matrix(spark, sf))).withColumnRenamed("coefficients", "refit")
+    both = linear.solve(held).join(refit, linear.by).join(held.select(*linear.by, "n"), linear.by)
+    gap = F.array_max(F.zip_with("coefficients", "refit", lambda a, b: F.abs(a - b) / (1 + F.abs(b))))
+    return both.select("device_id", "band", "n", F.round(gap, 3).alias("largest_gap"))
+
+
 @query()
 def p2_train_forecast(spark, sf):
     """Readings to records of 48 hours with bounds: gates, fit, cross-validation and forecast in one call."""
@@ -1034,7 +1050,7 @@ def t3_stream_model_update(spark, sf):
     linear = M.GroupedLinear("grid_import", _inputs(matrix), ["device_id"])
     stream = spark.readStream.schema(matrix.schema).option("maxFilesPerTrigger", 2).parquet(rows_path)
     T.stream_model_update(stream, linear, path, mark).awaitTermination()
-    streamed = T.current_statistics(spark, linear, path).select("device_id", F.col("n").alias("n_stream"), F.col("yy").alias("yy_stream"))
+    streamed = T.current_statistics(spark, path).select("device_id", F.col("n").alias("n_stream"), F.col("yy").alias("yy_stream"))
     both = streamed.join(linear.statistics(spark.read.schema(matrix.schema).parquet(rows_path)).select("device_id", "n", "yy"), "device_id")
     gap = F.greatest(F.abs(F.col("n") - F.col("n_stream")).cast("double"), F.round(F.abs(F.col("yy") - F.col("yy_stream")), 3))
     return both.select("device_id", "n_stream", (F.round(F.col("yy_stream") / CFG.horizon, 3) * CFG.horizon).alias("yy_stream"), gap.alias("gap"))

@@ -83,15 +83,33 @@ def load_weather(spark: SparkSession, path: str) -> DataFrame:
     return validate(read_any(spark, path), kind="weather")
 
 
+def _jdbc_table(spark: SparkSession, table: str, jdbc: Mapping[str, str], split: str | None, connections: int) -> DataFrame:
+    source = spark.read.format("jdbc").options(**jdbc)
+    if split is None:
+        return source.option("dbtable", table).load()
+    if not _COLUMN.fullmatch(split):
+        raise ValueError(f"not a column name: {split!r}")
+    low, high = source.option("query", f"SELECT MIN({split}) AS a, MAX({split}) AS b FROM {table}").load().first()
+    source = spark.read.format("jdbc").options(**jdbc, dbtable=table)
+    if low is None:  # no rows, or none that has it
+        return source.load()
+    return source.options(partitionColumn=split, lowerBound=str(low), upperBound=str(high), numPartitions=str(connections)).load()
+
+
 def read_table(
     spark: SparkSession, table: str, filters: Mapping[str, object] | None = None, device_ids: Sequence[str] | None = None,
-    jdbc: Mapping[str, str] | None = None, column_map: Mapping[str, str] | None = None,
+    jdbc: Mapping[str, str] | None = None, column_map: Mapping[str, str] | None = None, split: str | None = None, connections: int = 8,
 ) -> DataFrame:
-    """A catalog or JDBC table with equality and IN filters, which Catalyst hands to the source. Devices are filtered after renaming."""
+    """A catalog or JDBC table with equality and IN filters, which Catalyst hands to the source. Devices are filtered after renaming.
+
+    ``split`` names a number, date or time column of a JDBC table: its range, which one query
+    asks the database for, is cut into ``connections`` parts that are read side by side, and
+    no more than so many connections are open. Rows without it are in the first part.
+    """
     if not _TABLE.fullmatch(table):
         raise ValueError(f"not a table name: {table!r}")
     utc(spark)
-    df = spark.read.format("jdbc").options(**jdbc, dbtable=table).load() if jdbc else spark.table(table)
+    df = _jdbc_table(spark, table, jdbc, split, connections) if jdbc else spark.table(table)
     for column, wanted in (filters or {}).items():
         if not _COLUMN.fullmatch(column):
             raise ValueError(f"not a column name: {column!r}")

@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..config import Config
 from ..operators.cleaning import derive_targets
 from ..operators.models import GroupedLinear
+from ..sources import versions
 
 
 def stream_hourly(readings: DataFrame, cfg: Config, lateness: str = "2 hours") -> DataFrame:
@@ -37,23 +38,75 @@ def stream_score_actuals(actuals: DataFrame, forecasts: DataFrame, path: str, ch
 
 
 def stream_model_update(rows: DataFrame, model: GroupedLinear, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep a table of model statistics up to date: each batch adds the sums of its rows as one version.
+    """Keep one table of model statistics up to date: each batch is merged into it and makes the next version.
 
-    A batch that is run again writes the same version again, so nothing counts twice.
+    A batch that is run again finds its version there and adds nothing; older versions go
+    once the new one is finished, so the folder doesn't grow with the batches.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        model.statistics(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        new = lambda old: model.statistics(batch) if old is None else model.update(old, batch)
+        versions.replace(batch.sparkSession, path, batch_id, new)
 
     return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current_statistics(spark: SparkSession, model: GroupedLinear, path: str) -> DataFrame:
-    """All versions' sums together."""
-    parts = spark.read.parquet(path).drop("batch")
-    width = {"xx": model.size * (model.size + 1) // 2, "xy": model.size}
-    sums = [F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(w)]).alias(c) for c, w in width.items()]
-    return parts.groupBy(*model.by).agg(F.sum("n").alias("n"), F.sum("yy").alias("yy"), *sums)
+def current_statistics(spark: SparkSession, path: str) -> DataFrame | None:
+    """The statistics of all rows so far; None before the first batch."""
+    return versions.current(spark, path)
+
+
+class LastReadings(StatefulProcessor):
+    """An hour's readings by their moments, the last to come of each; handed on when the watermark passes the hour's end."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("readings", "ts long", "seq long, consumption_kwh double, production_kwh double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  Spark's names
+        end = int(key[1])
+        if timerValues.getCurrentWatermarkInMs() >= end:  # the hour has been handed on
+            yield pd.DataFrame()
+            return
+        newest: dict[int, tuple] = {}
+        for pdf in rows:
+            for ts, *row in zip(*(pdf[c] for c in ("us", "seq", "consumption_kwh", "production_kwh")), strict=True):
+                told = (int(row[0]), *(None if pd.isna(v) else float(v) for v in row[1:]))
+                if ts not in newest or _later(told, newest[ts]):
+                    newest[int(ts)] = told
+        for ts, told in newest.items():
+            before = tuple(self.held.getValue((ts,))) if self.held.containsKey((ts,)) else None
+            if before is None or _later(told, before):
+                self.held.updateValue((ts,), told)
+        self.handle.registerTimer(end)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        rows = [(key[0], k[0], v[0], v[1], v[2]) for k, v in self.held.iterator()]
+        self.held.clear()
+        yield pd.DataFrame(rows, columns=["device_id", "us", "seq", "consumption_kwh", "production_kwh"]) if rows else pd.DataFrame()
+
+
+def _later(a: tuple, b: tuple) -> bool:
+    """The larger (seq, consumption, production), null being the least: as the batch form picks a reading."""
+    return tuple((x is not None, x or 0) for x in a) > tuple((x is not None, x or 0) for x in b)
+
+
+def stream_last_readings(readings: DataFrame, seq: str, lateness: str = "2 hours") -> DataFrame:
+    """Each moment's last reading by ``seq`` (a long, such as the time of its arrival), once its hour is complete.
+
+    The state holds an hour's moments of a device until the watermark passes the hour's
+    end, so corrections count whatever order they come in; what comes later is dropped.
+    Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass). Rows
+    that have the same seq fall by their values, as in ``dedupe_readings``.
+    """
+    known = readings.where("device_id is not null and ts is not null").withWatermark("ts", lateness)
+    end = (F.unix_millis(F.date_trunc("hour", "ts")) + 3_600_000).alias("hour_end")
+    given = known.select("device_id", end, "ts", F.unix_micros("ts").alias("us"), F.col(seq).cast("long").alias("seq"), "consumption_kwh", "production_kwh")
+    out = given.groupBy("device_id", "hour_end").transformWithStateInPandas(
+        statefulProcessor=LastReadings(), outputStructType="device_id string, us long, seq long, consumption_kwh double, production_kwh double", outputMode="append", timeMode="eventTime"
+    )
+    return out.select("device_id", F.timestamp_micros("us").alias("ts"), F.col("seq").alias(seq), "consumption_kwh", "production_kwh")
 
 
 Window = Callable[[list[float], list[list[float]], list[list[float]]], list[float]]
