@@ -12,10 +12,12 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from typing import Any, NamedTuple, Protocol
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.clock import hours
 from . import evaluation as E
 from . import features as X
 from . import models as M
@@ -95,3 +97,49 @@ def refitting(cfg: Config, kind: Kind, every_hours: int | None = None, train: Da
 def as_fitted(cfg: Config, fitted: Sequence[Fitted], has_pv: bool = True) -> E.Backend:
     """A backend that predicts with fitted models and never refits."""
     return lambda history, origins, target: predict_with(fitted, history, origins, target, cfg, has_pv=has_pv)
+
+
+#: (features, target) -> whatever a model is; (model, features) -> predictions, or a table of prediction and, if it has them, q_low and q_high.
+Fit = Callable[[pd.DataFrame, pd.Series], Any]
+Predict = Callable[[Any, pd.DataFrame], Any]
+
+
+def per_device(cfg: Config, fit: Fit, predict: Predict, every_hours: int | None = None, history_days: int = 365, has_pv: bool = True) -> E.Backend:
+    """Any Python model, one a device, as a backend of backtests, cross-validation and scoring.
+
+    A device's training rows meet its rows to forecast in one group. Each origin (or every
+    so many hours before it) has a model of its own, from the ``history_days`` up to then;
+    older rows aren't sent, so a group has at most horizon rows for each hour of
+    these days and of the days that its origins span. Devices without rows then get no forecast.
+    """
+
+    def run(history: DataFrame, origins: DataFrame, target: str) -> DataFrame:
+        at = F.col("origin") if every_hours is None else F.timestamp_seconds(F.floor(F.unix_timestamp("origin") / (every_hours * 3600)) * (every_hours * 3600))
+        asked = X.forecast_matrix(history, origins, target, cfg, E.history_weather(history), has_pv).withColumn("_at", at)
+        first = origins.groupBy("device_id").agg((F.min(at) - hours(history_days * 24)).alias("_first"))
+        matrix = X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv).join(first, "device_id").where("ts_hour > _first").drop("_first")
+        names = [c for c in matrix.columns if c not in ("device_id", "ts_hour", target)]
+        back = pd.Timedelta(days=history_days)
+        columns = ["device_id", "target", "origin", "ts_hour", "horizon", "prediction", "lower", "upper"]
+
+        def each(known: pd.DataFrame, ahead: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            for moment, rows in ahead.groupby("_at"):
+                past = known[(known["ts_hour"] <= moment) & (known["ts_hour"] > moment - back)]
+                if past.empty:
+                    continue
+                told = predict(fit(past[names], past[target]), rows[names])
+                told = told.reset_index(drop=True) if isinstance(told, pd.DataFrame) else pd.DataFrame({"prediction": list(told)})
+                part = rows[["device_id", "origin", "ts_hour", "horizon"]].reset_index(drop=True).assign(target=target, prediction=told["prediction"].astype(float))
+                bounds = {b: told[q].astype(float) if q in told else float("nan") for b, q in (("lower", "q_low"), ("upper", "q_high"))}
+                out.append(part.assign(**bounds)[columns])
+            return pd.concat(out) if out else pd.DataFrame(columns=columns)
+
+        kind = "device_id string, target string, origin timestamp, ts_hour timestamp, horizon int, prediction double, lower double, upper double"
+        known = matrix.select(F.col("device_id").alias("_device"), *(F.col(c).alias(c) for c in matrix.columns if c != "device_id"))  # names of its own: both sides come from one table
+        found = known.groupBy("_device").cogroup(asked.groupBy("device_id")).applyInPandas(each, kind)
+        none = lambda c: F.when(F.isnan(c), None).otherwise(F.col(c))
+        bound = lambda c: F.greatest(F.lit(0.0), none(c)) if c == "lower" else none(c)
+        return found.withColumns({"prediction": F.greatest(none("prediction"), F.lit(0.0)), **{c: F.when(none(c).isNotNull(), bound(c)) for c in ("lower", "upper")}})
+
+    return run

@@ -1008,16 +1008,43 @@ def d1_lineitem_domain(spark, sf):
 
 # ------------------------------------------------------------------ streams and user functions
 
-def _readings_stream(spark, sf):
+def _readings_stream(spark, sf, *more):
     kind = B.table(spark, sf, "events").schema
     e = spark.readStream.schema(kind).parquet(f"{sf}/events.parque[t]")  # a pattern: the table may be one file
     takes, gives = F.col("event_type").isin("click", "view", "signup"), F.col("event_type").isin("purchase", "error")
     return e.select(
         S.meter_of(F.col("user_id"), B.USERS).alias("device_id"), F.col("ts").cast("timestamp").alias("ts"),
-        F.when(takes, F.col("value")).otherwise(0.0).alias("consumption_kwh"), F.when(gives, F.col("value")).otherwise(0.0).alias("production_kwh"),
+        F.when(takes, F.col("value")).otherwise(0.0).alias("consumption_kwh"), F.when(gives, F.col("value")).otherwise(0.0).alias("production_kwh"), *more,
     )
 
 
+@query(f"""WITH e AS (SELECT DISTINCT ON (user_id // {B.USERS}, ts) 'dev-' || CAST(user_id // {B.USERS} AS VARCHAR) AS device_id, ts, event_type, value FROM events
+  ORDER BY user_id // {B.USERS}, ts, event_id DESC),
+h AS (SELECT device_id, date_trunc('hour', ts) AS ts_hour, count(*) AS n_quarters, sum(CASE WHEN event_type IN ('click', 'view', 'signup') THEN value ELSE 0 END) AS c FROM e GROUP BY ALL)
+SELECT device_id, ts_hour, n_quarters, {r('c * CASE WHEN n_quarters < 4 THEN CAST(4 AS DOUBLE) / n_quarters ELSE 1.0 END AS M1_cons')} FROM h WHERE ts_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
+def t1_stream_last(spark, sf):
+    """Of repeated readings the last counts (that of the largest event), once the watermark has passed its hour."""
+    path, mark, store = B.fresh_path(spark), B.fresh_path(spark), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store, None)
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        last = T.stream_last_readings(_readings_stream(spark, sf, "event_id"), "event_id")
+        last.writeStream.outputMode("append").option("checkpointLocation", mark).trigger(availableNow=True).format("parquet").start(path).awaitTermination()
+    finally:
+        spark.conf.unset(store) if before is None else spark.conf.set(store, before)
+    return C.hourly_rollup(spark.read.schema(last.schema).parquet(path), CFG).select("device_id", "ts_hour", "n_quarters", "M1_cons")
+
+
+@query(f"""WITH {B.LONG}, fits AS (SELECT o.device_id, t.target, o.origin, avg(t.actual) AS m FROM origins o JOIN actuals t ON t.device_id = o.device_id AND t.ts_hour <= o.origin AND t.ts_hour > o.origin - INTERVAL 240 HOUR WHERE t.actual IS NOT NULL GROUP BY ALL),
+told AS (SELECT f.device_id, f.target, f.origin, CAST(h AS INTEGER) AS horizon, t.actual, greatest(m, 0.0) AS prediction FROM fits f CROSS JOIN range(1, 49) r(h)
+  JOIN actuals t ON t.device_id = f.device_id AND t.target = f.target AND t.ts_hour = f.origin + to_hours(CAST(h AS BIGINT)) WHERE t.actual IS NOT NULL QUALIFY count(*) OVER (PARTITION BY f.device_id, f.target, f.origin) >= 12)
+SELECT device_id, target, origin, horizon, {r('actual', 'prediction')} FROM told""")
+def u1_own_model(spark, sf):
+    """A user's Python model a device, refitted at every origin on its last ten days: here their mean."""
+    own = BK.per_device(CFG, lambda x, y: float(y.mean()), lambda model, x: [model] * len(x), history_days=10)
+    return E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, own).select("device_id", "target", "origin", "horizon", "actual", "prediction")
+
+
 @query(f"""WITH e AS (SELECT DISTINCT ON (user_id // {B.USERS}, ts) 'dev-' || CAST(user_id // {B.USERS} AS VARCHAR) AS device_id, ts, event_type, value FROM events),
 h AS (SELECT device_id, date_trunc('hour', ts) AS ts_hour, count(*) AS n_quarters, sum(CASE WHEN event_type IN ('click', 'view', 'signup') THEN value ELSE 0 END) AS c FROM e GROUP BY ALL)
 SELECT device_id, ts_hour, n_quarters, {r('c * CASE WHEN n_quarters < 4 THEN CAST(4 AS DOUBLE) / n_quarters ELSE 1.0 END AS M1_cons')} FROM h WHERE ts_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")

@@ -160,3 +160,31 @@ def test_fitted_models_score_and_cross_validate(history):
     assert len(told) == 96 and all(0 <= r.lower <= r.prediction <= r.upper for r in told)
     cv = E.cross_validate(history, Config(targets=("grid_import",), cv_folds=1), K.as_fitted(CFG, fitted)).collect()
     assert {r.device_id for r in cv} == {"a", "b"} and all(r.n_origins > 0 and r.cv_mae < 0.6 for r in cv)
+
+
+def test_a_python_model_a_device_in_backtest_cv_and_scoring(history, raw_meters):
+    """Least squares on the hour's sine: the same two functions everywhere, from no more days than asked for."""
+    import pandas as pd
+
+    from gridloom.operators import records as R
+
+
+    def fit(x, y):
+        assert len(x) <= 10 * 24 * CFG.horizon
+        a = np.column_stack([np.ones(len(x)), x["hour_sin"]])
+        return np.linalg.lstsq(a, y.to_numpy(dtype=float), rcond=None)[0]
+
+    def predict(model, x):
+        mid = model[0] + model[1] * x["hour_sin"].to_numpy(dtype=float)
+        return pd.DataFrame({"prediction": mid, "q_low": mid - 0.1, "q_high": mid + 0.1})
+
+    own = K.per_device(CFG, fit, predict, history_days=10)
+    rows = E.run_backtest(history, CFG, own, n_origins=3).collect()
+    assert len(rows) == 2 * 3 * 48 and np.mean([abs(r.prediction - r.actual) for r in rows]) < 0.3  # the fixture's clock is an hour off the forecast's
+    assert all(r.upper == pytest.approx(r.prediction + 0.1) and r.lower == pytest.approx(max(0, r.prediction - 0.1)) for r in rows)
+    cv = E.cross_validate(history, Config(targets=("grid_import",), cv_folds=1), own).collect()
+    assert all(r.cv_mae < 0.3 for r in cv) and len(cv) == 2
+    told = R.batch_score(raw_meters, Config(min_span_days=14.0), own)
+    assert told.count() == 96 and {"grid_import_lower", "grid_export_upper"} <= set(told.columns)
+    weekly = E.run_backtest(history, CFG, K.per_device(CFG, fit, lambda model, x: [float(model[0])] * len(x), 168, 10), n_origins=3)
+    assert weekly.select("device_id", "prediction").distinct().count() <= 4 and weekly.where("lower is not null").isEmpty()
