@@ -138,8 +138,9 @@ def per_device(cfg: Config, fit: Fit, predict: Predict, every_hours: int | None
         kind = "device_id string, target string, origin timestamp, ts_hour timestamp, horizon int, prediction double, lower double, upper double"
         known = matrix.select(F.col("device_id").alias("_device"), *(F.col(c).alias(c) for c in matrix.columns if c != "device_id"))  # names of its own: both sides come from one table
         found = known.groupBy("_device").cogroup(asked.groupBy("device_id")).applyInPandas(each, kind)
-        none = lambda c: F.when(F.isnan(c), None).otherwise(F.col(c))
-        bound = lambda c: F.greatest(F.lit(0.0), none(c)) if c == "lower" else none(c)
-        return found.withColumns({"prediction": F.greatest(none("prediction"), F.lit(0.0)), **{c: F.when(none(c).isNotNull(), bound(c)) for c in ("lower", "upper")}})
+        none = lambda c: F.when(~F.isnan(c), F.col(c))
+        point, low, high = F.greatest(none("prediction"), F.lit(0.0)), none("lower"), none("upper")
+        bounds = {"lower": F.when(low.isNotNull(), F.greatest(F.lit(0.0), F.least(low, point))), "upper": F.when(high.isNotNull(), F.greatest(high, point))}
+        return found.withColumns({"prediction": point, **bounds})
 
     return run
