@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.clock import hours
+from ..functions.clock import at_least, hours
 from . import evaluation as E
 from . import features as X
 from . import models as M
@@ -139,7 +139,7 @@ def per_device(cfg: Config, fit: Fit, predict: Predict, every_hours: int | None
         known = matrix.select(F.col("device_id").alias("_device"), *(F.col(c).alias(c) for c in matrix.columns if c != "device_id"))  # names of its own: both sides come from one table
         found = known.groupBy("_device").cogroup(asked.groupBy("device_id")).applyInPandas(each, kind)
         none = lambda c: F.when(~F.isnan(c), F.col(c))
-        point, low, high = F.greatest(none("prediction"), F.lit(0.0)), none("lower"), none("upper")
+        point, low, high = at_least(none("prediction"), 0.0), none("lower"), none("upper")
         bounds = {"lower": F.when(low.isNotNull(), F.greatest(F.lit(0.0), F.least(low, point))), "upper": F.when(high.isNotNull(), F.greatest(high, point))}
         return found.withColumns({"prediction": point, **bounds})
 

@@ -6,6 +6,7 @@ import atexit
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +33,40 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+_OWN: list[str] = []
+
+
+@contextmanager
+def scratch():
+    """Tables that queries store inside go when it ends; the others when the interpreter does."""
+    begin = len(_MADE)
+    try:
+        yield
+    finally:
+        while len(_MADE) > begin:
+            _drop(*_MADE.pop())
+
+
+def _drop_all() -> None:
+    while _MADE:
+        _drop(*_MADE.pop())
+
+
+atexit.register(_drop_all)
+
+
 def fresh_path(spark: SparkSession, suffix: str = "") -> str:
     """A new path in the folder that the cluster shares (spark.checkpoint.dir; one of our own where none is named)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = tempfile.mkdtemp(prefix="gridloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="gridloom-"))
+        shared = _OWN[0]
     path = f"{shared.rstrip('/')}/gridloom-{uuid.uuid4().hex}{suffix}"
-    atexit.register(_drop, spark, path)
+    _MADE.append((spark, path))
     return path
 
 
