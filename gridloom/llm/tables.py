@@ -56,11 +56,35 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        named = tempfile.mkdtemp(prefix="gridloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="gridloom-"))
+        named = _OWN[0]
     return named.rstrip("/")
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+_OWN: list[str] = []
+
+
+@contextmanager
+def scratch():
+    """Tables that operators write inside go when it ends; the others when the interpreter does."""
+    begin = len(_MADE)
+    try:
+        yield
+    finally:
+        while len(_MADE) > begin:
+            _drop(*_MADE.pop())
+
+
+def _drop_all() -> None:
+    while _MADE:
+        _drop(*_MADE.pop())
+
+
+atexit.register(_drop_all)
+
+
 def _drop(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
@@ -91,7 +115,7 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/gridloom-{uuid.uuid4().hex}"
     with freed_shuffles(spark):
         df.write.parquet(path)
-    atexit.register(_drop, spark, path)
+    _MADE.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

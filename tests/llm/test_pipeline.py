@@ -53,3 +53,12 @@ def test_run(spark, sf_dir):
     texts = {r.doc_id: r.text for r in read(spark, sf_dir, "documents").collect()}
     whole = [r for r in out if library.encode(texts[r.doc_id]) == list(r.ids)]
     assert len(whole) > 0.5 * len(out)  # the others lost lines
+
+
+def test_written_tables_go_with_their_scratch(spark, tmp_path, monkeypatch):
+    from gridloom.llm import tables as T
+
+    monkeypatch.setattr(T, "shared_dir", lambda spark: str(tmp_path))
+    with T.scratch():
+        assert T.materialize(spark.range(5)).count() == 5 and len(list(tmp_path.iterdir())) == 1
+    assert list(tmp_path.iterdir()) == [] and spark.conf.get("spark.checkpoint.dir", None) is None
