@@ -59,6 +59,7 @@ def test_written_tables_go_with_their_scratch(spark, tmp_path, monkeypatch):
     from gridloom.llm import tables as T
 
     monkeypatch.setattr(T, "shared_dir", lambda spark: str(tmp_path))
+    before = spark.conf.get("spark.checkpoint.dir", None)
     with T.scratch():
         assert T.materialize(spark.range(5)).count() == 5 and len(list(tmp_path.iterdir())) == 1
-    assert list(tmp_path.iterdir()) == [] and spark.conf.get("spark.checkpoint.dir", None) is None
+    assert list(tmp_path.iterdir()) == [] and spark.conf.get("spark.checkpoint.dir", None) == before
