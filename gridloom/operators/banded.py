@@ -35,13 +35,17 @@ def _as_is(df: DataFrame) -> DataFrame:
     return df
 
 
+#: A log-link point is cut at e^30.
+HIGHEST = 30.0
+
+
 def conformal(scores: np.ndarray, coverage: float, least: int) -> float:
     """The finite-sample quantile of scores; 0 unless there are more than ``least``."""
     n = len(scores)
     return float(np.quantile(scores, min(np.ceil((n + 1) * coverage - 1e-12) / n, 1.0))) if n > least else 0.0
 
 
-def regimes(x: np.ndarray, y: np.ndarray, hour: np.ndarray, cut: int, half: Sequence[float] | None, point: Sequence[float], levels: tuple[float, float], least: int, coverage: float) -> tuple:
+def regimes(x: np.ndarray, y: np.ndarray, hour: np.ndarray, cut: int, half: Sequence[float] | None, point: Sequence[float], levels: tuple[float, float], least: int, coverage: float, link: str = "identity") -> tuple:
     """Shifts of each hour of the day from the first ``cut`` rows' errors; threshold, q_active and q_idle from the others."""
     if half is None or cut == 0:
         return None, None, None, None
@@ -57,7 +61,8 @@ def regimes(x: np.ndarray, y: np.ndarray, hour: np.ndarray, cut: int, half: Sequ
     told = ~np.isnan(bounds[:, 0])
     if not told.any():
         return shifts, None, None, None
-    seen, predicted = y[cut:][told], np.maximum(x[cut:][told] @ np.asarray(point), 0.0)
+    seen, predicted = y[cut:][told], x[cut:][told] @ np.asarray(point)
+    predicted = np.exp(np.minimum(predicted, HIGHEST)) if link == "log" else np.maximum(predicted, 0.0)
     score = np.maximum(bounds[told, 0] - seen, seen - bounds[told, 1])
     threshold = float(np.median(predicted))
     active = predicted > threshold
@@ -74,10 +79,15 @@ class BandedLinear:
     ``min_rows`` training rows in any band has no model.
 
     ``features`` restricts the inputs; ``store`` may write tables that several
-    steps use and read them again.
+    steps use and read them again. With link "log" the point model is one of zero-inflated
+    targets (``GroupedTweedie``), fitted round by round, so a device has one origin only.
+    A model's row says which link its point has.
     """
 
-    def __init__(self, cfg: Config, features: Sequence[str] | None = None, has_pv: bool = True, ridge: float | None = None, min_rows: int = 100, store: Store = _as_is) -> None:
+    def __init__(self, cfg: Config, features: Sequence[str] | None = None, has_pv: bool = True, ridge: float | None = None, min_rows: int = 100, store: Store = _as_is, link: str = "identity") -> None:
+        if link not in ("identity", "log"):
+            raise ValueError(f"link: {link!r}")
+        self.link = link
         self.cfg, self.features, self.has_pv, self.min_rows, self.store = cfg, features, has_pv, min_rows, store
         self.ridge = cfg.ridge if ridge is None else ridge
 
@@ -107,10 +117,22 @@ class BandedLinear:
         pick = lambda k: F.max_by("coefficients", F.when(F.col("kind") == k, 1)).alias(k)
         model = moments.join(solved, ["device_id", "at"]).groupBy(*by, "cut").agg(pick("point"), pick("half"))
         whole = model.where("point is not null").groupBy("device_id", "origin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(cfg.bands))
-        model = self.store(model.join(whole.drop("_n"), ["device_id", "origin"]))
+        model = self.store(self._linked(matrix, model.join(whole.drop("_n"), ["device_id", "origin"]), linear, target))
 
         return self._calibrated(matrix, model, linear, target)
 
+    def _linked(self, matrix: DataFrame, model: DataFrame, linear: M.GroupedLinear, target: str) -> DataFrame:
+        """``model`` with its link, and with the log link's point where there is one (a target of zeros has none)."""
+        if self.link == "identity":
+            return model.withColumn("link", F.lit("identity"))
+        model = self.store(model)
+        if not model.groupBy("device_id").agg(F.count_distinct("origin").alias("n")).where("n > 1").isEmpty():
+            raise ValueError("a log link is fitted for one origin a device")
+        rows = matrix.join(model.select("device_id", "band", "origin"), ["device_id", "band"]).where("ts_hour <= origin")
+        fitted = M.GroupedTweedie(target, linear.features, ["device_id", "band"], ridge=max(self.ridge, 1e-6), tolerance=1e-6, store=self.store).fit(rows)
+        both = model.join(fitted.withColumnRenamed("coefficients", "_log"), ["device_id", "band"], "left")
+        return both.withColumns({"link": F.when(F.col("_log").isNotNull(), "log").otherwise("identity"), "point": F.coalesce("_log", "point")}).drop("_log")
+
     def _calibrated(self, matrix: DataFrame, model: DataFrame, linear: M.GroupedLinear, target: str) -> DataFrame:
         """``model`` with the shifts and corrections of each origin.
 
@@ -130,9 +152,9 @@ class BandedLinear:
             y, clock = hours.column("_y").to_numpy(), hours.column("hour").to_numpy()
             at = hours.column("ts_hour").cast(pa.int64()).to_numpy()
             out = []
-            for m in models.select(["point", "half"]).append_column("o", models.column("origin").cast(pa.int64())).append_column("c", models.column("cut").cast(pa.int64())).to_pylist():
+            for m in models.select(["point", "half", "link"]).append_column("o", models.column("origin").cast(pa.int64())).append_column("c", models.column("cut").cast(pa.int64())).to_pylist():
                 upto = np.searchsorted(at, m["o"], "right")
-                out.append(regimes(x[:upto], y[:upto], clock[:upto], np.searchsorted(at[:upto], m["c"], "right"), m["half"], m["point"], (low, high), least, coverage))
+                out.append(regimes(x[:upto], y[:upto], clock[:upto], np.searchsorted(at[:upto], m["c"], "right"), m["half"], m["point"], (low, high), least, coverage, m["link"]))
             shifts = pa.array([list(o[0].items()) if o[0] else None for o in out], pa.map_(pa.int32(), pa.list_(pa.float64())))
             rest = [pa.array([o[i] for o in out], pa.float64()) for i in (1, 2, 3)]
             kept = models.drop_columns(["cut"])
@@ -153,7 +175,9 @@ class BandedLinear:
         rows = M.with_band(X.forecast_matrix(history, origins, target, self.cfg, weather, self.has_pv), self.cfg)
         linear = self._linear([*history.columns, *(weather.columns if weather is not None else ())], target)
         joined = rows.join(model, [k for k in ("device_id", "origin", "band") if k in model.columns], "left")
-        joined = joined.withColumns({"prediction": at_least(linear.dot("point"), 0.0), "_base": at_least(linear.dot("half"), 0.0), "hour": self._hour()})
+        told = linear.dot("point")
+        told = F.when(F.col("link") == "log", F.exp(F.least(told, F.lit(HIGHEST)))).otherwise(at_least(told, 0.0))
+        joined = joined.withColumns({"prediction": F.when(F.col("point").isNotNull(), told), "_base": at_least(linear.dot("half"), 0.0), "hour": self._hour()})
         out = I.bounded(self._bounds(joined))
         return out.select("device_id", F.lit(target).alias("target"), "origin", "ts_hour", "horizon", "prediction", "prediction_lower", "prediction_upper")
 
@@ -172,11 +196,12 @@ def fitted_backend(banded: BandedLinear, models: DataFrame) -> E.Backend:
     return lambda history, origins, target: _as_backend(banded.predict(models.where(F.col("target") == target).drop("target"), history, origins, target))
 
 
-def train_forecast(meters: DataFrame, cfg: Config, weather: DataFrame | None = None, cv: bool = True, origin: str = "global", store: Store = _as_is) -> dict[str, DataFrame]:
+def train_forecast(meters: DataFrame, cfg: Config, weather: DataFrame | None = None, cv: bool = True, origin: str = "global", store: Store = _as_is, import_link: str = "identity") -> dict[str, DataFrame]:
     """Readings -> eligibility, gates, models, cv, forecasts (with bounds) and records of all devices that have enough data.
 
     Outliers are left out of training and kept as history to forecast from. A
-    target is modelled where its activity gate is open; import models of devices
+    target is modelled where its activity gate is open, imports by a model of zero-inflated
+    targets if ``import_link`` is "log"; import models of devices
     without export use the weather inputs meant for them. Raises SchemaError if
     no device is eligible.
     """
@@ -195,7 +220,7 @@ def train_forecast(meters: DataFrame, cfg: Config, weather: DataFrame | None = N
         allowed = gates.where("export_eligible" if target == "grid_export" else "import_eligible")
         if (target, not has_pv) in groups:
             allowed = allowed.where(F.col("export_eligible") == has_pv)
-        banded = BandedLinear(cfg, has_pv=has_pv, store=store)
+        banded = BandedLinear(cfg, has_pv=has_pv, store=store, link=import_link if target == "grid_import" else "identity")
         own, past, at = (V.only_devices(df, allowed) for df in (train, hourly, starts))
         model = store(banded.fit(own, V.only_devices(ends, allowed), target).drop("origin"))
         parts = {"models": model.withColumn("target", F.lit(target)), "forecasts": banded.predict(model, past, at, target, ahead).where("prediction is not null")}

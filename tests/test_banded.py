@@ -91,6 +91,22 @@ def test_bounds_cover_and_do_not_look_ahead(spark, raw_meters, flow):
     assert key(backend(hourly, first, "grid_import")) == key(backend(store(changed), first, "grid_import"))
 
 
+def test_imports_by_a_log_link(spark, raw_meters, flow):
+    """Every import model has a log link, exports keep theirs; bounds hold, saved models tell the same, and zeros have no log link."""
+    _, store, _ = flow
+    done = N.train_forecast(raw_meters, CFG, cv=False, store=store, import_link="log")
+    assert {(r.target, r.link) for r in done["models"].select("target", "link").collect()} == {("grid_export", "identity"), ("grid_import", "log")}
+    rows = {(r.device_id, r.target, r.horizon): r for r in done["forecasts"].collect()}
+    assert len(rows) == 3 * 48 and all(0 <= r.prediction_lower <= r.prediction <= r.prediction_upper for r in rows.values())
+    mean = raw_meters.agg(F.avg("consumption_kwh")).first()[0] * 4
+    assert np.mean([r.prediction for k, r in rows.items() if k[1] == "grid_import"]) == pytest.approx(mean, rel=0.2)
+    told = R.batch_score(raw_meters, CFG, N.fitted_backend(N.BandedLinear(CFG), done["models"])).collect()
+    assert all(r.grid_import_kwh == pytest.approx(rows[r.device_id, "grid_import", r.horizon].prediction, abs=6e-4) for r in told)
+    with pytest.raises(ValueError):
+        hourly = store(C.processed_hourly(raw_meters, CFG))
+        N.BandedLinear(CFG, store=store, link="log").fit(hourly, E.backtest_origins(hourly, CFG, 2), "grid_import")
+
+
 def test_nobody_has_enough(raw_meters):
     with pytest.raises(SchemaError):
         N.train_forecast(raw_meters, replace(CFG, min_span_days=300.0), cv=False)
