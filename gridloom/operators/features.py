@@ -54,27 +54,33 @@ def _with_roll(df: DataFrame, history: DataFrame, target: str, at: str) -> DataF
     return df.join(rolled, ["device_id", at], "left")
 
 
-def train_lags(df: DataFrame, target: str, horizons: Sequence[int], parity: bool = False) -> DataFrame:
-    """(device_id, ts_hour, horizon, origin) with the target and its lag features as known ``horizon`` hours before.
+def train_lags(df: DataFrame, target: str, horizons: Sequence[int], parity: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """(device_id, ts_hour, horizon, origin) with the target, its lag features as known ``horizon`` hours before, and the columns ``keep``.
 
-    What doesn't depend on the horizon is looked up before rows are multiplied by the horizons.
+    A device has one row an hour. What doesn't depend on the horizon is looked up before
+    rows are multiplied by the horizons, and the trailing days of all possible origins are
+    carried along, some 48 pairs of numbers a row: the multiplied rows are never shuffled.
     """
-    base = _with_days(df.select("device_id", "ts_hour", target), df, target)
+    names = [f"{target}_roll_24h_mean", f"{target}_roll_24h_std"]
+    base = _with_days(roll_24h(df.select("device_id", "ts_hour", target, *keep), target), df, target)
+    at = F.unix_timestamp("ts_hour")
+    before = Window.partitionBy("device_id").orderBy(at).rangeBetween(-max(horizons) * 3600, -min(horizons) * 3600)
+    seen = F.collect_list(F.struct(at.alias("key"), F.struct(*names).alias("value"))).over(before)
+    base = base.withColumn("_seen", F.map_from_entries(seen)).drop(*names)
     base = base.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
-    base = base.withColumn("origin", F.col("ts_hour") - clock.hours(F.col("horizon")))
-    base = base.withColumns(_lag_columns(target, F.col("horizon"), parity)).drop(*(f"_d{k}" for k in _DAYS))
-    return _with_roll(base, df, target, "origin")
+    base = base.withColumns({"origin": F.col("ts_hour") - clock.hours(F.col("horizon")), "_then": F.col("_seen")[at - F.col("horizon") * 3600]})
+    told = _lag_columns(target, F.col("horizon"), parity) | {n: F.col(f"_then.{n}") for n in names}
+    return base.withColumns(told).drop("_seen", "_then", *(f"_d{k}" for k in _DAYS))
 
 
 def training_matrix(df: DataFrame, target: str, horizons: Sequence[int], cfg: Config, train_end: str | None = None, has_pv: bool = True, parity: bool = False) -> DataFrame:
     """device_id, ts_hour, horizon, the target and its ordered features; rows without a target or after train_end go."""
     names = resolve_features(target, cfg, has_pv, df.columns)
     plain = [c for c in names if c in df.columns]
-    lags = train_lags(df, target, horizons, parity).where(F.col(target).isNotNull())
+    lags = train_lags(df, target, list(horizons), parity, plain).where(F.col(target).isNotNull())
     if train_end is not None:
         lags = lags.where(F.col("ts_hour") <= F.lit(train_end).cast("timestamp"))
-    both = lags.join(df.select("device_id", "ts_hour", *plain), ["device_id", "ts_hour"])
-    return both.select("device_id", "ts_hour", target, *names)
+    return lags.select("device_id", "ts_hour", target, *names)
 
 
 def forecast_matrix(history: DataFrame, origins: DataFrame, target: str, cfg: Config, weather: DataFrame | None = None, has_pv: bool = True) -> DataFrame:
