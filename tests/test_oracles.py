@@ -10,8 +10,8 @@ import __spark_entry__ as entry
 from gridloom.plans.meter_queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-#: Compiling these plans takes longest; the driver runs them.
-SLOW = {"i7_interval_coverage", "p2_train_forecast", "e2_linear_backtest", "e3_pooled_backtest", "e4_cross_validate", "e12_benchmark", "m3_gbt_pooled", "m4_tweedie"}
+#: These take longest; the driver runs them.
+SLOW = {"i7_interval_coverage", "p2_train_forecast", "e2_linear_backtest", "e3_pooled_backtest", "e4_cross_validate", "e12_benchmark", "m3_gbt_pooled", "m4_tweedie", "m4_grouped_tweedie", "m5_quantile_forest", "e3_forest_backtest"}
 
 
 def rows(df: pd.DataFrame) -> pd.DataFrame:
