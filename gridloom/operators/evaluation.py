@@ -61,13 +61,19 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
     return run
 
 
+def parts_until(linear: M.GroupedLinear, matrix: DataFrame, moments: DataFrame) -> DataFrame:
+    """Statistics of each group of ``linear`` from one moment (the column ``at``) to the next."""
+    cut = next_time(matrix, moments.select("at"), "ts_hour", "at", "_until")
+    return linear.statistics(cut, [*linear.by, "_until"]).withColumnRenamed("_until", "at")
+
+
 def models_as_of(linear: M.GroupedLinear, matrix: DataFrame, moments: DataFrame, cfg: Config, min_rows: int = 1) -> DataFrame:
     """Coefficients of each group of ``linear`` and moment (its column ``at``) from the rows up to then, if there are ``min_rows`` of them.
 
     Sums between one moment and the next, then running sums: one pass over the
     matrix for all moments.
     """
-    parts = linear.statistics(next_time(matrix, moments.select("at"), "ts_hour", "at", "_until"), [*linear.by, "_until"]).withColumnRenamed("_until", "at")
+    parts = parts_until(linear, matrix, moments)
     asked = moments.distinct().withColumn("band", F.explode(F.array(*[F.lit(b[0]) for b in cfg.bands])))
     return linear.solve(linear.running(parts, "at", asked).where(F.col("n") >= min_rows), [*linear.by, "at"])
 

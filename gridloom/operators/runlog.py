@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,3 +75,26 @@ def lineage_tags(spark: SparkSession, tables: Sequence[str], registry: DataFrame
     read = spark.createDataFrame([(t,) for t in tables], "table string")
     joined = read.join(registry.select("table", "license", "classification", "owner", "source_system"), "table")
     return joined.na.fill({"license": "unknown", "classification": "green", "owner": "unknown", "source_system": "unknown"})
+
+
+def run_tags(reads: DataFrame, registry: DataFrame, project: Mapping[str, str] | None = None, owners: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """run_id, key, value: what is known of the project of each run, and of the tables that it read.
+
+    reads: run_id and table (null for a run that read none); registry: one row a table with license, classification,
+    source_system and ownership, an array of (type, name). Every run gets the project's license,
+    source_system, classification and source_url, as far as they are given, and
+    owner.<type> for each of its owners (of two of a type the last). A table of the registry gives input.<table>.<key>,
+    with defaults where the registry is silent and the first owner's name if there is one; other tables give nothing.
+    """
+    own = {k: v for k in ("license", "source_system", "classification", "source_url") if (v := (project or {}).get(k))}
+    own |= {f"owner.{kind}": name for kind, name in owners}
+    pair = lambda key, value: F.struct(key.alias("key"), value.alias("value"))
+    of = lambda name: F.concat(F.lit("input."), F.col("table"), F.lit(f".{name}"))
+    owner = F.when(F.size("ownership") > 0, F.coalesce(F.get("ownership", F.lit(0))["name"], F.lit("unknown")))
+    told = [pair(of(name), F.coalesce(name, F.lit(default))) for name, default in (("license", "unknown"), ("classification", "green"), ("source_system", "unknown"))]
+    known = reads.select("run_id", "table").distinct().join(registry.select("table", "license", "classification", "source_system", "ownership"), "table")
+    tags = known.select("run_id", F.inline(F.array(*told, pair(of("owner"), owner)))).where("value is not null")
+    if not own:
+        return tags
+    project_tags = F.inline(F.array(*(pair(F.lit(k), F.lit(v)) for k, v in own.items())))
+    return tags.unionByName(reads.select("run_id").distinct().select("run_id", project_tags))

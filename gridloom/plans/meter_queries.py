@@ -18,11 +18,13 @@ from ..operators import flow as W
 from ..operators import intervals as I
 from ..operators import joins as J
 from ..operators import models as M
+from ..operators import pooled as P
 from ..operators import records as R
 from ..operators import runlog as L
 from ..operators import summaries as A
 from ..operators import validation as V
 from ..operators.forests import QuantileForest
+from ..schema import Roles
 from ..sources import readers as S
 from ..sources import sinks as K
 from ..streaming import streams as T
@@ -869,6 +871,63 @@ def e5_pooled_cv(spark, sf):
     return E.pooled_cv(df, CFG, E.pooled_seasonal_backend(df, CFG))
 
 
+_POOLED = f"""WITH {B.HOURLY}, clean AS (SELECT * FROM hourly WHERE NOT (grid_export_outlier OR grid_import_outlier)
+), gates AS (SELECT device_id, avg(grid_export) >= 0.01 AS gives, avg(grid_import) >= 0.01 AS takes FROM clean GROUP BY 1
+), pooled AS (
+  SELECT device_id, ts_hour, hour_sin, hour_cos, 'grid_export' AS target, grid_export AS y FROM clean WHERE device_id IN (SELECT device_id FROM gates WHERE gives) AND device_id <> 'dev-3'
+  UNION ALL SELECT device_id, ts_hour, hour_sin, hour_cos, 'grid_import', grid_import FROM clean WHERE device_id IN (SELECT device_id FROM gates WHERE takes) AND device_id <> 'dev-3'
+), dealt AS (SELECT *, row_number() OVER (PARTITION BY device_id, target ORDER BY ts_hour) AS k, count(*) OVER (PARTITION BY device_id, target) AS n FROM pooled
+), members AS (
+  SELECT device_id, target, min(ts_hour) FILTER (k > (n * 70) // 100 AND k <= (n * 85) // 100) AS first_hour, max(ts_hour) FILTER (k > (n * 70) // 100 AND k <= (n * 85) // 100) AS last_hour
+  FROM dealt GROUP BY 1, 2 HAVING count(*) >= 336 + 48 AND first_hour IS NOT NULL AND count(y) FILTER (k <= (n * 70) // 100) > 0
+), moments AS (SELECT target, {_LINE} FROM dealt JOIN members USING (device_id, target) WHERE ts_hour < first_hour AND y IS NOT NULL GROUP BY 1
+), line AS (SELECT target, {_SLOPES} FROM moments
+), told AS (SELECT p.*, first_hour, last_hour, greatest(i + s * hour_sin + c * hour_cos, 0.0) AS prediction FROM pooled p JOIN members USING (device_id, target) JOIN line USING (target)
+), residuals AS (
+  SELECT device_id, target, abs(y - prediction) AS v, count(*) OVER (PARTITION BY device_id, target) AS n, row_number() OVER (PARTITION BY device_id, target ORDER BY abs(y - prediction)) - 1 AS k
+  FROM told WHERE ts_hour BETWEEN first_hour AND last_hour AND y IS NOT NULL
+), placed AS (SELECT *, least(ceil((n + 1) * CAST(0.5 AS DOUBLE) - 1e-12) / n, 1.0) * (n - 1) AS pos FROM residuals WHERE n >= 30
+), shifts AS (SELECT device_id, target, sum(CASE WHEN k = floor(pos) THEN (1 - (pos - floor(pos))) * v WHEN k = floor(pos) + 1 THEN (pos - floor(pos)) * v END) AS shift FROM placed GROUP BY 1, 2
+), spans AS (SELECT device_id, min(ts_hour) AS a, max(ts_hour) AS b FROM clean GROUP BY 1
+), folds AS (SELECT DISTINCT device_id, b - to_hours(CAST(168 * f AS BIGINT)) + to_hours(CAST(24 * d AS BIGINT)) AS origin, a FROM spans, range(1, 5) x(f), range(0, 6) z(d)
+), whole AS (SELECT f.device_id, f.origin FROM folds f JOIN clean h ON h.device_id = f.device_id AND h.ts_hour > f.origin AND h.ts_hour <= f.origin + INTERVAL 48 HOUR WHERE f.origin > f.a GROUP BY ALL HAVING count(*) >= 24
+), errors AS (
+  SELECT t.device_id, t.target, w.origin, avg(abs(prediction - y)) AS e FROM whole w JOIN told t ON t.device_id = w.device_id AND t.ts_hour > w.origin AND t.ts_hour <= w.origin + INTERVAL 48 HOUR
+  WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 12
+), cv AS (SELECT device_id, target, avg(e) AS cv_mae FROM errors GROUP BY 1, 2
+), steps AS (
+  SELECT device_id, target, (SELECT max(ts_hour) FROM hourly) AS origin, CAST(h AS INTEGER) AS horizon, (SELECT max(ts_hour) FROM hourly) + to_hours(CAST(h AS BIGINT)) AS ts_hour
+  FROM members, range(1, 49) z(h)
+), clocked AS (SELECT *, hour((ts_hour AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Rome') AS h FROM steps
+), ahead AS (SELECT p.*, greatest(i + s * sin(2 * pi() * h / 24) + c * cos(2 * pi() * h / 24), 0.0) AS prediction, shift FROM clocked p JOIN line USING (target) LEFT JOIN shifts USING (device_id, target))"""
+
+
+@query(f"""{_POOLED} SELECT device_id, target, origin, horizon, ts_hour, round(prediction, 5) + 0.0 AS prediction, round(CASE WHEN shift > 0 THEN greatest(0.0, prediction - shift) END, 5) + 0.0 AS lower,
+  round(CASE WHEN shift > 0 THEN prediction + shift END, 5) + 0.0 AS upper, round(cv_mae, 5) + 0.0 AS cv_mae FROM ahead LEFT JOIN cv USING (device_id, target)""")
+def p4_pooled(spark, sf):
+    """One line for the pool on two inputs, saved and read again: a device left out, bounds of each member's own, cross-validation and forecasts."""
+    hourly = B.stored(B.hourly(spark, sf))
+    train = B.stored(V.remove_outliers(hourly))
+    pooled = P.PooledLinear(CFG, {t: _CLOCK for t in CFG.targets}, ridge=0.0, store=B.stored)
+    gone = spark.createDataFrame([("dev-3",)], "device_id string")
+    path = B.fresh_path(spark)
+    P.save_pool(pooled.fit(train, V.target_gate(V.activity_gates(train, CFG)), gone), pooled, path, train.columns)
+    again, pool = P.load_pool(spark, path, CFG)
+    backend = again.backend(pool)
+    cv = E.pooled_cv(train, CFG, backend).select("device_id", "target", "cv_mae")
+    starts = R.forecast_origins(hourly)
+    told = backend(hourly, starts, CFG.targets[0]).unionByName(backend(hourly, starts, CFG.targets[1])).join(cv, ["device_id", "target"], "left")
+    return told.select("device_id", "target", "origin", "horizon", "ts_hour", *(F.round(c, 5).alias(c) for c in ("prediction", "lower", "upper", "cv_mae")))
+
+
+@query(f"""WITH {B.LONG}, asked AS (SELECT * FROM origins), {_TOLD.replace("c.device_id = o.device_id AND c.ts_hour <=", "c.device_id <> o.device_id AND c.ts_hour <=")}
+SELECT device_id, target, origin, horizon, {r('actual')}, round(prediction, 5) + 0.0 AS prediction FROM told""")
+def e3_leave_one_out(spark, sf):
+    """Each device forecast by a two-input line of all other devices, refitted at every origin."""
+    rows = E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, P.leave_one_out_backend(CFG, _CLOCK, 0.0, store=B.stored))
+    return rows.select("device_id", "target", "origin", "horizon", "actual", F.round("prediction", 5).alias("prediction"))
+
+
 @query(f"""WITH {B.LONG}, f AS (SELECT e.device_id, e.b - INTERVAL 48 HOUR + to_hours(CAST(h AS BIGINT)) AS ts_hour FROM ends e, range(1, 49) r(h)),
 j AS (SELECT f.device_id, a.target, abs(greatest(coalesce(l.actual, 0.0), 0.0) - a.actual) AS e FROM f JOIN actuals a ON a.device_id = f.device_id AND a.ts_hour = f.ts_hour
   JOIN actuals l ON l.device_id = f.device_id AND l.target = a.target AND l.ts_hour = f.ts_hour - INTERVAL 168 HOUR WHERE a.actual IS NOT NULL)
@@ -981,6 +1040,26 @@ def l4_lineage(spark, sf):
     return L.lineage_tags(spark, ["NATION_1", "NATION_2", "NATION_7", "nowhere"], registry)
 
 
+@query("""WITH reads AS (SELECT DISTINCT o_orderkey AS run_id, n_name AS t, n_nationkey AS k, n_regionkey AS g FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
+SELECT run_id, 'input.' || t || '.license' AS key, CASE WHEN g > 1 THEN 'CC-BY' ELSE 'unknown' END AS value FROM reads WHERE k % 5 > 0
+UNION ALL SELECT run_id, 'input.' || t || '.classification', CASE WHEN k % 4 = 0 THEN 'amber' ELSE 'green' END FROM reads WHERE k % 5 > 0
+UNION ALL SELECT run_id, 'input.' || t || '.source_system', CASE WHEN k % 2 = 0 THEN 'meters' ELSE 'unknown' END FROM reads WHERE k % 5 > 0
+UNION ALL SELECT run_id, 'input.' || t || '.owner', 'region-' || g FROM reads WHERE k % 5 > 0 AND k % 3 > 0
+UNION ALL SELECT run_id, v.key, v.value FROM (SELECT DISTINCT run_id FROM reads), (VALUES ('license', 'CC0'), ('source_url', 'here'), ('owner.steward', 'b')) v(key, value)""")
+def l4_run_tags(spark, sf):
+    """Tags of each run from the tables that it read; every fifth table isn't in the registry, every third has no owner."""
+    n = B.table(spark, sf, "nation")
+    customers = B.table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    reads = B.table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("run_id"), F.col("n_name").alias("table"))
+    key, region = F.col("n_nationkey"), F.concat(F.lit("region-"), F.col("n_regionkey").cast("string"))
+    owner = lambda kind, name: F.struct(F.lit(kind).alias("type"), name.alias("name"))
+    registry = n.where(key % 5 > 0).select(
+        F.col("n_name").alias("table"), F.when(F.col("n_regionkey") > 1, "CC-BY").alias("license"), F.when(key % 4 == 0, "amber").alias("classification"), F.when(key % 2 == 0, "meters").alias("source_system"),
+        F.when(key % 3 > 0, F.array(owner("owner", region), owner("steward", F.lit("x")))).alias("ownership"),
+    )
+    return L.run_tags(reads, registry, {"license": "CC0", "source_url": "here"}, [("steward", "a"), ("steward", "b")])
+
+
 @query("SELECT run_id, device_id, start_time FROM (" + _RUNS + " SELECT * FROM runs WHERE device_id = 'dev-7') t")
 def l3_list_runs(spark, sf):
     return L.list_runs(_runs(spark, sf)[0], "dev-7")
@@ -1006,6 +1085,18 @@ def d1_lineitem_domain(spark, sf):
     return X.split_70_15_15(d).groupBy("device_id", "split").agg(F.round(F.sum("q"), 2).alias("quantity"), F.count(F.lit(1)).alias("n"))
 
 
+@query("""WITH hourly AS (SELECT event_type AS device_id, date_trunc('hour', ts) AS ts_hour, sum(value) AS grid_export, CAST(count(*) AS DOUBLE) AS grid_import FROM events GROUP BY ALL)"""
+    + B.STEPS[len(B.HOURLY):] + f""" SELECT device_id AS event_type, CASE target WHEN 'grid_export' THEN 'total' ELSE 'number' END AS target, origin, horizon, ts_hour AS hour, {r('actual', 'prediction')} FROM backtest""")
+def d2_event_domain(spark, sf):
+    """The naive backtest of hourly events by type: another entity, time and targets."""
+    roles = Roles("event_type", "hour", ("total", "number"))
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    df = B.table(spark, sf, "events").groupBy("event_type", hour.alias("hour")).agg(F.sum("value").alias("total"), F.count(F.lit(1)).cast("double").alias("number"))
+    cfg = roles.settings(CFG)
+    rows = roles.own(E.run_backtest(B.stored(roles.standard(df)), cfg, E.naive_backend(cfg)))
+    return rows.select("event_type", "target", "origin", "horizon", "hour", "actual", "prediction")
+
+
 # ------------------------------------------------------------------ streams and user functions
 
 def _readings_stream(spark, sf, *more):
