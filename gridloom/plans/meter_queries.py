@@ -906,6 +906,14 @@ _POOLED = f"""WITH {B.HOURLY}, clean AS (SELECT * FROM hourly WHERE NOT (grid_ex
   round(CASE WHEN shift > 0 THEN prediction + shift END, 5) + 0.0 AS upper, round(cv_mae, 5) + 0.0 AS cv_mae FROM ahead LEFT JOIN cv USING (device_id, target)""")
 def p4_pooled(spark, sf):
     """One line for the pool on two inputs, saved and read again: a device left out, bounds of each member's own, cross-validation and forecasts."""
+    train, backend, told = _pooled(spark, sf)
+    cv = E.pooled_cv(train, CFG, backend).select("device_id", "target", "cv_mae")
+    rows = told.join(cv, ["device_id", "target"], "left")
+    return rows.select("device_id", "target", "origin", "horizon", "ts_hour", *(F.round(c, 5).alias(c) for c in ("prediction", "lower", "upper", "cv_mae")))
+
+
+def _pooled(spark, sf):
+    """Training rows, and a saved pool's backend and forecasts."""
     hourly = B.stored(B.hourly(spark, sf))
     train = B.stored(V.remove_outliers(hourly))
     pooled = P.PooledLinear(CFG, {t: _CLOCK for t in CFG.targets}, ridge=0.0, store=B.stored)
@@ -913,11 +921,8 @@ def p4_pooled(spark, sf):
     path = B.fresh_path(spark)
     P.save_pool(pooled.fit(train, V.target_gate(V.activity_gates(train, CFG)), gone), pooled, path, train.columns)
     again, pool = P.load_pool(spark, path, CFG)
-    backend = again.backend(pool)
-    cv = E.pooled_cv(train, CFG, backend).select("device_id", "target", "cv_mae")
-    starts = R.forecast_origins(hourly)
-    told = backend(hourly, starts, CFG.targets[0]).unionByName(backend(hourly, starts, CFG.targets[1])).join(cv, ["device_id", "target"], "left")
-    return told.select("device_id", "target", "origin", "horizon", "ts_hour", *(F.round(c, 5).alias(c) for c in ("prediction", "lower", "upper", "cv_mae")))
+    backend, starts = again.backend(pool), R.forecast_origins(hourly)
+    return train, backend, backend(hourly, starts, CFG.targets[0]).unionByName(backend(hourly, starts, CFG.targets[1]))
 
 
 @query(f"""WITH {B.LONG}, asked AS (SELECT * FROM origins), {_TOLD.replace("c.device_id = o.device_id AND c.ts_hour <=", "c.device_id <> o.device_id AND c.ts_hour <=")}
@@ -1222,6 +1227,37 @@ def k1_write_forecasts(spark, sf):
     return R.forecasts_to_frame(spark.read.schema(kind).json(path))
 
 
+_SIDES = ("grid_export", "grid_import")
+_BOUNDS = [f"{t}_{b}" for t in _SIDES for b in ("lower", "upper")]
+
+
+@query(f"""{_POOLED}, sides AS (
+  SELECT device_id, origin, horizon, ts_hour, {", ".join(f"coalesce(round(max(prediction) FILTER (target = '{t}'), 3), 0.0) AS {t}_kwh" for t in _SIDES)},
+    {", ".join(f"max(greatest(0.0, prediction - shift)) FILTER (target = '{t}' AND shift > 0) AS {t}_lower, max(prediction + shift) FILTER (target = '{t}' AND shift > 0) AS {t}_upper" for t in _SIDES)}
+  FROM ahead GROUP BY ALL)
+SELECT device_id, origin AS forecast_origin, horizon, ts_hour AS "timestamp", {r('grid_export_kwh', 'grid_import_kwh', 'round(grid_export_kwh - grid_import_kwh, 3) AS net_exchange_kwh')},
+  {", ".join(f"CASE WHEN {' AND '.join(f'{x} IS NOT NULL' for x in _BOUNDS)} THEN round({b}, 3) + 0.0 END AS {b}" for b in _BOUNDS)} FROM sides""")
+def k1_forecast_bounds(spark, sf):
+    """A pool's forecasts with bounds, written as nested JSON and read again."""
+    path = B.fresh_path(spark)
+    K.write_forecasts(_pooled(spark, sf)[2].withColumnsRenamed({"lower": "prediction_lower", "upper": "prediction_upper"}), path)
+    numbers = ["grid_export_kwh", "grid_import_kwh", "net_exchange_kwh", *_BOUNDS]
+    kind = f"device_id string, forecast_origin timestamp, forecasts array<struct<horizon:int,timestamp:timestamp,{','.join(f'{n}:double' for n in numbers)}>>"
+    return R.forecasts_to_frame(spark.read.schema(kind).json(path)).select("device_id", "forecast_origin", "horizon", "timestamp", *numbers)
+
+
+@query(_CV)
+def k2_reports(spark, sf):
+    """The library's reports of a naive run; that of the cross-validation is read again."""
+    df = B.stored(B.hourly(spark, sf))
+    naive = E.naive_backend(CFG)
+    rows = B.stored(E.run_backtest(df, CFG, naive))
+    path = B.fresh_path(spark)
+    K.write_reports({"eligibility": V.assess_sufficiency(df, CFG), "cv": E.cross_validate(df, CFG, naive), "backtest": rows, "by_device": A.metrics(rows.drop("lower", "upper"), ["device_id", "target"])}, path)
+    kinds = "device_id string, target string, cv_mae double, naive_mae double, n_origins long, skill double"
+    return spark.read.option("header", True).schema(kinds).csv(f"{path}/cv").drop("skill")
+
+
 # ------------------------------------------------------------------ the rest of the inventory
 
 @query(f"WITH {B.METERS} SELECT device_id, ts, {r('consumption_kwh', 'production_kwh')} FROM meters")
