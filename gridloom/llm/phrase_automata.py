@@ -65,7 +65,9 @@ def passages(texts: list[tuple[int, ...]], copies: list[int], window: int) -> li
     witness = np.full(len(flat) + 1, -1, dtype=np.int64)
     witness[start[first[several]]] = 2 * owner[first[several]] + (held[several] > 1)
     edges = np.flatnonzero(np.diff(witness, prepend=-1))
-    out = []
+    out: list[tuple[tuple[int, ...], int]] = []
+    if not len(edges):  # no window of the shard starts in two places
+        return out
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(witness)], strict=True):
         if (kind := int(witness[a])) >= 0:
             run = tuple(flat[a : b + window - 1].tolist())
