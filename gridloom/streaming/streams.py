@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config
+from ..functions import clock
 from ..operators.cleaning import derive_targets
 from ..operators.models import GroupedLinear
 from ..sources import versions
@@ -56,68 +57,36 @@ def current_statistics(spark: SparkSession, path: str) -> DataFrame | None:
     return versions.current(spark, path)
 
 
-class LastReadings(StatefulProcessor):
-    """An hour's readings by their moments, the last to come of each; handed on when the watermark passes the hour's end."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getMapState("readings", "ts long", "seq long, consumption_kwh double, production_kwh double")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  Spark's names
-        end = int(key[1])
-        if timerValues.getCurrentWatermarkInMs() >= end:  # the hour has been handed on
-            yield pd.DataFrame()
-            return
-        newest: dict[int, tuple] = {}
-        for pdf in rows:
-            for ts, *row in zip(*(pdf[c] for c in ("us", "seq", "consumption_kwh", "production_kwh")), strict=True):
-                told = (int(row[0]), *(None if pd.isna(v) else float(v) for v in row[1:]))
-                if ts not in newest or _later(told, newest[ts]):
-                    newest[int(ts)] = told
-        for ts, told in newest.items():
-            before = tuple(self.held.getValue((ts,))) if self.held.containsKey((ts,)) else None
-            if before is None or _later(told, before):
-                self.held.updateValue((ts,), told)
-        self.handle.registerTimer(end)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        rows = [(key[0], k[0], v[0], v[1], v[2]) for k, v in self.held.iterator()]
-        self.held.clear()
-        yield pd.DataFrame(rows, columns=["device_id", "us", "seq", "consumption_kwh", "production_kwh"]) if rows else pd.DataFrame()
-
-
-def _later(a: tuple, b: tuple) -> bool:
-    """The larger (seq, consumption, production), null being the least: as the batch form picks a reading."""
-    return tuple((x is not None, x or 0) for x in a) > tuple((x is not None, x or 0) for x in b)
-
-
 def stream_last_readings(readings: DataFrame, seq: str, lateness: str = "2 hours") -> DataFrame:
     """Each moment's last reading by ``seq`` (a long, such as the time of its arrival), once its hour is complete.
 
-    The state holds an hour's moments of a device until the watermark passes the hour's
-    end, so corrections count whatever order they come in; what comes later is dropped.
-    Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass). Rows
-    that have the same seq fall by their values, as in ``dedupe_readings``.
+    The state is that of an aggregation: a row for each moment of a device until the watermark
+    passes its hour's end, so corrections count whatever order they come in; what comes later is
+    dropped. Readings of a batch are combined before they meet the state. Rows
+    that have the same seq fall by their values, null being the least, as in ``dedupe_readings``.
     """
     known = readings.where("device_id is not null and ts is not null").withWatermark("ts", lateness)
-    end = (F.unix_millis(F.date_trunc("hour", "ts")) + 3_600_000).alias("hour_end")
-    given = known.select("device_id", end, "ts", F.unix_micros("ts").alias("us"), F.col(seq).cast("long").alias("seq"), "consumption_kwh", "production_kwh")
-    out = given.groupBy("device_id", "hour_end").transformWithStateInPandas(
-        statefulProcessor=LastReadings(), outputStructType="device_id string, us long, seq long, consumption_kwh double, production_kwh double", outputMode="append", timeMode="eventTime"
-    )
-    return out.select("device_id", F.timestamp_micros("us").alias("ts"), F.col("seq").alias(seq), "consumption_kwh", "production_kwh")
+    values = ["consumption_kwh", "production_kwh"]
+    row = F.struct(F.col(seq).cast("long").alias("seq"), *(clock.not_nan(F.col(c).cast("double")).alias(c) for c in values))
+    # the moment is a number here: the watermark is that of the hour
+    last = known.groupBy("device_id", F.window("ts", "1 hour").alias("_hour"), F.unix_micros("ts").alias("us")).agg(F.max(row).alias("_r"))
+    return last.select("device_id", F.timestamp_micros("us").alias("ts"), F.col("_r.seq").alias(seq), *(F.col(f"_r.{c}") for c in values))
 
 
+#: Windows that are Python lists at a time.
+WINDOWS = 128
 Window = Callable[[list[float], list[list[float]], list[list[float]]], list[float]]
 
 
 def window_predictor(windows: DataFrame, predict: Window) -> DataFrame:
     """Run a user's function on rows of context_and_future: (ctx_target, ctx_cov, future_cov) -> one prediction an hour."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(d, o, h + 1, float(v)) for d, o, c, x, f in zip(pdf.device_id, pdf.origin, pdf.ctx_target, pdf.ctx_cov, pdf.future_cov, strict=True) for h, v in enumerate(predict(list(c), list(x), list(f)))]
-            yield pd.DataFrame(rows, columns=["device_id", "origin", "horizon", "prediction"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, WINDOWS):
+                part = whole.slice(at, WINDOWS)
+                told = [[float(v) for v in predict(*row)] for row in zip(*(part.column(c).to_pylist() for c in ("ctx_target", "ctx_cov", "future_cov")), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("device_id"), part.column("origin"), pa.array(told, pa.list_(pa.float64()))], names=["device_id", "origin", "told"])
 
-    return windows.select("device_id", "origin", "ctx_target", "ctx_cov", "future_cov").mapInPandas(run, "device_id string, origin timestamp, horizon int, prediction double")
+    told = windows.select("device_id", "origin", "ctx_target", "ctx_cov", "future_cov").mapInArrow(run, "device_id string, origin timestamp, told array<double>")
+    return told.select("device_id", "origin", F.posexplode("told").alias("_h", "prediction")).select("device_id", "origin", (F.col("_h") + 1).alias("horizon"), "prediction")
