@@ -13,7 +13,7 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,9 @@ from ..config import Config
 from ..functions.clock import at_least, calendar
 from . import evaluation as E
 from . import features as X
-from . import gram
 from . import intervals as I
 from . import models as M
+from . import packed
 from . import records as R
 from . import validation as V
 from .cleaning import prepare_weather, processed_hourly
@@ -100,20 +100,26 @@ class BandedLinear:
 
     def _split(self, history: DataFrame, origins: DataFrame, target: str) -> DataFrame:
         """device_id, origin, cut: the last hour that the bounds learn from."""
-        known = history.where(F.col(target).isNotNull()).select("device_id", "ts_hour").join(origins, "device_id").where("ts_hour <= origin")
-        part = X.time_split(known, self.cfg.cqr_split, ("device_id", "origin"))
-        return part.where("not is_validation").groupBy("device_id", "origin").agg(F.max("ts_hour").alias("cut"))
+        # hours are numbered once; an origin takes the number that it stands at, and the hour that has the share's
+        own = Window.partitionBy("device_id").orderBy("_t", "_side")
+        known = history.where(F.col(target).isNotNull()).select("device_id", F.col("ts_hour").alias("_t"), F.lit(0).alias("_side")).distinct()
+        both = known.unionByName(origins.select("device_id", F.col("origin").alias("_t"), F.lit(1).alias("_side")))
+        both = both.withColumn("_i", F.sum(1 - F.col("_side")).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        asked = both.where("_side = 1").select("device_id", F.col("_t").alias("origin"), F.floor(F.col("_i") * self.cfg.cqr_split).alias("_i"))
+        return asked.join(both.where("_side = 0").select("device_id", "_i", F.col("_t").alias("cut")).hint("merge"), ["device_id", "_i"]).drop("_i")
 
     def fit(self, history: DataFrame, origins: DataFrame, target: str) -> DataFrame:
         """(device_id, origin, band) with point, half, shifts, threshold, q_active and q_idle, each from the rows up to its origin."""
         cfg, by = self.cfg, ["device_id", "origin", "band"]
         origins = origins.select("device_id", "origin").distinct()
         linear = self._linear(history.columns, target)
-        matrix = M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=self.has_pv), cfg)
-        matrix = self.store(matrix.select("device_id", "ts_hour", "band", target, *linear.features))
+        matrix = M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=self.has_pv, pack=True), cfg)
+        inside = packed.varying(target)
+        arrays = dict.fromkeys(["_h", *(inside[f] for f in linear.features if f in inside)])
+        matrix = self.store(matrix.select("device_id", "ts_hour", "band", target, *(f for f in linear.features if f not in inside), *arrays))
         moments = self._split(history, origins, target).select("device_id", "origin", "cut", F.inline(F.array(
             F.struct(F.lit("point").alias("kind"), F.col("origin").alias("at")), F.struct(F.lit("half").alias("kind"), F.col("cut").alias("at")))))
-        solved = E.models_as_of(linear, matrix, moments.select("device_id", "at"), cfg, self.min_rows)
+        solved = E.models_as_of(linear, matrix, moments.select("device_id", "at"), cfg, self.min_rows, times=history)
         pick = lambda k: F.max_by("coefficients", F.when(F.col("kind") == k, 1)).alias(k)
         model = moments.join(solved, ["device_id", "at"]).groupBy(*by, "cut").agg(pick("point"), pick("half"))
         whole = model.where("point is not null").groupBy("device_id", "origin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(cfg.bands))
@@ -128,7 +134,7 @@ class BandedLinear:
         model = self.store(model)
         if not model.groupBy("device_id").agg(F.count_distinct("origin").alias("n")).where("n > 1").isEmpty():
             raise ValueError("a log link is fitted for one origin a device")
-        rows = matrix.join(model.select("device_id", "band", "origin"), ["device_id", "band"]).where("ts_hour <= origin")
+        rows = packed.unpacked(matrix.join(model.select("device_id", "band", "origin"), ["device_id", "band"]).where("ts_hour <= origin"), target)
         fitted = M.GroupedTweedie(target, linear.features, ["device_id", "band"], ridge=max(self.ridge, 1e-6), tolerance=1e-6, store=self.store).fit(rows)
         both = model.join(fitted.withColumnRenamed("coefficients", "_log"), ["device_id", "band"], "left")
         return both.withColumns({"link": F.when(F.col("_log").isNotNull(), "log").otherwise("identity"), "point": F.coalesce("_log", "point")}).drop("_log")
@@ -140,17 +146,17 @@ class BandedLinear:
         per origin the errors are one matrix product, and no row is multiplied by the origins.
         """
         cfg, features = self.cfg, linear.features
-        holes = [features.index(f) for f in linear.missing]
+        layout = packed.Layout(target, features, linear.missing)
         low, high, least, coverage = cfg.quantile_low, cfg.quantile_high, cfg.cqr_min_rows, cfg.cqr_coverage
-        rows = matrix.select("device_id", "band", "ts_hour", self._hour().cast("int").alias("hour"), F.col(target).cast("double").alias("_y"), *(F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)))
+        rows = matrix.select("device_id", "band", "ts_hour", self._hour().cast("int").alias("hour"), F.col(target).cast("double").alias("_y"), *layout.columns())
         new = T.StructType.fromDDL("shifts map<int,array<double>>, threshold double, q_active double, q_idle double")
         schema = T.StructType([*model.drop("cut").schema.fields, *new.fields])
 
         def run(hours: pa.Table, models: pa.Table) -> pa.Table:
             hours = hours.take(pa.compute.sort_indices(hours, sort_keys=[("ts_hour", "ascending")]))
-            x = gram.inputs(hours.columns[5:], holes) if features else np.ones((hours.num_rows, 1))
-            y, clock = hours.column("_y").to_numpy(), hours.column("hour").to_numpy()
-            at = hours.column("ts_hour").cast(pa.int64()).to_numpy()
+            x, of = layout.whole(hours.columns[5:])
+            y, clock = hours.column("_y").to_numpy()[of], hours.column("hour").to_numpy()[of]
+            at = hours.column("ts_hour").cast(pa.int64()).to_numpy()[of]
             out = []
             for m in models.select(["point", "half", "link"]).append_column("o", models.column("origin").cast(pa.int64())).append_column("c", models.column("cut").cast(pa.int64())).to_pylist():
                 upto = np.searchsorted(at, m["o"], "right")

@@ -37,7 +37,7 @@ REACH = 14 * 24 + 48 + 24
 
 
 def _matrix(history: DataFrame, target: str, cfg: Config, has_pv: bool) -> DataFrame:
-    return M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv), cfg)
+    return M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv, pack=True), cfg)
 
 
 def refreshed(history: DataFrame, linear: M.GroupedLinear, target: str, cfg: Config, old: DataFrame | None, has_pv: bool = True, store: N.Store = N._as_is) -> DataFrame:
@@ -56,7 +56,7 @@ def refreshed(history: DataFrame, linear: M.GroupedLinear, target: str, cfg: Con
         parts.append(_matrix(recent, target, cfg, has_pv).join(seen, "device_id").where("ts_hour > upto").drop("upto"))
         parts.append(_matrix(history.join(seen, "device_id", "left_anti"), target, cfg, has_pv))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    rows = store(rows.select(*linear.by, "ts_hour", target, *linear.features))
+    rows = store(rows)
     new = linear.statistics(rows)
     sums = new if old is None else linear.update(old.select(*linear.by, "n", "yy", "xx", "xy"), rows)
     upto = rows.groupBy("device_id").agg(F.max("ts_hour").alias("upto"))
