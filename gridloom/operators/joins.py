@@ -11,12 +11,13 @@ from ..functions.clock import hours
 
 
 def by_device(df: DataFrame) -> DataFrame:
-    """Dealt by device into as many parts as the session shuffles to.
+    """Dealt by device into one part more than the session shuffles to.
 
     The windows of a device's hours cost much for few bytes, and adaptive execution, which goes
-    by bytes, would leave them to a task or two.
+    by bytes, would leave them to a task or two. Of the session's own number the parts of a shuffle below, such
+    as that of the distinct devices, would count as dealt already, and be merged by their bytes.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "device_id")
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1, "device_id")
 
 
 def lag_lookup(df: DataFrame, key: str, ts: str, value: str, lags: Sequence[int], prefix: str | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..config import Config
 from ..operators import cleaning
+from ..operators.joins import by_device
 from ..schema import utc
 from ..sources.readers import meter_of, meters_from_events
 
@@ -78,7 +79,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = fresh_path(df.sparkSession)
     if "device_id" in df.columns:
-        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "device_id")
+        df = by_device(df)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
