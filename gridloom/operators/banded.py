@@ -113,13 +113,16 @@ class BandedLinear:
         cfg, by = self.cfg, ["device_id", "origin", "band"]
         origins = origins.select("device_id", "origin").distinct()
         linear = self._linear(history.columns, target)
+        moments = self._split(history, origins, target).select("device_id", "origin", "cut", F.inline(F.array(
+            F.struct(F.lit("point").alias("kind"), F.col("origin").alias("at")), F.struct(F.lit("half").alias("kind"), F.col("cut").alias("at")))))
+        moments = self.store(moments)
         matrix = M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=self.has_pv, pack=True), cfg)
         inside = packed.varying(target)
         arrays = dict.fromkeys(["_h", *(inside[f] for f in linear.features if f in inside)])
-        matrix = self.store(matrix.select("device_id", "ts_hour", "band", target, *(f for f in linear.features if f not in inside), *arrays))
-        moments = self._split(history, origins, target).select("device_id", "origin", "cut", F.inline(F.array(
-            F.struct(F.lit("point").alias("kind"), F.col("origin").alias("at")), F.struct(F.lit("half").alias("kind"), F.col("cut").alias("at")))))
-        solved = E.models_as_of(linear, matrix, moments.select("device_id", "at"), cfg, self.min_rows, times=history)
+        matrix = matrix.select("device_id", "ts_hour", "band", target, *(f for f in linear.features if f not in inside), *arrays)
+        # cut before it is stored, while it is dealt by device
+        matrix = self.store(E.until_own(matrix, moments.select("device_id", "at")))
+        solved = E.models_as_of(linear, matrix, moments.select("device_id", "at"), cfg, self.min_rows)
         pick = lambda k: F.max_by("coefficients", F.when(F.col("kind") == k, 1)).alias(k)
         model = moments.join(solved, ["device_id", "at"]).groupBy(*by, "cut").agg(pick("point"), pick("half"))
         whole = model.where("point is not null").groupBy("device_id", "origin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(cfg.bands))

@@ -47,25 +47,46 @@ def linear_backend(cfg: Config, horizons: Sequence[int] | None = None, has_pv: b
     horizons = list(horizons or range(1, cfg.horizon + 1))
 
     def run(history: DataFrame, origins: DataFrame, target: str) -> DataFrame:
-        matrix = M.with_band(X.training_matrix(history, target, horizons, cfg, has_pv=has_pv, pack=True), cfg)
+        # the pool is chosen by the hour, before rows are multiplied
+        learnt = history if pooled is None else history.join(pooled.select("device_id"), "device_id", "left_semi")
+        matrix = M.with_band(X.training_matrix(learnt, target, horizons, cfg, has_pv=has_pv, pack=True), cfg)
         names = list(features or V.resolve_features(target, cfg, has_pv, history.columns))
         by = ["band"] if pooled is not None else ["device_id", "band"]
-        if pooled is not None:
-            matrix = matrix.join(pooled.select("device_id"), "device_id", "left_semi")
         linear = M.GroupedLinear(target, names, by, cfg.ridge if ridge is None else ridge)
         moments = origins.select(*by[:-1], F.col("origin").alias("at"))
         model = models_as_of(linear, matrix, moments, cfg, times=history).withColumnRenamed("at", "origin")
         rows = M.with_band(X.forecast_matrix(history, origins, target, cfg, history_weather(history), has_pv), cfg)
-        out = linear.predict(model, rows, [*by, "origin"])
+        # models of a whole pool are few
+        out = linear.predict(model if pooled is None else F.broadcast(model), rows, [*by, "origin"])
         return out.select("device_id", F.lit(target).alias("target"), "origin", "ts_hour", "horizon", "prediction")
 
     return run
 
 
+def until_own(matrix: DataFrame, moments: DataFrame) -> DataFrame:
+    """Rows with _until, the first of their device's moments (device_id, at) at or after their hour, null after the last.
+
+    A device has a few moments, which come as an array: where the matrix is dealt by device it isn't shuffled.
+    """
+    cuts = moments.groupBy("device_id").agg(F.sort_array(F.collect_set("at")).alias("_cuts"))
+    joined = matrix.join(cuts.hint("shuffle_hash"), "device_id", "left")
+    return joined.withColumn("_until", F.array_min(F.filter("_cuts", lambda c: c >= F.col("ts_hour")))).drop("_cuts")
+
+
 def parts_until(linear: M.GroupedLinear, matrix: DataFrame, moments: DataFrame, times: DataFrame | None = None) -> DataFrame:
-    """Statistics of each group of ``linear`` from one moment (the column ``at``) to the next; ``times`` holds the matrix's hours, if they are cheaper there."""
-    cut = next_time(matrix, moments.select("at"), "ts_hour", "at", "_until", times)
-    return linear.statistics(cut, [*linear.by, "_until"]).withColumnRenamed("_until", "at")
+    """Statistics of each group of ``linear`` from one moment (the column ``at``) to the next, which ``running`` adds up; ``times`` holds the matrix's hours, if they are cheaper there.
+
+    A group of one device is cut at its own moments only, and its blocks are left as the tasks made them.
+    A matrix that has _until is cut already (``until_own``).
+    """
+    own = "device_id" in linear.by
+    if "_until" in matrix.columns:
+        cut = matrix
+    else:
+        cut = until_own(matrix, moments) if own else next_time(matrix, moments.select("at"), "ts_hour", "at", "_until", times, few=True)
+    cut = cut.where("_until is not null")
+    made = linear.parts if own else linear.statistics
+    return made(cut, [*linear.by, "_until"]).withColumnRenamed("_until", "at")
 
 
 def models_as_of(linear: M.GroupedLinear, matrix: DataFrame, moments: DataFrame, cfg: Config, min_rows: int = 1, times: DataFrame | None = None) -> DataFrame:

@@ -137,7 +137,7 @@ def merged(parts: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
 def running(parts: DataFrame, by: Sequence[str], time: str, at: DataFrame) -> DataFrame:
     """Blocks of stretches of time (by, time) -> the block of all rows up to each moment of ``at`` (by, time), if there are any.
 
-    Prefix sums in numpy; a group has one block a moment, however many rows they are made of.
+    Prefix sums in numpy; a group has a block or a few a moment, however many rows they are made of.
     """
     keys = list(by)
     asked = at.select(*keys, time, F.lit(True).alias("_asked")).distinct()

@@ -56,17 +56,19 @@ def nearest_join(left: DataFrame, right: DataFrame, ts_left: str, ts_right: str,
     return left.join(found, [*keys, ts_left], "left").select(*left.columns, *(F.col(f"_p.{c}").alias(c) for c in columns))
 
 
-def next_time(df: DataFrame, cuts: DataFrame, time: str, cut: str, name: str, times: DataFrame | None = None) -> DataFrame:
+def next_time(df: DataFrame, cuts: DataFrame, time: str, cut: str, name: str, times: DataFrame | None = None, few: bool = False) -> DataFrame:
     """Rows with ``name``, the first ``cut`` at or after their ``time``; rows after the last one go.
 
     Like nearest_join it works on distinct times, so nothing is collected. ``times``: a table that has all
-    times of ``df``, where working out ``df`` twice would be dear.
+    times of ``df``, where working out ``df`` twice would be dear. With ``few`` (hours of the calendar, say) the
+    distinct times are broadcast, as their number isn't known before ``df`` would be dealt by time.
     """
     moments = (df if times is None else times).select(F.col(time).alias("_t"), F.lit(1).alias("_side")).distinct()
     both = moments.union(cuts.select(F.col(cut).alias("_t"), F.lit(0)).distinct())
     reversed_ = Window.partitionBy(F.lit(0)).orderBy(F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.withColumn(name, F.last(F.when(F.col("_side") == 0, F.col("_t")), True).over(reversed_)).where(f"_side = 1 and `{name}` is not null")
-    return df.join(both.select(F.col("_t").alias(time), name), time)
+    found = both.select(F.col("_t").alias(time), name)
+    return df.join(F.broadcast(found) if few else found, time)
 
 
 def join_actuals(forecasts: DataFrame, actuals: DataFrame, min_rows: int = 12, cell: Sequence[str] = ("device_id", "target", "origin")) -> DataFrame:

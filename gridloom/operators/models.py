@@ -70,12 +70,15 @@ class GroupedLinear:
         values = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in self.features]
         return F.array(F.lit(1.0), *values, *(F.col(f).isNull().cast("double") for f in self.missing))
 
-    def statistics(self, matrix: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
-        """One row a group: n, yy and the sums of products as arrays (the upper triangle, and with the target)."""
-        keys = list(by or self.by)
+    def parts(self, matrix: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+        """Blocks of sums of products, one a group and task, or more."""
         rows = matrix.where(F.col(self.target).isNotNull())
         blocks = packed.blocks if packed.is_packed(rows) else gram.blocks
-        return gram.merged(blocks(rows, keys, self.target, self.features, self.missing), keys, self.size)
+        return blocks(rows, list(by or self.by), self.target, self.features, self.missing)
+
+    def statistics(self, matrix: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+        """One row a group: n, yy and the sums of products as arrays (the upper triangle, and with the target)."""
+        return gram.merged(self.parts(matrix, by), list(by or self.by), self.size)
 
     def update(self, stats: DataFrame, new: DataFrame) -> DataFrame:
         """Statistics of old and new rows together."""

@@ -7,7 +7,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.operators import evaluation as E
 from gridloom.operators import features as X
+from gridloom.operators import models as M
 from gridloom.operators.cleaning import processed_hourly
 from gridloom.plans.base import CFG, stored
 
@@ -28,3 +30,32 @@ def test_matrix_has_many_parts(spark, hourly):
 
 def test_stored_devices_have_many_files(spark, hourly):
     assert len(stored(hourly).inputFiles()) > 1
+
+
+def test_a_device_is_cut_at_its_own_moments(spark, hourly):
+    few = hourly.where("device_id in ('dev-0', 'dev-1')")
+    matrix = M.with_band(X.training_matrix(few, "grid_import", range(1, 49), CFG, pack=True), CFG)
+    at = "timestamp '2025-02-10 00:00:00'"
+    moments = spark.sql(f"select 'dev-0' as device_id, {at} as at union all select 'dev-0', {at} + interval 2 days union all select 'dev-1', {at} + interval 1 hour")
+    linear = M.GroupedLinear("grid_import", ["hour_sin"], ["device_id", "band"])
+    parts = E.parts_until(linear, matrix, moments, few).groupBy("device_id").agg(F.count_distinct("at").alias("n"))
+    assert {r.device_id: r.n for r in parts.collect()} == {"dev-0": 2, "dev-1": 1}
+    sums = linear.running(E.parts_until(linear, matrix, moments, few), "at", moments.withColumn("band", F.lit("short")))
+    # rows of 8 horizons up to each moment, the moment included
+    assert sorted(r.n for r in sums.collect()) == [(9 * 24 + 1) * 8, (9 * 24 + 2) * 8, (11 * 24 + 1) * 8]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pooled_matrix_is_not_dealt_by_time(spark, hourly):
+    table = stored(hourly)
+    backend = E.linear_backend(CFG, pooled=table.select("device_id").distinct())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        plan = _plan(backend(table, E.backtest_origins(table, CFG), "grid_import"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not any("SortMergeJoin [ts_hour" in line for line in plan.splitlines())
