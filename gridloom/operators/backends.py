@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from typing import Any, NamedTuple, Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from ..functions.clock import at_least, hours
 from . import evaluation as E
 from . import features as X
 from . import models as M
+from . import packed
+from . import validation as V
 
 
 class Model(Protocol):
@@ -117,15 +120,20 @@ def per_device(cfg: Config, fit: Fit, predict: Predict, every_hours: int | None
         at = F.col("origin") if every_hours is None else F.timestamp_seconds(F.floor(F.unix_timestamp("origin") / (every_hours * 3600)) * (every_hours * 3600))
         asked = X.forecast_matrix(history, origins, target, cfg, E.history_weather(history), has_pv).withColumn("_at", at)
         first = origins.groupBy("device_id").agg((F.min(at) - hours(history_days * 24)).alias("_first"))
-        matrix = X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv).join(first, "device_id").where("ts_hour > _first").drop("_first")
-        names = [c for c in matrix.columns if c not in ("device_id", "ts_hour", target)]
+        # rows packed by band meet their device's origins, and are multiplied by the horizons there, a device at a time
+        matrix = X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv, pack=True).join(first.hint("shuffle_hash"), "device_id").where("ts_hour > _first").drop("_first")
+        names = V.resolve_features(target, cfg, has_pv, history.columns)
         back = pd.Timedelta(days=history_days)
         columns = ["device_id", "target", "origin", "ts_hour", "horizon", "prediction", "lower", "upper"]
 
-        def each(known: pd.DataFrame, ahead: pd.DataFrame) -> pd.DataFrame:
+        def each(table: pa.Table, asked: pa.Table) -> pa.Table:
+            known = packed.frame(table, target, ["ts_hour", target, *names]).sort_values("ts_hour", ignore_index=True) if table.num_rows else None
             out = []
-            for moment, rows in ahead.groupby("_at"):
-                past = known[(known["ts_hour"] <= moment) & (known["ts_hour"] > moment - back)]
+            for moment, rows in asked.to_pandas().groupby("_at"):
+                if known is None:
+                    continue
+                first, last = known["ts_hour"].searchsorted(moment - back, "right"), known["ts_hour"].searchsorted(moment, "right")
+                past = known.iloc[first:last]
                 if past.empty:
                     continue
                 told = predict(fit(past[names], past[target]), rows[names])
@@ -133,11 +141,13 @@ def per_device(cfg: Config, fit: Fit, predict: Predict, every_hours: int | None
                 part = rows[["device_id", "origin", "ts_hour", "horizon"]].reset_index(drop=True).assign(target=target, prediction=told["prediction"].astype(float))
                 bounds = {b: told[q].astype(float) if q in told else float("nan") for b, q in (("lower", "q_low"), ("upper", "q_high"))}
                 out.append(part.assign(**bounds)[columns])
-            return pd.concat(out) if out else pd.DataFrame(columns=columns)
+            return pa.Table.from_pandas(pd.concat(out) if out else pd.DataFrame(columns=columns), arrow, preserve_index=False)
 
         kind = "device_id string, target string, origin timestamp, ts_hour timestamp, horizon int, prediction double, lower double, upper double"
+        text, at_utc, number = pa.string(), pa.timestamp("us", "UTC"), pa.float64()
+        arrow = pa.schema(list(zip(columns, (text, text, at_utc, at_utc, pa.int32(), number, number, number), strict=True)))
         known = matrix.select(F.col("device_id").alias("_device"), *(F.col(c).alias(c) for c in matrix.columns if c != "device_id"))  # names of its own: both sides come from one table
-        found = known.groupBy("_device").cogroup(asked.groupBy("device_id")).applyInPandas(each, kind)
+        found = known.groupBy("_device").cogroup(asked.groupBy("device_id")).applyInArrow(each, kind)
         none = lambda c: F.when(~F.isnan(c), F.col(c))
         point, low, high = at_least(none("prediction"), 0.0), none("lower"), none("upper")
         bounds = {"lower": F.when(low.isNotNull(), F.greatest(F.lit(0.0), F.least(low, point))), "upper": F.when(high.isNotNull(), F.greatest(high, point))}

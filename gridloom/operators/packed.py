@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,14 @@ def unpacked(df: DataFrame, target: str, also: Sequence[str] = ()) -> DataFrame:
     return df.select(*plain, F.inline(F.arrays_zip(*arrays))).select(*plain, *(F.col(c).alias(names[c]) for c in arrays))
 
 
+def frame(table: pa.Table, target: str, names: Sequence[str]) -> pd.DataFrame:
+    """The columns ``names`` of packed rows as a pandas table of one row a horizon."""
+    arrays, flat = varying(target), table.combine_chunks()
+    of = pa.array(np.repeat(np.arange(flat.num_rows), flat.column("_h").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)))
+    inside = {c: flat.column(arrays[c]).combine_chunks().flatten() for c in names if c in arrays}
+    return pa.table([inside[c] if c in inside else flat.column(c).take(of) for c in names], names=list(names)).to_pandas()
+
+
 class Layout:
     """Where the inputs of a model stand: those of a whole packed row, and those in its arrays."""
 

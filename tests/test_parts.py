@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.operators import backends as BK
 from gridloom.operators import evaluation as E
 from gridloom.operators import features as X
 from gridloom.operators import models as M
@@ -59,3 +60,15 @@ def test_pooled_matrix_is_not_dealt_by_time(spark, hourly):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not any("SortMergeJoin [ts_hour" in line for line in plan.splitlines())
+
+
+def test_rows_of_a_users_model_are_multiplied_beside_it(spark, hourly):
+    table = stored(hourly)
+    backend = BK.per_device(CFG, lambda x, y: float(y.mean()), lambda model, x: [model] * len(x), history_days=10)
+    told = backend(table, E.backtest_origins(table, CFG), "grid_import")
+    cogroup = next(line for line in _plan(told).splitlines() if "CoGroupsIn" in line)
+    assert "_h#" in cogroup and "horizon#" in cogroup
+    history = {(r.device_id, r.ts_hour): r.grid_import for r in table.collect()}
+    one = told.where("device_id = 'dev-7' and horizon = 5").orderBy("origin").first()
+    mean = sum(history["dev-7", one.origin - dt.timedelta(hours=h)] for h in range(240)) / 240
+    assert one.prediction == pytest.approx(mean)
