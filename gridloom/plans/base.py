@@ -151,12 +151,19 @@ def hourly(spark: SparkSession, sf_dir: str, with_weather: bool = False) -> Data
     return cleaning.processed_hourly(meters(spark, sf_dir), CFG, weather(spark, sf_dir) if with_weather else None)
 
 
+def rounded(x: Column | str, digits: int) -> Column:
+    """A double multiplied by a power of ten, rounded and divided again, as DuckDB rounds: Spark's round(x, digits) takes halves by the shortest decimals of x."""
+    x, ten = F.col(x) if isinstance(x, str) else x, 10.0**digits
+    # what becomes infinite has no decimals
+    return F.when(F.abs(x * ten) < float("inf"), F.round(x * ten) / ten).otherwise(x)
+
+
 def out(df: DataFrame) -> DataFrame:
     """Six decimals, no negative zero, and timestamps without a zone, as the SQL gives them."""
     fixed = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType | T.FloatType):
-            fixed[f.name] = F.round(F.col(f.name).cast("double"), 6) + F.lit(0.0)
+            fixed[f.name] = rounded(F.col(f.name).cast("double"), 6) + F.lit(0.0)
         elif isinstance(f.dataType, T.TimestampType):
             fixed[f.name] = F.col(f.name).cast("timestamp_ntz")
     return df.withColumns(fixed) if fixed else df

@@ -129,7 +129,7 @@ SELECT device_id, energy_rows, round(span_days, 3) + 0.0 AS span_days, round(cov
 
 @query(_SUFF)
 def v3_assess_sufficiency(spark, sf):
-    return V.assess_sufficiency(B.hourly(spark, sf), CFG).select("device_id", "energy_rows", F.round("span_days", 3).alias("span_days"), F.round("coverage", 3).alias("coverage"), "eligible")
+    return V.assess_sufficiency(B.hourly(spark, sf), CFG).select("device_id", "energy_rows", B.rounded("span_days", 3).alias("span_days"), B.rounded("coverage", 3).alias("coverage"), "eligible")
 
 
 @query(f"""WITH {B.HOURLY} SELECT device_id, {r('avg(grid_export) AS mean_export', 'avg(grid_import) AS mean_import')},
@@ -538,7 +538,7 @@ SELECT device_id, band, round(i, 5) + 0.0 AS intercept, round(s, 5) + 0.0 AS on_
 def m2_two_inputs(spark, sf):
     """The coefficients on two inputs, whose normal equations have a closed form."""
     linear = M.GroupedLinear("grid_import", _CLOCK, ["device_id", "band"], ridge=0.0)
-    at = lambda i, name: F.round(F.get("coefficients", F.lit(i)), 5).alias(name)
+    at = lambda i, name: B.rounded(F.get("coefficients", F.lit(i)), 5).alias(name)
     return linear.fit(_matrix(spark, sf, pack=True)).select("device_id", "band", at(0, "intercept"), at(1, "on_sine"), at(2, "on_cosine"))
 
 
@@ -723,7 +723,7 @@ def i6_interval_backtest(spark, sf):
         return N.interval_backend(N.BandedLinear(CFG, features=[f"{target}_same_hour_7d"], ridge=0.0, store=B.stored))(history, origins, target)
 
     rows = E.run_backtest(df, CFG, backend)
-    return rows.select("device_id", "target", "origin", "horizon", *(F.round(c, 5).alias(c) for c in ("actual", "prediction", "lower", "upper")))
+    return rows.select("device_id", "target", "origin", "horizon", *(B.rounded(c, 5).alias(c) for c in ("actual", "prediction", "lower", "upper")))
 
 
 @query()
@@ -770,7 +770,7 @@ SELECT o.device_id, origin AS forecast_origin, CAST(h AS INTEGER) AS horizon, or
 FROM o CROSS JOIN range(1, 49) r(h) LEFT JOIN hourly x ON x.device_id = o.device_id AND x.ts_hour = origin + to_hours(CAST(h AS BIGINT)) - INTERVAL 168 HOUR""")
 def k4_forecasts_to_frame(spark, sf):
     flat = R.forecasts_to_frame(R.forecast_records(_forecasts(spark, sf)))
-    return flat.select("device_id", "forecast_origin", "horizon", "timestamp", F.round("grid_export_kwh", 2).alias("grid_export_kwh"))
+    return flat.select("device_id", "forecast_origin", "horizon", "timestamp", B.rounded("grid_export_kwh", 2).alias("grid_export_kwh"))
 
 
 _FLAT = f"""WITH {B.HOURLY}, o AS (SELECT device_id, (SELECT max(ts_hour) FROM hourly) AS origin FROM hourly GROUP BY 1), flat AS (
@@ -816,7 +816,7 @@ def _two_inputs():
 def e2_two_inputs(spark, sf):
     """The linear backtest on two inputs, refitted at every origin."""
     rows = E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, _two_inputs())
-    return rows.select("device_id", "target", "origin", "horizon", "actual", F.round("prediction", 5).alias("prediction"))
+    return rows.select("device_id", "target", "origin", "horizon", "actual", B.rounded("prediction", 5).alias("prediction"))
 
 
 @query()
@@ -858,7 +858,7 @@ SELECT device_id, target, round(avg(m), 5) + 0.0 AS cv_mae, count(*) AS n_origin
 def e4_two_inputs(spark, sf):
     """Cross-validation of the two-input line."""
     done = E.cross_validate(B.stored(B.hourly(spark, sf)), CFG, _two_inputs())
-    return done.select("device_id", "target", F.round("cv_mae", 5).alias("cv_mae"), "n_origins")
+    return done.select("device_id", "target", B.rounded("cv_mae", 5).alias("cv_mae"), "n_origins")
 
 
 @query(_CV)
@@ -917,7 +917,7 @@ def p4_pooled(spark, sf):
     train, backend, told = _pooled(spark, sf)
     cv = E.pooled_cv(train, CFG, backend).select("device_id", "target", "cv_mae")
     rows = told.join(cv, ["device_id", "target"], "left")
-    return rows.select("device_id", "target", "origin", "horizon", "ts_hour", *(F.round(c, 5).alias(c) for c in ("prediction", "lower", "upper", "cv_mae")))
+    return rows.select("device_id", "target", "origin", "horizon", "ts_hour", *(B.rounded(c, 5).alias(c) for c in ("prediction", "lower", "upper", "cv_mae")))
 
 
 def _pooled(spark, sf):
@@ -938,7 +938,7 @@ SELECT device_id, target, origin, horizon, {r('actual')}, round(prediction, 5) +
 def e3_leave_one_out(spark, sf):
     """Each device forecast by a two-input line of all other devices, refitted at every origin."""
     rows = E.run_backtest(B.stored(B.hourly(spark, sf)), CFG, P.leave_one_out_backend(CFG, _CLOCK, 0.0, store=B.stored))
-    return rows.select("device_id", "target", "origin", "horizon", "actual", F.round("prediction", 5).alias("prediction"))
+    return rows.select("device_id", "target", "origin", "horizon", "actual", B.rounded("prediction", 5).alias("prediction"))
 
 
 @query(f"""WITH {B.LONG}, f AS (SELECT e.device_id, e.b - INTERVAL 48 HOUR + to_hours(CAST(h AS BIGINT)) AS ts_hour FROM ends e, range(1, 49) r(h)),
@@ -1007,7 +1007,7 @@ SELECT candidate, round(mae, 5) + 0.0 AS mae, round(rmse, 5) + 0.0 AS rmse, roun
 def e12_two_inputs(spark, sf):
     """The benchmark of the two-input line against the naive forecast."""
     done = E.benchmark(B.stored(B.hourly(spark, sf)), CFG, {"linear": _two_inputs()}, store=B.stored)["comparison"]
-    return done.select("candidate", "n_rows", *(F.round(c, 5).alias(c) for c in ("mae", "rmse", "mbe", "skill_vs_naive")))
+    return done.select("candidate", "n_rows", *(B.rounded(c, 5).alias(c) for c in ("mae", "rmse", "mbe", "skill_vs_naive")))
 
 
 @query(f"WITH {B.STEPS} SELECT device_id, target, {r('avg(abs(prediction - actual)) AS mae', 'sqrt(avg((prediction - actual) ** 2)) AS rmse', 'avg(CAST(actual BETWEEN prediction * 0.5 AND prediction * 1.5 AS DOUBLE)) AS coverage')}, count(*) AS n_hours FROM joined WHERE n >= 0 GROUP BY 1, 2")
@@ -1095,7 +1095,7 @@ n AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts_hour) AS k
 SELECT device_id, CASE WHEN k <= (c * 70) // 100 THEN 'train' WHEN k <= (c * 85) // 100 THEN 'valid' ELSE 'test' END AS split, round(sum(grid_import), 2) + 0.0 AS quantity, count(*) AS n FROM n GROUP BY ALL""")
 def d1_lineitem_domain(spark, sf):
     d = B.table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("device_id"), F.date_trunc("month", F.col("l_shipdate").cast("timestamp")).alias("ts_hour")).agg(F.sum(F.col("l_quantity").cast("double")).alias("q"))
-    return X.split_70_15_15(d).groupBy("device_id", "split").agg(F.round(F.sum("q"), 2).alias("quantity"), F.count(F.lit(1)).alias("n"))
+    return X.split_70_15_15(d).groupBy("device_id", "split").agg(B.rounded(F.sum("q"), 2).alias("quantity"), F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH hourly AS (SELECT event_type AS device_id, date_trunc('hour', ts) AS ts_hour, sum(value) AS grid_export, CAST(count(*) AS DOUBLE) AS grid_import FROM events GROUP BY ALL)"""
@@ -1186,7 +1186,7 @@ def t3_stream_model_update(spark, sf):
     streamed = T.current_statistics(spark, path).select("device_id", F.col("n").alias("n_stream"), F.col("yy").alias("yy_stream"))
     both = streamed.join(linear.statistics(spark.read.schema(matrix.schema).parquet(rows_path)).select("device_id", "n", "yy"), "device_id")
     gap = F.greatest(F.abs(F.col("n") - F.col("n_stream")).cast("double"), F.round(F.abs(F.col("yy") - F.col("yy_stream")), 3))
-    return both.select("device_id", "n_stream", (F.round(F.col("yy_stream") / CFG.horizon, 3) * CFG.horizon).alias("yy_stream"), gap.alias("gap"))
+    return both.select("device_id", "n_stream", (B.rounded(F.col("yy_stream") / CFG.horizon, 3) * CFG.horizon).alias("yy_stream"), gap.alias("gap"))
 
 
 @query(f"""WITH {B.STEPS}, g AS (SELECT device_id, ts_hour, coalesce(last_value(grid_import IGNORE NULLS) OVER (PARTITION BY device_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -1225,7 +1225,7 @@ def a11_run_summary(spark, sf):
 def k2_write_reports(spark, sf):
     """A report written as CSV and read again."""
     path = B.fresh_path(spark)
-    K.write_reports({"by_device": B.table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 3).alias("total"))}, path)
+    K.write_reports({"by_device": B.table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), B.rounded(F.sum("value"), 3).alias("total"))}, path)
     return spark.read.option("header", True).schema("event_type string, n long, total double").csv(f"{path}/by_device")
 
 
