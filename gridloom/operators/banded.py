@@ -65,7 +65,7 @@ def regimes(x: np.ndarray, y: np.ndarray, hour: np.ndarray, cut: int, half: Sequ
     predicted = np.exp(np.minimum(predicted, HIGHEST)) if link == "log" else np.maximum(predicted, 0.0)
     score = np.maximum(bounds[told, 0] - seen, seen - bounds[told, 1])
     threshold = float(np.median(predicted))
-    active = predicted > threshold
+    active = predicted - threshold > abs(threshold) * 1e-12  # as intervals.above
     return shifts, threshold, conformal(score[active], coverage, least), conformal(score[~active], coverage, least)
 
 
