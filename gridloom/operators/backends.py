@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple, Protocol
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +29,16 @@ from . import validation as V
 
 
 class Model(Protocol):
-    """What a user's own kind of model needs."""
+    """What a user's own kind of model needs; with ``takes_packed = True`` it is given packed rows (``packed``) to fit on."""
 
     def fit(self, matrix: DataFrame) -> Any: ...
 
     def predict(self, state: Any, matrix: DataFrame) -> DataFrame: ...
 
 
+#: Models that are fitted at the same time.
+FITS = 4
+
 #: (target, features) -> a model, not yet fitted.
 Kind = Callable[[str, Sequence[str]], Model]
 
@@ -55,16 +60,20 @@ def refit_moments(origins: DataFrame, every_hours: int | None = None) -> list[dt
 
 def fit_at(history: DataFrame, moments: Sequence[dt.datetime], target: str, cfg: Config, kind: Kind, has_pv: bool = True, store: Callable[[DataFrame], DataFrame] = lambda df: df) -> list[Fitted]:
     """A model of all devices' rows for each band and moment; moments before the first row give none."""
-    matrix = store(M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv), cfg))
-    names = [c for c in matrix.columns if c not in ("device_id", "ts_hour", target, "band")]
-    out = []
-    for until in moments:
-        for band, *_ in cfg.bands:
-            rows = matrix.where((F.col("band") == band) & (F.col("ts_hour") <= F.lit(until)))
-            if not rows.isEmpty():
-                model = kind(target, names)
-                out.append(Fitted(target, band, until, model, model.fit(rows)))
-    return out
+    names = V.resolve_features(target, cfg, has_pv, history.columns)
+    pack = getattr(kind(target, names), "takes_packed", False)
+    matrix = store(M.with_band(X.training_matrix(history, target, range(1, cfg.horizon + 1), cfg, has_pv=has_pv, pack=pack), cfg))
+
+    def fit(until: dt.datetime, band: str) -> Fitted | None:
+        rows = matrix.where((F.col("band") == band) & (F.col("ts_hour") <= F.lit(until)))
+        if rows.isEmpty():
+            return None
+        model = kind(target, names)
+        return Fitted(target, band, until, model, model.fit(rows))
+
+    # a fit is many short jobs, one after the other; those of several models fill the cluster
+    with ThreadPoolExecutor(FITS) as pool:
+        return [f for f in pool.map(inheritable_thread_target(matrix.sparkSession)(lambda at: fit(*at)), [(until, band) for until in moments for band, *_ in cfg.bands]) if f is not None]
 
 
 def predict_with(fitted: Sequence[Fitted], history: DataFrame, origins: DataFrame, target: str, cfg: Config, weather: DataFrame | None = None, has_pv: bool = True) -> DataFrame:
